@@ -60,12 +60,12 @@ def build_sql(name: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from paneltide.plans import queries  # noqa: F401  (registers everything)
+    from paneltide.plans import registry  # noqa: F401  (registers everything)
 
     return {n: build_sql(n) for n in _FINAL_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from paneltide.plans import queries  # noqa: F401
+    from paneltide.plans import registry  # noqa: F401
 
     return dict(QUERIES)

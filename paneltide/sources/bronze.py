@@ -103,7 +103,7 @@ def normalise_indicators(raw: DataFrame, lookup: DataFrame, name_col: str = "cou
     for old, new in (renames or {}).items():
         df = df.withColumnRenamed(old, new)
     df = (df.withColumnRenamed(name_col, "country_name")
-            .withColumn("year", F.try_cast(F.col(year_col).cast("string"), "int"))
+            .withColumn("year", F.col(year_col).cast("string").try_cast("int"))
             .where(F.col("year").isNotNull()))
     if year_col != "year":
         df = df.drop(year_col)
