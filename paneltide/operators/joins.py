@@ -63,10 +63,23 @@ def validate_keys(requested: DataFrame, known: DataFrame, key: str) -> DataFrame
     return requested.join(known.select(key).distinct(), on=key, how="left_anti")
 
 
-def align(forecast: DataFrame, actual: DataFrame, key: str, step: str = "step") -> DataFrame:
-    """Pair forecast and actual values by key and position; keys whose two
-    sides have different lengths are skipped, as the reference loop does."""
-    fn = forecast.groupBy(key).agg(F.count(F.lit(1)).alias("_nf"))
+def align(forecast: DataFrame, actual: DataFrame, key: str, step: str = "step",
+          by: list[str] | None = None) -> DataFrame:
+    """Pair forecast and actual values by key and position; a series
+    (key + ``by``, e.g. the method) whose two sides have different lengths is
+    skipped, as the reference loop does."""
+    by = by or []
+    fn = forecast.groupBy(key, *by).agg(F.count(F.lit(1)).alias("_nf"))
     an = actual.groupBy(key).agg(F.count(F.lit(1)).alias("_na"))
-    same = fn.join(an, key).where(F.col("_nf") == F.col("_na")).select(key)
-    return forecast.join(actual, on=[key, step], how="inner").join(same, key, "left_semi")
+    same = fn.join(an, key).where(F.col("_nf") == F.col("_na")).select(key, *by)
+    return forecast.join(actual, on=[key, step], how="inner").join(same, [key, *by], "left_semi")
+
+
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate (global statistics) to every
+    row: an equi-join on a constant key with the one-row side broadcast. The
+    right side must be a global aggregate, so its size is one row by
+    construction."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
+            .drop("_one"))

@@ -20,10 +20,12 @@ _LOW33 = (1 << 33) - 1
 
 
 def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
-                     value_col: str | None = None, cum_col: str | None = None) -> DataFrame:
+                     value_col: str | None = None, cum_col: str | None = None,
+                     total_col: str | None = None) -> DataFrame:
     """Add the 1-based position of each row in ``order`` (must be a total order,
     i.e. end with a unique key). Optionally add the running total of
-    ``value_col`` (exact for decimal input) in ``cum_col``."""
+    ``value_col`` (exact for decimal input) in ``cum_col``, and the row count
+    of the whole input in ``total_col``."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     ranked = (
@@ -46,6 +48,9 @@ def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = per_part.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     keep = ["_pid", "_off"]
+    if total_col is not None:
+        offs = offs.withColumn(total_col, F.sum("_n").over(Window.partitionBy()))
+        keep.append(total_col)
     if value_col is not None:
         offs = offs.withColumn("_soff", F.sum("_s").over(before))
         keep.append("_soff")
