@@ -6,7 +6,8 @@ and a handful of scalars reach the driver:
 * within transformation: alternating unit / time demeaning (the method of
   alternating projections), each pass two grouped means joined back; exact
   after one pass on a balanced panel, iterated to a tolerance otherwise.
-  Lineage is cut with a reliable checkpoint every few passes.
+  The input panel and each pass are written to the shared checkpoint folder
+  (reliable checkpoints), so no job recomputes the lineage.
 * OLS: one aggregation pass for X'X and X'y.
 * CRV1 standard errors clustered by unit: per-unit score sums (one grouped
   aggregate), then the sum of their outer products (one more aggregate).
@@ -15,15 +16,18 @@ and a handful of scalars reach the driver:
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.operators.joins import broadcast_if_small
+from paneltide.operators.joins import DEFAULT_BROADCAST_ROWS
 from paneltide.session import checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 RESULT_SCHEMA = ("estimator string, att double, se double, ci_lower double, ci_upper double, "
                  "p_value double, n_units bigint, n_obs bigint, status string")
 
@@ -41,16 +45,37 @@ def balance(df: DataFrame, unit: str, t: str) -> DataFrame:
     return df.join(full, unit, "left_semi")
 
 
+def panel_shape(df: DataFrame, unit: str, t: str) -> dict:
+    """Rows, units, periods and distinct (unit, period) cells in one pass."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(unit).alias("units"),
+               F.count_distinct(t).alias("periods"), F.count_distinct(unit, t).alias("cells")).first()
+    shape = r.asDict()
+    shape["balanced"] = shape["n"] == shape["units"] * shape["periods"] == shape["cells"]
+    return shape
+
+
 def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float = 1e-8,
-           max_iter: int = 50) -> DataFrame:
+           max_iter: int = 60, shape: dict | None = None, check_every: int = 3) -> DataFrame:
     """Within transformation for unit (and time) fixed effects.
 
-    Unit means are a grouped aggregate joined back on the unit key; time
-    means have one row per period, so that side is broadcast when small.
-    With ``t`` None only unit effects are removed (one pass, exact).
+    Unit means are a grouped aggregate joined back on the unit key. Time
+    means have one row per period; that side is broadcast when the period
+    count (known from ``shape``) is within the broadcast bound. With ``t``
+    None only unit effects are removed (one pass, exact). On a balanced panel
+    one unit pass plus one time pass is exact. Otherwise passes repeat; every
+    ``check_every`` passes the panel is checkpointed (lineage cut) and the
+    largest time mean removed in the last pass is compared with ``tol``
+    times the largest one removed in the first pass (a relative tolerance,
+    so the stopping point does not depend on the units of the data).
     """
+    if t is not None and shape is None:
+        shape = panel_shape(df, unit, t)
     out = df
+    first = None
+    diffs = [f"_d_{c}" for c in cols]
     for it in range(1, max_iter + 1):
+        if it > 1:
+            out = out.drop(*diffs)
         um = out.groupBy(unit).agg(*[F.avg(c).alias(f"_u_{c}") for c in cols])
         out = out.join(um, unit).select(
             *[c for c in out.columns if c not in cols],
@@ -58,30 +83,25 @@ def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float
         if t is None:
             return out
         tm = out.groupBy(t).agg(*[F.avg(c).alias(f"_t_{c}") for c in cols])
-        out = out.join(broadcast_if_small(tm), t).select(
+        if shape["periods"] <= DEFAULT_BROADCAST_ROWS:
+            tm = F.broadcast(tm)
+        out = out.join(tm, t).select(
             *[c for c in out.columns if c not in cols],
             *[(F.col(c) - F.col(f"_t_{c}")).alias(c) for c in cols],
             *[F.abs(F.col(f"_t_{c}")).alias(f"_d_{c}") for c in cols])
-        diffs = [f"_d_{c}" for c in cols]
-        if it == 1 and _is_balanced(df, unit, t):
-            # one unit pass + one time pass is exact on a balanced panel
+        if shape["balanced"]:
             return out.drop(*diffs)
-        # cut the lineage each pass: the convergence check and the next pass
-        # both read the written data instead of recomputing every pass
+        if it > 1 and it % check_every and it != max_iter:
+            continue
         checkpoint_dir(out.sparkSession)
         out = out.checkpoint(eager=True)
-        # the largest time mean just removed: ~0 once both projections agree
         delta = out.agg(F.greatest(*[F.max(d) for d in diffs], F.lit(0.0))).first()[0] or 0.0
-        out = out.drop(*diffs)
-        if delta < tol:
-            return out
-    return out
-
-
-def _is_balanced(df: DataFrame, unit: str, t: str) -> bool:
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(unit).alias("u"),
-               F.count_distinct(t).alias("p"), F.count_distinct(unit, t).alias("c")).first()
-    return r["n"] == r["u"] * r["p"] == r["c"]
+        first = delta if first is None else first
+        log.debug("demean pass %d: largest time mean removed %g", it, delta)
+        if delta <= tol * max(first, 1e-300):
+            return out.drop(*diffs)
+    log.warning("demeaning stopped after %d passes without reaching tol=%g", max_iter, tol)
+    return out.drop(*diffs)
 
 
 def _cross_products(df: DataFrame, ycol: str, xcols: list[str]):
@@ -152,7 +172,13 @@ def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
     instead of silently reporting another coefficient."""
     cols = [y, d, *controls]
     base = df.select(unit, t, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=[unit, t, *cols])
-    dm = demean(base, cols, unit, t if time_effects else None)
+    # the panel is read by several jobs (shape, demeaning, X'X, scores):
+    # write it once to the shared checkpoint folder and read it back
+    checkpoint_dir(df.sparkSession)
+    base = base.checkpoint(eager=True)
+    shape = panel_shape(base, unit, t) if time_effects else None
+    dm = demean(base, cols, unit, t if time_effects else None, shape=shape)
+    dm = dm.checkpoint(eager=True)
     beta, cov, n, g, status = ols_crv1(dm, y, [d, *controls], unit)
     return _result(df.sparkSession, estimator, beta, cov, n, g, status)
 
@@ -232,6 +258,10 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
     base = (df.select(unit, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
               .withColumn("_fold", F.pmod(F.xxhash64(F.col(unit), F.lit(seed)), F.lit(folds))))
     base = VectorAssembler(inputCols=controls, outputCol="_x").transform(base)
+    # every nuisance fit scans the input several times: read it from a
+    # checkpoint instead of recomputing its lineage for each pass
+    checkpoint_dir(spark)
+    base = base.checkpoint(eager=True)
     resid = None
     for k in range(folds):
         train, test = base.where(F.col("_fold") != k), base.where(F.col("_fold") == k)
@@ -247,6 +277,9 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
         part = pred.select(unit, *controls, (F.col(y) - F.col(f"_hat_{y}")).alias("_ry"),
                            (F.col(d) - F.col(f"_hat_{d}")).alias("_rd"))
         resid = part if resid is None else resid.unionByName(part)
+    # the residuals feed three aggregates; fitting happened above, so write
+    # them once rather than re-running the model transforms three times
+    resid = resid.checkpoint(eager=True)
     means = resid.agg(*[F.avg(c).alias(c) for c in controls]).first()
     regs = ["_rd"]
     r = resid
