@@ -135,15 +135,21 @@ def _normal_p(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
-def ols_crv1(df: DataFrame, ycol: str, xcols: list[str], unit: str):
+def ols_crv1(df: DataFrame, ycol: str, xcols: list[str], unit: str, raw_ss: np.ndarray | None = None):
     """OLS on already demeaned data with CRV1 (unit-clustered) variance,
     small-sample factor G/(G-1) * (N-1)/(N-K). Returns (beta, cov, n, g,
-    status); status is 'collinear' when X'X is singular."""
+    status); status is 'collinear' when a regressor has (almost) no variation
+    left after demeaning - relative to ``raw_ss``, its centred sum of squares
+    before demeaning - or X'X is singular."""
     d = df.withColumn("_unit", F.col(unit))
     xx, xy, n, g = _cross_products(d, ycol, xcols)
     k = len(xcols)
-    scale = np.maximum(np.abs(np.diag(xx)), 1e-300)
-    if n == 0 or np.linalg.matrix_rank(xx / np.sqrt(np.outer(scale, scale)), tol=1e-10) < k:
+    diag = np.diag(xx)
+    ref = raw_ss if raw_ss is not None else np.maximum(diag, 0.0)
+    if n == 0 or np.any(diag <= 1e-10 * np.maximum(ref, 1e-300)):
+        return None, None, n, g, "collinear"
+    corr = xx / np.sqrt(np.outer(diag, diag))
+    if np.linalg.matrix_rank(corr, tol=1e-10) < k:
         return None, None, n, g, "collinear"
     inv = np.linalg.inv(xx)
     beta = inv @ xy
@@ -177,9 +183,12 @@ def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
     checkpoint_dir(df.sparkSession)
     base = base.checkpoint(eager=True)
     shape = panel_shape(base, unit, t) if time_effects else None
+    xcols = [d, *controls]
+    raw = base.agg(*[F.var_pop(c).alias(c) for c in xcols], F.count(F.lit(1)).alias("_n")).first()
+    raw_ss = np.array([(raw[c] or 0.0) * raw["_n"] for c in xcols])
     dm = demean(base, cols, unit, t if time_effects else None, shape=shape)
     dm = dm.checkpoint(eager=True)
-    beta, cov, n, g, status = ols_crv1(dm, y, [d, *controls], unit)
+    beta, cov, n, g, status = ols_crv1(dm, y, xcols, unit, raw_ss)
     return _result(df.sparkSession, estimator, beta, cov, n, g, status)
 
 
