@@ -149,3 +149,25 @@ def test_ratifications_dimension(spark):
     assert df.count() == 40
     years = list(df.agg(F.min("ratification_year"), F.max("ratification_year")).first())
     assert years == [2016, 2021]
+
+
+def test_register_source_and_sql_model(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "silver")
+    spark.createDataFrame([("USA", 2000, 1.0)], "iso_code string, year int, co2 double").write.parquet(p)
+    B.register_source(spark, "silver_src", p)
+    assert spark.sql("SELECT count(*) FROM silver_src WHERE year >= 1960").first()[0] == 1
+
+
+def test_fill_zero_round_and_built_at(spark):
+    from paneltide.functions.exprs import fill_zero
+    from paneltide.operators.projection import round_cols
+    from paneltide.plans.layers import gold_features
+    from paneltide.sources.contracts import GOLD, SILVER
+
+    df = spark.createDataFrame([(None,), (2,)], "x int")
+    assert [r[0] for r in df.select(fill_zero("x")).collect()] == [0.0, 2.0]
+    r = round_cols(spark.createDataFrame([(1.2345, 2.5)], "a double, b double"), ["a"], 2).first()
+    assert r.a == 1.23 and r.b == 2.5
+    silver = spark.createDataFrame([], SILVER)
+    g = gold_features(silver)
+    assert [f.name for f in g.schema.fields] == [f.name for f in GOLD.fields]
