@@ -51,6 +51,13 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broadcast_if_small(n)
 
 
+def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """iso_code -> nation name, broadcast behind the row-count check (a
+    broadcast join keeps the other side's partitioning)."""
+    n = table(spark, sf_dir, "nation").select(iso_code(F.col("n_nationkey")).alias("iso_code"), "n_name")
+    return broadcast_if_small(n)
+
+
 def emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped emissions panel (one snapshot)."""
     o = table(spark, sf_dir, "orders")
@@ -66,20 +73,23 @@ def emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     sums = ["co2", *COMPONENTS, "gdp", "methane", "nitrous_oxide", "n_orders"]
+    # grouped by the panel key itself, so the output is hash-partitioned on
+    # (iso_code, year) and every later step keyed on it (de-duplication, the
+    # indicator join, per-key windows) reuses this shuffle
     by_nation = (
         per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
-        .groupBy("c_nationkey", "year")
+        .groupBy(iso_code(F.col("c_nationkey")).alias("iso_code"), "year")
         .agg(*[F.sum(c).alias(c) for c in sums],
              # one row per (customer, year) after the pre-aggregation, so a
              # row count is the number of distinct customers
              F.count(F.lit(1)).alias("population"))
     )
-    n = _nations(spark, sf_dir)
-    j = by_nation.join(n, by_nation["c_nationkey"] == n["n_nationkey"])
+    n = _nation_names(spark, sf_dir)
+    j = by_nation.join(n, "iso_code")
     dbl = {c: F.col(c).cast("double") for c in ["co2", *COMPONENTS, "gdp", "methane", "nitrous_oxide"]}
     return j.select(
         F.col("n_name").alias("country"),
-        iso_code(F.col("n_nationkey")).alias("iso_code"),
+        "iso_code",
         F.col("year").cast("int").alias("year"),
         dbl["co2"].alias("co2"),
         (dbl["co2"] / F.col("population")).alias("co2_per_capita"),
@@ -111,20 +121,20 @@ def indicators(spark: SparkSession, sf_dir: str, min_reporters: int = 2) -> Data
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     by_nation = (
         per_supp.join(sup, per_supp["l_suppkey"] == sup["s_suppkey"])
-        .groupBy("s_nationkey", "year")
+        .groupBy(iso_code(F.col("s_nationkey")).alias("iso_code"), "year")
         .agg(*[F.sum(c).alias(c) for c in ["ext", "ext_r", "disc", "tax", "n"]],
              F.count(F.lit(1)).alias("n_suppliers"))
         .where(F.col("n_suppliers") >= min_reporters)
     )
-    n = _nations(spark, sf_dir)
-    j = by_nation.join(n, by_nation["s_nationkey"] == n["n_nationkey"])
+    n = _nation_names(spark, sf_dir)
+    j = by_nation.join(n, "iso_code")
     return j.select(
         F.col("n_name").alias("country_name"),
         F.col("year").cast("int").alias("year"),
         (F.lit(100) * F.col("ext_r").cast("double") / F.col("ext").cast("double")).alias("gdp_growth_pct"),
         (F.lit(100) * F.col("disc").cast("double") / F.col("n")).alias("urban_population_pct"),
         (F.lit(100) * F.col("tax").cast("double") / F.col("n")).alias("manufacturing_pct_gdp"),
-        iso_code(F.col("n_nationkey")).alias("iso_code"),
+        "iso_code",
         F.lit(INGESTED_AT).alias("_ingested_at"),
         F.lit(SOURCE_LINEITEM).alias("_source_url"),
     )
@@ -148,9 +158,10 @@ def month_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(money("o_totalprice")).alias("y"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     by_nation = (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
-                 .groupBy("c_nationkey", "ds").agg(F.sum("y").alias("y")))
+                 .groupBy(iso_code(F.col("c_nationkey")).alias("iso_code"), "ds")
+                 .agg(F.sum("y").alias("y")))
     return by_nation.select(
-        iso_code(F.col("c_nationkey")).alias("iso_code"),
+        "iso_code",
         F.col("ds").cast("date").alias("ds"),
         F.col("y").cast("double").alias("y"),
     )
