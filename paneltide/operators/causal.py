@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneltide.operators.joins import DEFAULT_BROADCAST_ROWS
-from paneltide.session import checkpoint_dir
+from paneltide.session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -93,8 +93,7 @@ def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float
             return out.drop(*diffs)
         if it > 1 and it % check_every and it != max_iter:
             continue
-        checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+        out = reliable_checkpoint(out)
         delta = out.agg(F.greatest(*[F.max(d) for d in diffs], F.lit(0.0))).first()[0] or 0.0
         first = delta if first is None else first
         log.debug("demean pass %d: largest time mean removed %g", it, delta)
@@ -180,14 +179,13 @@ def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
     base = df.select(unit, t, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=[unit, t, *cols])
     # the panel is read by several jobs (shape, demeaning, X'X, scores):
     # write it once to the shared checkpoint folder and read it back
-    checkpoint_dir(df.sparkSession)
-    base = base.checkpoint(eager=True)
+    base = reliable_checkpoint(base)
     shape = panel_shape(base, unit, t) if time_effects else None
     xcols = [d, *controls]
     raw = base.agg(*[F.var_pop(c).alias(c) for c in xcols], F.count(F.lit(1)).alias("_n")).first()
     raw_ss = np.array([(raw[c] or 0.0) * raw["_n"] for c in xcols])
     dm = demean(base, cols, unit, t if time_effects else None, shape=shape)
-    dm = dm.checkpoint(eager=True)
+    dm = reliable_checkpoint(dm)
     beta, cov, n, g, status = ols_crv1(dm, y, xcols, unit, raw_ss)
     return _result(df.sparkSession, estimator, beta, cov, n, g, status)
 
@@ -269,8 +267,7 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
     base = VectorAssembler(inputCols=controls, outputCol="_x").transform(base)
     # every nuisance fit scans the input several times: read it from a
     # checkpoint instead of recomputing its lineage for each pass
-    checkpoint_dir(spark)
-    base = base.checkpoint(eager=True)
+    base = reliable_checkpoint(base)
     resid = None
     for k in range(folds):
         train, test = base.where(F.col("_fold") != k), base.where(F.col("_fold") == k)
@@ -288,7 +285,7 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
         resid = part if resid is None else resid.unionByName(part)
     # the residuals feed three aggregates; fitting happened above, so write
     # them once rather than re-running the model transforms three times
-    resid = resid.checkpoint(eager=True)
+    resid = reliable_checkpoint(resid)
     means = resid.agg(*[F.avg(c).alias(c) for c in controls]).first()
     regs = ["_rd"]
     r = resid

@@ -11,14 +11,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_COUNTS: dict[int, int] = {}
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` only behind a row-count check.
 
     The count is a partial aggregate (one number per task, no column data is
     decoded for a parquet scan), so it is cheap even when the dimension turns
     out to be large; then the plain DataFrame is returned and Spark shuffles.
+    Counts are remembered per logical plan (``semanticHash``), so a dimension
+    used by several steps of one session is counted once.
     """
-    n = dim.count()
+    key = dim.semanticHash()
+    n = _COUNTS.get(key)
+    if n is None:
+        n = _COUNTS[key] = dim.count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.session import checkpoint_dir
+from paneltide.session import reliable_checkpoint
 
 _LOW33 = (1 << 33) - 1
 
@@ -26,8 +26,6 @@ def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
     i.e. end with a unique key). Optionally add the running total of
     ``value_col`` (exact for decimal input) in ``cum_col``, and the row count
     of the whole input in ``total_col``."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     ranked = (
         df.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())
@@ -37,7 +35,7 @@ def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
     if value_col is not None:
         w_local = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
         ranked = ranked.withColumn("_lcum", F.sum(value_col).over(w_local))
-    ranked = ranked.checkpoint(eager=True)
+    ranked = reliable_checkpoint(ranked)
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value_col is not None:

@@ -61,6 +61,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_TABLES: dict[tuple[int, str], object] = {}
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to the shared checkpoint folder and return a DataFrame
+    that reads it back (lineage cut, survives executor loss).
+
+    The input is persisted for the duration of the write: an eager reliable
+    checkpoint otherwise computes its input twice (once to run the action,
+    once to write the files)."""
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """One of the driver's parquet tables."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One of the driver's (read-only) parquet tables. The DataFrame is kept
+    per session, so its file listing and footer schema are read once rather
+    than by every query that builds on it."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
