@@ -85,9 +85,11 @@ def align(forecast: DataFrame, actual: DataFrame, key: str, step: str = "step",
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate (global statistics) to every
-    row: an equi-join on a constant key with the one-row side broadcast. The
-    right side must be a global aggregate, so its size is one row by
-    construction."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one"))
+    row. The aggregate is packed into one struct and read as a scalar
+    subquery: no join at all, the subquery runs once per query (Spark reuses
+    identical subqueries) and only its single row is shipped to the tasks.
+    ``one_row`` must be a global aggregate, so it is one row by construction
+    (a scalar subquery fails loudly on more)."""
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_s")).scalar()
+    return df.select("*", *[packed.getField(c).alias(c) for c in cols])

@@ -9,7 +9,7 @@ from paneltide.functions.exprs import money, parse_codes, scale
 from paneltide.operators import aggregates as agg
 from paneltide.operators import filters as flt
 from paneltide.operators import ranking as rk
-from paneltide.operators.joins import validate_keys
+from paneltide.operators.joins import broadcast_if_small, validate_keys
 from paneltide.operators.projection import select_available
 from paneltide.operators.windows import dedup, rank_order, running_total
 from paneltide.plans import proxy
@@ -24,12 +24,19 @@ GROWTH_Y0, GROWTH_Y1, GROWTH_MIN_END_MT = 1996, 2000, 10.0
 EMISSIONS_REQUEST = (1997, 2000, " n01, N03 ,,n05 ,N07")
 KEY_REQUEST = "N01, n02, xx9, N99,"
 AVAILABLE = ["iso_code", "country", "year", "co2", "gdp", "energy_per_capita", "population"]
-# proxy aggregate lists: region rows are the "aggregates" among nation rows
-PROXY_AGG_NAMES, PROXY_AGG_CODES, PROXY_AGG_PATTERNS = ["AFRICA", "ASIA"], ["R1"], ["EAST", "(GCP)"]
+# proxy aggregate lists: the region and world rows are the "aggregates" among
+# the nation rows; each layer catches some of them
+PROXY_AGG_NAMES = ["World", "AFRICA", "ASIA"]
+PROXY_AGG_CODES = ["R1", "WLD"]
+PROXY_AGG_PATTERNS = ["EAST", "(GCP)", "EURO"]
 CORR_COLS = ["co2", "co2_per_capita", "gdp", "population", "primary_energy_consumption",
              "urban_population_pct", "gdp_growth_pct"]
 
 
+_ISO_SQL = "'N' || lpad(CAST({} AS VARCHAR), 2, '0')"
+_MSUM_SQL = "CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+
+
 def _sql_list(xs) -> str:
     return ", ".join("'" + x + "'" for x in xs)
 
@@ -137,26 +144,64 @@ def q_select_available(spark, sf):
     return select_available(proxy.emissions(spark, sf), AVAILABLE)[0]
 
 
-cte("p_names", [], """
-SELECT n_name AS name, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code FROM nation
+def _country_table(spark, sf):
+    """A country x year table as statistics offices publish it: one row per
+    nation and year with regional and world aggregate rows mixed in
+    (name, code, year, value = order value). The orders are folded per
+    customer and year inside each map task first; the three levels are one
+    grouping-sets aggregation (one Expand, one shuffle of partial sums)."""
+    o = table(spark, sf, "orders")
+    per_cust = o.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
+        F.sum(money("o_totalprice")).alias("v"))
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nat = proxy._nations(spark, sf)
+    reg = broadcast_if_small(table(spark, sf, "region").select("r_regionkey", "r_name"))
+    j = (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
+         .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(reg, F.col("n_regionkey") == F.col("r_regionkey")))
+    keys = ["n_nationkey", "n_name", "r_regionkey", "r_name", "year"]
+    g = j.groupingSets([keys, ["r_regionkey", "r_name", "year"], ["year"]], *keys).agg(
+        F.sum("v").alias("v"), F.grouping_id().alias("_lvl"))
+    nation_row, region_row = F.col("_lvl") == 0, F.col("_lvl") == 3
+    return g.select(
+        F.when(nation_row, F.col("n_name")).when(region_row, F.col("r_name"))
+         .otherwise(F.lit("World")).alias("country_name"),
+        F.when(nation_row, proxy.iso_code(F.col("n_nationkey")))
+         .when(region_row, F.concat(F.lit("R"), F.col("r_regionkey").cast("string")))
+         .otherwise(F.lit("WLD")).alias("country_code"),
+        F.col("year").cast("int").alias("year"),
+        F.col("v").cast("double").alias("value"),
+    )
+
+
+cte("p_country_table", [], f"""
+SELECT n.n_name AS country_name, {_ISO_SQL.format('n.n_nationkey')} AS country_code,
+       CAST(year(o.o_orderdate) AS INTEGER) AS year, {_MSUM_SQL} AS value
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name, n.n_nationkey, year(o.o_orderdate)
+UNION ALL
+SELECT r.r_name, 'R' || CAST(r.r_regionkey AS VARCHAR), CAST(year(o.o_orderdate) AS INTEGER), {_MSUM_SQL}
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY r.r_name, r.r_regionkey, year(o.o_orderdate)
 UNION ALL
-SELECT r_name AS name, 'R' || CAST(r_regionkey AS VARCHAR) AS code FROM region
+SELECT 'World', 'WLD', CAST(year(o.o_orderdate) AS INTEGER), {_MSUM_SQL}
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY year(o.o_orderdate)
 """)
 
 
-@register("drop_aggregates", ["p_names"], f"""
-SELECT name, code FROM p_names
-WHERE NOT (name IS NULL
-           OR coalesce(name IN ({_sql_list(PROXY_AGG_NAMES)}), false)
-           OR coalesce(code IN ({_sql_list(PROXY_AGG_CODES)}), false)
-           OR {' OR '.join(f"coalesce(contains(name, '{p}'), false)" for p in PROXY_AGG_PATTERNS)})
+@register("drop_aggregates", ["p_country_table"], f"""
+SELECT country_name, country_code, year, value FROM p_country_table
+WHERE NOT (country_name IS NULL
+           OR coalesce(country_name IN ({_sql_list(PROXY_AGG_NAMES)}), false)
+           OR coalesce(country_code IN ({_sql_list(PROXY_AGG_CODES)}), false)
+           OR {' OR '.join(f"coalesce(contains(country_name, '{p}'), false)" for p in PROXY_AGG_PATTERNS)})
 """)
 def q_drop_aggregates(spark, sf):
-    n = table(spark, sf, "nation").select(F.col("n_name").alias("name"),
-                                          proxy.iso_code(F.col("n_nationkey")).alias("code"))
-    r = table(spark, sf, "region").select(
-        F.col("r_name").alias("name"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"))
-    return flt.drop_aggregates(n.unionByName(r), "name", "code",
+    return flt.drop_aggregates(_country_table(spark, sf), "country_name", "country_code",
                                PROXY_AGG_NAMES, PROXY_AGG_CODES, PROXY_AGG_PATTERNS)
 
 
