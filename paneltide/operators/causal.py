@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.operators.joins import DEFAULT_BROADCAST_ROWS
+from paneltide.operators.joins import fits_broadcast
 from paneltide.session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
@@ -83,7 +83,8 @@ def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float
         if t is None:
             return out
         tm = out.groupBy(t).agg(*[F.avg(c).alias(f"_t_{c}") for c in cols])
-        if shape["periods"] <= DEFAULT_BROADCAST_ROWS:
+        # one row per period: the period key plus one double per column
+        if fits_broadcast(shape["periods"], shape["periods"] * 8 * (len(cols) + 2)):
             tm = F.broadcast(tm)
         out = out.join(tm, t).select(
             *[c for c in out.columns if c not in cols],

@@ -2,32 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows. Beyond it
-# the join stays a shuffle join, which AQE may still turn into a broadcast
-# from runtime statistics (spark.sql.autoBroadcastJoinThreshold).
+# A dimension is broadcast only when it has at most this many rows and its
+# measured size is within the byte bound. Beyond either, the join stays a
+# shuffle join, which AQE may still turn into a broadcast from runtime
+# statistics (spark.sql.autoBroadcastJoinThreshold).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
+# bytes per value of the fixed-width types (Spark's in-memory widths)
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+_ROW_OVERHEAD = 16
 
-_COUNTS: dict[int, int] = {}
 
+def _value_bytes(field) -> Column:
+    """Bytes one value of ``field`` occupies: exact for strings and binaries
+    (their length), a fixed width for the other types."""
+    name = field.dataType.simpleString()
+    c = F.col(f"`{field.name}`")
+    if name in ("string", "binary"):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    return F.lit(_FIXED_WIDTH.get(name, 8)).cast("long")
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only behind a row-count check.
 
-    The count is a partial aggregate (one number per task, no column data is
-    decoded for a parquet scan), so it is cheap even when the dimension turns
-    out to be large; then the plain DataFrame is returned and Spark shuffles.
-    Counts are remembered per logical plan (``semanticHash``), so a dimension
-    used by several steps of one session is counted once.
-    """
+_SIZES: dict[int, tuple[int, int]] = {}
+
+
+def measure(dim: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a DataFrame in one aggregation pass (partial sums in
+    every task, one small merge). Remembered per logical plan
+    (``semanticHash``), so a dimension used by several steps of one session
+    is measured once."""
     key = dim.semanticHash()
-    n = _COUNTS.get(key)
-    if n is None:
-        n = _COUNTS[key] = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    if key not in _SIZES:
+        width = sum((_value_bytes(f) for f in dim.schema.fields), F.lit(_ROW_OVERHEAD).cast("long"))
+        r = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+        _SIZES[key] = (int(r["n"]), int(r["b"] or 0))
+    return _SIZES[key]
+
+
+def fits_broadcast(rows: int, size_bytes: int, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and size_bytes <= max_bytes
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` only behind a size check: its row count and its
+    measured size in bytes (string lengths included) must both be within the
+    bounds. Otherwise the plain DataFrame is returned and Spark shuffles.
+    Select the columns the join needs before calling, so only those are
+    measured and shipped."""
+    rows, size = measure(dim)
+    return F.broadcast(dim) if fits_broadcast(rows, size, max_rows, max_bytes) else dim
 
 
 def attach(panel: DataFrame, other: DataFrame, on: list[str], cols: list[str] | None = None) -> DataFrame:
