@@ -7,6 +7,12 @@ sort key instead; each task numbers its own rows, the per-task row counts
 is added back. The sorted, numbered rows are checkpointed first so that the
 counting pass and the numbering pass see exactly the same partitions even if
 an executor is lost and a stage is recomputed.
+
+Small inputs take a cheaper path behind a row-count check: up to
+``SINGLE_TASK_ROWS`` rows are ordered by one window without a partition (or,
+for quantiles, Spark's exact ``percentile`` aggregate, whose buffer holds the
+values). The check bounds what one task holds; beyond it the distributed path
+runs, so the result is the same either way.
 """
 
 from __future__ import annotations
@@ -18,14 +24,34 @@ from paneltide.session import reliable_checkpoint
 
 _LOW33 = (1 << 33) - 1
 
+# at most this many rows are ever ordered inside a single task
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def row_count(df: DataFrame) -> int:
+    """Row count (a partial aggregate: one number per task)."""
+    return df.count()
+
 
 def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
                      value_col: str | None = None, cum_col: str | None = None,
-                     total_col: str | None = None) -> DataFrame:
+                     total_col: str | None = None,
+                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Add the 1-based position of each row in ``order`` (must be a total order,
     i.e. end with a unique key). Optionally add the running total of
     ``value_col`` (exact for decimal input) in ``cum_col``, and the row count
     of the whole input in ``total_col``."""
+    n = row_count(df)
+    if n <= single_task_rows:
+        # bounded by the check: one ordered window over at most n rows
+        w = Window.orderBy(*order)
+        out = df.withColumn(pos_col, F.row_number().over(w).cast("long"))
+        if value_col is not None:
+            out = out.withColumn(cum_col, F.sum(value_col).over(
+                w.rowsBetween(Window.unboundedPreceding, 0)))
+        if total_col is not None:
+            out = out.withColumn(total_col, F.lit(n).cast("long"))
+        return out
     ranked = (
         df.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())
@@ -71,14 +97,22 @@ def ntile_expr(pos: Column, n: Column, k: int) -> Column:
     ).cast("int")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float],
+                    single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Exact linearly interpolated quantiles of one column over the whole
-    table (numpy 'linear' / SQL percentile_cont), distributed: a range sort,
-    then only the two rows around each target position are read back.
+    table (numpy 'linear' / SQL percentile_cont). Up to ``single_task_rows``
+    values: Spark's exact ``percentile`` aggregate (its merged buffer holds at
+    most that many values). Beyond: distributed, a range sort, then only the
+    two rows around each target position are read back.
 
     Returns one row per probability: (prob, value). NULLs are ignored.
     """
     vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
+    if row_count(vals) <= single_task_rows:
+        ps = F.array(*[F.lit(float(p)) for p in probs])
+        return (vals.agg(F.percentile("_v", ps).alias("_q"))
+                .select(F.posexplode("_q").alias("_i", "value"))
+                .select(ps[F.col("_i")].alias("prob"), "value"))
     # equal values may be numbered in any order: a quantile only reads values,
     # and the checkpoint inside global_positions fixes the numbering
     ranked = global_positions(vals, [F.col("_v")], "_pos")

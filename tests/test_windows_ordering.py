@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from paneltide.operators import ordering as od
@@ -68,12 +69,20 @@ def test_future_steps(spark):
     assert got == [("a", 1, 2004), ("a", 2, 2005), ("b", 1, 2000), ("b", 2, 2001)]
 
 
-def test_global_positions_and_running_total(spark):
+# 0 forces the distributed path (range sort, per-partition offsets); the
+# large bound takes the single-task path behind the row-count check
+PATHS = [0, od.SINGLE_TASK_ROWS]
+
+
+@pytest.mark.parametrize("single_task_rows", PATHS)
+def test_global_positions_and_running_total(spark, single_task_rows):
     rng = np.random.default_rng(1)
     vals = rng.integers(0, 50, 300)  # many ties, broken by the key
     df = spark.createDataFrame([(f"k{i:03d}", int(v)) for i, v in enumerate(vals)], "k string, v long")
     df = df.repartition(7)
-    out = win.running_total(df, [F.col("v").desc(), F.col("k")], "v", out="cum", rank_col="rank").toPandas()
+    out = od.global_positions(df, [F.col("v").desc(), F.col("k")], "rank", value_col="v", cum_col="cum",
+                              total_col="n", single_task_rows=single_task_rows).toPandas()
+    assert (out["n"] == 300).all()
     ref = pd.DataFrame({"k": [f"k{i:03d}" for i in range(300)], "v": vals}).sort_values(
         ["v", "k"], ascending=[False, True]).reset_index(drop=True)
     ref["rank"] = np.arange(1, 301)
@@ -82,15 +91,24 @@ def test_global_positions_and_running_total(spark):
     assert (m["rank"] == m["rank_ref"]).all() and (m["cum"] == m["cum_ref"]).all()
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("single_task_rows", PATHS)
+def test_exact_quantiles_match_numpy(spark, single_task_rows):
     rng = np.random.default_rng(7)
     x = rng.normal(size=1001)
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(5)
-    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.95, 1.0]).collect()}
+    probs = [0.0, 0.25, 0.5, 0.95, 1.0]
+    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", probs, single_task_rows).collect()}
+    assert sorted(got) == probs
     for p, v in got.items():
         assert abs(v - np.percentile(x, p * 100)) < 1e-12
 
 
+@pytest.mark.parametrize("single_task_rows", PATHS)
+def test_exact_quantiles_of_nothing_is_empty(spark, single_task_rows):
+    df = spark.createDataFrame([(None,), (None,)], "x double")
+    assert od.exact_quantiles(df, "x", [0.5], single_task_rows).count() == 0
+
+
 def test_ntile_expression_matches_sql(spark):
     for n in [1, 4, 5, 7, 23]:
         df = spark.range(n).select((F.col("id") + 1).alias("pos"), F.lit(n).cast("long").alias("n"))
