@@ -40,3 +40,11 @@ def test_validate_keys_and_left_joins_keep_rows(spark):
     assert len(out) == 4 and sum(r.v is not None for r in out) == 1
     req = spark.createDataFrame([("A",), ("Z",)], "k string")
     assert [r.k for r in jn.validate_keys(req, panel, "k").collect()] == ["Z"]
+
+
+def test_shuffle_partitions_sized_and_capped():
+    from paneltide.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(10 ** 6) == 200
+    assert shuffle_partitions_for(10 * 1024 ** 4) == 40_960
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 100_000
