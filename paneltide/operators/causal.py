@@ -3,11 +3,13 @@
 Data work stays on Spark; only k x k matrices (k = number of regressors)
 and a handful of scalars reach the driver:
 
-* within transformation: alternating unit / time demeaning (the method of
-  alternating projections), each pass two grouped means joined back; exact
-  after one pass on a balanced panel, iterated to a tolerance otherwise.
-  The input panel and each pass are written to the shared checkpoint folder
-  (reliable checkpoints), so no job recomputes the lineage.
+* within transformation: exact after one unit and one time pass on a
+  balanced panel. On an unbalanced panel with few periods the time effects
+  are solved exactly from a T x T system (built from per-unit observation
+  patterns; only T x T numbers reach the driver). Otherwise alternating unit
+  / time demeaning (the method of alternating projections), iterated to a
+  tolerance. The input panel and the iterations are written to the shared
+  checkpoint folder (reliable checkpoints), so no job recomputes the lineage.
 * OLS: one aggregation pass for X'X and X'y.
 * CRV1 standard errors clustered by unit: per-unit score sums (one grouped
   aggregate), then the sum of their outer products (one more aggregate).
@@ -20,7 +22,7 @@ import logging
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneltide.operators.joins import fits_broadcast
@@ -45,24 +47,99 @@ def balance(df: DataFrame, unit: str, t: str) -> DataFrame:
     return df.join(full, unit, "left_semi")
 
 
-def panel_shape(df: DataFrame, unit: str, t: str) -> dict:
-    """Rows, units, periods and distinct (unit, period) cells in one pass."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(unit).alias("units"),
-               F.count_distinct(t).alias("periods"), F.count_distinct(unit, t).alias("cells")).first()
-    shape = r.asDict()
+def _shape_aggs(unit: str, t: str) -> list:
+    return [F.count(F.lit(1)).alias("n"), F.count_distinct(unit).alias("units"),
+            F.count_distinct(t).alias("periods"), F.count_distinct(unit, t).alias("cells")]
+
+
+def _shape_of(row) -> dict:
+    shape = {k: row[k] for k in ("n", "units", "periods", "cells")}
     shape["balanced"] = shape["n"] == shape["units"] * shape["periods"] == shape["cells"]
     return shape
 
 
+def panel_shape(df: DataFrame, unit: str, t: str) -> dict:
+    """Rows, units, periods and distinct (unit, period) cells in one pass."""
+    return _shape_of(df.agg(*_shape_aggs(unit, t)).first())
+
+
+# Exact time effects on an unbalanced panel: at most this many periods (the
+# T x T system and a T-row broadcast), and at most this many observation-
+# pattern pairs per panel row (the cost of building the system, compared with
+# the passes the iteration would need).
+EXACT_MAX_PERIODS = 400
+EXACT_PAIRS_PER_ROW = 20
+
+
+def _exact_two_way(df: DataFrame, cols: list[str], unit: str, t: str, n_rows: int,
+                   max_periods: int = EXACT_MAX_PERIODS) -> DataFrame | None:
+    """Two-way demeaning of an unbalanced panel with unique (unit, period)
+    cells, exact, in a fixed number of passes (Frisch-Waugh):
+
+    1. unit-demean every column: x~ = x - mean_i(x);
+    2. the time effects of x solve (D'M D) lam = D'x~, where D holds the
+       period dummies and M the unit demeaning. D'M D = diag(N_s) -
+       sum_i o_i o_i' / n_i (o_i = the periods unit i is observed in) is
+       built from the distinct observation patterns (units sharing a
+       pattern are counted once), D'x~ is a per-period sum;
+    3. x.. = x~ - lam_t + mean_i(lam).
+
+    Returns None (the caller iterates instead) when the pattern pairs exceed
+    ``EXACT_PAIRS_PER_ROW`` per panel row.
+    """
+    spark = df.sparkSession
+    pats = (df.groupBy(unit).agg(F.array_sort(F.collect_list(t)).alias("_pat"))
+              .groupBy("_pat").agg(F.count(F.lit(1)).alias("_c")))
+    pairs = pats.agg(F.sum(F.size("_pat") * F.size("_pat"))).first()[0] or 0
+    if pairs > EXACT_PAIRS_PER_ROW * max(n_rows, 1):
+        return None
+    # sum over units of o_i o_i' / n_i, one row per (period, period) pair
+    cooc = (pats.select(F.explode("_pat").alias("_s"), "_pat", "_c")
+                .select("_s", F.explode("_pat").alias("_r"), (F.col("_c") / F.size("_pat")).alias("_w"))
+                .groupBy("_s", "_r").agg(F.sum("_w").alias("_w")).collect())
+    um = df.groupBy(unit).agg(*[F.avg(c).alias(f"_u_{c}") for c in cols])
+    ud = df.join(um, unit).select(
+        *[c for c in df.columns if c not in cols],
+        *[(F.col(c) - F.col(f"_u_{c}")).alias(c) for c in cols])
+    per = ud.groupBy(t).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in cols]).collect()
+    periods = sorted(r[t] for r in per)
+    if len(periods) > max_periods:
+        return None
+    pos = {p: i for i, p in enumerate(periods)}
+    a = np.zeros((len(periods), len(periods)))
+    b = np.zeros((len(periods), len(cols)))
+    for r in per:
+        a[pos[r[t]], pos[r[t]]] += r["_n"]
+        b[pos[r[t]]] = [r[c] or 0.0 for c in cols]
+    for r in cooc:
+        a[pos[r["_s"]], pos[r["_r"]]] -= r["_w"]
+    # D'M D is singular (the period dummies sum to the absorbed unit dummy);
+    # any least-squares solution gives the same projection
+    lam = np.linalg.lstsq(a, b, rcond=None)[0]
+    lam_rows = [(p, *[float(v) for v in lam[pos[p]]]) for p in periods]
+    t_type = df.schema[t].dataType.simpleString()
+    lam_df = spark.createDataFrame(
+        lam_rows, ", ".join([f"`{t}` {t_type}", *[f"`_l_{c}` double" for c in cols]]))
+    out = ud.join(F.broadcast(lam_df), t)   # T rows, bounded by max_periods
+    per_unit = Window.partitionBy(unit)
+    return out.select(
+        *[c for c in ud.columns if c not in cols],
+        *[(F.col(c) - F.col(f"_l_{c}") + F.avg(f"_l_{c}").over(per_unit)).alias(c) for c in cols])
+
+
 def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float = 1e-8,
-           max_iter: int = 60, shape: dict | None = None, check_every: int = 3) -> DataFrame:
+           max_iter: int = 60, shape: dict | None = None, check_every: int = 3,
+           exact_max_periods: int = EXACT_MAX_PERIODS) -> DataFrame:
     """Within transformation for unit (and time) fixed effects.
 
     Unit means are a grouped aggregate joined back on the unit key. Time
     means have one row per period; that side is broadcast when the period
     count (known from ``shape``) is within the broadcast bound. With ``t``
     None only unit effects are removed (one pass, exact). On a balanced panel
-    one unit pass plus one time pass is exact. Otherwise passes repeat; every
+    one unit pass plus one time pass is exact. An unbalanced panel with unique
+    cells and at most ``exact_max_periods`` periods is solved exactly by
+    ``_exact_two_way`` (when its pattern pairs are within bound). Otherwise
+    passes repeat; every
     ``check_every`` passes the panel is checkpointed (lineage cut) and the
     largest time mean removed in the last pass is compared with ``tol``
     times the largest one removed in the first pass (a relative tolerance,
@@ -70,6 +147,11 @@ def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float
     """
     if t is not None and shape is None:
         shape = panel_shape(df, unit, t)
+    if (t is not None and not shape["balanced"] and shape["cells"] == shape["n"]
+            and shape["periods"] <= exact_max_periods):
+        exact = _exact_two_way(df, cols, unit, t, shape["n"], exact_max_periods)
+        if exact is not None:
+            return exact
     out = df
     first = None
     diffs = [f"_d_{c}" for c in cols]
@@ -171,7 +253,8 @@ def _result(spark: SparkSession, estimator: str, beta, cov, n, g, status, idx: i
 
 
 def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
-         time_effects: bool = True, estimator: str = "twfe") -> DataFrame:
+         time_effects: bool = True, estimator: str = "twfe",
+         exact_max_periods: int = EXACT_MAX_PERIODS) -> DataFrame:
     """ATT of ``d`` on ``y`` with unit (and time) fixed effects and
     controls, CRV1 by unit. Complete cases only (F8). A treatment with no
     variation left after demeaning returns NULLs with status 'collinear'
@@ -181,11 +264,13 @@ def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
     # the panel is read by several jobs (shape, demeaning, X'X, scores):
     # write it once to the shared checkpoint folder and read it back
     base = reliable_checkpoint(base)
-    shape = panel_shape(base, unit, t) if time_effects else None
     xcols = [d, *controls]
-    raw = base.agg(*[F.var_pop(c).alias(c) for c in xcols], F.count(F.lit(1)).alias("_n")).first()
-    raw_ss = np.array([(raw[c] or 0.0) * raw["_n"] for c in xcols])
-    dm = demean(base, cols, unit, t if time_effects else None, shape=shape)
+    # panel shape and the regressors' raw variation in one pass
+    raw = base.agg(*[F.var_pop(c).alias(c) for c in xcols], *_shape_aggs(unit, t)).first()
+    shape = _shape_of(raw) if time_effects else None
+    raw_ss = np.array([(raw[c] or 0.0) * raw["n"] for c in xcols])
+    dm = demean(base, cols, unit, t if time_effects else None, shape=shape,
+                exact_max_periods=exact_max_periods)
     dm = reliable_checkpoint(dm)
     beta, cov, n, g, status = ols_crv1(dm, y, xcols, unit, raw_ss)
     return _result(df.sparkSession, estimator, beta, cov, n, g, status)

@@ -109,14 +109,39 @@ def _dense_fe(rows, controls=True, time_effects=True):
     return beta[0], math.sqrt(cov[0, 0])
 
 
-@pytest.mark.parametrize("balanced,controls", [(True, False), (False, True)])
-def test_twfe_matches_dense_dummies(spark, balanced, controls):
+@pytest.mark.parametrize("balanced,controls,exact_periods,tol", [
+    (True, False, cz.EXACT_MAX_PERIODS, 1e-9),
+    (False, True, cz.EXACT_MAX_PERIODS, 1e-9),   # exact T x T time effects
+    (False, True, 0, 1e-5),                      # alternating projections
+    (False, False, 0, 1e-5),
+])
+def test_twfe_matches_dense_dummies(spark, balanced, controls, exact_periods, tol):
     rows = _panel(balanced)
     df = spark.createDataFrame(rows, "u string, year int, y double, d double, x double, ev int")
-    r = cz.twfe(df, "y", "d", ["x"] if controls else [], "u", "year", estimator="t").first()
+    r = cz.twfe(df, "y", "d", ["x"] if controls else [], "u", "year", estimator="t",
+                exact_max_periods=exact_periods).first()
     att, se = _dense_fe(rows, controls)
     assert r.status == "ok"
-    assert abs(r.att - att) < 1e-5 and abs(r.se - se) < 1e-5
+    assert abs(r.att - att) < tol and abs(r.se - se) < tol
+
+
+def test_exact_two_way_demeaning_matches_projection(spark):
+    """Disconnected and ragged panel: the exact path equals the residual of a
+    dense projection on unit and period dummies, column by column."""
+    rng = np.random.default_rng(11)
+    rows = [(f"u{u}", 2000 + p, float(rng.normal()), float(rng.normal()))
+            for u in range(9) for p in range(7) if rng.random() < 0.7 or p == u % 7]
+    df = spark.createDataFrame(rows, "u string, year int, a double, b double")
+    shape = cz.panel_shape(df, "u", "year")
+    assert not shape["balanced"]
+    got = cz.demean(df, ["a", "b"], "u", "year", shape=shape).toPandas()
+    pdf = pd.DataFrame(rows, columns=["u", "year", "a", "b"])
+    Z = np.column_stack([pd.get_dummies(pdf["u"]).to_numpy(float), pd.get_dummies(pdf["year"]).to_numpy(float)])
+    m = pdf.merge(got, on=["u", "year"], suffixes=("", "_dm"))
+    for c in ["a", "b"]:
+        y = m[c].to_numpy()
+        resid = y - Z[m.index] @ np.linalg.lstsq(Z[m.index], y, rcond=None)[0]
+        assert np.abs(m[f"{c}_dm"].to_numpy() - resid).max() < 1e-9
 
 
 def test_unit_fe_matches_dense(spark):
