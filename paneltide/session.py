@@ -84,16 +84,21 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    A cluster must set it to storage every executor can reach. Only when it is
-    unset (local tests) do we fall back to a fresh temporary folder.
+    A cluster must set it to storage every executor can reach; if it is unset
+    there, this raises rather than checkpoint to a machine-local folder. Only
+    a local-mode session (tests) with the setting unset gets a fresh
+    temporary folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to shared storage every executor "
+                "can reach (the iterative and multi-pass operators cut lineage there)")
         current = tempfile.mkdtemp(prefix="paneltide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
