@@ -362,7 +362,10 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
             lr = LinearRegression(featuresCol="_x", labelCol=target, elasticNetParam=1.0,
                                   predictionCol=f"_hat_{target}")
             grid = ParamGridBuilder().addGrid(lr.regParam, [1e-4, 1e-3, 1e-2, 1e-1]).build()
+            # the penalty candidates are independent fits: run them as
+            # concurrent Spark jobs (results do not depend on it)
             tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, trainRatio=0.75, seed=seed,
+                                       parallelism=len(grid),
                                        evaluator=RegressionEvaluator(labelCol=target,
                                                                      predictionCol=f"_hat_{target}"))
             pred = tvs.fit(train).transform(pred)
