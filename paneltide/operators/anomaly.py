@@ -4,6 +4,8 @@ re-aimed scorers (PCA reconstruction error, isolation forest)."""
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -176,4 +178,19 @@ def isolation_forest(df: DataFrame, key: str, t: str, feats: list[str], contamin
         return pd.DataFrame({key: pdf[key].to_numpy(), t: pdf[t].to_numpy(),
                              "iforest_score": s, "is_anomaly": s > thr})
 
-    return df.select(key, t, *feats).groupBy(key).applyInPandas(score, schema)
+    # ship the scorer's code with the task (pickled by value), so Python
+    # workers need only numpy and pandas, not this package on their path
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    # the work here is CPU in Python, not bytes: AQE sizes partitions by bytes
+    # and would coalesce this small shuffle into a few partitions, serialising
+    # the forests. An explicit repartition to a fixed count is never
+    # coalesced; grouping by the key reuses it. The count differs from the
+    # shuffle default on purpose, so the planner cannot fold it into an
+    # upstream (coalescible) exchange on the same key.
+    spark = df.sparkSession
+    n_parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  spark.sparkContext.defaultParallelism + 1)
+    return (df.select(key, t, *feats).repartition(n_parts, key)
+              .groupBy(key).applyInPandas(score, schema))
