@@ -65,29 +65,37 @@ def series_summary(df: DataFrame, key: str, ds: str, y: str) -> DataFrame:
     return s.withColumn("slope", slope).withColumn("intercept", intercept)
 
 
-def forecast(df: DataFrame, key: str, ds: str, y: str, h: int, method: str = "trend",
+def _method_forecast(method: str) -> Column:
+    step, n = F.col("step"), F.col("_n")
+    if method == "naive":
+        return F.col("y_last")
+    if method == "drift":
+        return F.col("y_last") + step * (F.col("y_last") - F.col("y_first")) / (n - 1)
+    if method == "trend":
+        return F.col("intercept") + F.col("slope") * (n - 1 + step)
+    raise ValueError(method)
+
+
+def forecast(df: DataFrame, key: str, ds: str, y: str, h: int, method="trend",
              unit: str = "month") -> DataFrame:
     """M1 + P16: h-step point forecasts for every key.
 
+    ``method`` is one method name or a list of them; several methods come
+    from the same per-key summary in one pass (no union of per-method plans).
     Output: key, step, ds, forecast, method, direction (flat/up/down from the
-    first to the last forecast step)."""
+    first to the last forecast step of that key and method)."""
+    methods = [method] if isinstance(method, str) else list(method)
+    per_method = F.array(*[F.struct(F.lit(m).alias("method"), _method_forecast(m).alias("forecast"))
+                           for m in methods])
     s = series_summary(df, key, ds, y)
-    step = F.col("step")
-    n = F.col("_n")
-    if method == "naive":
-        f = F.col("y_last")
-    elif method == "drift":
-        f = F.col("y_last") + step * (F.col("y_last") - F.col("y_first")) / (n - 1)
-    elif method == "trend":
-        f = F.col("intercept") + F.col("slope") * (n - 1 + step)
-    else:
-        raise ValueError(method)
-    out = s.select(key, "last_ds", "_n", "y_last", "y_first", "slope", "intercept",
-                   F.explode(F.sequence(F.lit(1), F.lit(h))).alias("step"))
-    out = out.withColumn("forecast", f).withColumn("method", F.lit(method))
-    first = F.min_by("forecast", "step").over(Window.partitionBy(key))
-    last = F.max_by("forecast", "step").over(Window.partitionBy(key))
-    return out.select(key, "step", _advance(F.col("last_ds"), step, unit).alias(ds), "forecast", "method",
+    out = (s.select(key, "last_ds", "_n", "y_last", "y_first", "slope", "intercept",
+                    F.explode(F.sequence(F.lit(1), F.lit(h))).alias("step"))
+             .select(key, "last_ds", "step", F.explode(per_method).alias("_m"))
+             .select(key, "last_ds", "step", "_m.method", "_m.forecast"))
+    w = Window.partitionBy(key, "method")
+    first = F.min_by("forecast", "step").over(w)
+    last = F.max_by("forecast", "step").over(w)
+    return out.select(key, "step", _advance(F.col("last_ds"), F.col("step"), unit).alias(ds), "forecast", "method",
                       direction_label(first, last).alias("direction"))
 
 
