@@ -43,6 +43,17 @@ def test_forecast_methods_match_numpy(spark):
                 assert abs(got[(k, s)] - ref) < 1e-6
 
 
+def test_forecast_several_methods_in_one_pass(spark):
+    df, _ = _series(spark)
+    methods = ["naive", "drift", "trend"]
+    cols = ["k", "step", "year", "forecast", "method", "direction"]
+    both = fc.forecast(df, "k", "year", "y", 4, methods, unit="year").select(*cols).collect()
+    single = [r for m in methods
+              for r in fc.forecast(df, "k", "year", "y", 4, m, unit="year").select(*cols).collect()]
+    assert sorted(map(tuple, both)) == sorted(map(tuple, single))
+    assert len(both) == 3 * 3 * 4
+
+
 def test_cv_plus_matches_brute_force(spark):
     df, rows = _series(spark, n_keys=2, n=23)
     h, alpha, kf = 3, 0.1, 5
