@@ -48,3 +48,43 @@ def test_shuffle_partitions_sized_and_capped():
     assert shuffle_partitions_for(10 ** 6) == 200
     assert shuffle_partitions_for(10 * 1024 ** 4) == 40_960
     assert shuffle_partitions_for(100 * 1024 ** 4) == 100_000
+
+
+class _StubContext:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt, self.set_to = master, ckpt, None
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, d):
+        self.set_to = d
+
+
+class _StubConf:
+    def __init__(self):
+        self.values = {}
+
+    def get(self, k, default=None):
+        return self.values.get(k, default)
+
+    def set(self, k, v):
+        self.values[k] = v
+
+
+class _StubSession:
+    def __init__(self, master, ckpt=None):
+        self.sparkContext, self.conf = _StubContext(master, ckpt), _StubConf()
+
+
+def test_checkpoint_dir_never_machine_local_on_a_cluster():
+    import pytest
+
+    from paneltide.session import checkpoint_dir
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_StubSession("yarn"))
+    shared = _StubSession("yarn", ckpt="hdfs://shared/ckpt")
+    assert checkpoint_dir(shared) == "hdfs://shared/ckpt" and shared.sparkContext.set_to == "hdfs://shared/ckpt"
+    local = _StubSession("local[4]")
+    assert checkpoint_dir(local).startswith("/") and local.conf.get("spark.checkpoint.dir")
