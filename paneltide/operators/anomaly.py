@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneltide.operators.joins import attach_scalars, broadcast_if_small
+from paneltide.operators.ordering import SINGLE_TASK_ROWS, keyed_quantile, largest_group
 
 # ---------------------------------------------------------------------------
 # Known emission-shock years and their labels.
@@ -41,14 +42,26 @@ def zscore(df: DataFrame, stats: DataFrame, feats: list[str], prefix: str = "z_"
 
 
 def flag_top(df: DataFrame, key: str, score: str, contamination: float = 0.05,
-             out: str = "is_anomaly") -> DataFrame:
+             out: str = "is_anomaly", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """M6: flag the scores above the key's (1 - c) quantile (exact, linear
-    interpolation). The quantile is a per-key window aggregate, so a key's
-    rows are read once and never joined back; per-key groups here are series
-    (one row per time step), bounded by the calendar length."""
-    thr = F.percentile(F.col(score), 1 - contamination).over(Window.partitionBy(key))
-    return (df.withColumn("threshold", thr)
-              .withColumn(out, F.coalesce(F.col(score) > F.col("threshold"), F.lit(False))))
+    interpolation).
+
+    The largest key group is counted first. Within ``single_task_rows`` (a
+    series: one row per time step, bounded by the calendar) the quantile is a
+    per-key window aggregate, so a key's rows are read once and never joined
+    back. A larger group is never gathered in one task: the quantile comes
+    from ``keyed_quantile`` (range-partitioned per-key positions) and is
+    joined back, broadcast when the per-key table is small, otherwise a
+    shuffle join that AQE's skew handling splits for a hot key."""
+    flag = F.coalesce(F.col(score) > F.col("threshold"), F.lit(False))
+    if largest_group(df, key) <= single_task_rows:
+        thr = F.percentile(F.col(score), 1 - contamination).over(Window.partitionBy(key))
+        return df.withColumn("threshold", thr).withColumn(out, flag)
+    q = keyed_quantile(df, key, score, 1 - contamination).select(
+        F.col(key).alias("_qkey"), F.col("value").alias("threshold"))
+    q = broadcast_if_small(q)
+    joined = df.join(q, F.col(key).eqNullSafe(F.col("_qkey")), "left").drop("_qkey")
+    return joined.withColumn(out, flag)
 
 
 def event_labels(spark: SparkSession, events: dict[int, str] | None = None) -> DataFrame:

@@ -132,3 +132,57 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
         "prob",
         (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"),
     )
+
+
+def keyed_positions(df: DataFrame, key: str, order: list[Column], pos_col: str = "_pos") -> DataFrame:
+    """1-based position of each row inside its ``key`` group in ``order``,
+    for groups of any size (one key may hold a third of all rows).
+
+    The rows are range-partitioned by (key, order), so a huge group spans
+    several tasks; each task numbers its rows, and the offset of a (task,
+    key) pair is the row count of that key in earlier tasks - a window over a
+    table with one row per (task, key), at most one row per task for any one
+    key. NULL keys form one group, as in a window PARTITION BY."""
+    ranked = (
+        df.orderBy(F.col(key), *order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_loc", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
+    )
+    # fixes the partitions and numbering for both passes (and for recovery)
+    ranked = reliable_checkpoint(ranked)
+    per = ranked.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), "_first",
+                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # joined on (task, key): a hot key's rows are spread over its tasks
+    out = ranked.join(offs, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey")))
+    return (out.withColumn(pos_col, F.col("_off") + F.col("_loc") - F.col("_first") + 1)
+               .drop("_pid", "_loc", "_opid", "_okey", "_first", "_off"))
+
+
+def keyed_quantile(df: DataFrame, key: str, col: str, prob: float) -> DataFrame:
+    """Exact linearly interpolated ``prob`` quantile of ``col`` per key
+    (SQL percentile_cont), for groups of any size: per-key positions from
+    ``keyed_positions``, then only the two rows around each key's target
+    position are read. NULL values are ignored. One row per key: (key,
+    value)."""
+    vals = df.where(F.col(col).isNotNull()).select(key, F.col(col).alias("_v"))
+    ranked = keyed_positions(vals, key, [F.col("_v")], "_pos")
+    t = (ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+         .withColumn("_h", (F.col("_n") - 1) * F.lit(float(prob)))
+         .select(F.col(key).alias("_tkey"),
+                 (F.floor("_h").cast("long") + 1).alias("_lo"),
+                 (F.ceil("_h").cast("long") + 1).alias("_hi"),
+                 (F.col("_h") - F.floor("_h")).alias("_frac")))
+    lo = ranked.select(F.col(key).alias("_lkey"), F.col("_pos").alias("_lpos"), F.col("_v").alias("_vlo"))
+    hi = ranked.select(F.col(key).alias("_hkey"), F.col("_pos").alias("_hpos"), F.col("_v").alias("_vhi"))
+    out = (t.join(lo, F.col("_tkey").eqNullSafe(F.col("_lkey")) & (F.col("_lo") == F.col("_lpos")))
+            .join(hi, F.col("_tkey").eqNullSafe(F.col("_hkey")) & (F.col("_hi") == F.col("_hpos"))))
+    return out.select(F.col("_tkey").alias(key),
+                      (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Row count of the largest ``key`` group (partial counts per task, one
+    small final aggregate)."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0

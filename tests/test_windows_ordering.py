@@ -115,3 +115,38 @@ def test_ntile_expression_matches_sql(spark):
         got = [r[0] for r in df.orderBy("pos").select(od.ntile_expr(F.col("pos"), F.col("n"), 5)).collect()]
         ref = [r[0] for r in spark.range(n).selectExpr("ntile(5) OVER (ORDER BY id)").collect()]
         assert got == ref
+
+
+def _hot_key_scores(spark):
+    rng = np.random.default_rng(5)
+    rows = [("hot", i, float(rng.integers(0, 40))) for i in range(600)]          # a third of the rows, many ties
+    rows += [(f"k{i % 30}", i, float(rng.normal())) for i in range(1140)]
+    rows += [(None, i, float(rng.normal())) for i in range(50)]                   # NULL key: one group
+    rows += [("k1", 5000 + i, None) for i in range(10)]                           # NULL scores ignored
+    rows += [("only_null", 1, None)]
+    return spark.createDataFrame(rows, "k string, t int, s double").repartition(9), rows
+
+
+def test_keyed_quantile_matches_numpy_on_a_hot_key(spark):
+    df, rows = _hot_key_scores(spark)
+    got = {r.k: r.value for r in od.keyed_quantile(df, "k", "s", 0.95).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "t", "s"]).dropna(subset=["s"])
+    pdf["k"] = pdf["k"].fillna("<null>")
+    ref = {k: np.percentile(g["s"].to_numpy(), 95) for k, g in pdf.groupby("k")}
+    assert {("<null>" if k is None else k) for k in got} == set(ref)
+    for k, v in got.items():
+        assert abs(v - ref["<null>" if k is None else k]) < 1e-12
+
+
+def test_flag_top_paths_agree(spark):
+    from paneltide.operators import anomaly as an
+
+    df, _ = _hot_key_scores(spark)
+    cols = ["k", "t", "s", "threshold", "is_anomaly"]
+    small = sorted(map(tuple, an.flag_top(df, "k", "s", 0.05).select(*cols).collect()), key=repr)
+    big = sorted(map(tuple, an.flag_top(df, "k", "s", 0.05, single_task_rows=0).select(*cols).collect()),
+                 key=repr)
+    assert len(small) == len(big) == 1801
+    for a, b in zip(small, big):
+        assert a[:3] == b[:3] and a[4] == b[4]
+        assert (a[3] is None and b[3] is None) or abs(a[3] - b[3]) < 1e-12
