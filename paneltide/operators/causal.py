@@ -139,8 +139,8 @@ def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float
     one unit pass plus one time pass is exact. An unbalanced panel with unique
     cells and at most ``exact_max_periods`` periods is solved exactly by
     ``_exact_two_way`` (when its pattern pairs are within bound). Otherwise
-    passes repeat; every
-    ``check_every`` passes the panel is checkpointed (lineage cut) and the
+    passes repeat; every ``check_every`` passes the panel is checkpointed
+    (a reliable checkpoint in the shared folder, cutting lineage) and the
     largest time mean removed in the last pass is compared with ``tol``
     times the largest one removed in the first pass (a relative tolerance,
     so the stopping point does not depend on the units of the data).

@@ -36,12 +36,13 @@ def row_count(df: DataFrame) -> int:
 def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
                      value_col: str | None = None, cum_col: str | None = None,
                      total_col: str | None = None,
-                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                     single_task_rows: int = SINGLE_TASK_ROWS, rows: int | None = None) -> DataFrame:
     """Add the 1-based position of each row in ``order`` (must be a total order,
     i.e. end with a unique key). Optionally add the running total of
     ``value_col`` (exact for decimal input) in ``cum_col``, and the row count
-    of the whole input in ``total_col``."""
-    n = row_count(df)
+    of the whole input in ``total_col``. ``rows``: the input's row count when
+    the caller already knows it."""
+    n = row_count(df) if rows is None else rows
     if n <= single_task_rows:
         # bounded by the check: one ordered window over at most n rows
         w = Window.orderBy(*order)
@@ -108,14 +109,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     Returns one row per probability: (prob, value). NULLs are ignored.
     """
     vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
-    if row_count(vals) <= single_task_rows:
+    n = row_count(vals)
+    if n <= single_task_rows:
         ps = F.array(*[F.lit(float(p)) for p in probs])
         return (vals.agg(F.percentile("_v", ps).alias("_q"))
                 .select(F.posexplode("_q").alias("_i", "value"))
                 .select(ps[F.col("_i")].alias("prob"), "value"))
     # equal values may be numbered in any order: a quantile only reads values,
     # and the checkpoint inside global_positions fixes the numbering
-    ranked = global_positions(vals, [F.col("_v")], "_pos")
+    ranked = global_positions(vals, [F.col("_v")], "_pos", single_task_rows=single_task_rows, rows=n)
     t = (
         ranked.agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
