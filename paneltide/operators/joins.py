@@ -19,11 +19,15 @@ _ROW_OVERHEAD = 16
 
 def _value_bytes(field) -> Column:
     """Bytes one value of ``field`` occupies: exact for strings and binaries
-    (their length), a fixed width for the other types."""
+    (their length), the length of the JSON text for nested values (arrays,
+    maps, structs; an over-estimate of their binary size), a fixed width for
+    the other types."""
     name = field.dataType.simpleString()
     c = F.col(f"`{field.name}`")
     if name in ("string", "binary"):
         return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    if name.startswith(("array<", "map<", "struct<")):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
     return F.lit(_FIXED_WIDTH.get(name, 8)).cast("long")
 
 

@@ -88,3 +88,9 @@ def test_checkpoint_dir_never_machine_local_on_a_cluster():
     assert checkpoint_dir(shared) == "hdfs://shared/ckpt" and shared.sparkContext.set_to == "hdfs://shared/ckpt"
     local = _StubSession("local[4]")
     assert checkpoint_dir(local).startswith("/") and local.conf.get("spark.checkpoint.dir")
+
+
+def test_measure_counts_nested_values_by_their_content(spark):
+    short = spark.createDataFrame([([1.0],)], "v array<double>")
+    long = spark.createDataFrame([([float(i) for i in range(500)],)], "v array<double>")
+    assert jn.measure(long)[1] > jn.measure(short)[1] + 500 * 3
