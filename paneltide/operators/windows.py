@@ -94,10 +94,11 @@ def dedup(df: DataFrame, keys: list[str], order: list[str], keep: str = "last")
     sorted in one task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
+    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
     pick = F.max(packed) if keep == "last" else F.min(packed)
     out = df.groupBy(*keys).agg(pick.alias("_row"))
-    return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    # unpack the struct in one projection, then restore the input's order
+    return out.select(*keys, "_row.*").select(*df.columns)
 
 
 def future_steps(df: DataFrame, key, t: str, h: int) -> DataFrame:

@@ -20,16 +20,16 @@ def conform(df: DataFrame, schema=SILVER, renames: dict[str, str] | None = None)
     columns become typed NULLs, renamed ones are read under their old name."""
     renames = SILVER_RENAMES if renames is None else renames
     back = {new: old for old, new in renames.items()}
-    cols = []
+    present = set(df.columns)
+    exprs = []
     for f in schema.fields:
         src = back.get(f.name, f.name)
-        if src in df.columns:
-            cols.append(F.col(src).cast(f.dataType).alias(f.name))
-        elif f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        src = src if src in present else f.name
+        value = f"`{src}`" if src in present else "NULL"
+        exprs.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    # one projection built from SQL text: a single call instead of one
+    # expression object per column
+    return df.selectExpr(*exprs)
 
 
 def _newest(df: DataFrame, keys: list[str]) -> DataFrame:
