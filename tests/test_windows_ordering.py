@@ -150,3 +150,25 @@ def test_flag_top_paths_agree(spark):
     for a, b in zip(small, big):
         assert a[:3] == b[:3] and a[4] == b[4]
         assert (a[3] is None and b[3] is None) or abs(a[3] - b[3]) < 1e-12
+
+
+def test_keyed_positions_number_each_key_across_partitions(spark):
+    df, rows = _hot_key_scores(spark)
+    vals = df.where(F.col("s").isNotNull())
+    order = [F.col("s"), F.col("t")]
+    # keep the range partitions apart (AQE would merge them on data this
+    # small), so the hot key really spans several tasks
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        spread = (vals.orderBy(F.col("k"), *order).where(F.col("k") == "hot")
+                  .select(F.spark_partition_id()).distinct().count())
+        pdf = od.keyed_positions(vals, "k", order, "pos").toPandas()
+    finally:
+        spark.conf.set(conf, "true")
+    assert spread > 1
+    pdf["k"] = pdf["k"].fillna("<null>")
+    for k, g in pdf.groupby("k"):
+        assert sorted(g["pos"]) == list(range(1, len(g) + 1))
+        ordered = g.sort_values("pos")
+        assert list(zip(ordered["s"], ordered["t"])) == sorted(zip(g["s"], g["t"]))
