@@ -80,8 +80,17 @@ def test_global_positions_and_running_total(spark, single_task_rows):
     vals = rng.integers(0, 50, 300)  # many ties, broken by the key
     df = spark.createDataFrame([(f"k{i:03d}", int(v)) for i, v in enumerate(vals)], "k string, v long")
     df = df.repartition(7)
-    out = od.global_positions(df, [F.col("v").desc(), F.col("k")], "rank", value_col="v", cum_col="cum",
-                              total_col="n", single_task_rows=single_task_rows).toPandas()
+    # keep the range partitions apart (AQE would merge them on data this
+    # small), so the per-partition offsets are really exercised
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        out = od.global_positions(df, [F.col("v").desc(), F.col("k")], "rank", value_col="v", cum_col="cum",
+                                  total_col="n", single_task_rows=single_task_rows).toPandas()
+        parts = df.orderBy(F.col("v").desc(), F.col("k")).select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set(conf, "true")
+    assert parts > 1
     assert (out["n"] == 300).all()
     ref = pd.DataFrame({"k": [f"k{i:03d}" for i in range(300)], "v": vals}).sort_values(
         ["v", "k"], ascending=[False, True]).reset_index(drop=True)
