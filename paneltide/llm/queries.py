@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from paneltide.llm import wavelet
+from functools import wraps
+
+from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, quality_bayes, secret_scan, store, wavelet
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        store.ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 QUERIES = {
+    "op1_quality_bayes": quality_bayes.q_op1,
     "op2_wavelet_shards": wavelet.q_op2,
+    "op3_curve_packing": curve_packing.q_op3,
+    "op5_impact_topk": impact_topk.q_op5,
+    "op6_flow_mixing": flow_mixing.q_op6,
+    "op7_secret_scan": secret_scan.q_op7,
+    "op9_collision_ann": collision_ann.q_op9,
+    "op10_lpt_sharding": lpt_sharding.q_op10,
 }
+QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,25 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, by Spark's own file server, as
+    ``--py-files`` would. Once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_paneltide_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(top):
+        path = os.path.join(tempfile.mkdtemp(prefix="paneltide-ship-"), "paneltide.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
+        sc.addPyFile(path)
+    sc._paneltide_shipped = True
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder once nothing reads it any more."""
     jvm = spark.sparkContext._jvm
