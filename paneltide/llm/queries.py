@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, quality_bayes, secret_scan, store, wavelet
+from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, partenum_join, quality_bayes, secret_scan, store, wavelet
 
 
 def _shipped(query):
@@ -23,6 +23,7 @@ QUERIES = {
     "op5_impact_topk": impact_topk.q_op5,
     "op6_flow_mixing": flow_mixing.q_op6,
     "op7_secret_scan": secret_scan.q_op7,
+    "op8_partenum_join": partenum_join.q_op8,
     "op9_collision_ann": collision_ann.q_op9,
     "op10_lpt_sharding": lpt_sharding.q_op10,
 }
