@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, partenum_join, quality_bayes, secret_scan, store, wavelet
+from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, partenum_join, quality_bayes, run_length_index, secret_scan, store, wavelet
 
 
 def _shipped(query):
@@ -20,6 +20,7 @@ QUERIES = {
     "op1_quality_bayes": quality_bayes.q_op1,
     "op2_wavelet_shards": wavelet.q_op2,
     "op3_curve_packing": curve_packing.q_op3,
+    "op4_run_length_index": run_length_index.q_op4,
     "op5_impact_topk": impact_topk.q_op5,
     "op6_flow_mixing": flow_mixing.q_op6,
     "op7_secret_scan": secret_scan.q_op7,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -51,6 +52,13 @@ def ship(spark: SparkSession) -> None:
     sc._paneltide_shipped = True
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose tables are written:
+    it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder once nothing reads it any more."""
     jvm = spark.sparkContext._jvm
