@@ -129,7 +129,7 @@ def _prefix(rows: DataFrame, plan: DataFrame) -> DataFrame:
 def select(rows: DataFrame, taken: dict[tuple, tuple[int, int]], seed: int, rounds: int = 3) -> DataFrame:
     """``rows`` has ``pattern``, ``size``, ``id`` and ``tie``; ``taken`` has for
     each pattern how often every document is taken, and the tokens to take
-    besides. Adds ``taken``. What the first cut leaves open, less than one
+    besides. Adds ``copies`` and ``taken``. What the first cut leaves open, less than one
     document, is filled in further rounds with documents that fit into it, so
     a long document at the cut leaves no gap."""
     spark = rows.sparkSession
@@ -145,8 +145,8 @@ def select(rows: DataFrame, taken: dict[tuple, tuple[int, int]], seed: int, roun
         used = rows.groupBy("pattern").agg(F.sum(F.col("more") * F.col("size")).alias("n")).collect()  # a row per pattern
         rest = {p: taken[p][1] for p in taken} | {tuple(r["pattern"]): taken[tuple(r["pattern"])][1] - r["n"] for r in used}
     whole = spark.createDataFrame([(list(p), w) for p, (w, _) in taken.items()], "pattern array<string>, whole long")
-    out = rows.join(whole, "pattern").withColumn("taken", (F.col("whole") + F.col("more")) * F.col("size"))
-    return out.drop("u", "bucket", "more", "whole")
+    out = rows.join(whole, "pattern").withColumn("copies", F.col("whole") + F.col("more"))
+    return out.withColumn("taken", F.col("copies") * F.col("size")).drop("u", "bucket", "more", "whole")
 
 
 def mix(rows: DataFrame, quotas: dict | None = None, weigh=None, seed: int = 0) -> DataFrame:
@@ -188,6 +188,19 @@ def one_two_three(order: list) -> list[int]:
     return [k % 3 + 1 for k in range(len(order))]
 
 
+def mixed(docs: DataFrame, weigh, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents, each as often as the mix takes it."""
+    rows = store.materialise(sized(docs, id_col, text_col, source_col), "mixing")
+    # rows equal in id and text share what the mix takes of them
+    copies = mix(rows, weigh=weigh, seed=seed).groupBy("id", "tie").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id_"), F.xxhash64(text_col).alias("tie_"))
+    held = held.withColumn("k", F.row_number().over(W.partitionBy("id_", "tie_").orderBy("tie_")))
+    out = held.join(copies, F.col("id_").eqNullSafe(F.col("id")) & (F.col("tie_") == F.col("tie")))
+    each = F.floor(F.col("copies") / F.col("rows")) + (F.col("k") <= F.col("copies") % F.col("rows")).cast("int")
+    return out.withColumn("each", each.cast("int")).filter("each > 0").select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("each"))).alias("copy")).select("row.*")
+
+
 def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = store.materialise(sized(store.read(spark, sf_dir, "documents")), "mixing")
     return mix(rows, weigh=one_two_three).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

@@ -302,5 +302,16 @@ def joined(docs: DataFrame, percent: int, width: int = 4, **columns) -> DataFram
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, percent: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without their near copies: of each class the one with the
+    smallest id stays, of rows with that id and equal texts one."""
+    joined_ = joined(docs, percent, width, id_col=id_col, text_col=text_col)
+    first = joined_.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("same"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"))
+    out = rows.join(first, F.col("id").eqNullSafe(F.col("doc_id")))
+    repeated = out.filter("same > 1").dropDuplicates(["id", "tie"])
+    return out.filter("same = 1").unionByName(repeated).select("row.*")
+
+
 def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(store.read(spark, sf_dir, "documents"), percent=85)

@@ -93,15 +93,16 @@ def _key(c: Column) -> Column:
 
 
 def evidence(docs: DataFrame, model: dict | None, text_col: str, host: Column, path: Column) -> DataFrame:
-    """Adds __host, __path, __odds (the log likelihood ratio) and __p."""
-    docs = docs.withColumns({"__host": _key(host), "__path": _key(path)})
+    """row (the document), host, path, odds (the log likelihood ratio) and p."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _key(host).alias("host"), _key(path).alias("path"),
+                       F.col(text_col).alias("text"))
     if model is None:
-        return docs.withColumns({"__odds": F.lit(0.0), "__p": F.lit(0.5)})
+        return rows.withColumns({"odds": F.lit(0.0), "p": F.lit(0.5)}).drop("text")
     base = float(np.log(model["prior"] / (1 - model["prior"])))
-    score = F.aggregate(F.zip_with(_features(F.col(text_col)), F.array(*map(F.lit, model["weights"])), lambda a, b: a * b),
+    score = F.aggregate(F.zip_with(_features(F.col("text")), F.array(*map(F.lit, model["weights"])), lambda a, b: a * b),
                         F.lit(model["bias"]), lambda acc, x: acc + x)
-    docs = docs.withColumn("__odds", F.least(F.greatest(score, F.lit(-30.0)), F.lit(30.0)) - base)
-    return docs.withColumn("__p", 1 / (1 + F.exp(-(F.col("__odds") + base))))
+    rows = rows.withColumn("odds", F.least(F.greatest(score, F.lit(-30.0)), F.lit(30.0)) - base).drop("text")
+    return rows.withColumn("p", 1 / (1 + F.exp(-(F.col("odds") + base))))
 
 
 def _strength(groups: DataFrame, centre: Column) -> float:
@@ -120,35 +121,35 @@ def _strength(groups: DataFrame, centre: Column) -> float:
 def sites(scored: DataFrame) -> tuple[DataFrame, float]:
     """Per path: its documents, their summed probabilities, and its host's
     posterior; and the strength with which paths shrink towards hosts."""
-    paths = store.materialise(scored.groupBy("__host", "__path").agg(F.count("*").alias("n"), F.sum("__p").alias("s")), "sites")
-    hosts = paths.groupBy("__host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    paths = store.materialise(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s")), "sites")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     r = hosts.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
     mean = float(r["s"] / r["n"]) if r["n"] else 0.5
     strength = _strength(hosts, F.lit(mean))
-    hosts = hosts.select("__host", ((F.col("s") + strength * mean) / (F.col("n") + strength)).alias("__host_p"))
-    paths = paths.join(hosts, "__host")
-    return paths.withColumnsRenamed({"n": "__n", "s": "__s"}), _strength(paths, F.col("__host_p"))
+    hosts = hosts.select("host", ((F.col("s") + strength * mean) / (F.col("n") + strength)).alias("host_p"))
+    paths = paths.join(hosts, "host")
+    return paths, _strength(paths, F.col("host_p"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "quality", sample: int = 20_000) -> DataFrame:
-    """``docs`` with __odds, __p, __host_p, __path_p and __posterior."""
+    """row (the document with all its columns), odds, p, host_p, path_p and
+    posterior."""
     scored = evidence(docs, train(docs, labels, id_col, text_col, label_col, sample), text_col, host, path)
     table, strength = sites(scored)
-    out = scored.join(table, ["__host", "__path"])
-    others = (F.col("__s") - F.col("__p") + strength * F.col("__host_p")) / (F.col("__n") - 1 + strength)
-    prior = F.least(F.greatest(others, F.lit(1e-6)), F.lit(1 - 1e-6))
-    out = out.withColumn("__path_p", prior)
-    return out.withColumn("__posterior", 1 / (1 + F.exp(-(F.col("__odds") + F.ln(prior / (1 - prior))))))
+    out = scored.join(table, ["host", "path"])
+    others = (F.col("s") - F.col("p") + strength * F.col("host_p")) / (F.col("n") - 1 + strength)
+    out = out.withColumn("path_p", F.least(F.greatest(others, F.lit(1e-6)), F.lit(1 - 1e-6)))
+    return out.withColumn("posterior", 1 / (1 + F.exp(-(F.col("odds") + F.ln(F.col("path_p") / (1 - F.col("path_p")))))))
 
 
 def kept(docs: DataFrame, labels: DataFrame, host: Column, path: Column, least: float = 0.5, **more) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    return judged(docs, labels, host, path, **more).filter(F.col("__posterior") >= least).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return judged(docs, labels, host, path, **more).filter(F.col("posterior") >= least).select("row.*")
 
 
 def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     out = judged(docs, store.read(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
-    return out.select("doc_id", F.col("__odds").alias("evidence"), F.col("__p").alias("document_p"), F.col("__host_p").alias("host_posterior"),
-                      F.col("__path_p").alias("path_posterior"), F.col("__posterior").alias("posterior"), (F.col("__posterior") >= 0.5).alias("keep"))
+    return out.select("row.doc_id", F.col("odds").alias("evidence"), F.col("p").alias("document_p"), F.col("host_p").alias("host_posterior"),
+                      F.col("path_p").alias("path_posterior"), "posterior", (F.col("posterior") >= 0.5).alias("keep"))

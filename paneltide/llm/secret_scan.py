@@ -205,6 +205,28 @@ def redact(text: Column, found: Column, mask: str = "[redacted]") -> Column:
     return F.aggregate(found, start, step, lambda acc: F.concat(acc.out, F.substr(text, acc["at"].cast("int") + 1, F.char_length(text))))
 
 
+def redacted(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars", q: float = Q) -> DataFrame:
+    """The documents, with all spans masked and the length column, if there is
+    one, brought in line. The texts are scanned twice (for the thresholds and
+    for the spans) rather than written in between; texts without spans and
+    null texts stay as they are."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
+    table = scanned(rows, "text")
+    out = with_spans(table, thresholds(table, q))
+    out = out.withColumn("clean", F.when(F.size("all") > 0, redact(F.col("text"), F.col("all"))).otherwise(F.col("text")))
+    kind = dict(docs.dtypes)
+
+    def column(c: str) -> Column:
+        own = F.col(f"row.`{c}`")
+        if c == text_col:
+            return F.col("clean").alias(c)
+        if c == length_col:
+            return F.when(F.size("all") > 0, F.char_length("clean").cast(kind[c])).otherwise(own).alias(c)
+        return own.alias(c)
+
+    return out.select(*map(column, docs.columns))
+
+
 def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(store.read(spark, sf_dir, "documents"))
     number = lambda k: F.size(F.filter("base", lambda s: s.kind == k)).cast("long").alias(f"n_{KINDS[k]}")

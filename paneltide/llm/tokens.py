@@ -2,7 +2,7 @@
 
 A text is cut only where every pre-tokenizer used here cuts anyway, so the ids
 of the chunks, joined, are the ids of the text. Chunks recur, so most are
-looked up; a batch's new chunks are encoded in one call. The memo is bounded:
+looked up; a batch's new chunks are encoded in one call. The memos are bounded:
 beyond ``limit`` entries new chunks are encoded again whenever they occur.
 """
 
@@ -19,54 +19,97 @@ _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 # white space or the end (no apostrophe: it may start a contraction); any other
 # run without white space; white space at the end.
 _CHUNK = re.compile(f"[{_WS}]*[^\\W_]+|[{_WS}]*[^\\w{_WS}']+(?![^{_WS}])|[{_WS}]*[^{_WS}]+|[{_WS}]+")
+# White space other than space and line feed, and Python's own separators.
+_ODD = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte -> code point of its letter in byte-level vocabularies: printable
+    Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 _LONG = 48
 
 
 class Encoder:
-    """ids of a text as little-endian unsigned 32-bit bytes."""
+    """ids of a text as little-endian unsigned 32-bit bytes.
+
+    Texts are split at single spaces; a piece that is not in the memo is cut
+    into chunks, and only chunks that are new too are encoded."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.limit = limit
         self.memo: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.normalised = self.tok.normalizer is not None
 
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _encode_new(self, words: list[str]) -> dict[str, bytes]:
-        enc = self.tok.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(enc.ids, "<u4").tobytes()
-        at = np.asarray([-1 if w is None else w for w in enc.word_ids], np.int64)
-        if (at < 0).any():  # a special token's string in a text has no word
-            return {w: self._whole(w) for w in words}
-        ends = np.searchsorted(at, np.arange(1, len(words) + 1)) * 4
-        out, start = {}, 0
-        for w, end in zip(words, ends.tolist()):
-            out[w] = ids[start:end]
-            start = end
+        """A chunk of letters alone, after at most one space, is one word to
+        the pre-tokenizer and goes to the model directly."""
+        out, model = {}, self.tok.model
+        for w in words:
+            core = w if self.normalised or w[:1] != " " else w[1:]
+            if core.isalpha() and not (self.normalised and core != core.lower()):
+                letters = w if w.isascii() and core is w else w.encode().decode("latin-1").translate(_LETTERS)
+                out[w] = np.array([t.id for t in model.tokenize(letters)], "<u4").tobytes()
+            else:
+                out[w] = self._whole(w)
         return out
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _cut(self, text: str) -> tuple[list[str], list[str]] | None:
+        """Chunks, and pieces that follow with a space before each; their ids,
+        joined, are the text's. None if the text can't be cut."""
+        if self.normalised and (not unicodedata.is_normalized("NFC", text) or "\u0130" in text):
+            return None  # characters merge across a cut, or lower case makes one more
+        if "  " in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _ODD.search(text):
+            return _CHUNK.findall(text), []
+        if self.normalised and "\u03a3" not in text:  # whose lower case depends on its place
+            text = text.lower()
+        first, *rest = text.split(" ")
+        return _CHUNK.findall(first), rest
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        new: set[str] = set()
-        for t in texts:
-            if self.normalised and not unicodedata.is_normalized("NFC", t):
-                split.append(None)  # characters may merge across a cut
+        get = self.memo.get
+        cut = [self._cut(t) for t in texts]
+        found, new, chunks = [], set(), set()
+        for c in cut:
+            got = None if c is None else list(map(get, c[1]))
+            found.append(got)
+            if got is not None:
+                chunks.update(c[0])
+                if None in got:
+                    new.update(p for p, b in zip(c[1], got) if b is None)
+        space = "" if self.normalised else " "
+        parts = {p: _CHUNK.findall(space + p) for p in new}
+        for c in parts.values():
+            chunks.update(c)
+        chunks.difference_update(self.chunks)
+        extra = self._encode_new(list(chunks))
+        known = lambda c: extra[c] if c in extra else self.chunks[c]
+        resolved = {p: b"".join(map(known, c)) for p, c in parts.items()}
+        out = []
+        for t, c, got in zip(texts, cut, found):
+            if c is None:
+                out.append(self._whole(t))
                 continue
-            words = _CHUNK.findall(t)
-            split.append(words)
-            new.update(words)
-        new.difference_update(self.memo)
-        extra = self._encode_new(list(new)) if new else {}
-        room = self.limit - len(self.memo)
-        if room >= len(extra):
-            self.memo.update({w: b for w, b in extra.items() if len(w) <= _LONG})
-            extra = {w: b for w, b in extra.items() if len(w) > _LONG}
-        get = self.memo.__getitem__ if not extra else (lambda w, m=self.memo, x=extra: m[w] if w in m else x[w])
-        return [self._whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split)]
+            if None in got:
+                got = [resolved[p] if b is None else b for p, b in zip(c[1], got)]
+            out.append(b"".join(map(known, c[0])) + b"".join(got))
+        if len(self.chunks) < self.limit:
+            self.chunks.update((c, b) for c, b in extra.items() if len(c) <= _LONG)
+        if len(self.memo) < self.limit:
+            self.memo.update((p, b) for p, b in resolved.items() if len(p) <= _LONG)
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
