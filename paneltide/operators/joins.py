@@ -31,20 +31,13 @@ def _value_bytes(field) -> Column:
     return F.lit(_FIXED_WIDTH.get(name, 8)).cast("long")
 
 
-_SIZES: dict[int, tuple[int, int]] = {}
-
-
 def measure(dim: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a DataFrame in one aggregation pass (partial sums in
-    every task, one small merge). Remembered per logical plan
-    (``semanticHash``), so a dimension used by several steps of one session
-    is measured once."""
-    key = dim.semanticHash()
-    if key not in _SIZES:
-        width = sum((_value_bytes(f) for f in dim.schema.fields), F.lit(_ROW_OVERHEAD).cast("long"))
-        r = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-        _SIZES[key] = (int(r["n"]), int(r["b"] or 0))
-    return _SIZES[key]
+    """(rows, bytes) of a DataFrame as it is now, in one aggregation pass
+    (partial sums in every task, one small merge). Nothing is remembered: what
+    is at a path may have grown since it was measured last."""
+    width = sum((_value_bytes(f) for f in dim.schema.fields), F.lit(_ROW_OVERHEAD).cast("long"))
+    r = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
 
 
 def fits_broadcast(rows: int, size_bytes: int, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +66,26 @@ def custom(label: str, failing: str, **kw) -> Check:
     return Check("custom", None, {"label": label, "failing": failing}, **kw)
 
 
+def _lit(s: str | None) -> str:
+    return "CAST(NULL AS STRING)" if s is None else "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _observed(ch: Check, df: DataFrame) -> Column | None:
-    """Aggregate that yields the observed number for a column check."""
+    """Aggregate that yields the observed number for a check; None if a column
+    that it names is missing."""
+    o = _aggregate(ch, df)
+    if o is None:
+        return None
+    try:
+        df.agg(o.alias("o")).schema
+    except AnalysisException as e:
+        if "UNRESOLVED_COLUMN" in str(e):
+            return None
+        raise
+    return o
+
+
+def _aggregate(ch: Check, df: DataFrame) -> Column | None:
     cols = set(df.columns)
     if ch.column is not None and ch.kind not in ("unique",) and ch.column not in cols:
         return None
@@ -150,8 +169,7 @@ def run_suite(df: DataFrame, suite: str, checks: list[Check]) -> DataFrame:
         wide = df.agg(*exprs)
         rows = []
         for i, ch in enumerate(meta):
-            col = "NULL" if ch.column is None else "'" + ch.column + "'"
-            rows.append(f"'{ch.label}', CAST({col} AS STRING), '{ch.severity}', `_o{i}`, {i}")
+            rows.append(f"{_lit(ch.label)}, {_lit(ch.column)}, {_lit(ch.severity)}, `_o{i}`, {i}")
         long = wide.select(F.expr(
             f"stack({len(meta)}, {', '.join(rows)}) AS (check_name, column_name, severity, observed, idx)"))
         passed = F.lit(None).cast("boolean")
@@ -204,11 +222,10 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def gate(results: DataFrame, max_report: int = 50) -> None:
-    """Q12: raise when an error-severity check failed. Only failing rows are
-    collected, and at most ``max_report`` of them."""
-    bad = (results.where((F.col("severity") == "error") & ~F.coalesce(F.col("passed"), F.lit(False)))
-           .limit(max_report).collect())
+def gate(results: DataFrame) -> None:
+    """Q12: raise when an error-severity check failed. The failing results are
+    collected: a row per check of the suite."""
+    bad = results.where((F.col("severity") == "error") & ~F.coalesce(F.col("passed"), F.lit(False))).collect()
     if bad:
         lines = [f"{r['suite']}.{r['check_name']}({r['column_name']}): observed={r['observed']}" for r in bad]
         raise QualityGateError("quality gate failed:\n" + "\n".join(lines))

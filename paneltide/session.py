@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -102,9 +101,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-_TABLES: dict[tuple[int, str], object] = {}
-
-
 def reliable_checkpoint(df):
     """Write ``df`` to the shared checkpoint folder and return a DataFrame
     that reads it back (lineage cut, survives executor loss).
@@ -122,11 +118,5 @@ def reliable_checkpoint(df):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """One of the driver's (read-only) parquet tables. The DataFrame is kept
-    per session, so its file listing and footer schema are read once rather
-    than by every query that builds on it."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """One of the driver's (read-only) parquet tables, listed afresh."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -4,6 +4,7 @@ partitions, format dispatch, and layer materialisation."""
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def iso_utc(ts: Column | None = None) -> Column:
-    """ISO-8601 UTC text of a timestamp (default: now), e.g.
-    2024-05-01T10:00:00.000000+00:00."""
-    ts = F.current_timestamp() if ts is None else ts
-    return F.date_format(F.to_utc_timestamp(ts, "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """ISO-8601 UTC text of a timestamp (default: now), in any session zone,
+    e.g. 2024-05-01T10:00:00.000000+00:00."""
+    return F.date_format(_utc_clock(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
+def _utc_clock(ts: Column | None = None) -> Column:
+    """The timestamp whose local reading is the UTC reading of ``ts``."""
+    return F.to_utc_timestamp(F.current_timestamp() if ts is None else ts, F.current_timezone())
+
+
+def utc_day(ts: Column | None = None) -> Column:
+    """The UTC date of a timestamp (default: now)."""
+    return F.to_date(_utc_clock(ts))
 
 
 def stamp(df: DataFrame, source_url: str, ingested_at: str | None = None) -> DataFrame:
@@ -45,7 +55,7 @@ def append_bronze(df: DataFrame, path: str, day: str | None = None) -> None:
     Dynamic partition overwrite replaces only the partitions present in the
     data, so a same-day rerun replaces that day and leaves older days alone.
     """
-    d = F.to_date(F.lit(day)) if day is not None else F.current_date()
+    d = F.to_date(F.lit(day)) if day is not None else utc_day()
     out = df.withColumn(PARTITION_COL, d)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -97,18 +107,20 @@ def normalise_indicators(raw: DataFrame, lookup: DataFrame, name_col: str = "cou
                          year_col: str = "date", lookup_name: str = "name",
                          lookup_code: str = "id", renames: dict[str, str] | None = None) -> DataFrame:
     """Rename indicator columns, coerce the year text to a number
-    (bad text -> NULL -> dropped; ANSI ``cast`` would raise), attach the code
-    through a name lookup and drop names without a code (inner join)."""
+    ("2001" and "2001.0" are 2001; other text is dropped; ANSI ``cast`` would
+    raise), attach the code through a name lookup and drop names without a
+    code (inner join). A name that the lookup has twice counts once."""
     df = raw
     for old, new in (renames or {}).items():
         df = df.withColumnRenamed(old, new)
+    number = F.col(year_col).cast("string").try_cast("double")
     df = (df.withColumnRenamed(name_col, "country_name")
-            .withColumn("year", F.col(year_col).cast("string").try_cast("int"))
+            .withColumn("year", F.when(number == F.floor(number), number).try_cast("int"))
             .where(F.col("year").isNotNull()))
     if year_col != "year":
         df = df.drop(year_col)
-    lk = broadcast_if_small(lookup.select(F.col(lookup_name).alias("_lk_name"),
-                                          F.col(lookup_code).alias("iso_code")))
+    lk = broadcast_if_small(lookup.groupBy(F.col(lookup_name).alias("_lk_name"))
+                                  .agg(F.max(lookup_code).alias("iso_code")))
     return df.join(lk, df["country_name"] == lk["_lk_name"], "inner").drop("_lk_name")
 
 
@@ -120,10 +132,18 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = No
     return r.parquet(path)
 
 
+def read_latest(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """S6 + S7: the newest day of a snapshot directory. The day is read off the
+    file listing, so only that day's files are scanned."""
+    df = read_bronze(spark, path, schema)
+    days = {m[1] for f in df.inputFiles() if (m := re.search(rf"/{PARTITION_COL}=([^/]+)/", f))}
+    return df.where(F.col(PARTITION_COL) == F.lit(max(days)).cast("date")) if days else df
+
+
 def latest_snapshot(df: DataFrame, col: str = PARTITION_COL) -> DataFrame:
-    """Rows of the newest snapshot only. The maximum is a scalar subquery;
-    on a partitioned table Spark resolves it first and prunes the older
-    partitions from the scan (dynamic partition pruning)."""
+    """Rows of the newest snapshot of any DataFrame; the maximum is a
+    scalar subquery over its rows. For files ``read_latest`` needs no scan to
+    find the day."""
     newest = df.select(F.max(col)).scalar()
     return df.where(F.col(col) == newest)
 
@@ -139,11 +159,17 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A directory or .parquet path -> parquet; .csv -> CSV with header."""
     p = path.rstrip("/")
-    if p.endswith(".csv"):
+    kind = os.path.splitext(p)[1]
+    if kind == ".csv":
         return read_csv(spark, p, schema)
-    if p.endswith(".parquet") or os.path.isdir(p) or "://" in p:
-        return read_bronze(spark, p, schema) if os.path.isdir(p) else spark.read.parquet(p)
-    raise ValueError(f"unsupported input: {path}")
+    if kind not in ("", ".parquet") and "=" not in kind:
+        raise ValueError(f"unsupported input: {path}")
+    # Spark resolves the path, whatever store it is in
+    found = spark.read.parquet(p)
+    if schema is None:
+        return found
+    part = [f for f in found.schema.fields if f.name == PARTITION_COL and f.name not in schema.names]
+    return spark.read.schema(T.StructType([*schema.fields, *part])).parquet(p)
 
 
 def materialise(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:

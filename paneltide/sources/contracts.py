@@ -84,15 +84,36 @@ class Contract:
 # The reference's quality thresholds per layer.
 BRONZE_CONTRACT = Contract(
     name="bronze_emissions", schema=BRONZE_EMISSIONS, primary_key=[],
-    not_null=["country", "year"], ranges={"year": (1750, 2030)}, min_rows=10001,
+    not_null=["country", "year"],
+    ranges={
+        "year": (1750, 2030), "co2": (0, None), "co2_per_capita": (0, None), "co2_per_gdp": (0, None),
+        "coal_co2": (0, None), "oil_co2": (0, None), "gas_co2": (0, None), "cement_co2": (0, None),
+        "primary_energy_consumption": (0, None), "energy_per_capita": (0, None), "gdp": (0, None),
+        "population": (0, None), "share_global_co2": (0, 100), "cumulative_co2": (0, None),
+        "methane": (0, None), "nitrous_oxide": (0, None), "total_ghg": (0, None),
+    },
+    min_rows=10001,
 )
 SILVER_CONTRACT = Contract(
     name="silver_panel", schema=SILVER, primary_key=["iso_code", "year"],
-    not_null=["iso_code", "year"], ranges={"year": (1960, 2024)},
+    not_null=["iso_code", "year", "paris_treated", "years_since_ratification", "_ingested_at", "_source_url"],
+    ranges={
+        "year": (1960, 2024), "co2": (0, None), "co2_per_capita": (0, None), "coal_co2": (0, None),
+        "oil_co2": (0, None), "gas_co2": (0, None), "cement_co2": (0, None), "flaring_co2": (0, None),
+        "total_ghg": (0, None), "methane": (0, None), "nitrous_oxide": (0, None),
+        "primary_energy_consumption": (0, None), "population": (0, None), "gdp": (0, None),
+        "urban_population_pct": (0, 100), "manufacturing_pct_gdp": (0, 100),
+        "ratification_year": (2015, 2030), "years_since_ratification": (0, None),
+    },
     min_rows=10000, max_rows=20000, min_keys=150, key="iso_code",
 )
 GOLD_CONTRACT = Contract(
     name="gold_features", schema=GOLD, primary_key=["iso_code", "year"],
-    not_null=["iso_code", "year", "paris_treated", "years_since_ratification"],
+    not_null=["iso_code", "year", "paris_treated", "years_since_ratification", "_built_at"],
+    ranges={
+        "year": (1960, None), "co2": (0, None), "co2_per_capita": (0, None), "gdp": (0, None),
+        "population": (0, None), "primary_energy_consumption": (0, None), "coal_pct": (0, 1),
+        "oil_pct": (0, 1), "gas_pct": (0, 1), "cement_pct": (0, 1), "years_since_ratification": (0, None),
+    },
     accepted={"paris_treated": [True, False]},
 )

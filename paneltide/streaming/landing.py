@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneltide.sources.bronze import PARTITION_COL, iso_utc
+from paneltide.sources.bronze import PARTITION_COL, iso_utc, utc_day
 from paneltide.session import checkpoint_dir
 
 
@@ -38,7 +38,7 @@ def stamp_stream(df: DataFrame, source_url: str) -> DataFrame:
     now = F.current_timestamp()
     return (df.withColumn("_ingested_at", iso_utc(now))
               .withColumn("_source_url", F.lit(source_url))
-              .withColumn(PARTITION_COL, F.to_date(now)))
+              .withColumn(PARTITION_COL, utc_day(now)))
 
 
 def land(spark: SparkSession, folder: str, schema: T.StructType, bronze_path: str, source_url: str,

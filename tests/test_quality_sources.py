@@ -35,7 +35,9 @@ def test_every_check_kind_can_fail(spark, panel):
               q.has_type("year", "int"), q.has_type("year", "bigint")]
     r = _res(q.run_suite(panel, "t", checks))
     assert r[("exists", "co2")] == (True, 1) and r[("exists", "missing")] == (False, 0)
-    assert r[("column_count", None)] in {(True, 5), (False, 5)}
+    one = lambda check: next(iter(_res(q.run_suite(panel, "t", [check])).values()))
+    assert one(q.column_count(5)) == (True, 5) and one(q.column_count(6)) == (False, 5)
+    assert one(q.row_count(10, None)) == (False, 5) and one(q.row_count(1, 10)) == (True, 5)
     assert r[("not_null", "country")] == (False, 1)
     assert r[("not_null", "iso_code")] == (True, 0)
     assert r[("between", "year")] == (False, 2)
@@ -45,7 +47,7 @@ def test_every_check_kind_can_fail(spark, panel):
     assert r[("not_null", "co2")] == (False, 1)            # the warn-level conditional check
     assert r[("treated", None)] == (False, 4000)           # 2 of 5 rows in basis points
     assert r[("neg", None)] == (True, 0)
-    assert r[("type", "year")] in {(True, 1), (False, 0)}
+    assert one(q.has_type("year", "int")) == (True, 1) and one(q.has_type("year", "bigint")) == (False, 0)
 
 
 def test_missing_column_fails_without_error(spark, panel):
@@ -171,3 +173,71 @@ def test_fill_zero_round_and_built_at(spark):
     silver = spark.createDataFrame([], SILVER)
     g = gold_features(silver)
     assert [f.name for f in g.schema.fields] == [f.name for f in GOLD.fields]
+
+
+def test_utc_stamp_and_day_in_another_zone(spark):
+    from paneltide.sources.bronze import iso_utc, utc_day
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = spark.range(1).select(iso_utc(F.timestamp_seconds(F.lit(0))).alias("s"), utc_day(F.timestamp_seconds(F.lit(0))).cast("string").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert r.s == "1970-01-01T00:00:00.000000+00:00" and r.d == "1970-01-01"
+
+
+def test_year_text_and_repeated_lookup_names(spark):
+    from paneltide.sources.bronze import normalise_indicators
+
+    raw = spark.createDataFrame([("A", "2001.0", 1.0), ("A", "2002", 2.0), ("A", "n/a", 3.0), ("A", "2003.5", 4.0), ("B", "2001", 5.0)],
+                                "country string, date string, v double")
+    lookup = spark.createDataFrame([("A", "AAA"), ("A", "AAB")], "name string, id string")
+    got = normalise_indicators(raw, lookup).collect()
+    assert sorted((r.year, r.v, r.iso_code) for r in got) == [(2001, 1.0, "AAB"), (2002, 2.0, "AAB")]
+
+
+def test_read_any_keeps_the_schema(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from paneltide.sources.bronze import read_any
+
+    spark.range(3).select(F.col("id").alias("a")).write.parquet(f"{tmp_dir}/x.parquet")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for path in (f"{tmp_dir}/x.parquet", f"file://{tmp_dir}/x.parquet"):
+        assert read_any(spark, path, schema).columns == ["a", "b"]
+    spark.range(2).withColumn("ingestion_date", F.to_date(F.lit("2024-01-01"))).write.partitionBy("ingestion_date").parquet(f"{tmp_dir}/folder")
+    assert set(read_any(spark, f"{tmp_dir}/folder").columns) == {"id", "ingestion_date"}
+    with pytest.raises(ValueError):
+        read_any(spark, f"{tmp_dir}/x.xlsx")
+
+
+def test_newest_day_is_read_off_the_listing(spark, tmp_dir):
+    from paneltide.sources.bronze import read_latest
+
+    path = f"{tmp_dir}/days"
+    for day in ("2024-01-01", "2024-01-03", "2024-01-02"):
+        spark.createDataFrame([(day,)], "d string").withColumn("ingestion_date", F.to_date(F.lit(day))) \
+            .write.mode("append").partitionBy("ingestion_date").parquet(path)
+    got = read_latest(spark, path)
+    assert [r.d for r in got.collect()] == ["2024-01-03"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "Subquery" not in plan and "2024-01-03" in plan.replace("19725", "2024-01-03")
+
+
+def test_labels_and_missing_columns_in_suites(spark):
+    from paneltide.operators import quality as q
+
+    df = spark.createDataFrame([(1,)], "a int")
+    got = {r.check_name: (r.passed, r.observed) for r in q.run_suite(df, "s", [
+        q.custom("it's fine", "a < 0"), q.custom("gone", "b < 0"), q.share_at_least("share", "c = 1", 0.5)]).collect()}
+    assert got == {"it's fine": (True, 0), "gone": (False, None), "share": (False, None)}
+
+
+def test_measure_sees_a_file_that_has_grown(spark, tmp_dir):
+    from paneltide.operators.joins import measure
+
+    path = f"{tmp_dir}/dim"
+    spark.range(10).write.parquet(path)
+    assert measure(spark.read.parquet(path))[0] == 10
+    spark.range(500).write.mode("overwrite").parquet(path)
+    assert measure(spark.read.parquet(path))[0] == 500
