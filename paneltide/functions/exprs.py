@@ -71,10 +71,11 @@ def to_ds(year) -> Column:
 
 
 def scale(x, factor: float) -> Column:
-    """Unit change, e.g. kt -> Mt with factor 1e-3 (written as a division
-    when factor < 1 to keep the decimal exact)."""
-    if 0 < factor < 1:
-        return _c(x) / F.lit(round(1 / factor))
+    """Unit change, e.g. kt -> Mt with factor 1e-3. A factor that is one
+    over a whole number divides by it, which rounds once."""
+    inverse = 1 / factor if factor else 0.0
+    if 0 < factor < 1 and abs(inverse - round(inverse)) < 1e-9 * inverse:
+        return _c(x) / F.lit(round(inverse))
     return _c(x) * F.lit(factor)
 
 

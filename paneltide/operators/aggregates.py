@@ -4,7 +4,7 @@ into long rows with ``stack`` instead of one job per column."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import safe_div
@@ -46,7 +46,7 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     long = wide.select("_n", F.expr(f"stack({len(cols)}, {parts}) AS (column_name, dtype, nulls)"))
     return long.select(
         "column_name", "dtype", F.col("nulls").cast("bigint").alias("nulls"),
-        F.round(F.lit(100.0) * F.col("nulls") / F.col("_n"), 3).alias("null_pct"),
+        F.round(F.try_divide(F.lit(100.0) * F.col("nulls"), F.col("_n")), 3).alias("null_pct"),
     )
 
 
@@ -148,29 +148,22 @@ def layer_report(df: DataFrame, key: str, t: str) -> DataFrame:
 
 
 def weighted_moments(df: DataFrame, feats: list[str], weight: str) -> DataFrame:
-    """A13 core: weighted mean and population std per feature, long form.
-    Sums are exact decimals when the features carry at most 2 decimals, so the
-    result does not depend on the order rows are added in."""
-    aggs = [F.sum(weight).alias("_w")]
+    """A13 core: weighted mean and population std per feature, long form; NULL
+    without any weight. Values are doubles of any size; the sums' last digits
+    depend on the order in which rows are added."""
+    aggs = [F.sum(weight).cast("double").alias("_w")]
     for i, f in enumerate(feats):
-        x = F.col(f).cast("decimal(18,2)")
-        aggs += [F.sum(x * F.col(weight)).alias(f"_s{i}"),
-                 F.sum(x * x * F.col(weight)).alias(f"_q{i}")]
+        x, w = F.col(f).cast("double"), F.col(weight).cast("double")
+        aggs += [F.sum(x * w).alias(f"_s{i}"), F.sum(x * x * w).alias(f"_q{i}")]
     wide = df.agg(*aggs)
-    parts = ", ".join(f"{_lit(f)}, CAST(`_s{i}` AS DOUBLE), CAST(`_q{i}` AS DOUBLE)"
-                      for i, f in enumerate(feats))
-    long = wide.select(F.col("_w").cast("double").alias("_w"),
-                       F.expr(f"stack({len(feats)}, {parts}) AS (feature, _s, _q)"))
-    mean = F.col("_s") / F.col("_w")
+    parts = ", ".join(f"{_lit(f)}, `_s{i}`, `_q{i}`" for i, f in enumerate(feats))
+    long = wide.select("_w", F.expr(f"stack({len(feats)}, {parts}) AS (feature, _s, _q)"))
+    mean = F.try_divide(F.col("_s"), F.col("_w"))
     return long.select(
         "feature", mean.alias("mean"),
-        F.sqrt(F.greatest(F.lit(0.0), F.col("_q") / F.col("_w") - mean * mean)).alias("std"),
+        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_q"), F.col("_w")) - mean * mean)).alias("std"),
     )
 
 
 def as_pairs(cols: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneltide.operators.joins import attach_scalars, broadcast_if_small
-from paneltide.operators.ordering import SINGLE_TASK_ROWS, keyed_quantile, largest_group
+from paneltide.operators.ordering import keyed_quantile
 
 # ---------------------------------------------------------------------------
 # Known emission-shock years and their labels.
@@ -42,19 +42,18 @@ def zscore(df: DataFrame, stats: DataFrame, feats: list[str], prefix: str = "z_"
 
 
 def flag_top(df: DataFrame, key: str, score: str, contamination: float = 0.05,
-             out: str = "is_anomaly", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+             out: str = "is_anomaly", series: bool = True) -> DataFrame:
     """M6: flag the scores above the key's (1 - c) quantile (exact, linear
     interpolation).
 
-    The largest key group is counted first. Within ``single_task_rows`` (a
-    series: one row per time step, bounded by the calendar) the quantile is a
-    per-key window aggregate, so a key's rows are read once and never joined
-    back. A larger group is never gathered in one task: the quantile comes
-    from ``keyed_quantile`` (range-partitioned per-key positions) and is
-    joined back, broadcast when the per-key table is small, otherwise a
-    shuffle join that AQE's skew handling splits for a hot key."""
+    ``series`` says that a key's rows are a series (one per time step, so
+    bounded by the calendar): the quantile is then a per-key window aggregate
+    and the rows are read once. Without it a key is never gathered: the
+    quantile comes from ``keyed_quantile`` and is joined back, broadcast when
+    the per-key table is small, otherwise by a shuffle join that AQE's skew
+    handling splits for a hot key."""
     flag = F.coalesce(F.col(score) > F.col("threshold"), F.lit(False))
-    if largest_group(df, key) <= single_task_rows:
+    if series:
         thr = F.percentile(F.col(score), 1 - contamination).over(Window.partitionBy(key))
         return df.withColumn("threshold", thr).withColumn(out, flag)
     q = keyed_quantile(df, key, score, 1 - contamination).select(
@@ -99,37 +98,39 @@ def standardize_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # M5: reconstruction error of sliding windows under a low-rank model
 # ---------------------------------------------------------------------------
-def pca_recon_error(seqs: DataFrame, key: str, start: str, vec: str, k: int = 2,
-                    fit_before=None) -> DataFrame:
-    """M5 (re-aimed from an LSTM autoencoder): fit PCA on the window vectors
-    (optionally only windows starting before ``fit_before``), project every
-    window onto k components and back, score = mean squared reconstruction
-    error over the window. The fit is MLlib's distributed PCA (a covariance
-    aggregate, d x d on the driver where d = window x features); scoring is a
-    column expression per row."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    data = seqs.withColumn("_v", array_to_vector(F.col(vec)))
-    train = data if fit_before is None else data.where(F.col(start) < fit_before)
-    # centre with the training mean so PCA components describe the variation
-    d = len(seqs.select(vec).first()[0])
-    mean_row = train.agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(d)])
-    centred = attach_scalars(data, mean_row).withColumn(
-        "_c", F.array(*[F.col(vec)[i] - F.col(f"m{i}") for i in range(d)]))
-    centred_train = centred if fit_before is None else centred.where(F.col(start) < fit_before)
-    model = PCA(k=k, inputCol="_cv", outputCol="_p").fit(
-        centred_train.withColumn("_cv", array_to_vector("_c")))
-    comps = model.pc.toArray()  # d x k, small
-    proj = np.asarray(comps @ comps.T)  # d x d projection
-    c = [F.col("_c")[i] for i in range(d)]
+def principal_axes(train: DataFrame, vec: str, d: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, d x d projection on the k leading axes) of the vectors, from one
+    aggregate of their sums and products; d x d numbers reach the driver."""
+    x = [F.col(vec)[i] for i in range(d)]
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(x[i]).alias(f"m{i}") for i in range(d)]]
+    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
+    r = train.agg(*aggs).first()
+    mean, cov = np.array([r[f"m{i}"] or 0.0 for i in range(d)]), np.zeros((d, d))
+    for i in range(d):
+        for j in range(i, d):
+            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
+    axes = np.linalg.eigh(cov)[1][:, ::-1][:, :k]
+    return mean, axes @ axes.T
+
+
+def pca_recon_error(seqs: DataFrame, key: str, start: str, vec: str, d: int, k: int = 2,
+                    fit_before=None, step: str | None = None) -> DataFrame:
+    """M5 (re-aimed from an LSTM autoencoder): fit principal axes on the window
+    vectors of ``d`` = window x features standardised values (optionally only
+    windows that end before ``fit_before``), project every window onto k axes
+    and back, score = mean squared reconstruction error over the window. The
+    score belongs to the window's last step, ``step`` (default: ``start``)."""
+    step = step or start
+    train = seqs if fit_before is None else seqs.where(F.col(step) < fit_before)
+    mean, proj = principal_axes(train, vec, d, k)
+    c = [F.col(vec)[i] - F.lit(float(mean[i])) for i in range(d)]
     recon = [sum(F.lit(float(proj[i, j])) * c[j] for j in range(d)) for i in range(d)]
     err = sum((c[i] - recon[i]) * (c[i] - recon[i]) for i in range(d)) / d
-    return centred.select(key, start, err.alias("recon_error"))
+    return seqs.select(key, step, err.alias("recon_error"))
 
 
 # ---------------------------------------------------------------------------
-# M7: isolation forest per key, as a grouped map over Arrow batches
+# M7: isolation forest per key
 # ---------------------------------------------------------------------------
 def _c_factor(n: float) -> float:
     if n <= 1:
@@ -137,73 +138,91 @@ def _c_factor(n: float) -> float:
     return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def _iforest_scores(x: np.ndarray, n_trees: int, sample: int, seed: int) -> np.ndarray:
-    """Isolation-forest anomaly scores (Liu, Ting & Zhou 2008) for a 1-D or
-    n-D sample: random axis-parallel splits, path length with the c(n)
-    correction for unresolved leaves, score = 2 ** (-E[h] / c(psi))."""
+def _grow(x: np.ndarray, n_trees: int, sample: int, seed: int) -> tuple[np.ndarray, int]:
+    """Trees as rows (tree end mark or feature, cut, left, right, depth); and
+    how many rows each was grown from. Random axis-parallel splits, the depth
+    of an unresolved leaf corrected by c(n)."""
     rng = np.random.default_rng(seed)
-    n = x.shape[0]
-    psi = min(sample, n)
-    limit = int(np.ceil(np.log2(max(psi, 2))))
-    depth = np.zeros(n)
+    psi = min(sample, len(x))
+    limit, nodes = int(np.ceil(np.log2(max(psi, 2)))), []
     for _ in range(n_trees):
-        idx = rng.choice(n, psi, replace=False)
-        # each node: (indices of the sample in node, indices of all points routed there, level)
-        stack = [(idx, np.arange(n), 0)]
+        root, stack = len(nodes), [(rng.choice(len(x), psi, replace=False), 0, -1, 0)]
         while stack:
-            s_idx, p_idx, lvl = stack.pop()
-            if lvl >= limit or len(s_idx) <= 1:
-                depth[p_idx] += lvl + _c_factor(len(s_idx))
-                continue
-            col = rng.integers(x.shape[1])
-            lo, hi = x[s_idx, col].min(), x[s_idx, col].max()
-            if lo == hi:
-                depth[p_idx] += lvl + _c_factor(len(s_idx))
+            at, level, parent, side = stack.pop()
+            if parent >= 0:
+                nodes[parent][2 + side] = len(nodes)
+            col = int(rng.integers(x.shape[1]))
+            lo, hi = x[at, col].min(), x[at, col].max()
+            if level >= limit or len(at) <= 1 or lo == hi:
+                nodes.append([-1, 0.0, root, -1, level + _c_factor(len(at))])
                 continue
             cut = rng.uniform(lo, hi)
-            left_s, right_s = s_idx[x[s_idx, col] < cut], s_idx[x[s_idx, col] >= cut]
-            left_p, right_p = p_idx[x[p_idx, col] < cut], p_idx[x[p_idx, col] >= cut]
-            stack.append((left_s, left_p, lvl + 1))
-            stack.append((right_s, right_p, lvl + 1))
-    mean_depth = depth / n_trees
-    return np.power(2.0, -mean_depth / max(_c_factor(psi), 1e-12))
+            nodes.append([col, cut, -1, -1, 0.0])
+            me = len(nodes) - 1
+            stack.append((at[x[at, col] < cut], level + 1, me, 0))
+            stack.append((at[x[at, col] >= cut], level + 1, me, 1))
+    return np.array(nodes, float), psi
+
+
+def _scores(x: np.ndarray, nodes: np.ndarray, psi: int, n_trees: int) -> np.ndarray:
+    """score = 2 ** (-mean depth / c(psi)); all rows go down a tree together."""
+    depth = np.zeros(len(x))
+    root = 0
+    while root < len(nodes):
+        stack, last = [(root, np.arange(len(x)))], root
+        while stack:
+            node, at = stack.pop()
+            last = max(last, node)
+            col, cut, left, right, d = nodes[node]
+            if col < 0:
+                depth[at] += d
+                continue
+            low = x[at, int(col)] < cut
+            stack += [(int(left), at[low]), (int(right), at[~low])]
+        root = last + 1
+    return np.power(2.0, -depth / n_trees / max(_c_factor(psi), 1e-12))
 
 
 def isolation_forest(df: DataFrame, key: str, t: str, feats: list[str], contamination: float = 0.05,
-                     n_trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
-    """M7: per-key isolation forest (seeded), flagging the top ``contamination``
-    share of each key's scores.
-
-    Runs as ``groupBy(key).applyInPandas``: each key's series is one pandas
-    frame in a Python worker. Each tree looks at a sample of at most
-    ``sample`` rows, so the model work per key is bounded; the rows of a key
-    are a series (one per time step), bounded by its calendar.
-    """
-    schema = T.StructType([df.schema[key], df.schema[t],
-                           T.StructField("iforest_score", T.DoubleType()),
-                           T.StructField("is_anomaly", T.BooleanType())])
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t)
-        x = pdf[feats].astype(float).fillna(0.0).to_numpy()
-        s = _iforest_scores(x, n_trees, sample, seed)
-        thr = np.quantile(s, 1 - contamination) if len(s) else 0.0
-        return pd.DataFrame({key: pdf[key].to_numpy(), t: pdf[t].to_numpy(),
-                             "iforest_score": s, "is_anomaly": s > thr})
-
-    # ship the scorer's code with the task (pickled by value), so Python
-    # workers need only numpy and pandas, not this package on their path
+                     n_trees: int = 100, sample: int = 256, seed: int = 42, pool: int = 4096) -> DataFrame:
+    """M7: per-key isolation forest (Liu, Ting and Zhou, 2008; seeded),
+    flagging the top ``contamination`` share of each key's scores.
+
+    A key's forest is grown from at most ``pool`` of its rows, those with the
+    smallest hashes; each tree sees ``sample`` of them. All rows are scored, in
+    chunks of about ``pool`` rows of a key, each joined with its key's forest:
+    a key of any size is neither fitted nor scored in one group."""
+    rows = df.select(F.col(key).alias("k"), F.col(t).alias("t"),
+                     F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in feats]).alias("x"))
+    h = F.xxhash64(F.lit(seed), "k", "t")
+    order = Window.partitionBy("k").orderBy(h, "t")
+    held = (rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pool)
+                .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("r", "x"))).alias("held")))
+    width = len(feats)
+
+    @F.pandas_udf(T.StructType([T.StructField("nodes", T.BinaryType()), T.StructField("psi", T.IntegerType())]))
+    def grow(held: pd.Series) -> pd.DataFrame:
+        grown = [_grow(np.array([list(s["x"]) for s in h], float).reshape(-1, width), n_trees, sample, seed) for h in held]
+        return pd.DataFrame({"nodes": [n.tobytes() for n, _ in grown], "psi": [p for _, p in grown]})
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def score(xs: pd.Series, nodes: pd.Series, psi: pd.Series) -> pd.Series:
+        return pd.Series([_scores(np.array([list(p) for p in x], float).reshape(-1, width), np.frombuffer(n).reshape(-1, 5), int(p), n_trees)
+                          for x, n, p in zip(xs, nodes, psi)])
+
+    # ship the code with the task (pickled by value), so Python workers need
+    # only numpy and pandas, not this package on their path
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    # the work here is CPU in Python, not bytes: AQE sizes partitions by bytes
-    # and would coalesce this small shuffle into a few partitions, serialising
-    # the forests. An explicit repartition to a fixed count is never
-    # coalesced; grouping by the key reuses it. The count differs from the
-    # shuffle default on purpose, so the planner cannot fold it into an
-    # upstream (coalescible) exchange on the same key.
-    spark = df.sparkSession
-    n_parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
-                  spark.sparkContext.defaultParallelism + 1)
-    return (df.select(key, t, *feats).repartition(n_parts, key)
-              .groupBy(key).applyInPandas(score, schema))
+    forest = held.select("k", grow("held").alias("f"))
+    chunks = rows.groupBy("k").agg((F.floor(F.count(F.lit(1)) / pool) + 1).cast("int").alias("chunks"))
+    same = lambda other: F.col("k").eqNullSafe(F.col(other))
+    chunks, forest = chunks.withColumnRenamed("k", "ck"), forest.withColumnRenamed("k", "fk")
+    parts = (rows.join(chunks, same("ck")).select("k", "t", "x", F.pmod(F.xxhash64("t"), "chunks").alias("chunk"))
+                 .groupBy("k", "chunk").agg(F.collect_list(F.struct("t", "x")).alias("rows")))
+    scored = parts.join(forest, same("fk")).select(
+        "k", "rows", score(F.transform("rows", lambda r: r.x), "f.nodes", "f.psi").alias("s"))
+    out = scored.select("k", F.explode(F.arrays_zip(F.transform("rows", lambda r: r.t).alias("t"), F.col("s"))).alias("p"))
+    out = out.select(F.col("k").alias(key), F.col("p")["t"].alias(t), F.col("p")["s"].alias("iforest_score"))
+    return flag_top(out, key, "iforest_score", contamination).drop("threshold")

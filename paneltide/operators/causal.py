@@ -4,12 +4,12 @@ Data work stays on Spark; only k x k matrices (k = number of regressors)
 and a handful of scalars reach the driver:
 
 * within transformation: exact after one unit and one time pass on a
-  balanced panel. On an unbalanced panel with few periods the time effects
-  are solved exactly from a T x T system (built from per-unit observation
-  patterns; only T x T numbers reach the driver). Otherwise alternating unit
-  / time demeaning (the method of alternating projections), iterated to a
-  tolerance. The input panel and the iterations are written to the shared
-  checkpoint folder (reliable checkpoints), so no job recomputes the lineage.
+  balanced panel. On an unbalanced panel the time effects solve a linear
+  system with one unknown per period: from its matrix while that is small
+  enough to build, else by conjugate gradients whose steps are two grouped
+  passes over the observation patterns, until a tolerance. No step count cuts
+  the answer short; a stalled solution is reported as such. The input panel is
+  written to the shared checkpoint folder, so no job recomputes the lineage.
 * OLS: one aggregation pass for X'X and X'y.
 * CRV1 standard errors clustered by unit: per-unit score sums (one grouped
   aggregate), then the sum of their outer products (one more aggregate).
@@ -18,7 +18,6 @@ and a handful of scalars reach the driver:
 
 from __future__ import annotations
 
-import logging
 import math
 
 import numpy as np
@@ -28,8 +27,6 @@ from pyspark.sql import functions as F
 from paneltide.operators.joins import fits_broadcast
 from paneltide.session import reliable_checkpoint
 
-log = logging.getLogger(__name__)
-
 RESULT_SCHEMA = ("estimator string, att double, se double, ci_lower double, ci_upper double, "
                  "p_value double, n_units bigint, n_obs bigint, status string")
 
@@ -63,127 +60,137 @@ def panel_shape(df: DataFrame, unit: str, t: str) -> dict:
     return _shape_of(df.agg(*_shape_aggs(unit, t)).first())
 
 
-# Exact time effects on an unbalanced panel: at most this many periods (the
-# T x T system and a T-row broadcast), and at most this many observation-
-# pattern pairs per panel row (the cost of building the system, compared with
-# the passes the iteration would need).
-EXACT_MAX_PERIODS = 400
-EXACT_PAIRS_PER_ROW = 20
-
-
-def _exact_two_way(df: DataFrame, cols: list[str], unit: str, t: str, n_rows: int,
-                   max_periods: int = EXACT_MAX_PERIODS) -> DataFrame | None:
-    """Two-way demeaning of an unbalanced panel with unique (unit, period)
-    cells, exact, in a fixed number of passes (Frisch-Waugh):
-
-    1. unit-demean every column: x~ = x - mean_i(x);
-    2. the time effects of x solve (D'M D) lam = D'x~, where D holds the
-       period dummies and M the unit demeaning. D'M D = diag(N_s) -
-       sum_i o_i o_i' / n_i (o_i = the periods unit i is observed in) is
-       built from the distinct observation patterns (units sharing a
-       pattern are counted once), D'x~ is a per-period sum;
-    3. x.. = x~ - lam_t + mean_i(lam).
-
-    Returns None (the caller iterates instead) when the pattern pairs exceed
-    ``EXACT_PAIRS_PER_ROW`` per panel row.
-    """
+# Where the time effects' system is kept: as a matrix on the driver while it
+# has at most this many periods and building it costs about as much as the
+# distributed steps it replaces; else it is only ever applied, by grouped
+# passes over the panel. Both solve the same equations to the same tolerance.
+DENSE_PERIODS = 2000
+DENSE_PATTERN = 200
+CG_TOL = 1e-11
+CG_STALL = 100
+
+
+def _patterns(df: DataFrame, unit: str, t: str) -> DataFrame:
+    """Units observed in the same periods (as often) are one pattern: a row
+    per pattern and period with the observations ``w``, the pattern's
+    observations ``n`` and its units ``c``."""
+    cells = df.groupBy(unit, t).agg(F.count(F.lit(1)).alias("w"))
+    pats = (cells.groupBy(unit).agg(F.array_sort(F.collect_list(F.struct(F.col(t).alias("s"), "w"))).alias("_pat"))
+                 .groupBy("_pat").agg(F.count(F.lit(1)).alias("c")))
+    total = F.aggregate("_pat", F.lit(0).cast("long"), lambda acc, x: acc + x.w)
+    rows = pats.select(F.xxhash64("_pat").alias("pid"), F.size("_pat").alias("length"), total.alias("n"), "c", F.explode("_pat").alias("x"))
+    return reliable_checkpoint(rows.select("pid", "length", "n", "c", F.col("x.s").alias("s"), F.col("x.w").alias("w")))
+
+
+def _time_operator(pats: DataFrame, periods: list, t_type: str, dense_periods: int):
+    """v -> D'M D v for a matrix v with a row per period: D holds the period
+    dummies, M takes unit means out. Row s is N_s v_s - sum over units i seen
+    in s of w_is mean_i(v)."""
+    spark, pos = pats.sparkSession, {p: i for i, p in enumerate(periods)}
+    size = pats.agg(F.sum("length").alias("pairs"), F.count(F.lit(1)).alias("cells")).first()
+    if len(periods) <= dense_periods and (size["pairs"] or 0) <= DENSE_PATTERN * (size["cells"] or 0):
+        a = np.zeros((len(periods), len(periods)))
+        other = pats.select("pid", F.col("s").alias("r"), F.col("w").alias("wr"))
+        pairs = (pats.join(other, "pid").groupBy("s", "r")
+                     .agg(F.sum(F.col("c") * F.col("w") * F.col("wr") / F.col("n")).alias("x")))
+        for r in pats.groupBy("s").agg(F.sum(F.col("c") * F.col("w")).alias("x")).collect():
+            a[pos[r["s"]], pos[r["s"]]] += float(r["x"])
+        for r in pairs.collect():   # at most one row per pair of periods
+            a[pos[r["s"]], pos[r["r"]]] -= r["x"]
+        return lambda v: a @ v, np.diag(a).copy(), a
+
+    def apply(v):
+        k = v.shape[1]
+        vec = spark.createDataFrame([(p, *map(float, v[i])) for p, i in pos.items()],
+                                    ", ".join([f"s {t_type}", *[f"v{j} double" for j in range(k)]]))
+        seen = pats.join(vec, "s")
+        means = seen.groupBy("pid").agg(*[(F.sum(F.col("w") * F.col(f"v{j}")) / F.first("n")).alias(f"m{j}") for j in range(k)])
+        out = seen.join(means, "pid").groupBy("s").agg(
+            *[F.sum(F.col("c") * F.col("w") * (F.col(f"v{j}") - F.col(f"m{j}"))).alias(f"o{j}") for j in range(k)])
+        res = np.zeros_like(v)
+        for r in out.collect():     # a row per period
+            res[pos[r["s"]]] = [r[f"o{j}"] for j in range(k)]
+        return res
+
+    diag = np.ones(len(periods))
+    for r in pats.groupBy("s").agg(F.sum(F.col("c") * F.col("w") * (1 - F.col("w") / F.col("n"))).alias("x")).collect():
+        diag[pos[r["s"]]] = r["x"]
+    return apply, diag, None
+
+
+def _conjugate_gradients(apply, diag: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Solve the (singular, consistent) system for every column of b until the
+    residual is ``CG_TOL`` of b. There is no cap on the steps; if no column's
+    residual has improved in ``CG_STALL`` steps, the answer is marked."""
+    scale = np.where(diag > 0, diag, 1.0)[:, None]
+    norm = np.maximum(np.sqrt((b * b).sum(0)), 1e-300)
+    x, r = np.zeros_like(b), b.copy()
+    z = r / scale
+    d, rz = z.copy(), (r * z).sum(0)
+    best, since = np.sqrt((r * r).sum(0)) / norm, 0
+    while True:
+        if (best <= CG_TOL).all():
+            return x, True
+        if since >= CG_STALL:
+            return x, False
+        q = apply(d)
+        dq = (d * q).sum(0)
+        step = np.where(dq > 0, rz / np.where(dq > 0, dq, 1.0), 0.0)
+        x = x + step * d
+        r = r - step * q
+        now = np.sqrt((r * r).sum(0)) / norm
+        since = 0 if ((now < 0.999 * best) & (best > CG_TOL)).any() else since + 1
+        best = np.minimum(best, now)
+        z = r / scale
+        new = (r * z).sum(0)
+        d = z + np.where(rz > 0, new / np.where(rz > 0, rz, 1.0), 0.0) * d
+        rz = new
+
+
+def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, shape: dict | None = None,
+           dense_periods: int = DENSE_PERIODS) -> tuple[DataFrame, bool]:
+    """Within transformation for unit (and time) fixed effects; and whether it
+    has converged.
+
+    With ``t`` None only unit means are removed (exact). On a balanced panel a
+    unit pass and a time pass are exact. Otherwise (Frisch-Waugh) the columns
+    are unit-demeaned, x~; their time effects solve (D'M D) lam = D'x~, and
+    x.. = x~ - lam_t + mean_i(lam). Only vectors with a number per period are
+    on the driver."""
     spark = df.sparkSession
-    pats = (df.groupBy(unit).agg(F.array_sort(F.collect_list(t)).alias("_pat"))
-              .groupBy("_pat").agg(F.count(F.lit(1)).alias("_c")))
-    pairs = pats.agg(F.sum(F.size("_pat") * F.size("_pat"))).first()[0] or 0
-    if pairs > EXACT_PAIRS_PER_ROW * max(n_rows, 1):
-        return None
-    # sum over units of o_i o_i' / n_i, one row per (period, period) pair
-    cooc = (pats.select(F.explode("_pat").alias("_s"), "_pat", "_c")
-                .select("_s", F.explode("_pat").alias("_r"), (F.col("_c") / F.size("_pat")).alias("_w"))
-                .groupBy("_s", "_r").agg(F.sum("_w").alias("_w")).collect())
     um = df.groupBy(unit).agg(*[F.avg(c).alias(f"_u_{c}") for c in cols])
-    ud = df.join(um, unit).select(
-        *[c for c in df.columns if c not in cols],
-        *[(F.col(c) - F.col(f"_u_{c}")).alias(c) for c in cols])
-    per = ud.groupBy(t).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in cols]).collect()
+    ud = df.join(um, unit).select(*[c for c in df.columns if c not in cols],
+                                  *[(F.col(c) - F.col(f"_u_{c}")).alias(c) for c in cols])
+    if t is None:
+        return ud, True
+    shape = panel_shape(df, unit, t) if shape is None else shape
+    if shape["balanced"]:
+        tm = ud.groupBy(t).agg(*[F.avg(c).alias(f"_t_{c}") for c in cols])
+        # one row per period: the period key plus one double per column
+        if fits_broadcast(shape["periods"], shape["periods"] * 8 * (len(cols) + 2)):
+            tm = F.broadcast(tm)
+        return ud.join(tm, t).select(*[c for c in ud.columns if c not in cols],
+                                     *[(F.col(c) - F.col(f"_t_{c}")).alias(c) for c in cols]), True
+    per = ud.groupBy(t).agg(*[F.sum(c).alias(c) for c in cols]).collect()   # a row per period
     periods = sorted(r[t] for r in per)
-    if len(periods) > max_periods:
-        return None
     pos = {p: i for i, p in enumerate(periods)}
-    a = np.zeros((len(periods), len(periods)))
     b = np.zeros((len(periods), len(cols)))
     for r in per:
-        a[pos[r[t]], pos[r[t]]] += r["_n"]
         b[pos[r[t]]] = [r[c] or 0.0 for c in cols]
-    for r in cooc:
-        a[pos[r["_s"]], pos[r["_r"]]] -= r["_w"]
-    # D'M D is singular (the period dummies sum to the absorbed unit dummy);
-    # any least-squares solution gives the same projection
-    lam = np.linalg.lstsq(a, b, rcond=None)[0]
-    lam_rows = [(p, *[float(v) for v in lam[pos[p]]]) for p in periods]
     t_type = df.schema[t].dataType.simpleString()
-    lam_df = spark.createDataFrame(
-        lam_rows, ", ".join([f"`{t}` {t_type}", *[f"`_l_{c}` double" for c in cols]]))
-    out = ud.join(F.broadcast(lam_df), t)   # T rows, bounded by max_periods
+    apply, diag, dense = _time_operator(_patterns(df, unit, t), periods, t_type, dense_periods)
+    # D'M D is singular (the period dummies sum to the absorbed unit dummy);
+    # any solution gives the same projection
+    lam, ok = (np.linalg.lstsq(dense, b, rcond=None)[0], True) if dense is not None else _conjugate_gradients(apply, diag, b)
+    lam_df = spark.createDataFrame([(p, *map(float, lam[pos[p]])) for p in periods],
+                                   ", ".join([f"`{t}` {t_type}", *[f"`_l_{c}` double" for c in cols]]))
+    if fits_broadcast(len(periods), len(periods) * 8 * (len(cols) + 2)):
+        lam_df = F.broadcast(lam_df)
+    out = ud.join(lam_df, t)
     per_unit = Window.partitionBy(unit)
     return out.select(
         *[c for c in ud.columns if c not in cols],
-        *[(F.col(c) - F.col(f"_l_{c}") + F.avg(f"_l_{c}").over(per_unit)).alias(c) for c in cols])
-
-
-def demean(df: DataFrame, cols: list[str], unit: str, t: str | None, tol: float = 1e-8,
-           max_iter: int = 60, shape: dict | None = None, check_every: int = 3,
-           exact_max_periods: int = EXACT_MAX_PERIODS) -> DataFrame:
-    """Within transformation for unit (and time) fixed effects.
-
-    Unit means are a grouped aggregate joined back on the unit key. Time
-    means have one row per period; that side is broadcast when the period
-    count (known from ``shape``) is within the broadcast bound. With ``t``
-    None only unit effects are removed (one pass, exact). On a balanced panel
-    one unit pass plus one time pass is exact. An unbalanced panel with unique
-    cells and at most ``exact_max_periods`` periods is solved exactly by
-    ``_exact_two_way`` (when its pattern pairs are within bound). Otherwise
-    passes repeat; every ``check_every`` passes the panel is checkpointed
-    (a reliable checkpoint in the shared folder, cutting lineage) and the
-    largest time mean removed in the last pass is compared with ``tol``
-    times the largest one removed in the first pass (a relative tolerance,
-    so the stopping point does not depend on the units of the data).
-    """
-    if t is not None and shape is None:
-        shape = panel_shape(df, unit, t)
-    if (t is not None and not shape["balanced"] and shape["cells"] == shape["n"]
-            and shape["periods"] <= exact_max_periods):
-        exact = _exact_two_way(df, cols, unit, t, shape["n"], exact_max_periods)
-        if exact is not None:
-            return exact
-    out = df
-    first = None
-    diffs = [f"_d_{c}" for c in cols]
-    for it in range(1, max_iter + 1):
-        if it > 1:
-            out = out.drop(*diffs)
-        um = out.groupBy(unit).agg(*[F.avg(c).alias(f"_u_{c}") for c in cols])
-        out = out.join(um, unit).select(
-            *[c for c in out.columns if c not in cols],
-            *[(F.col(c) - F.col(f"_u_{c}")).alias(c) for c in cols])
-        if t is None:
-            return out
-        tm = out.groupBy(t).agg(*[F.avg(c).alias(f"_t_{c}") for c in cols])
-        # one row per period: the period key plus one double per column
-        if fits_broadcast(shape["periods"], shape["periods"] * 8 * (len(cols) + 2)):
-            tm = F.broadcast(tm)
-        out = out.join(tm, t).select(
-            *[c for c in out.columns if c not in cols],
-            *[(F.col(c) - F.col(f"_t_{c}")).alias(c) for c in cols],
-            *[F.abs(F.col(f"_t_{c}")).alias(f"_d_{c}") for c in cols])
-        if shape["balanced"]:
-            return out.drop(*diffs)
-        if it > 1 and it % check_every and it != max_iter:
-            continue
-        out = reliable_checkpoint(out)
-        delta = out.agg(F.greatest(*[F.max(d) for d in diffs], F.lit(0.0))).first()[0] or 0.0
-        first = delta if first is None else first
-        log.debug("demean pass %d: largest time mean removed %g", it, delta)
-        if delta <= tol * max(first, 1e-300):
-            return out.drop(*diffs)
-    log.warning("demeaning stopped after %d passes without reaching tol=%g", max_iter, tol)
-    return out.drop(*diffs)
+        *[(F.col(c) - F.col(f"_l_{c}") + F.avg(f"_l_{c}").over(per_unit)).alias(c) for c in cols]), ok
 
 
 def _cross_products(df: DataFrame, ycol: str, xcols: list[str]):
@@ -253,12 +260,15 @@ def _result(spark: SparkSession, estimator: str, beta, cov, n, g, status, idx: i
 
 
 def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
-         time_effects: bool = True, estimator: str = "twfe",
-         exact_max_periods: int = EXACT_MAX_PERIODS) -> DataFrame:
+         time_effects: bool = True, estimator: str = "twfe", dense_periods: int = DENSE_PERIODS,
+         fallback: bool = False) -> DataFrame:
     """ATT of ``d`` on ``y`` with unit (and time) fixed effects and
     controls, CRV1 by unit. Complete cases only (F8). A treatment with no
     variation left after demeaning returns NULLs with status 'collinear'
-    instead of silently reporting another coefficient."""
+    instead of silently reporting another coefficient. If the time effects
+    don't converge, the estimate is NULL with status 'not_converged' or, with
+    ``fallback``, that of unit effects alone without controls (M10), named
+    ``<estimator>_unit_fallback``."""
     cols = [y, d, *controls]
     base = df.select(unit, t, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=[unit, t, *cols])
     # the panel is read by several jobs (shape, demeaning, X'X, scores):
@@ -269,20 +279,24 @@ def twfe(df: DataFrame, y: str, d: str, controls: list[str], unit: str, t: str,
     raw = base.agg(*[F.var_pop(c).alias(c) for c in xcols], *_shape_aggs(unit, t)).first()
     shape = _shape_of(raw) if time_effects else None
     raw_ss = np.array([(raw[c] or 0.0) * raw["n"] for c in xcols])
-    dm = demean(base, cols, unit, t if time_effects else None, shape=shape,
-                exact_max_periods=exact_max_periods)
+    dm, converged = demean(base, cols, unit, t if time_effects else None, shape=shape, dense_periods=dense_periods)
+    if not converged:
+        if fallback:
+            return twfe(base, y, d, [], unit, t, time_effects=False, estimator=f"{estimator}_unit_fallback")
+        return _result(df.sparkSession, estimator, None, None, raw["n"], raw["units"], "not_converged")
     dm = reliable_checkpoint(dm)
     beta, cov, n, g, status = ols_crv1(dm, y, xcols, unit, raw_ss)
     return _result(df.sparkSession, estimator, beta, cov, n, g, status)
 
 
 def placebo(df: DataFrame, y: str, unit: str, t: str, event: str, shift: int = 2,
-            controls: list[str] | None = None, pre_only: bool = True) -> DataFrame:
-    """The event moved ``shift`` periods earlier, estimated on the
-    pre-treatment rows only (treated units before their real event, plus
-    never-treated units), so real effects cannot leak into the placebo.
-    Adds ``is_significant`` (p < 0.05)."""
-    fake = F.when(F.col(event).isNotNull() & (F.col(t) >= F.col(event) - shift), 1).otherwise(0)
+            controls: list[str] | None = None, pre_only: bool = True, fake_year: int | None = None) -> DataFrame:
+    """The event moved ``shift`` periods earlier, or to ``fake_year`` for
+    all treated units, estimated on the pre-treatment rows only (treated units
+    before their real event, plus never-treated units), so real effects cannot
+    leak into the placebo. Adds ``is_significant`` (p < 0.05)."""
+    start = F.col(event) - shift if fake_year is None else F.lit(fake_year)
+    fake = F.when(F.col(event).isNotNull() & (F.col(t) >= start), 1).otherwise(0)
     p = df.withColumn("_placebo", fake)
     if pre_only:
         p = p.where(F.col(event).isNull() | (F.col(t) < F.col(event)))
@@ -303,37 +317,43 @@ def cohort_att(df: DataFrame, unit: str, t: str, y: str, event: str) -> DataFram
     group, relative to the period before adoption:
         ATT(g, t) = (Ybar[g, t] - Ybar[g, g-1]) - (Ybar[never, t] - Ybar[never, g-1])
     (equal to the saturated interaction regression on a balanced panel).
-    Rows for every period except the reference period g-1."""
-    cells = cohort_cells(df, unit, t, y, event)
+    Rows for every period except the reference period g-1; where a mean it
+    needs was not observed, att is NULL and ``status`` says which."""
+    cells = reliable_checkpoint(cohort_cells(df, unit, t, y, event))
     treated = cells.where(F.col("cohort").isNotNull())
     never = cells.where(F.col("cohort").isNull()).select(t, F.col("_ybar").alias("_ynev"))
     base = treated.where(F.col(t) == F.col("cohort") - 1).select(
         "cohort", F.col("_ybar").alias("_ybase"))
     nbase = never.select(F.col(t).alias("_tb"), F.col("_ynev").alias("_ynb"))
-    out = (treated.join(base, "cohort").join(never, t)
-           .join(nbase, F.col("_tb") == F.col("cohort") - 1))
+    out = (treated.join(base, "cohort", "left").join(never, t, "left")
+           .join(nbase, F.col("_tb") == F.col("cohort") - 1, "left"))
     att = (F.col("_ybar") - F.col("_ybase")) - (F.col("_ynev") - F.col("_ynb"))
+    status = (F.when(F.col("_ybase").isNull(), "no_base_period")
+              .when(F.col("_ynev").isNull() | F.col("_ynb").isNull(), "no_never_treated").otherwise("ok"))
     return out.where(F.col(t) != F.col("cohort") - 1).select(
-        "cohort", t, (F.col(t) - F.col("cohort")).alias("rel_time"), att.alias("att"), "n_units")
+        "cohort", t, (F.col(t) - F.col("cohort")).alias("rel_time"), att.alias("att"), "n_units", status.alias("status"))
 
 
 def cohort_att_overall(cells: DataFrame, t: str) -> DataFrame:
     """Interaction-weighted ATT: post-period cells averaged with cohort-size
     weights."""
-    post = cells.where(F.col(t) >= F.col("cohort"))
+    post = cells.where((F.col(t) >= F.col("cohort")) & (F.col("status") == "ok"))
     return post.agg(
-        (F.sum(F.col("att") * F.col("n_units")) / F.sum("n_units")).alias("att"),
+        F.try_divide(F.sum(F.col("att") * F.col("n_units")), F.sum("n_units")).alias("att"),
         F.count(F.lit(1)).alias("n_cells"),
         F.sum("n_units").alias("n_unit_periods"),
     )
 
 
+PENALTIES = (1e-4, 1e-3, 1e-2, 1e-1)
+
+
 def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
               folds: int = 2, seed: int = 42, heterogeneous: bool = True) -> DataFrame:
     """Cross-fitted double ML (partially linear model).
 
     Nuisances E[y|X] and E[d|X] are lasso regressions (MLlib, elastic-net
-    mixing 1, penalty chosen on a validation split); each is fitted on one
+    mixing 1, penalty chosen on units held out by hash); each is fitted on one
     fold group of units and predicts the other (folds by a hash of the unit,
     so a unit never sits on both sides). The final stage regresses the
     y-residual on the d-residual (and, when ``heterogeneous``, its products
@@ -341,34 +361,41 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
     ATE is the effect at the control means, with a heteroskedasticity-robust
     95 % interval.
     """
-    from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 
     spark = df.sparkSession
     cols = [y, d, *controls]
     base = (df.select(unit, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-              .withColumn("_fold", F.pmod(F.xxhash64(F.col(unit), F.lit(seed)), F.lit(folds))))
+              .withColumn("_fold", F.pmod(F.xxhash64(F.col(unit), F.lit(seed)), F.lit(folds)))
+              .withColumn("_valid", F.pmod(F.xxhash64(F.col(unit), F.lit(seed + 1)), F.lit(4)) == 0))
     base = VectorAssembler(inputCols=controls, outputCol="_x").transform(base)
     # every nuisance fit scans the input several times: read it from a
     # checkpoint instead of recomputing its lineage for each pass
     base = reliable_checkpoint(base)
+
+    def nuisance(train: DataFrame, target: str):
+        """Lasso; the penalty is the one with the least error on the units
+        held out by hash, so it depends on neither order nor partitioning."""
+        def fit(rows, penalty):
+            return LinearRegression(featuresCol="_x", labelCol=target, elasticNetParam=1.0, regParam=penalty,
+                                    solver="normal", predictionCol=f"_hat_{target}").fit(rows)
+
+        inner, held = train.where(~F.col("_valid")), train.where("_valid")
+        models = [(penalty, fit(inner, penalty)) for penalty in PENALTIES]
+        scored = held
+        for i, (_, m) in enumerate(models):
+            scored = m.transform(scored).withColumnRenamed(f"_hat_{target}", f"_p{i}")
+        errors = scored.agg(*[F.avg(F.pow(F.col(target) - F.col(f"_p{i}"), 2)).alias(f"e{i}") for i in range(len(models))]).first()
+        ranked = [(errors[f"e{i}"], penalty) for i, (penalty, _) in enumerate(models) if errors[f"e{i}"] is not None]
+        return fit(train, min(ranked)[1] if ranked else PENALTIES[0])
+
     resid = None
     for k in range(folds):
         train, test = base.where(F.col("_fold") != k), base.where(F.col("_fold") == k)
         pred = test
         for target in (y, d):
-            lr = LinearRegression(featuresCol="_x", labelCol=target, elasticNetParam=1.0,
-                                  predictionCol=f"_hat_{target}")
-            grid = ParamGridBuilder().addGrid(lr.regParam, [1e-4, 1e-3, 1e-2, 1e-1]).build()
-            # the penalty candidates are independent fits: run them as
-            # concurrent Spark jobs (results do not depend on it)
-            tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, trainRatio=0.75, seed=seed,
-                                       parallelism=len(grid),
-                                       evaluator=RegressionEvaluator(labelCol=target,
-                                                                     predictionCol=f"_hat_{target}"))
-            pred = tvs.fit(train).transform(pred)
+            pred = nuisance(train, target).transform(pred)
         part = pred.select(unit, *controls, (F.col(y) - F.col(f"_hat_{y}")).alias("_ry"),
                            (F.col(d) - F.col(f"_hat_{d}")).alias("_rd"))
         resid = part if resid is None else resid.unionByName(part)

@@ -70,7 +70,7 @@ def _method_forecast(method: str) -> Column:
     if method == "naive":
         return F.col("y_last")
     if method == "drift":
-        return F.col("y_last") + step * (F.col("y_last") - F.col("y_first")) / (n - 1)
+        return F.col("y_last") + F.try_divide(step * (F.col("y_last") - F.col("y_first")), n - 1)  # NULL for one point
     if method == "trend":
         return F.col("intercept") + F.col("slope") * (n - 1 + step)
     raise ValueError(method)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.operators.ordering import global_positions, ntile_expr
+from paneltide.operators.ordering import global_positions
 
 NAN = float("nan")
 INF = float("inf")
@@ -46,20 +46,24 @@ def finite(c) -> F.Column:
 
 
 def macro_avg(scores: DataFrame, by: list[str], cols=("mase", "smape")) -> DataFrame:
-    """Unweighted mean over keys of the finite scores."""
+    """Unweighted mean over the keys whose scores are all finite, and how
+    many they are."""
+    whole = F.lit(True)
+    for c in cols:
+        whole = whole & finite(c).isNotNull()
     return scores.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_keys"), *[F.avg(finite(c)).alias(c) for c in cols])
+        F.count_if(whole).alias("n_keys"), *[F.avg(F.when(whole, F.col(c))).alias(c) for c in cols])
 
 
 def segments(totals: DataFrame, key: str, total: str, top: float = 0.2, bottom: float = 0.2) -> DataFrame:
-    """A17 helper: 'high' for the top 20 % of keys by total, 'low' for the
-    bottom 20 %, 'mid' otherwise (SQL NTILE(5) buckets over the total,
-    descending, key as tiebreak). The ranking is the distributed global
-    ordering, not a single-task window."""
-    k = round(1 / top)
+    """A17 helper: 'high' for the first ``top`` share of the keys by total
+    (descending, key as tiebreak), 'low' for the last ``bottom`` share, 'mid'
+    otherwise; shares are rounded up to whole keys. The ranking is the
+    distributed global ordering, not a single-task window."""
     ranked = global_positions(totals, [F.col(total).desc(), F.col(key)], "_pos", total_col="_cnt")
-    b = ntile_expr(F.col("_pos"), F.col("_cnt"), k)
-    seg = F.when(b == 1, F.lit("high")).when(b == k, F.lit("low")).otherwise(F.lit("mid"))
+    share = lambda x: F.ceil(F.round(F.col("_cnt") * F.lit(float(x)), 9))
+    seg = (F.when(F.col("_pos") <= share(top), F.lit("high"))
+           .when(F.col("_pos") > F.col("_cnt") - share(bottom), F.lit("low")).otherwise(F.lit("mid")))
     return ranked.select(key, total, seg.alias("segment"))
 
 

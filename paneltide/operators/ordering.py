@@ -8,11 +8,10 @@ is added back. The sorted, numbered rows are checkpointed first so that the
 counting pass and the numbering pass see exactly the same partitions even if
 an executor is lost and a stage is recomputed.
 
-Small inputs take a cheaper path behind a row-count check: up to
-``SINGLE_TASK_ROWS`` rows are ordered by one window without a partition (or,
-for quantiles, Spark's exact ``percentile`` aggregate, whose buffer holds the
-values). The check bounds what one task holds; beyond it the distributed path
-runs, so the result is the same either way.
+Quantiles sort the distinct values with their counts, which partial
+aggregation makes in the map tasks: a value that half the rows share is one
+row, so ties never meet in one partition. Nothing is counted beforehand and
+there is one path for inputs of all sizes.
 """
 
 from __future__ import annotations
@@ -24,35 +23,13 @@ from paneltide.session import reliable_checkpoint
 
 _LOW33 = (1 << 33) - 1
 
-# at most this many rows are ever ordered inside a single task
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def row_count(df: DataFrame) -> int:
-    """Row count (a partial aggregate: one number per task)."""
-    return df.count()
-
-
 def global_positions(df: DataFrame, order: list[Column], pos_col: str = "_pos",
                      value_col: str | None = None, cum_col: str | None = None,
-                     total_col: str | None = None,
-                     single_task_rows: int = SINGLE_TASK_ROWS, rows: int | None = None) -> DataFrame:
+                     total_col: str | None = None) -> DataFrame:
     """Add the 1-based position of each row in ``order`` (must be a total order,
     i.e. end with a unique key). Optionally add the running total of
-    ``value_col`` (exact for decimal input) in ``cum_col``, and the row count
-    of the whole input in ``total_col``. ``rows``: the input's row count when
-    the caller already knows it."""
-    n = row_count(df) if rows is None else rows
-    if n <= single_task_rows:
-        # bounded by the check: one ordered window over at most n rows
-        w = Window.orderBy(*order)
-        out = df.withColumn(pos_col, F.row_number().over(w).cast("long"))
-        if value_col is not None:
-            out = out.withColumn(cum_col, F.sum(value_col).over(
-                w.rowsBetween(Window.unboundedPreceding, 0)))
-        if total_col is not None:
-            out = out.withColumn(total_col, F.lit(n).cast("long"))
-        return out
+    ``value_col`` (exact for decimal and integer input) in ``cum_col``, and the
+    row count of the whole input in ``total_col``."""
     ranked = (
         df.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())
@@ -98,42 +75,34 @@ def ntile_expr(pos: Column, n: Column, k: int) -> Column:
     ).cast("int")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def _around(cum: Column, n: Column, h: Column) -> Column:
+    """Does the run of equal values that ends at position ``cum`` (of ``n``
+    rows) hold the row that a quantile at 0-based place ``h`` rounds to?"""
+    return (cum - n <= h) & (h < cum)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """Exact linearly interpolated quantiles of one column over the whole
-    table (numpy 'linear' / SQL percentile_cont). Up to ``single_task_rows``
-    values: Spark's exact ``percentile`` aggregate (its merged buffer holds at
-    most that many values). Beyond: distributed, a range sort, then only the
-    two rows around each target position are read back.
+    table (numpy 'linear' / SQL percentile_cont): the distinct values with
+    their counts are range-sorted, cumulated, and for each probability the one
+    or two values around its place are picked.
 
     Returns one row per probability: (prob, value). NULLs are ignored.
     """
-    vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
-    n = row_count(vals)
-    if n <= single_task_rows:
-        ps = F.array(*[F.lit(float(p)) for p in probs])
-        return (vals.agg(F.percentile("_v", ps).alias("_q"))
-                .select(F.posexplode("_q").alias("_i", "value"))
-                .select(ps[F.col("_i")].alias("prob"), "value"))
-    # equal values may be numbered in any order: a quantile only reads values,
-    # and the checkpoint inside global_positions fixes the numbering
-    ranked = global_positions(vals, [F.col("_v")], "_pos", single_task_rows=single_task_rows, rows=n)
-    t = (
-        ranked.agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
-        .withColumn("_lo", F.floor("_h").cast("long") + 1)
-        .withColumn("_hi", F.ceil("_h").cast("long") + 1)
-        .withColumn("_frac", F.col("_h") - F.floor("_h"))
-    )
-    lo = ranked.select(F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = ranked.select(F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
-    # t has one row per requested probability: a bounded broadcast
-    out = lo.join(F.broadcast(t), "_lo").join(hi, "_hi")
-    return out.select(
-        "prob",
-        (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"),
-    )
+    vals = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = global_positions(vals, [F.col("_v")], "_pos", value_col="_c", cum_col="_cum")
+    total = ranked.agg(F.sum("_c").alias("_n")).select(F.struct("_n").alias("s")).scalar()
+    n = total.getField("_n")
+    picks = []
+    for p in probs:
+        h = (n - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        v = lambda place: F.max(F.when(_around(F.col("_cum"), F.col("_c"), place), F.col("_v")))
+        low, high = v(lo), v(hi)
+        picks.append(F.struct(F.lit(float(p)).alias("prob"), low.alias("lo"), high.alias("hi"), F.first(h - lo).alias("f")))
+    out = ranked.agg(F.array(*picks).alias("_q"), F.count(F.lit(1)).alias("_k")).where("_k > 0")
+    return out.select(F.explode("_q").alias("q")).select(
+        "q.prob", (F.col("q.lo") + F.col("q.f") * (F.col("q.hi") - F.col("q.lo"))).alias("value"))
 
 
 def keyed_positions(df: DataFrame, key: str, order: list[Column], pos_col: str = "_pos") -> DataFrame:
@@ -163,28 +132,27 @@ def keyed_positions(df: DataFrame, key: str, order: list[Column], pos_col: str =
 
 
 def keyed_quantile(df: DataFrame, key: str, col: str, prob: float) -> DataFrame:
-    """Exact linearly interpolated ``prob`` quantile of ``col`` per key
-    (SQL percentile_cont), for groups of any size: per-key positions from
-    ``keyed_positions``, then only the two rows around each key's target
-    position are read. NULL values are ignored. One row per key: (key,
-    value)."""
-    vals = df.where(F.col(col).isNotNull()).select(key, F.col(col).alias("_v"))
-    ranked = keyed_positions(vals, key, [F.col("_v")], "_pos")
-    t = (ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-         .withColumn("_h", (F.col("_n") - 1) * F.lit(float(prob)))
-         .select(F.col(key).alias("_tkey"),
-                 (F.floor("_h").cast("long") + 1).alias("_lo"),
-                 (F.ceil("_h").cast("long") + 1).alias("_hi"),
-                 (F.col("_h") - F.floor("_h")).alias("_frac")))
-    lo = ranked.select(F.col(key).alias("_lkey"), F.col("_pos").alias("_lpos"), F.col("_v").alias("_vlo"))
-    hi = ranked.select(F.col(key).alias("_hkey"), F.col("_pos").alias("_hpos"), F.col("_v").alias("_vhi"))
-    out = (t.join(lo, F.col("_tkey").eqNullSafe(F.col("_lkey")) & (F.col("_lo") == F.col("_lpos")))
-            .join(hi, F.col("_tkey").eqNullSafe(F.col("_hkey")) & (F.col("_hi") == F.col("_hpos"))))
-    return out.select(F.col("_tkey").alias(key),
-                      (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Row count of the largest ``key`` group (partial counts per task, one
-    small final aggregate)."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    """Exact linearly interpolated ``prob`` quantile of ``col`` per key (SQL
+    percentile_cont), for groups of any size: the key's distinct values with
+    their counts (aggregated in the map tasks) are range-partitioned by (key,
+    value), so a hot key and a hot value both spread; counts are cumulated in
+    each task, and a (task, key) pair's offset is that key's count in earlier
+    tasks. NULL values are ignored. One row per key: (key, value)."""
+    vals = (df.where(F.col(col).isNotNull()).groupBy(F.col(key), F.col(col).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    ranked = vals.orderBy(F.col(key), "_v").withColumn("_pid", F.spark_partition_id())
+    ranked = reliable_checkpoint(ranked)
+    per = ranked.groupBy("_pid", key).agg(F.sum("_c").alias("_n"))
+    mine = Window.partitionBy(key)
+    before = mine.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"),
+                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), F.sum("_n").over(mine).alias("_total"))
+    # only pairs that hold one of the two places around the target go on
+    h = (F.col("_total") - 1) * F.lit(float(prob))
+    offs = offs.withColumns({"_lo": F.floor(h), "_hi": F.ceil(h), "_frac": h - F.floor(h)})
+    out = ranked.join(offs, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey")))
+    local = Window.partitionBy("_pid", key).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn("_cum", F.col("_off") + F.sum("_c").over(local))
+    v = lambda place: F.max(F.when(_around(F.col("_cum"), F.col("_c"), F.col(place)), F.col("_v")))
+    q = out.groupBy(key).agg(v("_lo").alias("_vlo"), v("_hi").alias("_vhi"), F.first("_frac").alias("_frac"))
+    return q.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))

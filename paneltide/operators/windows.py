@@ -49,16 +49,18 @@ def ffill(df: DataFrame, key, t: str, cols: list[str], leading=0.0, suffix: str
     return df
 
 
-def sequences(df: DataFrame, key, t: str, feats: list[str], w: int, out: str = "seq") -> DataFrame:
+def sequences(df: DataFrame, key, t: str, feats: list[str], w: int, out: str = "seq", step: str | None = None) -> DataFrame:
     """Sliding windows of ``w`` consecutive rows per key, stride 1, full
     windows only. ``out`` holds the w x len(feats) values row-major (time
-    outer, feature inner), i.e. the flattened (w, n_features) tensor."""
+    outer, feature inner), i.e. the flattened (w, n_features) tensor. ``start``
+    is the window's first time; ``step`` names a column for its last."""
     win = Window.partitionBy(*_keys(key)).orderBy(t).rowsBetween(0, w - 1)
     vec = F.array(*[F.col(f).cast("double") for f in feats])
+    last = [] if step is None else [F.col("_last").alias(step)]
     return (
-        df.withColumn("_win", F.collect_list(vec).over(win))
+        df.withColumn("_win", F.collect_list(vec).over(win)).withColumn("_last", F.last(t).over(win))
         .where(F.size("_win") == w)
-        .select(*_keys(key), F.col(t).alias("start"), F.flatten("_win").alias(out))
+        .select(*_keys(key), F.col(t).alias("start"), *last, F.flatten("_win").alias(out))
     )
 
 

@@ -90,4 +90,40 @@ def test_macro_avg_skips_non_finite(spark):
     df = spark.createDataFrame([("a", 1.0, 10.0), ("b", float("inf"), 20.0), ("c", float("nan"), 30.0)],
                                "key string, mase double, smape double")
     r = mt.macro_avg(df.withColumn("g", F.lit(1)), ["g"]).first()
-    assert r.mase == 1.0 and r.smape == 20.0 and r.n_keys == 3
+    assert r.mase == 1.0 and r.smape == 10.0 and r.n_keys == 1   # a key counts when all its scores are finite
+
+
+def test_segments_take_their_own_shares(spark):
+    df = spark.createDataFrame([(f"k{i}", float(i)) for i in range(10)], "k string, total double")
+    for top, bottom, high, low in ((0.2, 0.4, 2, 4), (0.3, 0.2, 3, 2), (0.2, 0.2, 2, 2)):
+        seg = [r.segment for r in mt.segments(df, "k", "total", top, bottom).orderBy(F.desc("total")).collect()]
+        assert seg == ["high"] * high + ["mid"] * (10 - high - low) + ["low"] * low
+
+
+def test_scale_any_factor(spark):
+    from paneltide.functions.exprs import scale
+
+    for factor in (0.75, 0.4, 1e-3, 1e-6, 2.5):
+        got = spark.createDataFrame([(100.0,)], "x double").select(scale("x", factor)).first()[0]
+        assert abs(got - 100 * factor) < 1e-9
+
+
+def test_empty_inputs_do_not_raise(spark):
+    from paneltide.operators import aggregates as agg
+    from paneltide.operators import forecast as fc
+
+    df = spark.createDataFrame([], "k string, year int, y double, w long")
+    assert all(r.null_pct is None for r in agg.null_profile(df).collect())
+    assert agg.weighted_moments(df, ["y"], "w").first()["mean"] is None
+    one = spark.createDataFrame([("a", 2000, 1.0), ("b", 2000, 1.0), ("b", 2001, 3.0)], "k string, year int, y double")
+    got = {r.k: r.forecast for r in fc.forecast(one, "k", "year", "y", 1, "drift", unit="year").collect()}
+    assert got == {"a": None, "b": 5.0}
+
+
+def test_weighted_moments_of_small_and_large_values(spark):
+    from paneltide.operators import aggregates as agg
+
+    df = spark.createDataFrame([(v, v * 1e20, 1) for v in (0.0, 0.001, 0.002, 0.003, 0.004)], "a double, b double, w long")
+    got = {r.feature: r for r in agg.weighted_moments(df, ["a", "b"], "w").collect()}
+    assert abs(got["a"].mean - 0.002) < 1e-15 and abs(got["a"]["std"] - 0.002 ** 0.5 * 0.002 ** 0.5 * 0.5 ** 0.5) < 1e-12
+    assert abs(got["b"].mean / 2e17 - 1) < 1e-12

@@ -69,13 +69,7 @@ def test_future_steps(spark):
     assert got == [("a", 1, 2004), ("a", 2, 2005), ("b", 1, 2000), ("b", 2, 2001)]
 
 
-# 0 forces the distributed path (range sort, per-partition offsets); the
-# large bound takes the single-task path behind the row-count check
-PATHS = [0, od.SINGLE_TASK_ROWS]
-
-
-@pytest.mark.parametrize("single_task_rows", PATHS)
-def test_global_positions_and_running_total(spark, single_task_rows):
+def test_global_positions_and_running_total(spark):
     rng = np.random.default_rng(1)
     vals = rng.integers(0, 50, 300)  # many ties, broken by the key
     df = spark.createDataFrame([(f"k{i:03d}", int(v)) for i, v in enumerate(vals)], "k string, v long")
@@ -86,7 +80,7 @@ def test_global_positions_and_running_total(spark, single_task_rows):
     spark.conf.set(conf, "false")
     try:
         out = od.global_positions(df, [F.col("v").desc(), F.col("k")], "rank", value_col="v", cum_col="cum",
-                                  total_col="n", single_task_rows=single_task_rows).toPandas()
+                                  total_col="n").toPandas()
         parts = df.orderBy(F.col("v").desc(), F.col("k")).select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.set(conf, "true")
@@ -100,22 +94,30 @@ def test_global_positions_and_running_total(spark, single_task_rows):
     assert (m["rank"] == m["rank_ref"]).all() and (m["cum"] == m["cum_ref"]).all()
 
 
-@pytest.mark.parametrize("single_task_rows", PATHS)
-def test_exact_quantiles_match_numpy(spark, single_task_rows):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=1001)
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(5)
     probs = [0.0, 0.25, 0.5, 0.95, 1.0]
-    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", probs, single_task_rows).collect()}
+    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", probs).collect()}
     assert sorted(got) == probs
     for p, v in got.items():
         assert abs(v - np.percentile(x, p * 100)) < 1e-12
 
 
-@pytest.mark.parametrize("single_task_rows", PATHS)
-def test_exact_quantiles_of_nothing_is_empty(spark, single_task_rows):
+def test_half_of_the_values_equal(spark):
+    """A value that half the rows share is one row of the sorted table."""
+    x = np.concatenate([np.zeros(1000), np.random.default_rng(1).normal(size=1000)])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
+    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", [0.1, 0.5, 0.9]).collect()}
+    assert all(abs(v - np.percentile(x, p * 100)) < 1e-12 for p, v in got.items())
+    sizes = df.groupBy("x").count().orderBy("x").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in sizes) == 1001
+
+
+def test_exact_quantiles_of_nothing_is_empty(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
-    assert od.exact_quantiles(df, "x", [0.5], single_task_rows).count() == 0
+    assert od.exact_quantiles(df, "x", [0.5]).count() == 0
 
 
 def test_ntile_expression_matches_sql(spark):
@@ -153,7 +155,7 @@ def test_flag_top_paths_agree(spark):
     df, _ = _hot_key_scores(spark)
     cols = ["k", "t", "s", "threshold", "is_anomaly"]
     small = sorted(map(tuple, an.flag_top(df, "k", "s", 0.05).select(*cols).collect()), key=repr)
-    big = sorted(map(tuple, an.flag_top(df, "k", "s", 0.05, single_task_rows=0).select(*cols).collect()),
+    big = sorted(map(tuple, an.flag_top(df, "k", "s", 0.05, series=False).select(*cols).collect()),
                  key=repr)
     assert len(small) == len(big) == 1801
     for a, b in zip(small, big):
