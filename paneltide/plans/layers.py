@@ -32,10 +32,14 @@ def conform(df: DataFrame, schema=SILVER, renames: dict[str, str] | None = None)
     return df.selectExpr(*exprs)
 
 
+def _snapshot(df: DataFrame) -> DataFrame:
+    """The newest snapshot, taken before any row filter: a row that the newest
+    snapshot withdrew or made invalid doesn't come back from an older one."""
+    return latest_snapshot(df) if PARTITION_COL in df.columns else df
+
+
 def _newest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest snapshot, then one row per key (D4: never let snapshots fan out)."""
-    if PARTITION_COL in df.columns:
-        df = latest_snapshot(df)
+    """One row per key of a snapshot (D4: never let snapshots fan out)."""
     order = [c for c in ("_ingested_at",) if c in df.columns]
     return dedup(df, keys, order, keep="last")
 
@@ -43,24 +47,22 @@ def _newest(df: DataFrame, keys: list[str]) -> DataFrame:
 def build_silver(emissions: DataFrame, indicators: DataFrame, events: DataFrame,
                  min_year: int = 1960, key: str = "iso_code", t: str = "year",
                  event_col: str = "ratification_year") -> DataFrame:
-    """Silver panel: filter, de-duplicate each source on its key, two left
-    joins, treatment columns, 25-column projection.
+    """Silver panel: newest snapshot of each source, filter, de-duplicate each
+    source on its key, two left joins, treatment columns, 25-column projection.
 
     Each source is de-duplicated before the joins, so the emissions side comes
     out hash-partitioned on (key, year) and the indicator join reuses that
     partitioning; the event dimension (one row per key) is broadcast when its
     row count allows.
     """
-    e = flt.drop_null_keys(emissions, [key])
+    e = flt.drop_null_keys(_snapshot(emissions), [key])
     e = flt.min_year(e, t, min_year)
     e = flt.non_negative(e, "co2")
     e = _newest(e, [key, t])
-    ind = _newest(indicators.select(key, t, *INDICATOR_COLS,
-                                    *[c for c in ("_ingested_at", PARTITION_COL) if c in indicators.columns]),
+    indicators, events = _snapshot(indicators), _snapshot(events)
+    ind = _newest(indicators.select(key, t, *INDICATOR_COLS, *[c for c in ("_ingested_at",) if c in indicators.columns]),
                   [key, t]).select(key, t, *INDICATOR_COLS)
-    ev = _newest(events.select(key, event_col,
-                               *[c for c in ("_ingested_at", PARTITION_COL) if c in events.columns]),
-                 [key]).select(key, event_col)
+    ev = _newest(events.select(key, event_col, *[c for c in ("_ingested_at",) if c in events.columns]), [key]).select(key, event_col)
     panel = attach(e, ind, [key, t])
     panel = attach_dim(panel, ev, [key])
     panel = (panel.withColumn("paris_treated", treated(t, event_col))

@@ -11,7 +11,7 @@ that Spark derives from them (the same definitions are written in SQL in
                at least two suppliers report (so the left join has misses).
 * events     - one event year per nation: 1996 + region key; region 0 never.
 * month      - nation x order month, y = order value (forecasting input).
-* user_day   - events by user x day on the full calendar (gap filling).
+* user_day   - events by user x day over the user's own span (gap filling).
 
 Every fact table is folded by a partial aggregation on its own key before
 the join that maps it to a nation, so a customer, supplier or user holding a
@@ -168,22 +168,17 @@ def month_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events by user x day on the full calendar between the first and last
-    event day; empty days have NULL y and 0 counts.
-
-    The calendar bounds are scalar subqueries (one row each) and each user's
-    days are generated with ``sequence`` - no join of users against days.
-    """
+    """events by user x day, from each user's first to last day; empty days in
+    between have NULL y and 0 counts. A user adds only the days of their own
+    span, generated with ``sequence``."""
     ev = table(spark, sf_dir, "events")
     daily = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.sum(money("value")).cast("double").alias("y"),
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("event_type") == "error", 1)).alias("err"),
     )
-    first = daily.select(F.min("day")).scalar()
-    last = daily.select(F.max("day")).scalar()
-    grid = daily.select("user_id").distinct().select(
-        "user_id", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).alias("day"))
+    grid = daily.groupBy("user_id").agg(F.min("day").alias("first"), F.max("day").alias("last")).select(
+        "user_id", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day"))
     out = grid.join(daily, ["user_id", "day"], "left")
     return out.select(
         "user_id", "day", "y",

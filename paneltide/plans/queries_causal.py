@@ -3,6 +3,7 @@ on the Silver proxy panel; anomaly scorers M5/M7 on the user-day panel."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import verdict
@@ -11,14 +12,14 @@ from paneltide.operators import causal as cz
 from paneltide.operators import windows as win
 from paneltide.plans.catalog import cte, register
 from paneltide.plans.queries import silver
-from paneltide.plans.queries_timeseries import FEATS, W, ffilled
+from paneltide.plans.queries_timeseries import CUTOFF_DAY, FEATS, W, ffilled, zscored
 
 OUTCOME = "co2_per_capita"
 TREATMENT = "paris_treated"
 CONTROLS = ["gdp", "population", "primary_energy_consumption"]
 POST_YEAR = 1999
 PLACEBO_SHIFT = 2
-PCA_FIT_BEFORE = "2024-01-21"
+FAKE_YEAR = 1998
 EST_COLS = ["estimator", "att", "se", "ci_lower", "ci_upper", "n_units", "n_obs", "status"]
 
 cte("p_did", ["p_silver"], f"""
@@ -99,11 +100,13 @@ SELECT ratification_year AS cohort, year, avg({OUTCOME}) AS ybar, count(DISTINCT
 FROM p_silver WHERE {OUTCOME} IS NOT NULL GROUP BY ratification_year, year
 """)
 cte("p_cohort_att", ["p_cells"], """
-SELECT c.cohort, c.year, c.year - c.cohort AS rel_time, (c.ybar - b.ybar) - (nv.ybar - nb.ybar) AS att, c.n_units
+SELECT c.cohort, c.year, c.year - c.cohort AS rel_time, (c.ybar - b.ybar) - (nv.ybar - nb.ybar) AS att, c.n_units,
+       CASE WHEN b.ybar IS NULL THEN 'no_base_period'
+            WHEN nv.ybar IS NULL OR nb.ybar IS NULL THEN 'no_never_treated' ELSE 'ok' END AS status
 FROM p_cells c
-JOIN p_cells b ON b.cohort = c.cohort AND b.year = c.cohort - 1
-JOIN p_cells nv ON nv.cohort IS NULL AND nv.year = c.year
-JOIN p_cells nb ON nb.cohort IS NULL AND nb.year = c.cohort - 1
+LEFT JOIN p_cells b ON b.cohort = c.cohort AND b.year = c.cohort - 1
+LEFT JOIN p_cells nv ON nv.cohort IS NULL AND nv.year = c.year
+LEFT JOIN p_cells nb ON nb.cohort IS NULL AND nb.year = c.cohort - 1
 WHERE c.cohort IS NOT NULL AND c.year <> c.cohort - 1
 """)
 
@@ -113,7 +116,7 @@ def _cohort_att(spark, sf):
 
 
 @register("cohort_att", ["p_cohort_att"],
-          "SELECT cohort, year, rel_time, round(att, 3) AS att, n_units FROM p_cohort_att")
+          "SELECT cohort, year, rel_time, round(att, 3) AS att, n_units, status FROM p_cohort_att")
 def q_cohort_att(spark, sf):
     return _cohort_att(spark, sf).withColumn("att", F.round("att", 3))
 
@@ -121,35 +124,114 @@ def q_cohort_att(spark, sf):
 @register("cohort_att_overall", ["p_cohort_att"], """
 SELECT round(sum(att * n_units) / sum(n_units), 3) AS att, count(*) AS n_cells,
        CAST(sum(n_units) AS BIGINT) AS n_unit_periods
-FROM p_cohort_att WHERE year >= cohort
+FROM p_cohort_att WHERE year >= cohort AND status = 'ok'
 """)
 def q_cohort_att_overall(spark, sf):
     return cz.cohort_att_overall(_cohort_att(spark, sf), "year").withColumn("att", F.round("att", 3))
 
 
 # ---------------------------------------------------------------------------
-# Rows-only (no SQL twin; covered by brute-force tests)
+# Two-way effects with controls, as SQL: unit-demean every column and the
+# period dummies, then take them out of all that follow, one by one.
 # ---------------------------------------------------------------------------
-@register("twfe_controls")
+YEARS = range(1996, 2003)   # first to last order year of the tables, for the dummies
+
+
+def _orthogonal_sql(name: str, src: str, d: str, controls: list[str], extra: str = "") -> str:
+    """att and se of ``d`` on ``y`` with unit and period effects and controls,
+    CRV1 by unit (Frisch-Waugh: after the other columns are taken out, one
+    regressor is left)."""
+    dummies = [f"p{y}" for y in list(YEARS)[1:]]
+    steps = [*dummies, *controls, "d", "y"]
+    raw = ", ".join([f"CASE WHEN year = {y} THEN 1.0 ELSE 0.0 END AS p{y}" for y in list(YEARS)[1:]]
+                    + [f"CAST({c} AS DOUBLE) AS {c}" for c in controls] + [f"CAST({d} AS DOUBLE) AS d", "CAST(y AS DOUBLE) AS y"])
+    sql = f"SELECT iso_code, {raw} FROM {src}"
+    sql = f"SELECT iso_code, {', '.join(f'{c} - avg({c}) OVER (PARTITION BY iso_code) AS {c}' for c in steps)} FROM ({sql}) r"
+    for i, c in enumerate(steps[:-2]):
+        # a column with nothing left of it (no such year) takes nothing out
+        rest = ", ".join(f"{x} - coalesce(sum({x} * {c}) OVER () / nullif(CASE WHEN sum({c} * {c}) OVER () > 1e-9 "
+                         f"THEN sum({c} * {c}) OVER () END, 0), 0) * {c} AS {x}" for x in steps[i + 1:])
+        sql = f"SELECT iso_code, {rest} FROM ({sql}) s{i}"
+    k = 1 + len(controls)
+    return f"""
+SELECT '{name}' AS estimator, round(beta, 3) AS att, round(se, 3) AS se,
+       round(beta - 1.96 * se, 3) AS ci_lower, round(beta + 1.96 * se, 3) AS ci_upper,
+       g AS n_units, n AS n_obs, 'ok' AS status{extra}
+FROM (SELECT beta, sqrt(CAST(g AS DOUBLE) / (g - 1) * (n - 1.0) / (n - {k}) * meat) / sdd AS se, g, n
+      FROM (SELECT beta, sdd, count(*) AS g, CAST(sum(ng) AS BIGINT) AS n, sum(s * s) AS meat
+            FROM (SELECT iso_code, beta, sdd, sum(d * (y - beta * d)) AS s, count(*) AS ng
+                  FROM (SELECT *, sum(d * y) OVER () / sum(d * d) OVER () AS beta, sum(d * d) OVER () AS sdd FROM ({sql}) o) b
+                  GROUP BY iso_code, beta, sdd) c
+            GROUP BY beta, sdd) e) f
+"""
+
+
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [OUTCOME, *CONTROLS])
+cte("p_controls", ["p_silver"], f"""
+SELECT iso_code, year, {OUTCOME} AS y, CASE WHEN {TREATMENT} THEN 1.0 ELSE 0.0 END AS d, {', '.join(CONTROLS)}
+FROM p_silver WHERE {_COMPLETE}
+""")
+cte("p_placebo", ["p_silver"], f"""
+SELECT iso_code, year, {OUTCOME} AS y,
+       CASE WHEN ratification_year IS NOT NULL AND year >= ratification_year - {PLACEBO_SHIFT} THEN 1.0 ELSE 0.0 END AS d,
+       CASE WHEN ratification_year IS NOT NULL AND year >= {FAKE_YEAR} THEN 1.0 ELSE 0.0 END AS fake,
+       {', '.join(CONTROLS)}
+FROM p_silver WHERE {_COMPLETE} AND (ratification_year IS NULL OR year < ratification_year)
+""")
+_SIGNIFICANT = ", abs(beta / se) > 1.959963984540054 AS is_significant"
+
+
+@register("twfe_controls", ["p_controls"], _orthogonal_sql("twfe_controls", "p_controls", "d", CONTROLS))
 def q_twfe_controls(spark, sf):
-    return cz.twfe(silver(spark, sf), OUTCOME, TREATMENT, CONTROLS, "iso_code", "year",
-                   estimator="twfe_controls")
+    return _est(cz.twfe(silver(spark, sf), OUTCOME, TREATMENT, CONTROLS, "iso_code", "year",
+                        estimator="twfe_controls", fallback=True))
+
+
+def _placebo(df):
+    return _est(df).join(df.select("estimator", "is_significant"), "estimator")
 
 
-@register("placebo")
+@register("placebo", ["p_placebo"], _orthogonal_sql("placebo", "p_placebo", "d", CONTROLS, _SIGNIFICANT))
 def q_placebo(spark, sf):
-    return cz.placebo(silver(spark, sf), OUTCOME, "iso_code", "year", "ratification_year", PLACEBO_SHIFT)
+    return _placebo(cz.placebo(silver(spark, sf), OUTCOME, "iso_code", "year", "ratification_year", PLACEBO_SHIFT, CONTROLS))
 
 
+@register("placebo_fake_year", ["p_placebo"], _orthogonal_sql("placebo", "p_placebo", "fake", [], _SIGNIFICANT))
+def q_placebo_fake_year(spark, sf):
+    complete = silver(spark, sf).dropna(subset=CONTROLS)
+    return _placebo(cz.placebo(complete, OUTCOME, "iso_code", "year", "ratification_year", fake_year=FAKE_YEAR))
+
+
+# ---------------------------------------------------------------------------
+# Rows-only (no SQL twin; covered by brute-force tests)
+# ---------------------------------------------------------------------------
 @register("double_ml")
 def q_double_ml(spark, sf):
     return cz.double_ml(silver(spark, sf), OUTCOME, TREATMENT, CONTROLS, "iso_code")
 
 
+def recon_errors(spark, sf):
+    """Standardised features (statistics of the rows before the cut-off) ->
+    windows -> reconstruction error at each window's last day."""
+    z = zscored(spark, sf).select("user_id", "day", *[f"z_{c}" for c in FEATS])
+    seqs = win.sequences(z, "user_id", "day", [f"z_{c}" for c in FEATS], W, step="day")
+    return an.pca_recon_error(seqs, "user_id", "start", "seq", d=W * len(FEATS), k=2,
+                              fit_before=F.lit(CUTOFF_DAY).cast("date"), step="day")
+
+
 @register("pca_recon_error")
 def q_pca_recon_error(spark, sf):
-    seqs = win.sequences(ffilled(spark, sf), "user_id", "day", FEATS, W)
-    return an.pca_recon_error(seqs, "user_id", "start", "seq", k=2, fit_before=F.lit(PCA_FIT_BEFORE).cast("date"))
+    return recon_errors(spark, sf)
+
+
+@register("anomaly_chain")
+def q_anomaly_chain(spark, sf):
+    """M4 -> M5 -> M6 -> M8: the reconstruction errors flagged per user, with
+    the known-event label of the day's year."""
+    scores = recon_errors(spark, sf).withColumn("year", F.year("day"))
+    flagged = an.label_events(an.flag_top(scores, "user_id", "recon_error", 0.05))
+    total = F.count_if(F.col("is_anomaly")).over(Window.partitionBy("user_id"))
+    return flagged.select("user_id", "day", "is_anomaly", "recon_error", "event_label", total.alias("total_anomalies"))
 
 
 @register("isolation_forest")

@@ -29,8 +29,7 @@ AVAILABLE = ["iso_code", "country", "year", "co2", "gdp", "energy_per_capita", "
 PROXY_AGG_NAMES = ["World", "AFRICA", "ASIA"]
 PROXY_AGG_CODES = ["R1", "WLD"]
 PROXY_AGG_PATTERNS = ["EAST", "(GCP)", "EURO"]
-CORR_COLS = ["co2", "co2_per_capita", "gdp", "population", "primary_energy_consumption",
-             "urban_population_pct", "gdp_growth_pct"]
+CORR_COLS = [f.name for f in SILVER.fields if f.dataType.simpleString() in ("int", "bigint", "double")]
 
 
 _ISO_SQL = "'N' || lpad(CAST({} AS VARCHAR), 2, '0')"

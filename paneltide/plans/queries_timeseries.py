@@ -24,6 +24,7 @@ K_FOLDS, ALPHA = 5, 0.1
 MIN_POINTS = 78
 FUTURE_YEARS = 5
 CUTOFF_YEAR = 1999
+CUTOFF_DAY = "2024-01-21"   # statistics and fits use the days before it
 CONTAMINATION = 0.05
 METHODS = ["naive", "drift", "trend"]
 
@@ -37,13 +38,12 @@ SELECT user_id, CAST(ts AS DATE) AS day,
 FROM events GROUP BY user_id, CAST(ts AS DATE)
 """)
 cte("p_user_day", ["p_daily"], """
-SELECT u.user_id, d.day, dl.y,
+SELECT d.user_id, d.day, dl.y,
        CAST(coalesce(dl.n, 0) AS BIGINT) AS n, CAST(coalesce(dl.err, 0) AS BIGINT) AS err
-FROM (SELECT DISTINCT user_id FROM p_daily) u
-CROSS JOIN (SELECT CAST(unnest(generate_series(CAST((SELECT min(day) FROM p_daily) AS TIMESTAMP),
-                                               CAST((SELECT max(day) FROM p_daily) AS TIMESTAMP),
-                                               INTERVAL 1 DAY)) AS DATE) AS day) d
-LEFT JOIN p_daily dl ON dl.user_id = u.user_id AND dl.day = d.day
+FROM (SELECT user_id, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP),
+                                                  INTERVAL 1 DAY)) AS DATE) AS day
+      FROM p_daily GROUP BY user_id) d
+LEFT JOIN p_daily dl ON dl.user_id = d.user_id AND dl.day = d.day
 """)
 cte("p_ffill", ["p_user_day"], """
 SELECT user_id, day, y, n, err,
@@ -54,20 +54,18 @@ FROM p_user_day
 cte("p_weights", ["p_ffill"], f"""
 SELECT *, CAST(greatest(0, least(i, cnt - {W}) - greatest(0, i - {W - 1}) + 1) AS BIGINT) AS weight
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY day) - 1 AS i,
-             COUNT(*) OVER (PARTITION BY user_id) AS cnt FROM p_ffill) t
+             COUNT(*) OVER (PARTITION BY user_id) AS cnt FROM p_ffill WHERE day < DATE '{CUTOFF_DAY}') t
 """)
 
 
 def _moment_sql(f: str) -> str:
-    x = f"CAST({f} AS DECIMAL(18,2))"
-    return (f"SELECT '{f}' AS feature, sum(weight) AS w, sum({x} * weight) AS s, "
-            f"sum(CAST({x} * {x} AS DECIMAL(38,4)) * weight) AS q FROM p_weights")
+    x = f"CAST({f} AS DOUBLE)"
+    return (f"SELECT '{f}' AS feature, CAST(sum(weight) AS DOUBLE) AS w, sum({x} * weight) AS s, "
+            f"sum({x} * {x} * weight) AS q FROM p_weights")
 
 
 cte("p_norm_stats", ["p_weights"], f"""
-SELECT feature, CAST(s AS DOUBLE) / CAST(w AS DOUBLE) AS mean,
-       sqrt(greatest(0.0, CAST(q AS DOUBLE) / CAST(w AS DOUBLE)
-                          - (CAST(s AS DOUBLE) / CAST(w AS DOUBLE)) * (CAST(s AS DOUBLE) / CAST(w AS DOUBLE)))) AS std
+SELECT feature, s / w AS mean, sqrt(greatest(0.0, q / w - (s / w) * (s / w))) AS std
 FROM ({' UNION ALL '.join(_moment_sql(f) for f in FEATS)}) t
 """)
 
@@ -99,7 +97,8 @@ def ffilled(spark, sf):
 
 
 def norm_stats(spark, sf):
-    wts = win.window_weights(ffilled(spark, sf), "user_id", "day", W)
+    before = flt.before(ffilled(spark, sf), "day", F.lit(CUTOFF_DAY).cast("date"))
+    wts = win.window_weights(before, "user_id", "day", W)
     return agg.weighted_moments(wts, FEATS, "weight")
 
 
@@ -137,14 +136,15 @@ def q_sequences(spark, sf):
     return win.sequences(ffilled(spark, sf), "user_id", "day", FEATS, W)
 
 
-@register("norm_stats", ["p_norm_stats"], "SELECT * FROM p_norm_stats")
+@register("norm_stats", ["p_norm_stats"],
+          "SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM p_norm_stats")
 def q_norm_stats(spark, sf):
-    return norm_stats(spark, sf)
+    return norm_stats(spark, sf).select("feature", *[F.round(c, 6).alias(c) for c in ("mean", "std")])
 
 
-@register("zscore", ["p_z"], "SELECT * FROM p_z")
+@register("zscore", ["p_z"], f"SELECT user_id, day, {', '.join(f'round(z_{c}, 6) AS z_{c}' for c in FEATS)} FROM p_z")
 def q_zscore(spark, sf):
-    return zscored(spark, sf).select("user_id", "day", *[f"z_{c}" for c in FEATS])
+    return zscored(spark, sf).select("user_id", "day", *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in FEATS])
 
 
 @register("holdout_split", ["p_month"], f"""
@@ -352,9 +352,9 @@ def q_forecast_eval(spark, sf):
 
 @register("segment_metrics", ["p_eval", "p_split"], """
 SELECT segment, method, n_keys, round(mase, 3) AS mase, round(smape, 3) AS smape FROM (
-  SELECT s.segment, e.method, count(*) AS n_keys,
-         avg(CASE WHEN isfinite(e.mase) THEN e.mase END) AS mase,
-         avg(CASE WHEN isfinite(e.smape) THEN e.smape END) AS smape
+  SELECT s.segment, e.method, count(*) FILTER (WHERE isfinite(e.mase) AND isfinite(e.smape)) AS n_keys,
+         avg(e.mase) FILTER (WHERE isfinite(e.mase) AND isfinite(e.smape)) AS mase,
+         avg(e.smape) FILTER (WHERE isfinite(e.mase) AND isfinite(e.smape)) AS smape
   FROM p_eval e JOIN (
     SELECT iso_code, CASE NTILE(5) OVER (ORDER BY total DESC, iso_code) WHEN 1 THEN 'high' WHEN 5 THEN 'low'
                      ELSE 'mid' END AS segment
@@ -362,9 +362,8 @@ SELECT segment, method, n_keys, round(mase, 3) AS mase, round(smape, 3) AS smape
           GROUP BY iso_code) t) s ON e.iso_code = s.iso_code
   GROUP BY s.segment, e.method
   UNION ALL
-  SELECT 'overall', method, count(*), avg(CASE WHEN isfinite(mase) THEN mase END),
-         avg(CASE WHEN isfinite(smape) THEN smape END)
-  FROM p_eval GROUP BY method) u
+  SELECT 'overall', method, count(*), avg(mase), avg(smape)
+  FROM p_eval WHERE isfinite(mase) AND isfinite(smape) GROUP BY method) u
 """)
 def q_segment_metrics(spark, sf):
     scores, train = evaluation(spark, sf)
@@ -400,13 +399,9 @@ def q_error_summary(spark, sf):
 
 
 _EVENTS_SQL = ", ".join(f"({y}, '{lab}')" for y, lab in sorted(an.KNOWN_EVENTS.items()))
-cte("p_feed_scores", ["p_stg"], """
+cte("p_feed_scores", ["p_change"], """
 SELECT iso_code, year, z * z AS score FROM (
-  SELECT iso_code, year, (co2_yoy_pct - avg(co2_yoy_pct) OVER ()) / stddev_pop(co2_yoy_pct) OVER () AS z
-  FROM (SELECT iso_code, year,
-               (co2 - LAG(co2) OVER (PARTITION BY iso_code ORDER BY year))
-                 / NULLIF(LAG(co2) OVER (PARTITION BY iso_code ORDER BY year), 0) * 100 AS co2_yoy_pct
-        FROM p_stg) a) b
+  SELECT iso_code, year, (pct - avg(pct) OVER ()) / stddev_pop(pct) OVER () AS z FROM p_change) b
 """)
 
 

@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from paneltide.plans import catalog
 from tests.conftest import SF_SMALL
 from tools.compare import TABLES, rows_of
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,7 @@ def test_entry_smoke(spark):
 
 def test_every_sql_twin_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
     assert len(QUERIES) >= 60
 
 
