@@ -127,6 +127,8 @@ def occurrences(texts: list[bytes], length: int):
     if not out:
         return [np.empty(0, np.int64)] * 2 + [np.empty(0, np.uint64)] * 2
     number, place, gram, context = (np.concatenate(c) for c in zip(*out))
+    by = np.lexsort((place, number))
+    number, place, gram, context = number[by], place[by], gram[by], context[by]
     keep = np.concatenate([[True], (number[1:] != number[:-1]) | (place[1:] != place[:-1])])  # pieces overlap
     return [number[keep], place[keep], gram[keep], context[keep]]
 
