@@ -24,18 +24,20 @@ from pyspark.sql import functions as F
 from paneltide.llm import store, vector_blocks
 
 PROJECTIONS = 128
-SHARE = 0.45
+SHARE = 0.5
 WIDEN = 1.2
 FIRST = 0.25
-BASE, PART = 64, 0.10
+BASE, PART = 64, 0.15
 
 
 def build(ids: np.ndarray, matrix: np.ndarray) -> bytes:
     norm = np.sqrt((matrix * matrix).sum(1))
     lines = np.random.default_rng(5).normal(size=(matrix.shape[1], PROJECTIONS))
     p = (matrix / norm[:, None]) @ lines
-    order = np.argsort(p, axis=0, kind="stable").T.copy()
-    return pickle.dumps((ids, matrix, norm, lines, order, np.take_along_axis(p, order.T, 0).T.copy()), protocol=5)
+    order = np.argsort(p, axis=0, kind="stable")
+    short = matrix.astype(np.float32)  # as it came, if it came as floats
+    return pickle.dumps((ids, short if (short == matrix).all() else matrix, norm, lines, order.T.astype(np.int32),
+                         np.take_along_axis(p, order, 0).T.astype(np.float32)), protocol=5)
 
 
 def candidates(order: np.ndarray, values: np.ndarray, centre: np.ndarray, most: int) -> np.ndarray:
@@ -67,7 +69,7 @@ def find(data: bytes, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tup
         # "most" counts the query itself if it lies in this shard
         near = candidates(order, values, (q / size) @ lines, k + BASE + int(PART * len(ids)))
         near = near[ids[near] != own]
-        cosine = (matrix[near] * q).sum(1) / (norm[near] * size)
+        cosine = (matrix[near].astype(np.float64) * q).sum(1) / (norm[near] * size)
         found = vector_blocks.best(ids[near], cosine, k)
         at.append(np.full(len(found), i))
         vec.append(ids[near][found])
@@ -79,7 +81,7 @@ def search(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_c
     """query_id, rank, vec_id, score: each query's k nearest found by cosine.
     ``is_query`` is a condition on the column ``id``."""
     rows = vector_blocks.vectors(table, id_col, vec_col).filter(F.exists("v", lambda x: x != 0))
-    return vector_blocks.search(rows, is_query, k, build, find, "double")
+    return vector_blocks.search(rows, is_query, k, build, find, "double", shard_rows=32_768, query_rows=512)
 
 
 def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def _matrix(column, dims: int) -> np.ndarray:
 
 def search(rows: DataFrame, is_query, k: int, build: Callable[[np.ndarray, np.ndarray], bytes],
            find: Callable[[bytes, np.ndarray, np.ndarray, int], tuple], score_type: str,
-           shard_rows: int = 16384, query_rows: int = 1024) -> DataFrame:
+           shard_rows: int, query_rows: int) -> DataFrame:
     """``build(ids, matrix)`` makes a shard's index, ``find(index, query ids,
     query matrix, k)`` returns (query position, id, score) arrays of each
     query's k best of the shard, itself left out."""
@@ -50,11 +50,11 @@ def search(rows: DataFrame, is_query, k: int, build: Callable[[np.ndarray, np.nd
     shards, blocks, dims = n // shard_rows + 1, (asked or 0) // query_rows + 1, dims or 1
     kind = {"long": pa.int64(), "double": pa.float64()}[score_type]
 
-    def index(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         return pd.DataFrame({"shard": [key[0]], "index": [build(pdf["id"].to_numpy(), _matrix(pdf["v"], dims))]})
 
-    def block(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         return pd.DataFrame({"block": [key[0]], "ids": [pdf["id"].to_numpy("<i8").tobytes()], "queries": [_matrix(pdf["v"], dims).tobytes()]})
 
