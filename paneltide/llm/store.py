@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -53,10 +54,20 @@ def ship(spark: SparkSession) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps whose tables are written:
-    it does so when the driver's garbage is collected."""
+    """Let Spark delete the shuffle files of steps whose tables are written: it
+    does so once the driver's plans of them are collected as garbage. Python's
+    gateway lets go of freed plans in a thread of its own, from a queue, so
+    that is waited for (ten seconds at most), and what hangs on them goes in a
+    second collection."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    queue = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", ())
+    for _ in range(100):
+        time.sleep(0.1)
+        if not queue:
+            break
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def drop(spark: SparkSession, path: str) -> None:
