@@ -12,13 +12,17 @@ needed. Then more than ``m`` parts of a linked pair agree, so a set with at
 most ``m`` empty parts need not sign for them: equal emptiness, which says
 little, isn't a signature but for the few sets that have more empty parts.
 
-Sets that are equal count once. Groups of one signature are never paired in
-full: rounds compare a few pivots of each group with the members that are not
-yet in the pivot's component, pivots with many links first, and components are
-worked out after each round. Rounds go on, with more pivots each, until no
-group holds an uncompared pair of different components, so no link between
-components is lost. Shingles are hashed to 64 bits; pairs are verified on the
-whole sets.
+Sets that are equal count once. Each group of one signature takes a pivot, and
+groups that overlap mostly the same one, so that a set meets few pivots: its
+star. A star's sets are kept as differences from the pivot, which are short for
+near copies and from which the distance of any two of them follows exactly. In
+a star nothing is paired in full: the set nearest to the pivot links with all
+that lie near enough whatever their differences are, and only for the others
+are shared elements of the differences counted, through an inverted index. A
+star beyond ``BLOCK`` sets is split into blocks by hash, and blocks are
+compared two by two; a task returns a forest of its links. Sets that share a
+signature share a star, so no link between components is lost. Shingles are
+hashed to 64 bits.
 
 Defined results: a text without words has an empty set, linked with nothing;
 rows with equal ids share a component only if their sets link; null ids are
@@ -44,6 +48,7 @@ from paneltide.llm.components import components
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BLOCK = 4096  # sets of a star that are compared in one task, about
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -177,7 +182,7 @@ def set_ids(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([int(_mix(np.array([np.add.reduce(_mix(s ^ _STEP), dtype=np.uint64) + np.uint64(len(s))]))[0]) for s in sets], np.uint64).view(np.int64)
 
 
-def _slices(batch, most: int = 4_000_000):
+def _slices(batch, most: int = 1_000_000):
     """Rows of a batch, about ``most`` bytes of text at a time."""
     held, size, first = [], 0, 0
     for i, v in enumerate(batch.column("t")):
@@ -191,16 +196,17 @@ def _slices(batch, most: int = 4_000_000):
 
 
 def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents: doc_id, n_shingles, set_id; components: node, label of set
-    ids). Documents of one class have the same label, or set id without one."""
+    """(documents: doc_id, tie (a hash of the text), n_shingles, set_id;
+    components: node, label of set ids). Documents of one class have the same label, or set id without one."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
+    rows = rows.withColumn("tie", F.xxhash64("t"))
 
     def sized(batches):
         for batch in batches:
             for first, texts in _slices(batch):
                 sets = shingle_sets(texts, width)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                                                  pa.array(set_ids(sets))], ["doc_id", "n_shingles", "set_id"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(sets)), batch.column("tie").slice(first, len(sets)),
+                                                  pa.array([len(s) for s in sets], pa.int64()), pa.array(set_ids(sets))], ["doc_id", "tie", "n_shingles", "set_id"])
 
     def signed(batches):
         for batch in batches:
@@ -216,99 +222,151 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays([pa.array(set_ids(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "items"])
 
-    documents = store.materialise(rows.mapInArrow(sized, "doc_id long, n_shingles long, set_id long"), "sets")
+    spark = docs.sparkSession
+    documents = store.materialise(rows.mapInArrow(sized, "doc_id long, tie long, n_shingles long, set_id long"), "sets")
     by = W.partitionBy("sig")
-    signs = rows.mapInArrow(signed, "sig long, set_id long")
-    marked = signs.withColumns({"low": F.min("set_id").over(by), "high": F.max("set_id").over(by),
-                                "print": F.sum(F.xxhash64("set_id") % (1 << 32)).over(by)}).filter("low <> high")
-    # signatures with the same members are one group
-    groups = store.materialise(marked.groupBy("print", "low", "high", "set_id").agg(F.count("*").alias("shared")).select(
-        F.xxhash64("print", "low", "high").alias("grp"), "set_id").distinct(), "groups")
-    named = groups.select("set_id").distinct()
+    marked = rows.drop("tie").mapInArrow(signed, "sig long, set_id long").withColumns({
+        "low": F.min("set_id").over(by), "high": F.max("set_id").over(by),
+        "print": F.sum(F.xxhash64("set_id") % (1 << 32)).over(by)}).filter("low <> high")
+    # signatures with the same members are one group; it weighs as many
+    groups = store.materialise(marked.groupBy("print", "low", "high", "set_id").agg(F.count("*").alias("weight")).groupBy(
+        F.xxhash64("print", "low", "high").alias("grp"), "set_id").agg(F.max("weight").alias("weight")), "groups")
+    del marked
+    store.release(spark)
+    stars = store.materialise(_stars(groups), "stars")
+    named = stars.select(F.col("set_id")).unionByName(stars.select(F.col("pivot").alias("set_id"))).distinct()
     firsts = documents.join(named, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("id")).select("id").distinct()
-    sets = rows.join(firsts, "id", "left_semi").mapInArrow(whole, "set_id long, items binary").groupBy("set_id").agg(F.first("items").alias("items"))
-    sets = store.materialise(sets, "items")
-    return documents, _link(groups, sets, percent)
+    near = rows.drop("tie").join(firsts, "id", "left_semi").mapInArrow(whole, "set_id long, items binary")
+    sets = store.materialise(near.join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("items").alias("items")), "items")
+    del near
+    store.release(spark)
+    links = store.materialise(_links(stars, sets, percent), "links")
+    store.release(spark)
+    return documents, components(links)
+
+
+def _stars(groups: DataFrame, steps: int = 2) -> DataFrame:
+    """(pivot, set_id): each group's members meet under the group's pivot. The
+    pivot is the set with the most signatures shared (then the smallest), seen
+    from the group and, for each step, from the groups its members are in."""
+    best = groups.groupBy("set_id").agg(F.sum("weight").alias("w")).select("set_id", F.struct((-F.col("w")).alias("w"), F.col("set_id").alias("s")).alias("best"))
+    for _ in range(steps):
+        grp = groups.join(best, "set_id").groupBy("grp").agg(F.min("best").alias("best"))
+        best = groups.join(grp, "grp").groupBy("set_id").agg(F.min("best").alias("best"))
+    grp = groups.join(best, "set_id").groupBy("grp").agg(F.min("best").alias("best"))
+    return groups.join(grp, "grp").select(F.col("best.s").alias("pivot"), "set_id").distinct()
+
+
+def star_links(ids: np.ndarray, sizes: np.ndarray, deltas: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A forest of links of the sets whose differences from one pivot are
+    ``deltas``. Sets x, y differ in |Ex| + |Ey| - 2 |Ex & Ey| elements and link
+    when that is at most ``a`` (|x| + |y|), a = (100 - percent) / (100 +
+    percent). With w = |E| - a |x| this is |Ex & Ey| >= (wx + wy) / 2."""
+    n = len(ids)
+    keep, more = 100 - percent, 100 + percent
+    w = np.array([len(d) for d in deltas]) * more - keep * sizes  # whole numbers: w times ``more``
+    parent = list(range(n))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+
+    def join(x: int, y: int) -> None:
+        a, b = find(x), find(y)
+        if a != b:
+            parent[b] = a
+            out.append((int(ids[x]), int(ids[y])))
+
+    # whatever wx + wy <= 0 links, links with the smallest w as well
+    centre = int(np.argmin(w))
+    for y in np.flatnonzero(w + w[centre] <= 0).tolist():
+        join(centre, y)
+    far = np.flatnonzero(w + w[centre] > 0)
+    if len(far) and n > 1:
+        flat = np.concatenate(deltas) if deltas else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(n), [len(d) for d in deltas])
+        order = np.argsort(flat, kind="stable")
+        value, first = np.unique(flat[order], return_index=True)
+        posting, ends = owner[order], np.append(first[1:], len(flat))
+        for u in far.tolist():
+            at = np.searchsorted(value, deltas[u])
+            at = at[ends[at] - first[at] > 1]
+            if not len(at):
+                continue
+            shared = np.bincount(np.concatenate([posting[first[k]: ends[k]] for k in at.tolist()]), minlength=n)
+            for y in np.flatnonzero((shared > 0) & (2 * more * shared >= w + w[u])).tolist():
+                if y != u:
+                    join(u, y)
+    return out
+
 
+def _links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    pivots = sets.select(F.col("set_id").alias("pivot"), F.col("items").alias("centre"))
+    sizes = stars.groupBy("pivot").agg((F.floor(F.count("*") / BLOCK) + 1).cast("int").alias("blocks"))
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    def check(batches):
+    def differ(batches):
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("set_id").alias("u"), F.col("items").alias("a"))
-    right = sets.select(F.col("set_id").alias("v"), F.col("items").alias("b"))
-    return pairs.join(right, "v").join(left, "u").select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
-
-
-def _link(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components of the sets that share signatures, in rounds of pivots."""
-    spark = groups.sparkSession
-    tried, links, pivots = [], [], 1
-    label = None
-    while True:
-        if label is None:
-            open_ = groups.withColumns({"label": F.col("set_id"), "degree": F.lit(0)})
-        else:
-            link = links[0] if len(links) == 1 else links[0].unionByName(links[1])
-            degree = link.select(F.col("u").alias("set_id")).unionByName(link.select(F.col("v").alias("set_id"))).groupBy("set_id").agg(F.count("*").alias("degree"))
-            open_ = groups.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").join(degree, "set_id", "left")
-            open_ = open_.select("grp", "set_id", F.coalesce("label", "set_id").alias("label"), F.coalesce("degree", F.lit(0)).alias("degree"))
-            mixed = open_.groupBy("grp").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).filter("x <> y")
-            open_ = store.materialise(open_.join(mixed.select("grp"), "grp", "left_semi"), "open")
-            groups = open_.select("grp", "set_id")  # settled groups stay settled
-        order = W.partitionBy("grp").orderBy(F.desc("degree"), "set_id")
-        pivot = open_.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots)
-        pivot = pivot.select("grp", F.col("set_id").alias("p"), F.col("label").alias("p_label"))
-        pairs = open_.join(pivot, "grp").filter("label <> p_label").select(
-            F.greatest("p", "set_id").alias("u"), F.least("p", "set_id").alias("v")).distinct()
-        for old in tried:
-            pairs = pairs.join(old, ["u", "v"], "left_anti")
-        pairs = store.materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            most = 0 if label is None else (open_.groupBy("grp").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0)
-            if pivots >= most:
-                break
-            pivots *= 16
-            continue
-        tried.append(pairs)
-        found = store.materialise(_verified(pairs, sets, percent), "found")
-        links.append(found)
-        known = found if label is None else found.unionByName(label.select(F.col("node").alias("u"), F.col("label").alias("v")))
-        label = components(known)
-        if len(links) == 3:  # degrees need all links, as one table
-            links = [store.materialise(links[0].unionByName(links[1]).unionByName(links[2]), "found")]
-        pivots = 2 if len(tried) == 1 else pivots * 16
-    if label is None:
-        return spark.createDataFrame([], "node long, label long")
-    return label
+            sizes_, delta = [], []
+            for a, b in zip(batch.column("items"), batch.column("centre")):
+                x, c = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                sizes_.append(len(x))
+                delta.append(np.setxor1d(x, c, assume_unique=True).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("blocks"), batch.column("set_id"), pa.array(sizes_, pa.int64()),
+                                              pa.array(delta, pa.binary())], ["pivot", "blocks", "set_id", "n", "delta"])
+
+    def compare(batches):
+        key, held = None, []
+
+        def found():
+            ids, sizes_, deltas = zip(*held)
+            links = star_links(np.array(ids), np.array(sizes_), [np.frombuffer(d, np.uint64) for d in deltas], percent)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            delta = batch.column("delta")
+            for r, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pivot", "i", "j", "set_id", "n")))):
+                if row[:3] != key:
+                    if len(held) > 1:
+                        yield found()
+                    key, held = row[:3], []
+                held.append((*row[3:], delta[r].as_buffer().to_pybytes()))
+        if len(held) > 1:
+            yield found()
+
+    rows = stars.join(sets, "set_id").join(sizes, "pivot").join(pivots, "pivot").select("pivot", "blocks", "set_id", "items", "centre")
+    rows = rows.mapInArrow(differ, "pivot long, blocks int, set_id long, n long, delta binary")
+    # a set of block b takes part in all pairs of blocks with b
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("set_id"), "blocks").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("pivot", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "set_id", "n", "delta")
+    return rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(compare, "u long, v long")
 
 
 def joined(docs: DataFrame, percent: int, width: int = 4, **columns) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id of its class)."""
+    return _joined(docs, percent, width, **columns).drop("tie")
+
+
+def _joined(docs: DataFrame, percent: int, width: int, **columns) -> DataFrame:
     documents, label = classes(docs, percent, width, **columns)
     rows = documents.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-    rows = rows.select("doc_id", "n_shingles", F.coalesce("label", "set_id").alias("label"))
+    rows = rows.select("doc_id", "tie", "n_shingles", F.coalesce("label", "set_id").alias("label"))
     least = rows.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "label", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "tie", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their near copies: of each class the one with the
     smallest id stays, of rows with that id and equal texts one."""
-    joined_ = joined(docs, percent, width, id_col=id_col, text_col=text_col)
-    first = joined_.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("same"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"))
-    out = rows.join(first, F.col("id").eqNullSafe(F.col("doc_id")))
+    classes_ = _joined(docs, percent, width, id_col=id_col, text_col=text_col)
+    first = classes_.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", F.col("tie").alias("of")).agg(F.count("*").alias("same"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.col(text_col).cast("binary")).alias("tie"))
+    out = rows.join(first, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("tie") == F.col("of")))
     repeated = out.filter("same > 1").dropDuplicates(["id", "tie"])
     return out.filter("same = 1").unionByName(repeated).select("row.*")
 

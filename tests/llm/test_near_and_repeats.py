@@ -75,7 +75,7 @@ def test_edge_rows(spark, edge, empty):
     kept = partenum_join.one_of_each(edge, 85, 4)
     assert kept.columns == edge.columns
     ids = [k["doc_id"] for k in kept.collect()]
-    assert ids.count(6) == 1 and 4 not in ids and 5 not in ids and {0, 1, 2, 3} <= set(ids)
+    assert ids.count(6) == 1 and ids.count(12) == 1 and 4 not in ids and 5 not in ids and {0, 1, 2, 3} <= set(ids)
     assert partenum_join.joined(empty, 85).count() == 0 and partenum_join.one_of_each(empty, 85, 4).count() == 0
 
 
