@@ -47,8 +47,10 @@ def candidates(order: np.ndarray, values: np.ndarray, centre: np.ndarray, most:
     lo = hi = None
     half = FIRST
     while True:
-        a = [int(np.searchsorted(values[j], centre[j] - half)) for j in range(lines)]
-        b = [int(np.searchsorted(values[j], centre[j] + half, side="right")) for j in range(lines)]
+        # ends of the values' own type: else each search would convert its array
+        low, high = (centre - half).astype(values.dtype), (centre + half).astype(values.dtype)
+        a = [int(values[j].searchsorted(low[j])) for j in range(lines)]
+        b = [int(values[j].searchsorted(high[j], side="right")) for j in range(lines)]
         if lo is None:
             new = [order[j, a[j]: b[j]] for j in range(lines)]
         else:
