@@ -305,44 +305,43 @@ def star_links(ids: np.ndarray, sizes: np.ndarray, deltas: list[np.ndarray], per
 
 
 def _links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    pivots = sets.select(F.col("set_id").alias("pivot"), F.col("items").alias("centre"))
+    """Links of all stars. A star's sets and its pivot travel once, to the task
+    that compares them; the pivot's row comes first there."""
     sizes = stars.groupBy("pivot").agg((F.floor(F.count("*") / BLOCK) + 1).cast("int").alias("blocks"))
-
-    def differ(batches):
-        for batch in batches:
-            sizes_, delta = [], []
-            for a, b in zip(batch.column("items"), batch.column("centre")):
-                x, c = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                sizes_.append(len(x))
-                delta.append(np.setxor1d(x, c, assume_unique=True).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("blocks"), batch.column("set_id"), pa.array(sizes_, pa.int64()),
-                                              pa.array(delta, pa.binary())], ["pivot", "blocks", "set_id", "n", "delta"])
+    rows = stars.select("pivot", "set_id", F.lit(1).alias("member")).unionByName(
+        stars.select("pivot", F.col("pivot").alias("set_id"), F.lit(0).alias("member")).distinct()).join(sizes, "pivot")
+    # a set of block b takes part in all pairs of blocks with b, the pivot's row in all pairs
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    b = F.pmod(F.xxhash64("set_id"), "blocks").cast("int")
+    mine = F.transform(every, lambda o: F.struct(F.least(b, o).alias("i"), F.greatest(b, o).alias("j")))
+    pairs = F.flatten(F.transform(every, lambda i: F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    rows = rows.join(sets, "set_id").withColumn("at", F.explode(F.when(F.col("member") == 1, mine).otherwise(pairs)))
+    rows = rows.select("pivot", "at.i", "at.j", "member", "set_id", "items")
 
     def compare(batches):
-        key, held = None, []
+        key, centre, held = None, None, []
 
         def found():
             ids, sizes_, deltas = zip(*held)
-            links = star_links(np.array(ids), np.array(sizes_), [np.frombuffer(d, np.uint64) for d in deltas], percent)
+            links = star_links(np.array(ids), np.array(sizes_), list(deltas), percent)
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
 
         for batch in batches:
-            delta = batch.column("delta")
-            for r, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pivot", "i", "j", "set_id", "n")))):
-                if row[:3] != key:
+            items = batch.column("items")
+            for r, (pivot, i, j, member, set_id) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pivot", "i", "j", "member", "set_id")))):
+                x = np.frombuffer(items[r].as_buffer().to_pybytes(), np.uint64)
+                if (pivot, i, j) != key:
                     if len(held) > 1:
                         yield found()
-                    key, held = row[:3], []
-                held.append((*row[3:], delta[r].as_buffer().to_pybytes()))
+                    key, held = (pivot, i, j), []
+                if member:
+                    held.append((set_id, len(x), np.setxor1d(x, centre, assume_unique=True)))
+                else:
+                    centre = x
         if len(held) > 1:
             yield found()
 
-    rows = stars.join(sets, "set_id").join(sizes, "pivot").join(pivots, "pivot").select("pivot", "blocks", "set_id", "items", "centre")
-    rows = rows.mapInArrow(differ, "pivot long, blocks int, set_id long, n long, delta binary")
-    # a set of block b takes part in all pairs of blocks with b
-    rows = rows.withColumn("b", F.pmod(F.xxhash64("set_id"), "blocks").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("pivot", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "set_id", "n", "delta")
-    return rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(compare, "u long, v long")
+    return rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "member").mapInArrow(compare, "u long, v long")
 
 
 def joined(docs: DataFrame, percent: int, width: int = 4, **columns) -> DataFrame:

@@ -51,8 +51,9 @@ def family(seed, words, copies, edits):
     return out
 
 
-@pytest.mark.parametrize("percent,width", [(85, 4), (80, 5)])
-def test_join_against_brute_force(spark, percent, width):
+@pytest.mark.parametrize("percent,width,block", [(85, 4, 4096), (80, 5, 4096), (85, 4, 7)])
+def test_join_against_brute_force(spark, monkeypatch, percent, width, block):
+    monkeypatch.setattr(partenum_join, "BLOCK", block)
     r = random.Random(percent)
     texts = []
     for seed, (words, copies, edits) in enumerate([(5, 4, 1), (12, 6, 1), (40, 10, 2), (150, 40, 6), (400, 25, 16), (1500, 6, 60), (9, 5, 1), (70, 30, 4)]):
