@@ -237,10 +237,10 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
     named = stars.select(F.col("set_id")).unionByName(stars.select(F.col("pivot").alias("set_id"))).distinct()
     firsts = documents.join(named, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("id")).select("id").distinct()
     near = rows.drop("tie").join(firsts, "id", "left_semi").mapInArrow(whole, "set_id long, items binary")
-    sets = store.materialise(near.join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("items").alias("items")), "items")
-    del near
-    store.release(spark)
+    # grouped and joined with the stars by the same key: the sets move once for both
+    sets = near.join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("items").alias("items"))
     links = store.materialise(_links(stars, sets, percent), "links")
+    del near, sets
     store.release(spark)
     return documents, components(links)
 
