@@ -195,6 +195,11 @@ def _slices(batch, most: int = 1_000_000):
         yield first, held
 
 
+def _smallest(doc_id: str, *more: str):
+    """The least (id, more) of a group, null ids after all others."""
+    return F.min(F.struct(F.col(doc_id).isNull().alias("void"), doc_id, *more))
+
+
 def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, tie (a hash of the text), n_shingles, set_id;
     components: node, label of set ids). Documents of one class have the same label, or set id without one."""
@@ -235,8 +240,11 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
     store.release(spark)
     stars = store.materialise(_stars(groups), "stars")
     named = stars.select(F.col("set_id")).unionByName(stars.select(F.col("pivot").alias("set_id"))).distinct()
-    firsts = documents.join(named, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("id")).select("id").distinct()
-    near = rows.drop("tie").join(firsts, "id", "left_semi").mapInArrow(whole, "set_id long, items binary")
+    # a row that holds the set, also if only rows with null ids do
+    firsts = documents.join(named, "set_id").groupBy("set_id").agg(_smallest("doc_id", "tie").alias("first"))
+    firsts = firsts.select(F.col("first.doc_id").alias("of"), F.col("first.tie").alias("text")).distinct()
+    near = rows.join(firsts, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("text")), "left_semi").drop("tie").mapInArrow(
+        whole, "set_id long, items binary")
     # grouped and joined with the stars by the same key: the sets move once for both
     sets = near.join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("items").alias("items"))
     links = store.materialise(_links(stars, sets, percent), "links")
@@ -333,8 +341,10 @@ def _links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if (pivot, i, j) != key:
                     if len(held) > 1:
                         yield found()
-                    key, held = (pivot, i, j), []
+                    key, centre, held = (pivot, i, j), None, []
                 if member:
+                    if centre is None:
+                        raise ValueError(f"the set of pivot {pivot} is missing")
                     held.append((set_id, len(x), np.setxor1d(x, centre, assume_unique=True)))
                 else:
                     centre = x
@@ -346,23 +356,26 @@ def _links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def joined(docs: DataFrame, percent: int, width: int = 4, **columns) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id of its class)."""
-    return _joined(docs, percent, width, **columns).drop("tie")
+    rows = _labelled(docs, percent, width, **columns)
+    least = rows.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "label", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _joined(docs: DataFrame, percent: int, width: int, **columns) -> DataFrame:
+def _labelled(docs: DataFrame, percent: int, width: int, **columns) -> DataFrame:
     documents, label = classes(docs, percent, width, **columns)
     rows = documents.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-    rows = rows.select("doc_id", "tie", "n_shingles", F.coalesce("label", "set_id").alias("label"))
-    least = rows.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    out = rows.join(least, "label", "left")
-    return out.select("doc_id", "tie", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return rows.select("doc_id", "tie", "n_shingles", F.coalesce("label", "set_id").alias("label"))
 
 
 def one_of_each(docs: DataFrame, percent: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their near copies: of each class the one with the
-    smallest id stays, of rows with that id and equal texts one."""
-    classes_ = _joined(docs, percent, width, id_col=id_col, text_col=text_col)
-    first = classes_.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", F.col("tie").alias("of")).agg(F.count("*").alias("same"))
+    smallest id stays (null ids after all others; of several texts with that
+    id the one with the smallest hash), of rows with that id and equal texts one."""
+    rows = _labelled(docs, percent, width, id_col=id_col, text_col=text_col)
+    rows = rows.groupBy("label", "doc_id", "tie", (F.col("n_shingles") > 0).alias("words")).agg(F.count("*").alias("same"))
+    first = rows.filter("words").groupBy("label").agg(_smallest("doc_id", "tie", "same").alias("first")).select("first.doc_id", "first.tie", "first.same")
+    first = first.unionByName(rows.filter("not words").select("doc_id", "tie", "same")).withColumnRenamed("tie", "of")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id"),
                        F.xxhash64(F.col(text_col).cast("binary")).alias("tie"))
     out = rows.join(first, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("tie") == F.col("of")))

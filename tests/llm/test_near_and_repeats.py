@@ -80,6 +80,26 @@ def test_edge_rows(spark, edge, empty):
     assert partenum_join.joined(empty, 85).count() == 0 and partenum_join.one_of_each(empty, 85, 4).count() == 0
 
 
+def test_sets_that_only_null_ids_hold(spark):
+    """Such sets link as members and as pivots of their stars."""
+    w = prose(55, 200).split()
+    bridge = [" ".join(w[k: k + 150]) for k in (0, 10, 20)]  # the middle links with both, the ends do not
+    rows = [(20, bridge[0]), (None, bridge[1]), (21, bridge[2])]
+    rows += [(None if k % 3 else 30 + k, t) for k, t in enumerate(family(56, 90, 9, 1))]
+    rows += [(None, t) for t in dict.fromkeys(family(57, 60, 9, 1))]  # a class without any id
+    rows += [(50, t) for t in dict.fromkeys(family(58, 60, 9, 1))] + [(None, ""), (None, None), (60, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = partenum_join.joined(docs, 85).collect()
+    assert sorted((str(g["doc_id"]), g["n_shingles"], str(g["component_id"])) for g in got) == brute(rows, 85, 4)
+    for first in (7, None):  # one of the two is its star's pivot
+        pair = [(first, bridge[0]), (None, bridge[1])]
+        got = partenum_join.joined(spark.createDataFrame(pair, "doc_id long, text string"), 85).collect()
+        assert sorted((str(g["doc_id"]), g["n_shingles"], str(g["component_id"])) for g in got) == brute(pair, 85, 4)
+    kept = sorted((str(k["doc_id"]), k["text"] or "") for k in partenum_join.one_of_each(docs, 85, 4).collect())
+    assert [k for k, t in kept if t] == ["20", "30", "50", "None"]
+    assert [k for k, t in kept if not t] == ["60", "None", "None"]
+
+
 def test_linked_sets_share_a_signature():
     """Sets at the very edge of the threshold, of many sizes."""
     r = np.random.default_rng(3)
