@@ -1,14 +1,16 @@
 """Secret scans: fixed patterns, and a randomness test battery for the rest.
 
 Everything is DataFrame functions. Three kinds of pattern give the base spans.
-Besides, every long run of key characters with letters and digits is a
-candidate: its alphabet is inferred, and three tests ask whether it could be a
+Besides, long runs of key characters are candidates: a run is cut at ``=``, and
+a piece is tested as it is, without the names before it, and in its parts
+between ``-`` and ``_`` (see ``_readings``). A reading's alphabet is inferred, and three tests ask whether it could be a
 uniform random string over it: chi-squared on cells of the alphabet, the runs
 of its upper and lower half, and the lag-one serial correlation. Their p-values
 are joined by Fisher's rule. Longer strings are rejected more easily, so the
 Benjamini-Hochberg rule runs in each band of lengths by itself: at most a share
 ``q`` of the strings called text in a band are random ones. Candidates that are
-not rejected are reported as kind ``random``, unless they touch a base span.
+not rejected are reported as kind ``random``, unless they touch a base span or
+lie within another one.
 
 The p-values of all documents enter the rule as counts on a fixed grid of
 -log10 p (bounded, whatever the corpus); thresholds reach the driver, one per
@@ -41,10 +43,15 @@ RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # pattern and alphabet, the narrowest first
 ENCODINGS = (
-    (r"^[0-9a-f]+$", DIGITS + "abcdef"), (r"^[0-9A-F]+$", DIGITS + "ABCDEF"), (r"^[A-Z2-7]+$", UPPER + "234567"),
-    (r"^[a-z0-9]+$", LOWER + DIGITS), (r"^[A-Z0-9]+$", UPPER + DIGITS), (r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
+    (r"^[0-9]+$", DIGITS), (r"^[0-9a-f]+$", DIGITS + "abcdef"), (r"^[0-9A-F]+$", DIGITS + "ABCDEF"), (r"^[a-z]+$", LOWER), (r"^[A-Z]+$", UPPER), (r"^[A-Z2-7]+$", UPPER + "234567"),
+    (r"^[a-z0-9]+$", LOWER + DIGITS), (r"^[A-Z0-9]+$", UPPER + DIGITS), (r"^[A-Za-z]+$", UPPER + LOWER), (r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     (r"^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"), (r".", UPPER + LOWER + DIGITS + "-_+/"),
 )
+LEAST = 24
+# a piece whose groups are one-case hex or all hold a digit is read without its dashes, too
+DASHED = r"^(?:[0-9a-f_-]+|[0-9A-F_-]+|(?:[A-Za-z]*[0-9][A-Za-z0-9]*[_-]+)+[A-Za-z]*[0-9][A-Za-z0-9]*)$"
+_WORD = "(?:(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,2}|[0-9]{1,4})"
+WORDS = rf"^{_WORD}(?:[_-]+{_WORD})+$"  # a name of several words, tested as a whole only
 GRID, GRID_TOP = 50, 15_000  # steps of -log10 p
 Q = 0.01
 
@@ -129,6 +136,31 @@ def p_random(run: Column) -> Column:
                  F.char_length(x.k).alias("a"), F.char_length(x.b).cast("double").alias("n")), tests))
 
 
+def _readings(runs: Column) -> Column:
+    """All readings of an array of runs (start, end, text): what lies between
+    the ``=``, each such piece without its first name or all leading names, its
+    parts between dashes, and dashed keys without their dashes. Names of several
+    words are read as a whole only."""
+
+    def cut(s: Column, pattern: str) -> Column:
+        return F.transform(spans(*matches(s.text, pattern)), lambda x: F.struct(
+            (s.start + x.start).alias("start"), (s.start + x.end).alias("end"), x.text.alias("text")))
+
+    def tail(s: Column, name: str) -> Column:
+        rest = F.regexp_replace(s.text, name, "")
+        return F.struct((s.end - F.char_length(rest)).alias("start"), s.end.alias("end"), rest.alias("text"))
+
+    long = lambda found: F.filter(found, lambda s: F.char_length(s.text) >= LEAST)
+    pieces = long(F.flatten(F.transform(runs, lambda s: cut(s, r"[A-Za-z0-9+/_-]+(?:=+$)?"))))
+    whole = pieces
+    pieces = F.flatten(F.transform(pieces, lambda s: F.array(s, tail(s, "^[A-Za-z]+[_-]+"), tail(s, "^(?:[A-Za-z]+[_-]+)+"))))
+    pieces = F.filter(F.array_distinct(long(pieces)), lambda s: ~s.text.rlike(WORDS))
+    parts = F.flatten(F.transform(pieces, lambda s: cut(s, r"[A-Za-z0-9+/]+(?:=+$)?")))
+    dashed = F.transform(F.filter(pieces, lambda s: s.text.rlike("[_-]") & s.text.rlike(DASHED)), lambda s: F.struct(
+        s.start.alias("start"), s.end.alias("end"), F.regexp_replace(s.text, "[_-]", "").alias("text")))
+    return F.filter(F.array_distinct(long(F.concat(whole, pieces, parts, dashed))), lambda s: s.text.rlike("[A-Za-z0-9].*[A-Za-z0-9]"))
+
+
 def _band(n: Column) -> Column:
     return F.least(F.floor(F.log2(n)), F.lit(12)).cast("int")
 
@@ -155,9 +187,8 @@ def scanned(docs: DataFrame, text_col: str) -> DataFrame:
     kept = F.filter(F.zip_with("__as", "__a2", lambda s, v: F.struct(s.start, s.end, F.char_length(v).alias("n"))), lambda s: s.n >= ASSIGN_LEAST)
     mark = lambda col, k: F.transform(col, lambda s: F.struct(s.start.alias("start"), F.lit(k).alias("kind"), s.end.alias("end")))
     df = df.withColumn("base", F.array_sort(F.concat(mark(kept, 0), mark(F.col("__ks"), 1), mark(F.col("__hs"), 2))))
-    mixed = lambda s: s.text.rlike("[0-9]") & s.text.rlike("[A-Za-z]")
     free = lambda s: ~F.exists("base", lambda b: (b.start < s.end) & (s.start < b.end))
-    runs = F.transform(F.filter("__rs", lambda s: mixed(s) & free(s)), lambda s: F.struct(
+    runs = F.transform(F.filter(F.when(F.size("__rs") > 0, _readings(F.col("__rs"))).otherwise(none), free), lambda s: F.struct(
         s.start, s.end, _band(F.char_length(s.text)).alias("band"), p_random(s.text).alias("p")))
     df = df.withColumn("runs", F.when(F.size("__rs") > 0, runs).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,band:int,p:double>>")))
     return df.drop(*(f"__{x}{k}" for x in "akhr" for k in (0, 1, 2, "s")))
@@ -179,6 +210,8 @@ def with_spans(table: DataFrame, cuts: dict[int, float]) -> DataFrame:
     """Adds ``all``: base spans and the candidates that stay random, in order."""
     limit = lambda band: reduce(lambda rest, x: F.when(band == x[0], F.lit(x[1])).otherwise(rest), cuts.items(), F.lit(-1.0))
     random = F.transform(F.filter("runs", lambda r: r.p > limit(r.band)), lambda r: F.struct(r.start.alias("start"), F.lit(3).alias("kind"), r.end.alias("end")))
+    random = _let(F.array_distinct(random), lambda found: F.filter(found, lambda s: ~F.exists(
+        found, lambda o: (o.start <= s.start) & (s.end <= o.end) & (o.end - o.start > s.end - s.start))))
     return table.withColumn("all", F.array_sort(F.concat("base", random)))
 
 

@@ -65,6 +65,25 @@ def test_battery_tells_random_strings_from_words(spark):
     assert text[got[0][0]["start"]: got[0][0]["end"]] == keys[0]
 
 
+def test_keys_after_names(spark):
+    """Keys glued to a name, dashed and one-kind keys among many plain names."""
+    r = random.Random(12)
+    key = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
+    low, hexa = secret_scan.LOWER + secret_scan.DIGITS, "0123456789abcdef"
+    url = secret_scan.UPPER + low + "-_"
+    forms = [lambda: "sig=" + key(low, 40), lambda: "key_" + key(low, 32), lambda: "sig=" + key(hexa, 24), lambda: "aws_id-" + key(hexa, 30),
+             lambda: "-".join(key(hexa, n) for n in (8, 4, 4, 4, 12)), lambda: "sig=" + key(url, 43), lambda: key(secret_scan.UPPER, 40), lambda: key(secret_scan.DIGITS, 28)]
+    names = ["_".join(r.choice(["module", "version2", "release", "archive", "section", "number", "file", "table3"]) for _ in range(k)) + "_1" for k in (8, 9, 10) for _ in range(100)]
+    keys = [form() for form in forms for _ in range(25)]
+    rows = [(k, f"{prose(k, 5)} {t} end") for k, t in enumerate(keys + names)]
+    got = {x["doc_id"]: [s for s in x["all"] if s["kind"] == 3] for x in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ends = {k: t.index(" end") for k, t in rows}
+    found = [any(s["end"] == ends[k] and s["end"] - s["start"] >= 24 for s in got[k]) for k in range(len(keys))]
+    shares = [np.mean(found[25 * f: 25 * f + 25]) for f in range(len(forms))]
+    plain = np.mean([len(got[k]) > 0 for k in range(len(keys), len(rows))])
+    assert min(shares) > 0.85 and plain < 0.05, (shares, plain)
+
+
 def test_normal_tail(spark):
     from math import erfc, sqrt
 
