@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from paneltide.llm import collision_ann, curve_packing, flow_mixing, impact_topk, lpt_sharding, partenum_join, quality_bayes, run_length_index, secret_scan, store, wavelet
+from paneltide.llm import (
+    collision_ann, curve_packing, decontamination, flow_mixing, impact_topk, lpt_sharding, partenum_join, quality_bayes,
+    run_length_index, secret_scan, spelling_variants, store, wavelet, whitening,
+)
 
 
 def _shipped(query):
@@ -27,6 +30,12 @@ QUERIES = {
     "op8_partenum_join": partenum_join.q_op8,
     "op9_collision_ann": collision_ann.q_op9,
     "op10_lpt_sharding": lpt_sharding.q_op10,
+    "op11_whitening": whitening.q_op11,
+    "op12_decontamination": decontamination.q_op12,
+    "op13_spelling_variants": spelling_variants.q_op13,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_decontamination": decontamination.SQL_OP12,
+    "op13_spelling_variants": spelling_variants.SQL_OP13,
+}
