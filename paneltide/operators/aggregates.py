@@ -4,7 +4,7 @@ into long rows with ``stack`` instead of one job per column."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import safe_div
@@ -148,21 +148,28 @@ def layer_report(df: DataFrame, key: str, t: str) -> DataFrame:
 
 
 def weighted_moments(df: DataFrame, feats: list[str], weight: str) -> DataFrame:
-    """A13 core: weighted mean and population std per feature, long form; NULL
-    without any weight. Values are doubles of any size; the sums' last digits
-    depend on the order in which rows are added."""
-    aggs = [F.sum(weight).cast("double").alias("_w")]
-    for i, f in enumerate(feats):
-        x, w = F.col(f).cast("double"), F.col(weight).cast("double")
-        aggs += [F.sum(x * w).alias(f"_s{i}"), F.sum(x * x * w).alias(f"_q{i}")]
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"{_lit(f)}, `_s{i}`, `_q{i}`" for i, f in enumerate(feats))
-    long = wide.select("_w", F.expr(f"stack({len(feats)}, {parts}) AS (feature, _s, _q)"))
-    mean = F.try_divide(F.col("_s"), F.col("_w"))
-    return long.select(
-        "feature", mean.alias("mean"),
-        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_q"), F.col("_w")) - mean * mean)).alias("std"),
-    )
+    """A13 core: weighted mean and population std per feature, long form.
+
+    Rows of one weight share a state of count, mean and mean squared deviation
+    from that mean, which rows update and tasks merge; the states of the
+    weights (as many as a window has steps, so a few rows) are then merged
+    around the common mean. So no digits are lost where values are large beside their spread,
+    and the raw rows are read once. Rows without a value or a positive weight
+    don't count; a feature without any is NULL. Only the last digits depend on
+    the order in which states merge."""
+    parts = ", ".join(f"{_lit(f)}, CAST(`{f}` AS DOUBLE)" for f in feats)
+    long = df.select(F.col(weight).cast("double").alias("_w"), F.expr(f"stack({len(feats)}, {parts}) AS (feature, _x)"))
+    long = long.where((F.col("_w") > 0) & F.col("_x").isNotNull())
+    states = long.groupBy("feature", "_w").agg(F.count("*").alias("_n"), F.avg("_x").alias("_m"), F.var_pop("_x").alias("_v"))
+    states = states.select("feature", "_m", "_v", (F.col("_w") * F.col("_n")).alias("_w"))
+    own = Window.partitionBy("feature")
+    states = states.withColumn("mean", F.sum(F.col("_w") * F.col("_m")).over(own) / F.sum("_w").over(own))
+    off = F.col("_m") - F.col("mean")
+    # what the rounding of the mean leaves is taken off again
+    square = F.sum(F.col("_w") * (F.col("_v") + off * off)) / F.sum("_w") - F.pow(F.sum(F.col("_w") * off) / F.sum("_w"), F.lit(2.0))
+    merged = states.groupBy("feature", "mean").agg(F.sqrt(F.greatest(F.lit(0.0), square)).alias("std"))
+    names = df.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
+    return names.join(F.broadcast(merged), "feature", "left")  # one row for each feature
 
 
 def as_pairs(cols: list[str]) -> list[tuple[str, str]]:

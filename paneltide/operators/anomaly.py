@@ -1,17 +1,14 @@
 """Anomaly operators (M4-M8): z-scores with saved statistics, per-key
 contamination flags, known-event labels, the anomaly feed, and two
-re-aimed scorers (PCA reconstruction error, isolation forest)."""
+scorers (PCA reconstruction error, isolation forest)."""
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from paneltide.operators.isolation import forest_scores
 from paneltide.operators.joins import attach_scalars, broadcast_if_small
 from paneltide.operators.ordering import keyed_quantile
 
@@ -129,100 +126,9 @@ def pca_recon_error(seqs: DataFrame, key: str, start: str, vec: str, d: int, k:
     return seqs.select(key, step, err.alias("recon_error"))
 
 
-# ---------------------------------------------------------------------------
-# M7: isolation forest per key
-# ---------------------------------------------------------------------------
-def _c_factor(n: float) -> float:
-    if n <= 1:
-        return 0.0
-    return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
-
-
-def _grow(x: np.ndarray, n_trees: int, sample: int, seed: int) -> tuple[np.ndarray, int]:
-    """Trees as rows (tree end mark or feature, cut, left, right, depth); and
-    how many rows each was grown from. Random axis-parallel splits, the depth
-    of an unresolved leaf corrected by c(n)."""
-    rng = np.random.default_rng(seed)
-    psi = min(sample, len(x))
-    limit, nodes = int(np.ceil(np.log2(max(psi, 2)))), []
-    for _ in range(n_trees):
-        root, stack = len(nodes), [(rng.choice(len(x), psi, replace=False), 0, -1, 0)]
-        while stack:
-            at, level, parent, side = stack.pop()
-            if parent >= 0:
-                nodes[parent][2 + side] = len(nodes)
-            col = int(rng.integers(x.shape[1]))
-            lo, hi = x[at, col].min(), x[at, col].max()
-            if level >= limit or len(at) <= 1 or lo == hi:
-                nodes.append([-1, 0.0, root, -1, level + _c_factor(len(at))])
-                continue
-            cut = rng.uniform(lo, hi)
-            nodes.append([col, cut, -1, -1, 0.0])
-            me = len(nodes) - 1
-            stack.append((at[x[at, col] < cut], level + 1, me, 0))
-            stack.append((at[x[at, col] >= cut], level + 1, me, 1))
-    return np.array(nodes, float), psi
-
-
-def _scores(x: np.ndarray, nodes: np.ndarray, psi: int, n_trees: int) -> np.ndarray:
-    """score = 2 ** (-mean depth / c(psi)); all rows go down a tree together."""
-    depth = np.zeros(len(x))
-    root = 0
-    while root < len(nodes):
-        stack, last = [(root, np.arange(len(x)))], root
-        while stack:
-            node, at = stack.pop()
-            last = max(last, node)
-            col, cut, left, right, d = nodes[node]
-            if col < 0:
-                depth[at] += d
-                continue
-            low = x[at, int(col)] < cut
-            stack += [(int(left), at[low]), (int(right), at[~low])]
-        root = last + 1
-    return np.power(2.0, -depth / n_trees / max(_c_factor(psi), 1e-12))
-
-
 def isolation_forest(df: DataFrame, key: str, t: str, feats: list[str], contamination: float = 0.05,
-                     n_trees: int = 100, sample: int = 256, seed: int = 42, pool: int = 4096) -> DataFrame:
-    """M7: per-key isolation forest (Liu, Ting and Zhou, 2008; seeded),
-    flagging the top ``contamination`` share of each key's scores.
-
-    A key's forest is grown from at most ``pool`` of its rows, those with the
-    smallest hashes; each tree sees ``sample`` of them. All rows are scored, in
-    chunks of about ``pool`` rows of a key, each joined with its key's forest:
-    a key of any size is neither fitted nor scored in one group."""
-    rows = df.select(F.col(key).alias("k"), F.col(t).alias("t"),
-                     F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in feats]).alias("x"))
-    h = F.xxhash64(F.lit(seed), "k", "t")
-    order = Window.partitionBy("k").orderBy(h, "t")
-    held = (rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pool)
-                .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("r", "x"))).alias("held")))
-    width = len(feats)
-
-    @F.pandas_udf(T.StructType([T.StructField("nodes", T.BinaryType()), T.StructField("psi", T.IntegerType())]))
-    def grow(held: pd.Series) -> pd.DataFrame:
-        grown = [_grow(np.array([list(s["x"]) for s in h], float).reshape(-1, width), n_trees, sample, seed) for h in held]
-        return pd.DataFrame({"nodes": [n.tobytes() for n, _ in grown], "psi": [p for _, p in grown]})
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def score(xs: pd.Series, nodes: pd.Series, psi: pd.Series) -> pd.Series:
-        return pd.Series([_scores(np.array([list(p) for p in x], float).reshape(-1, width), np.frombuffer(n).reshape(-1, 5), int(p), n_trees)
-                          for x, n, p in zip(xs, nodes, psi)])
-
-    # ship the code with the task (pickled by value), so Python workers need
-    # only numpy and pandas, not this package on their path
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    forest = held.select("k", grow("held").alias("f"))
-    chunks = rows.groupBy("k").agg((F.floor(F.count(F.lit(1)) / pool) + 1).cast("int").alias("chunks"))
-    same = lambda other: F.col("k").eqNullSafe(F.col(other))
-    chunks, forest = chunks.withColumnRenamed("k", "ck"), forest.withColumnRenamed("k", "fk")
-    parts = (rows.join(chunks, same("ck")).select("k", "t", "x", F.pmod(F.xxhash64("t"), "chunks").alias("chunk"))
-                 .groupBy("k", "chunk").agg(F.collect_list(F.struct("t", "x")).alias("rows")))
-    scored = parts.join(forest, same("fk")).select(
-        "k", "rows", score(F.transform("rows", lambda r: r.x), "f.nodes", "f.psi").alias("s"))
-    out = scored.select("k", F.explode(F.arrays_zip(F.transform("rows", lambda r: r.t).alias("t"), F.col("s"))).alias("p"))
-    out = out.select(F.col("k").alias(key), F.col("p")["t"].alias(t), F.col("p")["s"].alias("iforest_score"))
+                     n_trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
+    """M7: per-key isolation forest, flagging the top ``contamination`` share
+    of each key's scores."""
+    out = forest_scores(df, key, t, feats, n_trees, sample, seed)
     return flag_top(out, key, "iforest_score", contamination).drop("threshold")

@@ -59,15 +59,12 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY day) - 1 AS i,
 
 
 def _moment_sql(f: str) -> str:
-    x = f"CAST({f} AS DOUBLE)"
-    return (f"SELECT '{f}' AS feature, CAST(sum(weight) AS DOUBLE) AS w, sum({x} * weight) AS s, "
-            f"sum({x} * {x} * weight) AS q FROM p_weights")
+    mean = f"(SELECT sum(CAST({f} AS DOUBLE) * weight) / sum(weight) FROM p_weights)"
+    return (f"SELECT '{f}' AS feature, {mean} AS mean, "
+            f"(SELECT sqrt(sum(weight * (CAST({f} AS DOUBLE) - {mean}) * (CAST({f} AS DOUBLE) - {mean})) / sum(weight)) FROM p_weights) AS std")
 
 
-cte("p_norm_stats", ["p_weights"], f"""
-SELECT feature, s / w AS mean, sqrt(greatest(0.0, q / w - (s / w) * (s / w))) AS std
-FROM ({' UNION ALL '.join(_moment_sql(f) for f in FEATS)}) t
-""")
+cte("p_norm_stats", ["p_weights"], " UNION ALL ".join(_moment_sql(f) for f in FEATS))
 
 _Z = ", ".join(
     f"(f.{c} - (SELECT mean FROM p_norm_stats WHERE feature = '{c}')) / "

@@ -330,13 +330,68 @@ def test_recon_error_matches_numpy(spark):
     assert an.pca_recon_error(seqs.where("false"), "k", "start", "seq", d=6, k=2).count() == 0
 
 
-def test_isolation_forest_chunks_and_seed(spark):
-    """A key in several chunks is scored as in one; runs agree."""
+def plain_forest(drawn, kh, limit):
+    """One tree at a time, row by row, from the same draws and split numbers."""
+    from paneltide.operators.isolation import uniform, unresolved_depth
+
+    def build(tree, rows, node, level):
+        col = int(uniform(kh, tree, node, 1) * len(rows[0]))
+        values = [r[col] for r in rows]
+        low, high = min(values), max(values)
+        if len(rows) <= 1 or low == high or level >= limit:
+            return level + float(unresolved_depth(len(rows)))
+        cut = max(high - float(uniform(kh, tree, node, 2)) * (high - low), np.nextafter(low, high))
+        return col, cut, build(tree, [r for r in rows if r[col] < cut], 2 * node + 1, level + 1), build(tree, [r for r in rows if r[col] >= cut], 2 * node + 2, level + 1)
+
+    trees = [build(tree, rows, 0, 0) for tree, rows in sorted(drawn.items())]
+
+    def depth(node, x):
+        while isinstance(node, tuple):
+            node = node[2] if x[node[0]] < node[1] else node[3]
+        return node
+
+    return lambda x: sum(depth(tree, x) for tree in trees) / len(trees)
+
+
+def test_isolation_forest_against_a_plain_forest(spark):
+    from paneltide.operators import isolation
+
     rng = np.random.default_rng(3)
-    rows = [("a", t, float(rng.normal()), float(rng.normal())) for t in range(300)] + [(None, 1, 0.0, None)]
+    rows = [("a", t, float(rng.normal()), float(rng.normal())) for t in range(1500)] + [("b", t, float(rng.normal()), 1.0) for t in range(40)]
+    rows += [(None, 1, 0.0, None), ("b", 3, rows[1503][2], 1.0), ("c", 5, 2.0, 2.0), ("c", 5, 2.0, 2.0)]
     df = spark.createDataFrame(rows, "k string, t int, x double, z double")
-    one = {(r.k, r.t): r.iforest_score for r in an.isolation_forest(df, "k", "t", ["x", "z"], n_trees=20).collect()}
-    two = {(r.k, r.t): r.iforest_score for r in an.isolation_forest(df.repartition(5), "k", "t", ["x", "z"], n_trees=20).collect()}
-    assert one == two and len(one) == 301
-    cut = an.isolation_forest(df, "k", "t", ["x", "z"], n_trees=20, pool=64).collect()
-    assert len(cut) == 301 and all(0 < r.iforest_score < 1 for r in cut if r.k)
+    got = isolation.forest_scores(df, "k", "t", ["x", "z"], n_trees=20, sample=64).collect()
+    assert len(got) == len(rows)
+    panel = isolation.panel_rows(df, "k", "t", ["x", "z"])
+    drawn = {}
+    for r in isolation.draws(panel, 20, 64, 42).collect():
+        for tree in range(20) if r.tree < 0 else [r.tree]:
+            drawn.setdefault((r.k, r.kh), {}).setdefault(tree, []).append(list(r.x))
+    at = {(r[0], r[1]): [v or 0.0 for v in r[2:]] for r in rows}
+    for (k, kh), trees in drawn.items():
+        n = len({t for kk, t in at if kk == k})
+        psi = min(n, 64)
+        assert len(trees) == 20 and all(len(held) == psi for held in trees.values())
+        depth = plain_forest(trees, kh, isolation.height(psi))
+        c = max(float(isolation.unresolved_depth(psi)), 1e-12)
+        for r in got:
+            if r.k == k:
+                assert abs(r.iforest_score - 2.0 ** (-depth(at[k, r.t]) / c)) < 1e-12
+
+
+def test_isolation_forest_draws_all_of_a_large_key(spark):
+    """Every row of a key can be drawn; trees draw for themselves; partitions,
+    chunks and repeated rows change nothing."""
+    from paneltide.operators import isolation
+
+    df = spark.range(30_000).selectExpr("'a' AS k", "id AS t", "cast(id % 997 AS double) AS x", "cast(hash(id) AS double) AS z")
+    panel = isolation.panel_rows(df, "k", "t", ["x", "z"])
+    per = isolation.draws(panel, 100, 256, 1).groupBy("tree").agg(F.count("*").alias("n"), F.count_distinct("x").alias("d")).collect()
+    assert len(per) == 100 and all(r.n == 256 and r.d == 256 for r in per)
+    seen = isolation.draws(panel, 100, 256, 1).select("x").distinct().count()
+    assert 16_500 < seen < 17_900  # 30,000 (1 - (1 - 256 / 30,000) ** 100) = 17,254 are expected
+    small = df.where("t < 700")
+    one = {r.t: r.iforest_score for r in isolation.forest_scores(small, "k", "t", ["x", "z"], n_trees=20).collect()}
+    two = isolation.forest_scores(small.union(small.where("t < 9")).repartition(7), "k", "t", ["x", "z"], n_trees=20).collect()
+    assert len(two) == 709 and {r.t: r.iforest_score for r in two} == one and all(0 < v < 1 for v in one.values())
+    assert isolation.forest_scores(small.where("false"), "k", "t", ["x", "z"]).count() == 0

@@ -4,6 +4,7 @@ reference's literal-array unit cases plus the edge cases in its metric code)."""
 import math
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from paneltide.functions import exprs as X
@@ -127,3 +128,25 @@ def test_weighted_moments_of_small_and_large_values(spark):
     got = {r.feature: r for r in agg.weighted_moments(df, ["a", "b"], "w").collect()}
     assert abs(got["a"].mean - 0.002) < 1e-15 and abs(got["a"]["std"] - 0.002 ** 0.5 * 0.002 ** 0.5 * 0.5 ** 0.5) < 1e-12
     assert abs(got["b"].mean / 2e17 - 1) < 1e-12
+
+
+def test_weighted_moments_far_from_zero(spark):
+    """The spread survives whatever the values' size, and any partitioning."""
+    from paneltide.operators import aggregates as agg
+
+    rng = np.random.default_rng(8)
+    rows = [(1e9 + v, float(x), None if v == 2 else float(v), w) for v, x, w in zip([0, 1, 2, 3, 4] * 200, rng.normal(1e6, 1e-3, 1000), rng.integers(0, 4, 1000).tolist())]
+    df = spark.createDataFrame(rows, "a double, b double, c double, w long")
+    same = df.withColumn("w", F.lit(1))
+    for parts in (1, 7, 50):
+        got = {r.feature: r for r in agg.weighted_moments(same.repartition(parts), ["a"], "w").collect()}
+        assert abs(got["a"]["std"] - 2**0.5) < 1e-7 and abs(got["a"]["mean"] - 1e9 - 2) < 1e-5
+        got = {r.feature: r for r in agg.weighted_moments(df.repartition(parts), ["a", "b", "c"], "w").collect()}
+        for k, f in enumerate("abc"):
+            x, w = np.array([(r[k], r[3]) for r in rows if r[k] is not None]).T
+            mean = np.average(x, weights=w)
+            std = np.average((x - mean) ** 2, weights=w) ** 0.5
+            assert abs(got[f]["mean"] / mean - 1) < 1e-12 and abs(got[f]["std"] / std - 1) < 1e-6
+    one = spark.createDataFrame([(5.0, 3), (None, 2)], "a double, w long")
+    assert agg.weighted_moments(one, ["a"], "w").first()["std"] == 0.0
+    assert agg.weighted_moments(one.where("a is null"), ["a"], "w").first()["mean"] is None
