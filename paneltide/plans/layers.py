@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import share, treated, trend_label, years_since
 from paneltide.operators import filters as flt
 from paneltide.operators.joins import attach, attach_dim
 from paneltide.operators.windows import dedup, yoy
-from paneltide.sources.bronze import PARTITION_COL, latest_snapshot
+from paneltide.sources.bronze import PARTITION_COL, latest_snapshot, read_latest
 from paneltide.sources.contracts import GOLD, SILVER, SILVER_RENAMES
 
 INDICATOR_COLS = ["gdp_growth_pct", "urban_population_pct", "manufacturing_pct_gdp"]
@@ -32,10 +32,13 @@ def conform(df: DataFrame, schema=SILVER, renames: dict[str, str] | None = None)
     return df.selectExpr(*exprs)
 
 
-def _snapshot(df: DataFrame) -> DataFrame:
+def _snapshot(source: DataFrame | str) -> DataFrame:
     """The newest snapshot, taken before any row filter: a row that the newest
-    snapshot withdrew or made invalid doesn't come back from an older one."""
-    return latest_snapshot(df) if PARTITION_COL in df.columns else df
+    snapshot withdrew or made invalid doesn't come back from an older one. Of
+    a snapshot directory, given by its path, only that day is scanned."""
+    if isinstance(source, str):
+        return read_latest(SparkSession.active(), source)
+    return latest_snapshot(source) if PARTITION_COL in source.columns else source
 
 
 def _newest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,10 +47,11 @@ def _newest(df: DataFrame, keys: list[str]) -> DataFrame:
     return dedup(df, keys, order, keep="last")
 
 
-def build_silver(emissions: DataFrame, indicators: DataFrame, events: DataFrame,
+def build_silver(emissions: DataFrame | str, indicators: DataFrame | str, events: DataFrame | str,
                  min_year: int = 1960, key: str = "iso_code", t: str = "year",
                  event_col: str = "ratification_year") -> DataFrame:
-    """Silver panel: newest snapshot of each source, filter, de-duplicate each
+    """Silver panel: newest snapshot of each source (a frame, or the path of a
+    snapshot directory), filter, de-duplicate each
     source on its key, two left joins, treatment columns, 25-column projection.
 
     Each source is de-duplicated before the joins, so the emissions side comes

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from paneltide.plans import layers, proxy
 from paneltide.plans.catalog import cte, register
-from paneltide.sources.bronze import PARTITION_COL
+from paneltide.session import scratch_path
+from paneltide.sources.bronze import append_bronze
 from paneltide.sources.contracts import GOLD, SILVER
 
 SILVER_MIN_YEAR = 1996
@@ -159,14 +160,15 @@ RETRACTED, INVALID = "N05", "N03"
 SELECT * REPLACE ('{NEW_STAMP}' AS _ingested_at) FROM p_silver WHERE iso_code NOT IN ('{RETRACTED}', '{INVALID}')
 """)
 def q_silver_snapshots(spark, sf):
-    """Silver from two snapshots; the newer one lacks a key of the older and
+    """Silver from a directory with two snapshots, of which one day is read; the newer one lacks a key of the older and
     has made another key's values invalid."""
     e = proxy.emissions(spark, sf)
-    old = e.withColumn(PARTITION_COL, F.to_date(F.lit(OLD_DAY)))
     co2 = F.when(F.col("iso_code") == INVALID, F.lit(-1.0)).otherwise(F.col("co2"))
-    new = (e.where(F.col("iso_code") != RETRACTED).withColumn("co2", co2).withColumn("_ingested_at", F.lit(NEW_STAMP))
-            .withColumn(PARTITION_COL, F.to_date(F.lit(NEW_DAY))))
-    return layers.build_silver(old.unionByName(new), proxy.indicators(spark, sf), proxy.events_dim(spark, sf), min_year=SILVER_MIN_YEAR)
+    new = e.where(F.col("iso_code") != RETRACTED).withColumn("co2", co2).withColumn("_ingested_at", F.lit(NEW_STAMP))
+    path = scratch_path(spark, "emissions")
+    append_bronze(e, path, OLD_DAY)
+    append_bronze(new, path, NEW_DAY)
+    return layers.build_silver(path, proxy.indicators(spark, sf), proxy.events_dim(spark, sf), min_year=SILVER_MIN_YEAR)
 
 
 @register("stg_panel", ["p_stg"], "SELECT * FROM p_stg")

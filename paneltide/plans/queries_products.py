@@ -16,7 +16,8 @@ from paneltide.plans import proxy
 from paneltide.plans.catalog import cte, register
 from paneltide.plans.queries import gold, silver
 from paneltide.session import table
-from paneltide.sources.bronze import latest_snapshot, normalise_indicators, stamp
+from paneltide.session import scratch_path
+from paneltide.sources.bronze import append_bronze, normalise_indicators, read_latest, stamp
 from paneltide.sources.contracts import SILVER
 
 KPI_YEAR = 2000
@@ -73,7 +74,11 @@ FROM orders WHERE o_orderstatus <> 'P'
 @register("latest_snapshot", ["p_snapshots"],
           "SELECT * FROM p_snapshots WHERE ingestion_date = (SELECT max(ingestion_date) FROM p_snapshots)")
 def q_latest_snapshot(spark, sf):
-    return latest_snapshot(_two_snapshots(spark, sf))
+    """Both snapshots land in a directory, of which the newest day is read."""
+    path, both = scratch_path(spark, "orders"), _two_snapshots(spark, sf)
+    for day, _ in (SNAP1, SNAP2):
+        append_bronze(both.where(F.col("ingestion_date") == day).drop("ingestion_date"), path, day)
+    return read_latest(spark, path)
 
 
 @register("latest_per_key", ["p_snapshots"], """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -101,6 +102,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def reliable_checkpoint(df):
     """Write ``df`` to the shared checkpoint folder and return a DataFrame
     that reads it back (lineage cut, survives executor loss).

@@ -3,16 +3,17 @@ partitions, format dispatch, and layer materialisation."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneltide.operators.joins import broadcast_if_small
+from paneltide.sources import commits
+from paneltide.sources.commits import PARTITION_COL
 
-PARTITION_COL = "ingestion_date"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -50,17 +51,13 @@ def stamp(df: DataFrame, source_url: str, ingested_at: str | None = None) -> Dat
 
 
 def append_bronze(df: DataFrame, path: str, day: str | None = None) -> None:
-    """S3: write one day's snapshot under ``ingestion_date=YYYY-MM-DD``.
+    """S3: write one day's snapshot (UTC day of the load by default) under
+    ``ingestion_date=YYYY-MM-DD`` and commit it.
 
-    Dynamic partition overwrite replaces only the partitions present in the
-    data, so a same-day rerun replaces that day and leaves older days alone.
-    """
-    d = F.to_date(F.lit(day)) if day is not None else utc_day()
-    out = df.withColumn(PARTITION_COL, d)
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COL)
-        .parquet(path))
+    A same-day rerun replaces that day, also when it has no rows, and leaves
+    other days alone; until the commit readers see the day as it was."""
+    when = dt.date.fromisoformat(day) if day is not None else dt.datetime.now(dt.timezone.utc).date()
+    commits.append(df, path, when)
 
 
 def literal_dimension(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
@@ -125,7 +122,11 @@ def normalise_indicators(raw: DataFrame, lookup: DataFrame, name_col: str = "cou
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A snapshot directory; partition discovery adds ``ingestion_date``."""
+    """A snapshot directory; partition discovery adds ``ingestion_date``.
+    Of a directory with a commit log only committed loads are read."""
+    committed = commits.read(spark, path, schema)
+    if committed is not None:
+        return committed
     r = spark.read
     if schema is not None:
         r = r.schema(T.StructType(list(schema.fields) + [T.StructField(PARTITION_COL, T.DateType())]))
@@ -133,11 +134,15 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """S6 + S7: the newest day of a snapshot directory. The day is read off the
-    file listing, so only that day's files are scanned."""
+    """S6 + S7: the newest day of a snapshot directory that has rows. The day
+    is read off the commit log, or else off the file listing, so only that
+    day's files are scanned."""
+    committed = commits.read(spark, path, schema, newest=True)
+    if committed is not None:
+        return committed
     df = read_bronze(spark, path, schema)
-    days = {m[1] for f in df.inputFiles() if (m := re.search(rf"/{PARTITION_COL}=([^/]+)/", f))}
-    return df.where(F.col(PARTITION_COL) == F.lit(max(days)).cast("date")) if days else df
+    days = commits.listed_days(df)
+    return df.where(F.col(PARTITION_COL) == F.lit(days[-1]).cast("date")) if days else df
 
 
 def latest_snapshot(df: DataFrame, col: str = PARTITION_COL) -> DataFrame:

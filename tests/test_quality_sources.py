@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paneltide.operators import filters as flt
 from paneltide.operators import quality as q
@@ -241,3 +242,52 @@ def test_measure_sees_a_file_that_has_grown(spark, tmp_dir):
     assert measure(spark.read.parquet(path))[0] == 10
     spark.range(500).write.mode("overwrite").parquet(path)
     assert measure(spark.read.parquet(path))[0] == 500
+
+
+def test_commit_log_of_a_snapshot_directory(spark, tmp_dir, monkeypatch):
+    """An empty rerun empties its day; a half-written day isn't read; days from
+    before the log stay; the newest day with rows is the one scanned."""
+    from paneltide.plans.layers import build_silver
+    from paneltide.sources import commits
+
+    path = f"{tmp_dir}/bronze"
+    frame = lambda *v: spark.createDataFrame([(x, f"s{x}") for x in v], "v int, s string")
+    seen = lambda: sorted((str(r.ingestion_date), r.v) for r in B.read_bronze(spark, path).collect())
+    frame(0).withColumn("ingestion_date", F.lit("2023-12-31").cast("date")).write.partitionBy("ingestion_date").parquet(path)
+    B.append_bronze(frame(1, 2), path, "2024-01-01")
+    B.append_bronze(frame(3), path, "2024-01-02")
+    assert seen() == [("2023-12-31", 0), ("2024-01-01", 1), ("2024-01-01", 2), ("2024-01-02", 3)]
+    assert B.read_bronze(spark, path).columns == ["v", "s", "ingestion_date"]
+
+    before = seen()
+    with monkeypatch.context() as m:  # the run dies after its files and before its commit
+        m.setattr(commits, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            B.append_bronze(frame(8, 9), path, "2024-01-02")
+        with pytest.raises(RuntimeError):
+            B.append_bronze(frame(8, 9), path, "2024-01-03")
+    assert seen() == before and [r.v for r in B.read_latest(spark, path).collect()] == [3]
+
+    B.append_bronze(frame(), path, "2024-01-02")  # an empty rerun
+    assert seen() == before[:-1] and sorted(r.v for r in B.read_latest(spark, path).collect()) == [1, 2]
+    B.append_bronze(frame(5), path, "2023-12-31")  # an adopted day is replaced
+    assert seen() == [("2023-12-31", 5), ("2024-01-01", 1), ("2024-01-01", 2)]
+    B.append_bronze(frame(7), path, "2024-01-02")
+    assert seen()[-1] == ("2024-01-02", 7)
+    schema = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("s", T.StringType())])
+    assert B.read_bronze(spark, path, schema).columns == ["v", "s", "ingestion_date"]
+
+    latest = B.read_latest(spark, path)
+    assert latest.count() == 1 and all("ingestion_date=2024-01-02/load=" in f for f in latest.inputFiles())
+    empty = f"{tmp_dir}/empty"
+    B.append_bronze(frame(), empty, "2024-01-01")
+    assert B.read_bronze(spark, empty).count() == 0 and B.read_latest(spark, empty).columns == ["v", "s", "ingestion_date"]
+
+    silver = f"{tmp_dir}/emissions"
+    rows = lambda co2: spark.createDataFrame([("USA", "United States", 2000, co2)], "iso_code string, country string, year int, co2 double")
+    B.append_bronze(rows(1.0), silver, "2024-01-01")
+    B.append_bronze(rows(2.0), silver, "2024-01-02")
+    other = spark.createDataFrame([], "iso_code string, year int, gdp_growth_pct double, urban_population_pct double, manufacturing_pct_gdp double")
+    events = spark.createDataFrame([("USA", 2016)], "iso_code string, ratification_year int")
+    built = build_silver(silver, other, events)
+    assert [r.co2 for r in built.collect()] == [2.0] and all("2024-01-02" in f for f in built.inputFiles())
