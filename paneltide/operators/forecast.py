@@ -99,6 +99,31 @@ def forecast(df: DataFrame, key: str, ds: str, y: str, h: int, method="trend",
                       direction_label(first, last).alias("direction"))
 
 
+def _leading(size: Column, powers: Column, holds) -> Column:
+    """How many of the places 1 .. size, from the first on, satisfy ``holds``
+    (true up to some place, false after it), by bisection in ``powers`` steps."""
+    return F.aggregate(powers, F.lit(0), lambda at, s: F.when((at + s <= size) & holds(at + s), at + s).otherwise(at))
+
+
+def kth_of_lists(lists: Column, powers: Column, m: Column) -> Column:
+    """The m-th smallest of all ``at + values[j]`` of an array of structs
+    (at, values ascending); NULL if there are fewer. For each list, bisection
+    finds its first value that m values of all lists don't exceed (each such
+    count is a bisection in every list); the least of those is the answer. No
+    list is merged or sorted again."""
+    value = lambda f, j: f["at"] + F.get(f["values"], j - 1)
+
+    def rank(v: Column) -> Column:
+        upto = lambda f: _leading(F.size(f["values"]), powers, lambda j: value(f, j) <= v)
+        return F.aggregate(lists, F.lit(0), lambda acc, f: acc + upto(f))
+
+    def first(f: Column) -> Column:
+        below = _leading(F.size(f["values"]), powers, lambda j: rank(value(f, j)) < m)
+        return value(f, below + 1)  # NULL past the end
+
+    return F.when(m >= 1, F.array_min(F.transform(lists, first)))
+
+
 def cv_plus(df: DataFrame, key: str, ds: str, y: str, h: int, alpha: float = 0.1, k: int = 5,
             unit: str = "month") -> DataFrame:
     """M2: CV+ prediction intervals of a linear trend on the time index.
@@ -109,7 +134,12 @@ def cv_plus(df: DataFrame, key: str, ds: str, y: str, h: int, alpha: float = 0.1
         lower = the floor(alpha (n+1))-th smallest of  mu_-k(i)(x) - r_i
         upper = the ceil((1-alpha)(n+1))-th smallest of mu_-k(i)(x) + r_i
     (NULL when that order statistic does not exist, i.e. the series is too
-    short for the level). Work per key is n*h rows; nothing crosses keys.
+    short for the level, or for a trend without a fold).
+
+    A fold's residuals are sorted once. A step only shifts each fold's list by
+    that fold's forecast, so its bounds are selected from K sorted lists
+    (``kth_of_lists``): one row per key holds the n residuals, and no row is
+    made for a point and step. Nothing crosses keys.
     """
     base = positions(df.where(F.col(y).isNotNull()), key, ds, "_t")
     base = fold_labels(base, key, ds, k, "_fold")
@@ -122,20 +152,23 @@ def cv_plus(df: DataFrame, key: str, ds: str, y: str, h: int, alpha: float = 0.1
                          F.col("_n").alias("_nk"))
     pts = base.join(fits, [key, "_fold"])
     pts = pts.withColumn("_r", F.abs(F.col(y).cast("double") - (F.col("_a") + F.col("_b") * F.col("_t"))))
-    pts = pts.select(key, "_r", "_a", "_b", "_nk",
-                     F.explode(F.sequence(F.lit(1), F.lit(h))).alias("step"))
-    mu = F.col("_a") + F.col("_b") * (F.col("_nk") - 1 + F.col("step"))
-    pts = pts.withColumn("_lo", mu - F.col("_r")).withColumn("_hi", mu + F.col("_r"))
-    w = Window.partitionBy(key, "step")
+    lists = pts.where(F.col("_r").isNotNull()).groupBy(key, "_nk", "_fold", "_a", "_b").agg(F.sort_array(F.collect_list("_r")).alias("_hi"))
+    fold = F.struct("_a", "_b", "_hi", F.reverse(F.transform("_hi", lambda r: -r)).alias("_lo"))
+    series = lists.groupBy(key, "_nk").agg(F.collect_list(fold).alias("_folds"))
+    most = F.array_max(F.transform("_folds", lambda f: F.size(f["_hi"])))
+    powers = F.transform(F.sequence(F.floor(F.log2(most)).cast("int"), F.lit(0)), lambda b: F.pow(F.lit(2), b).cast("int"))
     # order-statistic ranks; the 1e-9 guard keeps exact products such as
     # 0.9 * 90 = 81 from rounding up to 82 in floating point
-    k_lo = F.floor(F.lit(alpha) * (F.col("_nk") + 1) + F.lit(1e-9))
-    k_hi = F.ceil(F.lit(1 - alpha) * (F.col("_nk") + 1) - F.lit(1e-9))
-    pts = (pts.withColumn("_rlo", F.row_number().over(w.orderBy("_lo")))
-              .withColumn("_rhi", F.row_number().over(w.orderBy("_hi"))))
-    bounds = pts.groupBy(key, "step").agg(
-        F.max(F.when(F.col("_rlo") == k_lo, F.col("_lo"))).alias("lower"),
-        F.max(F.when(F.col("_rhi") == k_hi, F.col("_hi"))).alias("upper"),
-    )
+    k_lo = F.floor(F.lit(alpha) * (F.col("_nk") + 1) + F.lit(1e-9)).cast("int")
+    k_hi = F.ceil(F.lit(1 - alpha) * (F.col("_nk") + 1) - F.lit(1e-9)).cast("int")
+
+    def bound(step: Column, side: str, m: Column) -> Column:
+        at = lambda f: f["_a"] + f["_b"] * (F.col("_nk") - 1 + step)
+        return kth_of_lists(F.transform("_folds", lambda f: F.struct(at(f).alias("at"), f[side].alias("values"))), F.col("_p"), m)
+
+    per_step = F.transform(F.sequence(F.lit(1), F.lit(h)), lambda x: F.struct(
+        x.alias("step"), bound(x, "_lo", F.col("_klo")).alias("lower"), bound(x, "_hi", F.col("_khi")).alias("upper")))
+    series = series.select(key, "_nk", "_folds", powers.alias("_p"), k_lo.alias("_klo"), k_hi.alias("_khi"))
+    bounds = series.select(key, F.explode(per_step).alias("_s")).select(key, "_s.*")
     center = forecast(df, key, ds, y, h, "trend", unit).select(key, "step", ds, "forecast")
     return center.join(bounds, [key, "step"], "left")

@@ -395,3 +395,27 @@ def test_isolation_forest_draws_all_of_a_large_key(spark):
     two = isolation.forest_scores(small.union(small.where("t < 9")).repartition(7), "k", "t", ["x", "z"], n_trees=20).collect()
     assert len(two) == 709 and {r.t: r.iforest_score for r in two} == one and all(0 < v < 1 for v in one.values())
     assert isolation.forest_scores(small.where("false"), "k", "t", ["x", "z"]).count() == 0
+
+
+def test_kth_of_shifted_lists(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        lists = [(float(rng.integers(-5, 5)), sorted(float(v) for v in rng.integers(0, 9, rng.integers(0, 12)))) for _ in range(rng.integers(1, 6))]
+        total = sum(len(v) for _, v in lists)
+        rows += [(i, m, lists) for m in {0, 1, total // 2, total, total + 1}]
+    df = spark.createDataFrame(rows, "i int, m int, f array<struct<at:double,values:array<double>>>")
+    powers = F.lit([16, 8, 4, 2, 1])
+    got = df.select("i", "m", "f", fc.kth_of_lists(F.col("f"), powers, F.col("m")).alias("v")).collect()
+    for r in got:
+        union = sorted(at + v for at, values in r.f for v in values)
+        assert r.v == (union[r.m - 1] if 1 <= r.m <= len(union) else None)
+
+
+def test_cv_plus_makes_no_row_for_a_point_and_step(spark):
+    df = spark.createDataFrame([("a", t, float(t % 7)) for t in range(40)] + [("b", 1, 1.0), ("c", 1, 1.0), ("c", 2, 3.0)], "k string, year int, y double")
+    out = fc.cv_plus(df, "k", "year", "y", 500, unit="year")
+    got = {(r.k, r.step): (r.lower, r.upper) for r in out.collect()}
+    assert len(got) == 1500 and got["b", 1] == (None, None) and got["c", 3] == (None, None) and all(lo < hi for (k, _), (lo, hi) in got.items() if k == "a")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("step" in line for line in plan.splitlines() if "Window [" in line or "Sort [" in line)
