@@ -4,11 +4,12 @@ into long rows with ``stack`` instead of one job per column."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import safe_div
-from paneltide.operators.ordering import exact_quantiles
+from paneltide.operators.selection import quantiles
 
 
 def _lit(s: str) -> str:
@@ -52,19 +53,16 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """A4: count, mean, sample std, min, quartiles, max of one column (pandas
-    ``describe``). Quartiles are exact (linear interpolation) and computed
-    with a distributed sort, not by gathering the column in one task."""
+    ``describe``). Quartiles are exact (linear interpolation) and selected by
+    counting passes, without a sort."""
     c = F.col(col)
-    moments = df.agg(
-        F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
-    )
-    parts = ", ".join(f"'{s}', `{s}`" for s in ["count", "mean", "std", "min", "max"])
-    long = moments.select(F.expr(f"stack(5, {parts}) AS (stat, value)"))
-    q = exact_quantiles(df, col, [0.25, 0.5, 0.75]).select(
-        F.concat(F.lit("q"), F.round(F.col("prob") * 100).cast("int").cast("string")).alias("stat"),
-        "value")
-    return long.unionByName(q)
+    held = df.select(c).persist(StorageLevel.MEMORY_AND_DISK)  # one column, read by a few passes
+    m = held.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+               F.min(c).alias("min"), F.max(c).alias("max")).first().asDict()
+    m |= dict(zip(["q25", "q50", "q75"], quantiles(held, col, [0.25, 0.5, 0.75], m["count"])))
+    held.unpersist()
+    rows = [(k, None if v is None else float(v)) for k, v in m.items() if m["count"] or k[0] != "q"]
+    return df.sparkSession.createDataFrame(rows, "stat string, value double")
 
 
 def totals(df: DataFrame, key: str, m: str, alias: str = "total") -> DataFrame:
@@ -125,16 +123,14 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 3) -> DataFrame:
 
 def error_summary(df: DataFrame, col: str) -> DataFrame:
     """Mean, population std, max, p95, p99 of a score column; exact
-    percentiles via a distributed sort."""
+    percentiles by counting passes."""
     c = F.col(col)
-    m = df.agg(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"), F.max(c).alias("max"))
-    long = m.select(F.expr("stack(3, 'mean', mean, 'std', std, 'max', max) AS (stat, value)"))
-    q = exact_quantiles(df, col, [0.95, 0.99]).select(
-        F.concat(F.lit("p"), F.round(F.col("prob") * 100).cast("int").cast("string")).alias("stat"),
-        "value")
-    stats = ["mean", "std", "max", "p95", "p99"]
-    # five rows pivoted back to one wide row: no join between the two parts
-    return long.unionByName(q).groupBy().pivot("stat", stats).agg(F.first("value"))
+    held = df.select(c).persist(StorageLevel.MEMORY_AND_DISK)  # one column, read by a few passes
+    n, *m = held.agg(F.count(c), F.avg(c), F.stddev_pop(c), F.max(c)).first()
+    row = [*m, *quantiles(held, col, [0.95, 0.99], n)]
+    held.unpersist()
+    schema = ", ".join(f"{k} double" for k in ("mean", "std", "max", "p95", "p99"))
+    return df.sparkSession.createDataFrame([tuple(None if v is None else float(v) for v in row)], schema)
 
 
 def layer_report(df: DataFrame, key: str, t: str) -> DataFrame:

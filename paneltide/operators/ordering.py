@@ -8,10 +8,10 @@ is added back. The sorted, numbered rows are checkpointed first so that the
 counting pass and the numbering pass see exactly the same partitions even if
 an executor is lost and a stage is recomputed.
 
-Quantiles sort the distinct values with their counts, which partial
+Quantiles per key sort the distinct values with their counts, which partial
 aggregation makes in the map tasks: a value that half the rows share is one
-row, so ties never meet in one partition. Nothing is counted beforehand and
-there is one path for inputs of all sizes.
+row, so ties never meet in one partition. Quantiles of a whole column need no
+order at all, see ``selection``.
 """
 
 from __future__ import annotations
@@ -81,30 +81,6 @@ def _around(cum: Column, n: Column, h: Column) -> Column:
     return (cum - n <= h) & (h < cum)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles of one column over the whole
-    table (numpy 'linear' / SQL percentile_cont): the distinct values with
-    their counts are range-sorted, cumulated, and for each probability the one
-    or two values around its place are picked.
-
-    Returns one row per probability: (prob, value). NULLs are ignored.
-    """
-    vals = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = global_positions(vals, [F.col("_v")], "_pos", value_col="_c", cum_col="_cum")
-    total = ranked.agg(F.sum("_c").alias("_n")).select(F.struct("_n").alias("s")).scalar()
-    n = total.getField("_n")
-    picks = []
-    for p in probs:
-        h = (n - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        v = lambda place: F.max(F.when(_around(F.col("_cum"), F.col("_c"), place), F.col("_v")))
-        low, high = v(lo), v(hi)
-        picks.append(F.struct(F.lit(float(p)).alias("prob"), low.alias("lo"), high.alias("hi"), F.first(h - lo).alias("f")))
-    out = ranked.agg(F.array(*picks).alias("_q"), F.count(F.lit(1)).alias("_k")).where("_k > 0")
-    return out.select(F.explode("_q").alias("q")).select(
-        "q.prob", (F.col("q.lo") + F.col("q.f") * (F.col("q.hi") - F.col("q.lo"))).alias("value"))
-
-
 def keyed_positions(df: DataFrame, key: str, order: list[Column], pos_col: str = "_pos") -> DataFrame:
     """1-based position of each row inside its ``key`` group in ``order``,
     for groups of any size (one key may hold a third of all rows).

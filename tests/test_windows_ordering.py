@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneltide.operators import ordering as od
+from paneltide.operators import selection as sl
 from paneltide.operators import windows as win
 
 
@@ -99,7 +100,7 @@ def test_exact_quantiles_match_numpy(spark):
     x = rng.normal(size=1001)
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(5)
     probs = [0.0, 0.25, 0.5, 0.95, 1.0]
-    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", probs).collect()}
+    got = {r.prob: r.value for r in sl.exact_quantiles(df, "x", probs).collect()}
     assert sorted(got) == probs
     for p, v in got.items():
         assert abs(v - np.percentile(x, p * 100)) < 1e-12
@@ -109,7 +110,7 @@ def test_half_of_the_values_equal(spark):
     """A value that half the rows share is one row of the sorted table."""
     x = np.concatenate([np.zeros(1000), np.random.default_rng(1).normal(size=1000)])
     df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
-    got = {r.prob: r.value for r in od.exact_quantiles(df, "x", [0.1, 0.5, 0.9]).collect()}
+    got = {r.prob: r.value for r in sl.exact_quantiles(df, "x", [0.1, 0.5, 0.9]).collect()}
     assert all(abs(v - np.percentile(x, p * 100)) < 1e-12 for p, v in got.items())
     sizes = df.groupBy("x").count().orderBy("x").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert sum(r["count"] for r in sizes) == 1001
@@ -117,7 +118,7 @@ def test_half_of_the_values_equal(spark):
 
 def test_exact_quantiles_of_nothing_is_empty(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
-    assert od.exact_quantiles(df, "x", [0.5]).count() == 0
+    assert sl.exact_quantiles(df, "x", [0.5]).count() == 0
 
 
 def test_ntile_expression_matches_sql(spark):
@@ -183,3 +184,33 @@ def test_keyed_positions_number_each_key_across_partitions(spark):
         assert sorted(g["pos"]) == list(range(1, len(g) + 1))
         ordered = g.sort_values("pos")
         assert list(zip(ordered["s"], ordered["t"])) == sorted(zip(g["s"], g["t"]))
+
+
+@pytest.mark.parametrize("held,accuracy", [(100_000, 10_000), (50, 10_000), (400, 60)])
+def test_selection_by_narrowing_brackets(spark, monkeypatch, held, accuracy):
+    """Few rows held and a poor sketch take more passes, not other values."""
+    monkeypatch.setattr(sl, "HELD", held)
+    monkeypatch.setattr(sl, "ACCURACY", accuracy)
+    rng = np.random.default_rng(2)
+    values = np.r_[rng.normal(size=3000), np.full(2500, 0.25), rng.pareto(0.3, 2000), [-1e300, 1e300, -np.inf, np.inf]]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)] * 7, "x double").repartition(5)
+    places = [0, 1, 2, 1500, 3000, 3500, 5400, 7400, 7502, 7503, 9999]
+    n, got = sl.select(df, "x", lambda n: places)
+    assert n == 7504 and got == {p: sorted(values)[p] for p in places if p < n}
+    ints = df.where("x is not null").select(F.floor(F.least(F.greatest("x", F.lit(-9.0)), F.lit(9.0))).cast("int").alias("x"))
+    assert sl.select(ints, "x", lambda n: [0, n // 2, n - 1])[1] == {p: sorted(int(np.floor(np.clip(v, -9, 9))) for v in values)[p] for p in (0, 3752, 7503)}
+    two = spark.createDataFrame([(float(k % 2),) for k in range(1000)], "x double")  # the place lies between two heavy values
+    assert sl.select(two, "x", lambda n: [499, 500])[1] == {499: 0.0, 500: 1.0}
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,)] + [(float("nan"),)] * 200, "x double")
+    first = sl.select(nan, "x", lambda n: [0, 1, 2])[1]
+    assert first[0] == 1.0 and first[1] == 2.0 and np.isnan(first[2])
+
+
+def test_describe_moves_no_rows(spark):
+    from paneltide.operators import aggregates as agg
+
+    df = spark.range(1000).selectExpr("cast(id as double) x")
+    got = {r.stat: r.value for r in agg.describe(df, "x").collect()}
+    assert (got["q25"], got["q50"], got["q75"]) == (249.75, 499.5, 749.25)
+    plan = agg.describe(df, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan
