@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paneltide.operators.joins import fits_broadcast
+from paneltide.operators.joins import broadcast_if_small, fits_broadcast
 from paneltide.session import reliable_checkpoint
 
 RESULT_SCHEMA = ("estimator string, att double, se double, ci_lower double, ci_upper double, "
@@ -309,7 +309,70 @@ def cohort_cells(df: DataFrame, unit: str, t: str, y: str, event: str) -> DataFr
     treated. One grouped aggregate: the cell table is small."""
     return (df.where(F.col(y).isNotNull())
               .groupBy(F.col(event).alias("cohort"), t)
-              .agg(F.avg(y).alias("_ybar"), F.count_distinct(unit).alias("n_units")))
+              .agg(F.avg(y).alias("_ybar"), F.count_distinct(unit).alias("n_units"), F.count(y).alias("_n")))
+
+
+def _residual_products(own: DataFrame, cells: DataFrame, t: str) -> DataFrame:
+    """(cohort, s1, s2, prod) with s1 <= s2: sums over a cohort's units of the
+    products of a unit's residuals (from its cell's mean) in two periods. A
+    unit's series is one row of its periods; what leaves the tasks is at most
+    one row for each cohort and pair of periods."""
+    means = broadcast_if_small(cells.select(F.col("cohort").alias("_c"), F.col(t).alias("_t"), "_ybar"))
+    resid = own.join(means, F.col("cohort").eqNullSafe(F.col("_c")) & F.col(t).eqNullSafe(F.col("_t")))
+    series = resid.groupBy("unit", "cohort").agg(F.collect_list(F.struct(F.col(t).alias("s"), (F.col("y") - F.col("_ybar")).alias("e"))).alias("v"))
+    pairs = series.select("cohort", "v", F.explode("v").alias("a")).select("cohort", "a", F.explode("v").alias("b")).where("a.s <= b.s")
+    return pairs.groupBy("cohort", F.col("a.s").alias("s1"), F.col("b.s").alias("s2")).agg(F.sum(F.col("a.e") * F.col("b.e")).alias("prod"))
+
+
+class _Cohorts:
+    """The cell table (cohorts x periods), the residual products of each cohort
+    (periods x periods) and the small-sample factor G/(G-1) * (N-1)/(N-K) of
+    the saturated regression, on the driver: their size is the calendar's,
+    whatever the number of units."""
+
+    def __init__(self, df: DataFrame, unit: str, t: str, y: str, event: str):
+        own = df.select(F.col(unit).alias("unit"), F.col(event).alias("cohort"), F.col(t), F.col(y).cast("double").alias("y"))
+        own = reliable_checkpoint(own.where(F.col("y").isNotNull()))
+        cells = reliable_checkpoint(cohort_cells(own, "unit", t, "y", "cohort"))
+        self.kinds = cells.schema["cohort"].dataType.simpleString(), cells.schema[t].dataType.simpleString()
+        self.cells = {(r["cohort"], r[t]): r for r in cells.collect()}
+        self.products = {(r["cohort"], r["s1"], r["s2"]): r["prod"] for r in _residual_products(own, cells, t).collect()}
+        g = own.select("unit").distinct().count()
+        n, k = sum(r["_n"] for r in self.cells.values()), len(self.cells)
+        self.factor = g / (g - 1) * ((n - 1) / (n - k)) if g > 1 and n > k else None
+
+    def effects(self):
+        """(cohort, period, n_units, status, effect, coefficients of the cell means)."""
+        for (g, p), cell in sorted(((k, c) for k, c in self.cells.items() if None not in k)):
+            if p == g - 1:
+                continue
+            used = [((g, p), 1.0), ((g, g - 1), -1.0), ((None, p), -1.0), ((None, g - 1), 1.0)]
+            if (g, g - 1) not in self.cells:
+                yield g, p, cell["n_units"], "no_base_period", None, {}
+            elif (None, p) not in self.cells or (None, g - 1) not in self.cells:
+                yield g, p, cell["n_units"], "no_never_treated", None, {}
+            else:
+                (a, b, c, d) = (self.cells[k]["_ybar"] for k, _ in used)
+                yield g, p, cell["n_units"], "ok", (a - b) - (c - d), dict(used)
+
+    def error(self, coefficients: dict) -> float | None:
+        """Clustered standard error of a sum of cell means. A unit's influence
+        on it is the coefficients' sum over its residuals, so the sum of its
+        squares is a quadratic form in the residual products."""
+        if self.factor is None:
+            return None
+        scaled = [(c, s, k / self.cells[c, s]["_n"]) for (c, s), k in coefficients.items()]
+        total = 0.0
+        for c, s1, k1 in scaled:
+            for c2, s2, k2 in scaled:
+                if c == c2:
+                    total += k1 * k2 * self.products.get((c, min(s1, s2), max(s1, s2)), 0.0)
+        return math.sqrt(max(total, 0.0) * self.factor)
+
+
+def _interval(att: float | None, se: float | None) -> tuple:
+    known = att is not None and se is not None
+    return se, att - 1.96 * se if known else None, att + 1.96 * se if known else None
 
 
 def cohort_att(df: DataFrame, unit: str, t: str, y: str, event: str) -> DataFrame:
@@ -318,31 +381,29 @@ def cohort_att(df: DataFrame, unit: str, t: str, y: str, event: str) -> DataFram
         ATT(g, t) = (Ybar[g, t] - Ybar[g, g-1]) - (Ybar[never, t] - Ybar[never, g-1])
     (equal to the saturated interaction regression on a balanced panel).
     Rows for every period except the reference period g-1; where a mean it
-    needs was not observed, att is NULL and ``status`` says which."""
-    cells = reliable_checkpoint(cohort_cells(df, unit, t, y, event))
-    treated = cells.where(F.col("cohort").isNotNull())
-    never = cells.where(F.col("cohort").isNull()).select(t, F.col("_ybar").alias("_ynev"))
-    base = treated.where(F.col(t) == F.col("cohort") - 1).select(
-        "cohort", F.col("_ybar").alias("_ybase"))
-    nbase = never.select(F.col(t).alias("_tb"), F.col("_ynev").alias("_ynb"))
-    out = (treated.join(base, "cohort", "left").join(never, t, "left")
-           .join(nbase, F.col("_tb") == F.col("cohort") - 1, "left"))
-    att = (F.col("_ybar") - F.col("_ybase")) - (F.col("_ynev") - F.col("_ynb"))
-    status = (F.when(F.col("_ybase").isNull(), "no_base_period")
-              .when(F.col("_ynev").isNull() | F.col("_ynb").isNull(), "no_never_treated").otherwise("ok"))
-    return out.where(F.col(t) != F.col("cohort") - 1).select(
-        "cohort", t, (F.col(t) - F.col("cohort")).alias("rel_time"), att.alias("att"), "n_units", status.alias("status"))
-
-
-def cohort_att_overall(cells: DataFrame, t: str) -> DataFrame:
+    needs was not observed, att is NULL and ``status`` says which. ``se`` and
+    the 95 % interval are clustered by unit."""
+    c = _Cohorts(df, unit, t, y, event)
+    rows = []
+    for g, p, units, status, att, used in c.effects():
+        rows.append((g, p, p - g, att, units, status, *_interval(att, c.error(used) if used else None)))
+    schema = f"cohort {c.kinds[0]}, `{t}` {c.kinds[1]}, rel_time {c.kinds[1]}, att double, n_units long, status string, se double, ci_lower double, ci_upper double"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def cohort_att_overall(df: DataFrame, unit: str, t: str, y: str, event: str) -> DataFrame:
     """Interaction-weighted ATT: post-period cells averaged with cohort-size
-    weights."""
-    post = cells.where((F.col(t) >= F.col("cohort")) & (F.col("status") == "ok"))
-    return post.agg(
-        F.try_divide(F.sum(F.col("att") * F.col("n_units")), F.sum("n_units")).alias("att"),
-        F.count(F.lit(1)).alias("n_cells"),
-        F.sum("n_units").alias("n_unit_periods"),
-    )
+    weights, with its clustered standard error and interval."""
+    c = _Cohorts(df, unit, t, y, event)
+    post = [(units, att, used) for g, p, units, status, att, used in c.effects() if p >= g and status == "ok"]
+    weight = sum(units for units, _, _ in post)
+    att = sum(units * effect for units, effect, _ in post) / weight if weight else None
+    joint: dict = {}
+    for units, _, used in post:
+        for cell, k in used.items():
+            joint[cell] = joint.get(cell, 0.0) + k * units / weight
+    row = (att, len(post), weight or None, *_interval(att, c.error(joint) if weight else None))
+    return df.sparkSession.createDataFrame([row], "att double, n_cells long, n_unit_periods long, se double, ci_lower double, ci_upper double")
 
 
 PENALTIES = (1e-4, 1e-3, 1e-2, 1e-1)

@@ -96,38 +96,62 @@ def q_estimate_verdict(spark, sf):
 
 
 cte("p_cells", ["p_silver"], f"""
-SELECT ratification_year AS cohort, year, avg({OUTCOME}) AS ybar, count(DISTINCT iso_code) AS n_units
+SELECT ratification_year AS cohort, year, avg({OUTCOME}) AS ybar, count(DISTINCT iso_code) AS n_units, count(*) AS n
 FROM p_silver WHERE {OUTCOME} IS NOT NULL GROUP BY ratification_year, year
 """)
 cte("p_cohort_att", ["p_cells"], """
 SELECT c.cohort, c.year, c.year - c.cohort AS rel_time, (c.ybar - b.ybar) - (nv.ybar - nb.ybar) AS att, c.n_units,
        CASE WHEN b.ybar IS NULL THEN 'no_base_period'
-            WHEN nv.ybar IS NULL OR nb.ybar IS NULL THEN 'no_never_treated' ELSE 'ok' END AS status
+            WHEN nv.ybar IS NULL OR nb.ybar IS NULL THEN 'no_never_treated' ELSE 'ok' END AS status,
+       c.n, b.n AS n_base, nv.n AS n_nev, nb.n AS n_nb
 FROM p_cells c
 LEFT JOIN p_cells b ON b.cohort = c.cohort AND b.year = c.cohort - 1
 LEFT JOIN p_cells nv ON nv.cohort IS NULL AND nv.year = c.year
 LEFT JOIN p_cells nb ON nb.cohort IS NULL AND nb.year = c.cohort - 1
 WHERE c.cohort IS NOT NULL AND c.year <> c.cohort - 1
 """)
+# each unit's influence on each effect: its residuals over the sizes of the cells they enter
+cte("p_cohort_influence", ["p_silver", "p_cells", "p_cohort_att"], f"""
+SELECT a.cohort, a.year, a.n_units, e.iso_code,
+       sum(CASE WHEN e.cohort IS NULL THEN -1 ELSE 1 END
+           * (CASE WHEN e.year = a.year THEN e.e / (CASE WHEN e.cohort IS NULL THEN a.n_nev ELSE a.n END) ELSE 0 END
+              - CASE WHEN e.year = a.cohort - 1 THEN e.e / (CASE WHEN e.cohort IS NULL THEN a.n_nb ELSE a.n_base END) ELSE 0 END)) AS psi
+FROM p_cohort_att a
+JOIN (SELECT s.iso_code, s.ratification_year AS cohort, s.year, s.{OUTCOME} - c.ybar AS e
+      FROM p_silver s JOIN p_cells c ON c.cohort IS NOT DISTINCT FROM s.ratification_year AND c.year = s.year
+      WHERE s.{OUTCOME} IS NOT NULL) e ON e.cohort = a.cohort OR e.cohort IS NULL
+WHERE a.status = 'ok' GROUP BY a.cohort, a.year, a.n_units, e.iso_code
+""")
+cte("p_cohort_factor", ["p_silver", "p_cells"], f"""
+SELECT (SELECT count(DISTINCT iso_code) FROM p_silver WHERE {OUTCOME} IS NOT NULL) AS g, sum(n) AS n, count(*) AS k FROM p_cells
+""")
+_FACTOR_SQL = "(SELECT g / (g - 1.0) * ((n - 1.0) / (n - k)) FROM p_cohort_factor)"
 
 
-def _cohort_att(spark, sf):
-    return cz.cohort_att(silver(spark, sf), "iso_code", "year", OUTCOME, "ratification_year")
-
-
-@register("cohort_att", ["p_cohort_att"],
-          "SELECT cohort, year, rel_time, round(att, 3) AS att, n_units, status FROM p_cohort_att")
+@register("cohort_att", ["p_cohort_att", "p_cohort_influence", "p_cohort_factor"], f"""
+SELECT cohort, year, rel_time, round(att, 3) AS att, n_units, status, round(se, 3) AS se,
+       round(att - 1.96 * se, 3) AS ci_lower, round(att + 1.96 * se, 3) AS ci_upper
+FROM (SELECT a.*, sqrt({_FACTOR_SQL} * v.v) AS se FROM p_cohort_att a
+      LEFT JOIN (SELECT cohort, year, sum(psi * psi) AS v FROM p_cohort_influence GROUP BY cohort, year) v
+        ON v.cohort = a.cohort AND v.year = a.year) x
+""")
 def q_cohort_att(spark, sf):
-    return _cohort_att(spark, sf).withColumn("att", F.round("att", 3))
-
-
-@register("cohort_att_overall", ["p_cohort_att"], """
-SELECT round(sum(att * n_units) / sum(n_units), 3) AS att, count(*) AS n_cells,
-       CAST(sum(n_units) AS BIGINT) AS n_unit_periods
-FROM p_cohort_att WHERE year >= cohort AND status = 'ok'
+    out = cz.cohort_att(silver(spark, sf), "iso_code", "year", OUTCOME, "ratification_year")
+    return out.withColumns({c: F.round(c, 3) for c in ("att", "se", "ci_lower", "ci_upper")})
+
+
+@register("cohort_att_overall", ["p_cohort_att", "p_cohort_influence", "p_cohort_factor"], f"""
+SELECT round(att, 3) AS att, n_cells, n_unit_periods, round(se, 3) AS se,
+       round(att - 1.96 * se, 3) AS ci_lower, round(att + 1.96 * se, 3) AS ci_upper
+FROM (SELECT sum(att * n_units) / sum(n_units) AS att, count(*) AS n_cells, CAST(sum(n_units) AS BIGINT) AS n_unit_periods,
+             (SELECT sqrt({_FACTOR_SQL} * sum(psi * psi))
+              FROM (SELECT sum(psi * n_units) / (SELECT sum(n_units) FROM p_cohort_att WHERE year >= cohort AND status = 'ok') AS psi
+                    FROM p_cohort_influence WHERE year >= cohort GROUP BY iso_code) u) AS se
+      FROM p_cohort_att WHERE year >= cohort AND status = 'ok') x
 """)
 def q_cohort_att_overall(spark, sf):
-    return cz.cohort_att_overall(_cohort_att(spark, sf), "year").withColumn("att", F.round("att", 3))
+    out = cz.cohort_att_overall(silver(spark, sf), "iso_code", "year", OUTCOME, "ratification_year")
+    return out.withColumns({c: F.round(c, 3) for c in ("att", "se", "ci_lower", "ci_upper")})
 
 
 # ---------------------------------------------------------------------------
