@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paneltide.operators.comoments import comoments
 from paneltide.operators.isolation import forest_scores
 from paneltide.operators.joins import attach_scalars, broadcast_if_small
 from paneltide.operators.ordering import keyed_quantile
@@ -96,18 +97,11 @@ def standardize_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 # M5: reconstruction error of sliding windows under a low-rank model
 # ---------------------------------------------------------------------------
 def principal_axes(train: DataFrame, vec: str, d: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, d x d projection on the k leading axes) of the vectors, from one
-    aggregate of their sums and products; d x d numbers reach the driver."""
-    x = [F.col(vec)[i] for i in range(d)]
-    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(x[i]).alias(f"m{i}") for i in range(d)]]
-    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
-    r = train.agg(*aggs).first()
-    mean, cov = np.array([r[f"m{i}"] or 0.0 for i in range(d)]), np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
-    axes = np.linalg.eigh(cov)[1][:, ::-1][:, :k]
-    return mean, axes @ axes.T
+    """(mean, the k leading axes as columns) of the vectors, from their
+    co-moments (outer products of blocks in each task, see ``comoments``)."""
+    states = comoments(train.where(F.col(vec).isNotNull() & F.forall(vec, lambda v: v.isNotNull())), F.col(vec), F.lit(0), d)
+    _, mean, c = states.get(0, (0, np.zeros(d), np.zeros((d, d))))
+    return mean, np.linalg.eigh(c)[1][:, ::-1][:, :k]
 
 
 def pca_recon_error(seqs: DataFrame, key: str, start: str, vec: str, d: int, k: int = 2,
@@ -116,14 +110,17 @@ def pca_recon_error(seqs: DataFrame, key: str, start: str, vec: str, d: int, k:
     vectors of ``d`` = window x features standardised values (optionally only
     windows that end before ``fit_before``), project every window onto k axes
     and back, score = mean squared reconstruction error over the window. The
-    score belongs to the window's last step, ``step`` (default: ``start``)."""
+    score belongs to the window's last step, ``step`` (default: ``start``). A
+    window with a missing value is not fitted and has no score."""
     step = step or start
     train = seqs if fit_before is None else seqs.where(F.col(step) < fit_before)
-    mean, proj = principal_axes(train, vec, d, k)
-    c = [F.col(vec)[i] - F.lit(float(mean[i])) for i in range(d)]
-    recon = [sum(F.lit(float(proj[i, j])) * c[j] for j in range(d)) for i in range(d)]
-    err = sum((c[i] - recon[i]) * (c[i] - recon[i]) for i in range(d)) / d
-    return seqs.select(key, step, err.alias("recon_error"))
+    mean, axes = principal_axes(train, vec, d, k)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+    # the axes are two small arrays of constants, not an expression for each of their entries
+    off = seqs.select(key, step, F.zip_with(vec, F.lit(mean.tolist()), lambda v, m: v - m).alias("_c"))
+    off = off.withColumn("_z", F.transform(F.lit(axes.T.tolist()), lambda a: dot(F.col("_c"), a)))
+    rest = F.zip_with("_c", F.lit(axes.tolist()), lambda v, a: v - dot(F.col("_z"), a))
+    return off.select(key, step, (F.aggregate(rest, F.lit(0.0), lambda acc, v: acc + v * v) / d).alias("recon_error"))
 
 
 def isolation_forest(df: DataFrame, key: str, t: str, feats: list[str], contamination: float = 0.05,

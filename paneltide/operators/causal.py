@@ -24,7 +24,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paneltide.operators import lasso
+from paneltide.operators.comoments import comoments
 from paneltide.operators.joins import broadcast_if_small, fits_broadcast
+from paneltide.operators.lasso import pooled
 from paneltide.session import reliable_checkpoint
 
 RESULT_SCHEMA = ("estimator string, att double, se double, ci_lower double, ci_upper double, "
@@ -413,86 +416,72 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
               folds: int = 2, seed: int = 42, heterogeneous: bool = True) -> DataFrame:
     """Cross-fitted double ML (partially linear model).
 
-    Nuisances E[y|X] and E[d|X] are lasso regressions (MLlib, elastic-net
-    mixing 1, penalty chosen on units held out by hash); each is fitted on one
-    fold group of units and predicts the other (folds by a hash of the unit,
-    so a unit never sits on both sides). The final stage regresses the
-    y-residual on the d-residual (and, when ``heterogeneous``, its products
-    with the centred controls), giving an effect linear in the controls; the
-    ATE is the effect at the control means, with a heteroskedasticity-robust
-    95 % interval.
+    Nuisances E[y|X] and E[d|X] are lasso regressions (penalty chosen on units
+    held out by hash); each is fitted on one fold group of units and predicts
+    the other (folds by a hash of the unit, so a unit never sits on both
+    sides). The final stage regresses the y-residual on the d-residual (and,
+    when ``heterogeneous``, its products with the centred controls), giving an
+    effect linear in the controls; the ATE is the effect at the control means,
+    with a heteroskedasticity-robust 95 % interval.
+
+    Three aggregates over the rows, however many folds and penalties: the
+    co-moments of controls, outcome and treatment for each fold and its
+    held-out part, from which all lassos are fitted and compared; the final
+    stage's products; and their products with its squared residuals.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
     spark = df.sparkSession
-    cols = [y, d, *controls]
-    base = (df.select(unit, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-              .withColumn("_fold", F.pmod(F.xxhash64(F.col(unit), F.lit(seed)), F.lit(folds)))
-              .withColumn("_valid", F.pmod(F.xxhash64(F.col(unit), F.lit(seed + 1)), F.lit(4)) == 0))
-    base = VectorAssembler(inputCols=controls, outputCol="_x").transform(base)
-    # every nuisance fit scans the input several times: read it from a
-    # checkpoint instead of recomputing its lineage for each pass
+    cols = [*controls, y, d]
+    x, iy, id_ = list(range(len(controls))), len(controls), len(controls) + 1
+    h = lambda s: F.xxhash64(F.col(unit), F.lit(s))
+    base = (df.select(unit, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(cols)]).dropna()
+              .select(F.array(*cols).alias("_x"), F.pmod(h(seed), F.lit(folds)).cast("int").alias("_fold"),
+                      (F.pmod(h(seed + 1), F.lit(4)) == 0).cast("int").alias("_valid")))
+    # three passes: read the input from a checkpoint instead of recomputing its lineage
     base = reliable_checkpoint(base)
-
-    def nuisance(train: DataFrame, target: str):
-        """Lasso; the penalty is the one with the least error on the units
-        held out by hash, so it depends on neither order nor partitioning."""
-        def fit(rows, penalty):
-            return LinearRegression(featuresCol="_x", labelCol=target, elasticNetParam=1.0, regParam=penalty,
-                                    solver="normal", predictionCol=f"_hat_{target}").fit(rows)
-
-        inner, held = train.where(~F.col("_valid")), train.where("_valid")
-        models = [(penalty, fit(inner, penalty)) for penalty in PENALTIES]
-        scored = held
-        for i, (_, m) in enumerate(models):
-            scored = m.transform(scored).withColumnRenamed(f"_hat_{target}", f"_p{i}")
-        errors = scored.agg(*[F.avg(F.pow(F.col(target) - F.col(f"_p{i}"), 2)).alias(f"e{i}") for i in range(len(models))]).first()
-        ranked = [(errors[f"e{i}"], penalty) for i, (penalty, _) in enumerate(models) if errors[f"e{i}"] is not None]
-        return fit(train, min(ranked)[1] if ranked else PENALTIES[0])
-
-    resid = None
-    for k in range(folds):
-        train, test = base.where(F.col("_fold") != k), base.where(F.col("_fold") == k)
-        pred = test
-        for target in (y, d):
-            pred = nuisance(train, target).transform(pred)
-        part = pred.select(unit, *controls, (F.col(y) - F.col(f"_hat_{y}")).alias("_ry"),
-                           (F.col(d) - F.col(f"_hat_{d}")).alias("_rd"))
-        resid = part if resid is None else resid.unionByName(part)
-    # the residuals feed three aggregates; fitting happened above, so write
-    # them once rather than re-running the model transforms three times
-    resid = reliable_checkpoint(resid)
-    means = resid.agg(*[F.avg(c).alias(c) for c in controls]).first()
-    regs = ["_rd"]
-    r = resid
-    if heterogeneous:
-        for c in controls:
-            r = r.withColumn(f"_rd_{c}", F.col("_rd") * (F.col(c) - F.lit(float(means[c] or 0.0))))
-            regs.append(f"_rd_{c}")
+    parts = comoments(base, F.col("_x"), F.col("_fold") * 2 + F.col("_valid"), len(cols))
+
+    def nuisance(fold: int, target: int) -> tuple[np.ndarray, float]:
+        """The lasso fitted on the other folds; its penalty is the one with the
+        least error on their held-out units."""
+        other = [[s for g, s in sorted(parts.items()) if g // 2 != fold and g % 2 == v] for v in (0, 1)]
+        inner, held, train = (pooled(s, len(cols)) for s in (*other, other[0] + other[1]))
+        errors = [(lasso.error(held, x, target, *lasso.fit(inner, x, target, p)), p) for p in PENALTIES]
+        known = [e for e in errors if e[0] is not None]
+        return lasso.fit(train, x, target, min(known)[1] if known else PENALTIES[0])
+
+    fits = [[nuisance(k, target) for target in (iy, id_)] for k in range(folds)]
+
+    def residual(i: int, target: int):
+        """Of the rows, by their fold's regression."""
+        table = F.get(F.lit([f[i][0].tolist() for f in fits]), F.col("_fold")) if x else F.array().cast("array<double>")
+        shift = F.get(F.lit([f[i][1] for f in fits]), F.col("_fold"))
+        dot = F.aggregate(F.zip_with(table, F.slice("_x", 1, len(x)), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        return F.get("_x", F.lit(target)) - shift - dot
+
+    mean = pooled([s for _, s in sorted(parts.items())], len(cols))[1]
+    rd = F.col("_rd")
+    regs = [rd, *[rd * (F.get("_x", F.lit(j)) - F.lit(float(mean[j]))) for j in x if heterogeneous]]
+    r = base.select("_x", residual(0, iy).alias("_ry"), residual(1, id_).alias("_rd"))
+    r = r.select("_ry", *[c.alias(f"_r{i}") for i, c in enumerate(regs)])
     k = len(regs)
-    aggs = [F.sum(F.col(regs[i]) * F.col(regs[j])).alias(f"xx_{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(F.col(regs[i]) * F.col("_ry")).alias(f"xy_{i}") for i in range(k)]
-    aggs += [F.count(F.lit(1)).alias("n")]
-    row = r.agg(*aggs).first()
-    xx = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            xx[i, j] = xx[j, i] = row[f"xx_{i}_{j}"] or 0.0
-    xy = np.array([row[f"xy_{i}"] or 0.0 for i in range(k)])
-    n = int(row["n"])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    row = r.agg(*[F.sum(F.col(f"_r{i}") * F.col(f"_r{j}")) for i, j in pairs],
+                *[F.sum(F.col(f"_r{i}") * F.col("_ry")) for i in range(k)], F.count(F.lit(1))).first()
+
+    def symmetric(values) -> np.ndarray:
+        out = np.zeros((k, k))
+        for (i, j), v in zip(pairs, values):
+            out[i, j] = out[j, i] = v or 0.0
+        return out
+
+    xx, xy, n = symmetric(row[:len(pairs)]), np.array([v or 0.0 for v in row[len(pairs):-1]]), int(row[-1])
     if n == 0 or np.linalg.matrix_rank(xx) < k:
         return spark.createDataFrame([(None, None, None, n, "collinear")],
                                      "ate double, ci_lower double, ci_upper double, n_obs bigint, status string")
     inv = np.linalg.inv(xx)
     theta = inv @ xy
-    e = F.col("_ry") - sum(F.lit(float(theta[i])) * F.col(regs[i]) for i in range(k))
-    meat_row = r.agg(*[F.sum(F.col(regs[i]) * F.col(regs[j]) * e * e).alias(f"m_{i}_{j}")
-                       for i in range(k) for j in range(i, k)]).first()
-    meat = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            meat[i, j] = meat[j, i] = meat_row[f"m_{i}_{j}"] or 0.0
+    e = F.col("_ry") - sum(F.lit(float(theta[i])) * F.col(f"_r{i}") for i in range(k))
+    meat = symmetric(r.withColumn("_e2", e * e).agg(*[F.sum(F.col(f"_r{i}") * F.col(f"_r{j}") * F.col("_e2")) for i, j in pairs]).first())
     cov = inv @ meat @ inv
     ate = float(theta[0])  # controls are centred, so the effect at the means is theta_0
     se = math.sqrt(max(cov[0, 0], 0.0))

@@ -463,3 +463,91 @@ def test_cohort_errors_match_a_dense_regression(spark):
     assert abs(one.att - total @ beta) < 1e-9 and abs(one.se - np.sqrt(total @ cov @ total)) < 1e-9 and one.n_unit_periods == weight
     none = cz.cohort_att_overall(df.where("ev is null"), "u", "t", "y", "ev").first()
     assert none.att is None and none.se is None and none.n_cells == 0
+
+
+def test_comoments_far_from_zero(spark):
+    from paneltide.operators.comoments import comoments
+
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(900, 4)) @ rng.normal(size=(4, 4)) + np.array([1e9, -1e7, 0.0, 5.0])
+    g = rng.integers(0, 3, 900)
+    df = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(g, x)], "g int, x array<double>")
+    for parts in (1, 9):
+        got = comoments(df.repartition(parts), F.col("x"), F.col("g"), 4)
+        assert set(got) == {0, 1, 2}
+        for k, (n, mean, c) in got.items():
+            own = x[g == k]
+            assert n == len(own) and np.allclose(mean, own.mean(0), rtol=1e-14)
+            assert np.allclose(c / n, np.cov(own.T, bias=True), atol=1e-5) and abs(c[2, 3] / n - np.cov(own.T, bias=True)[2, 3]) < 1e-10
+    assert comoments(df.where("false"), F.col("x"), F.col("g"), 4) == {}
+
+
+def test_lasso_agrees_with_mllib(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from paneltide.operators import lasso
+    from paneltide.operators.comoments import comoments
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 4)) * [1.0, 5.0, 0.2, 0.0] + [0.0, 30.0, -2.0, 7.0]
+    x[:, 2] += 0.3 * x[:, 0]
+    y = 2 * x[:, 0] - 0.5 * x[:, 1] + rng.normal(size=400)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, e double, y double")
+    vectors = VectorAssembler(inputCols=["a", "b", "c", "e"], outputCol="v").transform(df)
+    state = comoments(df, F.array("a", "b", "c", "e", "y"), F.lit(0), 5)[0]
+    for penalty in (1e-4, 1e-2, 0.5, 5.0):
+        m = LinearRegression(featuresCol="v", labelCol="y", elasticNetParam=1.0, regParam=penalty, solver="normal", tol=1e-14, maxIter=2000).fit(vectors)
+        coefficients, intercept = lasso.fit(state, [0, 1, 2, 3], 4, penalty)
+        assert np.allclose(coefficients, m.coefficients.toArray(), atol=1e-8) and abs(intercept - m.intercept) < 1e-7
+        want = ((y - x @ coefficients - intercept) ** 2).mean()
+        assert abs(lasso.error(state, [0, 1, 2, 3], 4, coefficients, intercept) - want) < 1e-9
+    # at the optimum no column is correlated with the residual beyond the penalty
+    coefficients, intercept = lasso.fit(state, [0, 1, 2, 3], 4, 0.5)
+    score = ((x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)).T @ (y - x @ coefficients - intercept) / 400
+    assert (np.abs(score) <= 0.5 + 1e-9).all()
+
+
+def test_double_ml_matches_a_dense_computation(spark):
+    """The same folds, with each lasso's residuals and the final stage in numpy."""
+    from paneltide.operators import lasso
+
+    rng = np.random.default_rng(12)
+    rows = [(f"u{u}", float(rng.normal()), float(rng.random() < 0.5), float(rng.normal(50, 2)), float(rng.normal())) for u in range(60) for _ in range(4)]
+    rows = [(u, 2.0 * d + 0.5 * a - b + y, d, a, b) for u, y, d, a, b in rows] + [("gone", None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "u string, y double, d double, x1 double, x2 double")
+    got = cz.double_ml(df, "y", "d", ["x1", "x2"], "u").first()
+    marked = df.dropna().select("y", "d", "x1", "x2", F.pmod(F.xxhash64("u", F.lit(42)), F.lit(2)).alias("f"), F.pmod(F.xxhash64("u", F.lit(43)), F.lit(4)).alias("v")).toPandas().to_numpy(float)
+    m, f, held = marked[:, [2, 3, 0, 1]], marked[:, 4], marked[:, 5] == 0
+
+    def state(rows):
+        return len(rows), rows.mean(0), (rows - rows.mean(0)).T @ (rows - rows.mean(0))
+
+    res = np.zeros((len(m), 2))
+    for k in (0, 1):
+        for i, target in enumerate((2, 3)):
+            tries = [lasso.fit(state(m[(f != k) & ~held]), [0, 1], target, p) for p in cz.PENALTIES]
+            out = m[(f != k) & held]
+            errors = [((out[:, target] - out[:, :2] @ b - c) ** 2).mean() for b, c in tries]
+            b, c = lasso.fit(state(m[f != k]), [0, 1], target, cz.PENALTIES[int(np.argmin(errors))])
+            res[f == k, i] = m[f == k, target] - m[f == k, :2] @ b - c
+    z = np.column_stack([res[:, 1], res[:, 1:] * (m[:, :2] - m[:, :2].mean(0))])
+    inv = np.linalg.inv(z.T @ z)
+    theta = inv @ z.T @ res[:, 0]
+    e = res[:, 0] - z @ theta
+    se = np.sqrt((inv @ (z * e[:, None] ** 2).T @ z @ inv)[0, 0])
+    assert got.n_obs == 240 and abs(got.ate - theta[0]) < 1e-9 and abs((got.ci_upper - got.ate) / 1.96 - se) < 1e-9
+
+
+def test_recon_error_of_wide_windows(spark):
+    """400 dimensions: no expression per matrix entry."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 3)) @ rng.normal(size=(3, 400)) + 0.01 * rng.normal(size=(300, 400))
+    x[17, 5] += 9.0
+    df = spark.createDataFrame([("a", t, [float(v) for v in r]) for t, r in enumerate(x)] + [("a", 300, [None] * 400)], "k string, t int, v array<double>")
+    out = an.pca_recon_error(df, "k", "t", "v", d=400, k=3)
+    got = {r.t: r.recon_error for r in out.collect()}
+    c = x - x.mean(0)
+    axes = np.linalg.svd(c)[2][:3]
+    want = ((c - c @ axes.T @ axes) ** 2).mean(1)
+    assert got.pop(300) is None and np.allclose([got[t] for t in range(300)], want, rtol=1e-6) and max(got, key=got.get) == 17
