@@ -59,4 +59,4 @@ def comoments(df: DataFrame, x: Column, group: Column, dims: int) -> dict[int, S
         return a | {g: merged(a.get(g), s) for g, s in b.items()}
 
     tasks = parts.rdd.map(lambda r: pickle.loads(bytes(r["states"])))
-    return tasks.treeReduce(join, 3) if tasks.getNumPartitions() else {}
+    return tasks.treeReduce(join) if tasks.getNumPartitions() else {}

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.exprs import direction_label
+from paneltide.operators.filters import min_history
 from paneltide.operators.windows import folds as fold_labels
 from paneltide.operators.windows import positions
 
@@ -172,3 +173,15 @@ def cv_plus(df: DataFrame, key: str, ds: str, y: str, h: int, alpha: float = 0.1
     bounds = series.select(key, F.explode(per_step).alias("_s")).select(key, "_s.*")
     center = forecast(df, key, ds, y, h, "trend", unit).select(key, "step", ds, "forecast")
     return center.join(bounds, [key, "step"], "left")
+
+
+def panel_forecast(df: DataFrame, key: str, t: str, y: str, h: int, min_points: int, alpha: float = 0.1, k: int = 5,
+                   unit: str = "year") -> DataFrame:
+    """F10 -> M1 -> M2 -> P16: trend forecasts with CV+ bounds and direction
+    of the keys with at least ``min_points`` values; shorter series give no
+    rows (``min_history`` reports them)."""
+    eligible, _ = min_history(df, key, min_points, y)
+    out = cv_plus(eligible, key, t, y, h, alpha, k, unit)
+    w = Window.partitionBy(key)
+    first, last = F.min_by("forecast", "step").over(w), F.max_by("forecast", "step").over(w)
+    return out.withColumn("direction", direction_label(first, last))

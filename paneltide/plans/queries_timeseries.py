@@ -243,39 +243,46 @@ for _m in METHODS:
     register(f"forecast_{_m}", ["p_month_fit"], _forecast_sql(_m, "p_month_fit"))(_forecast_q(_m))
 
 
-cte("p_cv_base", ["p_month"], f"""
+_SUMS_SQL = ("count(*) AS n_, CAST(sum(t) AS BIGINT) AS st, CAST(sum(t * t) AS BIGINT) AS stt, "
+             "sum(yd) AS sy, sum(yd * t) AS sty")
+
+
+def _cv_ctes(p: str, src: str, alpha: float, h: int) -> None:
+    """CTEs ``p``_base to ``p``_bounds: CV+ bounds of the series in ``src``."""
+    cte(f"{p}_base", [src], f"""
 SELECT iso_code, ds, CAST(y AS DECIMAL(18,2)) AS yd,
        ROW_NUMBER() OVER (PARTITION BY iso_code ORDER BY ds) - 1 AS t,
        NTILE({K_FOLDS}) OVER (PARTITION BY iso_code ORDER BY ds) AS fold
-FROM p_month WHERE y IS NOT NULL
+FROM {src} WHERE y IS NOT NULL
 """)
-_SUMS_SQL = ("count(*) AS n_, CAST(sum(t) AS BIGINT) AS st, CAST(sum(t * t) AS BIGINT) AS stt, "
-             "sum(yd) AS sy, sum(yd * t) AS sty")
-cte("p_cv_tot", ["p_cv_base"], f"SELECT iso_code, {_SUMS_SQL} FROM p_cv_base GROUP BY iso_code")
-cte("p_cv_fold", ["p_cv_base"], f"SELECT iso_code, fold, {_SUMS_SQL} FROM p_cv_base GROUP BY iso_code, fold")
-cte("p_cv_fit", ["p_cv_tot", "p_cv_fold"], """
+    cte(f"{p}_tot", [f"{p}_base"], f"SELECT iso_code, {_SUMS_SQL} FROM {p}_base GROUP BY iso_code")
+    cte(f"{p}_fold", [f"{p}_base"], f"SELECT iso_code, fold, {_SUMS_SQL} FROM {p}_base GROUP BY iso_code, fold")
+    cte(f"{p}_fit", [f"{p}_tot", f"{p}_fold"], f"""
 SELECT iso_code, fold, nk, b, (CAST(sy AS DOUBLE) - b * CAST(st AS DOUBLE)) / CAST(n_ AS DOUBLE) AS a
 FROM (SELECT f.iso_code, f.fold, t.n_ AS nk, t.n_ - f.n_ AS n_, t.st - f.st AS st, t.sy - f.sy AS sy,
              CAST((t.n_ - f.n_) * (t.sty - f.sty) - (t.st - f.st) * (t.sy - f.sy) AS DOUBLE)
                / NULLIF(CAST((t.n_ - f.n_) * (t.stt - f.stt) - (t.st - f.st) * (t.st - f.st) AS DOUBLE), 0.0) AS b
-      FROM p_cv_fold f JOIN p_cv_tot t ON f.iso_code = t.iso_code) s
+      FROM {p}_fold f JOIN {p}_tot t ON f.iso_code = t.iso_code) s
 """)
-cte("p_cv_bounds", ["p_cv_base", "p_cv_fit"], f"""
+    cte(f"{p}_bounds", [f"{p}_base", f"{p}_fit"], f"""
 SELECT iso_code, step,
-       max(CASE WHEN rlo = floor(CAST({ALPHA} AS DOUBLE) * (nk + 1) + 1e-9) THEN lo END) AS lower,
-       max(CASE WHEN rhi = ceil(CAST({1 - ALPHA} AS DOUBLE) * (nk + 1) - 1e-9) THEN hi END) AS upper
+       max(CASE WHEN rlo = floor(CAST({alpha} AS DOUBLE) * (nk + 1) + 1e-9) THEN lo END) AS lower,
+       max(CASE WHEN rhi = ceil(CAST({1 - alpha} AS DOUBLE) * (nk + 1) - 1e-9) THEN hi END) AS upper
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY iso_code, step ORDER BY lo) AS rlo,
                 ROW_NUMBER() OVER (PARTITION BY iso_code, step ORDER BY hi) AS rhi
       FROM (SELECT iso_code, step, nk, mu - r AS lo, mu + r AS hi
             FROM (SELECT p.iso_code, CAST(s.step AS INTEGER) AS step, f.nk,
                          abs(CAST(p.yd AS DOUBLE) - (f.a + f.b * p.t)) AS r,
                          f.a + f.b * (f.nk - 1 + s.step) AS mu
-                  FROM p_cv_base p JOIN p_cv_fit f ON p.iso_code = f.iso_code AND p.fold = f.fold,
-                       range(1, {H + 1}) s(step)) x) y) z
+                  FROM {p}_base p JOIN {p}_fit f ON p.iso_code = f.iso_code AND p.fold = f.fold,
+                       range(1, {h + 1}) s(step)) x) y) z
 GROUP BY iso_code, step
 """)
 
 
+_cv_ctes("p_cv", "p_month", ALPHA, H)
+
+
 @register("cv_plus_intervals", ["p_month_fit", "p_cv_bounds"], f"""
 SELECT c.iso_code, c.step, c.ds, round(c.forecast, 2) AS forecast,
        round(b.lower, 2) AS lower, round(b.upper, 2) AS upper
@@ -290,6 +297,47 @@ def q_cv_plus(spark, sf):
     return r.select("iso_code", "step", "ds", *[F.round(c, 2).alias(c) for c in ["forecast", "lower", "upper"]])
 
 
+# ---------------------------------------------------------------------------
+# Yearly forecast of the keys with enough history
+# ---------------------------------------------------------------------------
+YEARLY_POINTS, YEARLY_ALPHA = 5, 0.25
+
+cte("p_customer_year", [], """
+SELECT iso_code, ds, y FROM (
+  SELECT o_custkey AS iso_code, CAST(year(o_orderdate) AS INTEGER) AS ds, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y
+  FROM orders GROUP BY o_custkey, year(o_orderdate)) t
+""")
+cte("p_yearly", ["p_customer_year"], f"""
+SELECT iso_code, ds, y FROM (SELECT *, count(y) OVER (PARTITION BY iso_code) AS n FROM p_customer_year) t
+WHERE n >= {YEARLY_POINTS}
+""")
+cte("p_yearly_sum", ["p_yearly"], _summary_sql("p_yearly"))
+cte("p_yearly_fit", ["p_yearly_sum"], _fit_sql("p_yearly_sum"))
+_cv_ctes("p_ycv", "p_yearly", YEARLY_ALPHA, FUTURE_YEARS)
+
+
+def _cents_sql(c: str) -> str:
+    """Half cents are common here and differ in the last bit between engines: the guard sends them up in both."""
+    return f"floor({c} * 100 + 0.5001) / 100"
+
+
+@register("forecast_yearly", ["p_yearly_fit", "p_ycv_bounds"], f"""
+SELECT c.iso_code AS custkey, c.step, c.year, {_cents_sql('c.forecast')} AS forecast, {_cents_sql('b.lower')} AS lower, {_cents_sql('b.upper')} AS upper,
+       CASE WHEN abs(f_last - f_first) < 1 THEN 'flat' WHEN f_last - f_first > 0 THEN 'up' ELSE 'down' END AS direction
+FROM (SELECT *, arg_min(forecast, step) OVER (PARTITION BY iso_code) AS f_first, arg_max(forecast, step) OVER (PARTITION BY iso_code) AS f_last
+      FROM (SELECT iso_code, CAST(r.step AS INTEGER) AS step, CAST(last_ds + r.step AS INTEGER) AS year,
+                   intercept + slope * (n_ - 1 + r.step) AS forecast
+            FROM p_yearly_fit, range(1, {FUTURE_YEARS + 1}) r(step)) x) c
+LEFT JOIN p_ycv_bounds b ON c.iso_code = b.iso_code AND c.step = b.step
+""")
+def q_forecast_yearly(spark, sf):
+    """Order value per customer and year, for the customers with enough years."""
+    panel = (proxy.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("custkey"), F.year("o_orderdate").alias("year"))
+                  .agg(F.sum(money("o_totalprice")).alias("y")))
+    r = fc.panel_forecast(panel, "custkey", "year", "y", FUTURE_YEARS, YEARLY_POINTS, YEARLY_ALPHA, K_FOLDS)
+    return r.select("custkey", "step", "year", *[F.expr(_cents_sql(c)).alias(c) for c in ["forecast", "lower", "upper"]], "direction")
+
+
 # ---------------------------------------------------------------------------
 # Forecast evaluation (hold-out) and segments
 # ---------------------------------------------------------------------------

@@ -551,3 +551,11 @@ def test_recon_error_of_wide_windows(spark):
     axes = np.linalg.svd(c)[2][:3]
     want = ((c - c @ axes.T @ axes) ** 2).mean(1)
     assert got.pop(300) is None and np.allclose([got[t] for t in range(300)], want, rtol=1e-6) and max(got, key=got.get) == 17
+
+
+def test_panel_forecast_leaves_short_series_out(spark):
+    rows = [("a", 2000 + t, 3.0 * t) for t in range(8)] + [("b", 2000 + t, 1.0) for t in range(4)] + [("c", 2000 + t, None if t > 3 else 2.0 * t) for t in range(8)]
+    df = spark.createDataFrame(rows, "k string, year int, y double")
+    got = fc.panel_forecast(df, "k", "year", "y", 3, min_points=5, alpha=0.25).collect()
+    assert {(r.k, r.year, r.direction) for r in got} == {("a", y, "up") for y in (2008, 2009, 2010)}
+    assert all(abs(r.forecast - 3.0 * (r.year - 2000)) < 1e-9 and abs(r.lower - r.forecast) < 1e-6 and abs(r.upper - r.forecast) < 1e-6 for r in got)
