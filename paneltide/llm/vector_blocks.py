@@ -2,13 +2,19 @@
 
 Vectors are hashed into shards of about ``shard_rows`` rows, and an operator
 builds its index for each. Queries are hashed into blocks of about
-``query_rows``. Every (shard, block) pair is one row of a join on both numbers
-and is searched by itself, so neither side is broadcast or gathered; a pair
-returns k rows for each of its queries, and a ranked window merges the shards.
+``query_rows``; where shards are few, smaller blocks keep all cores busy.
+Every (shard, block) pair is one row of a join on both numbers and is searched
+by itself, so neither side is broadcast or gathered; a pair returns k rows for
+each of its queries, and a ranked window merges the shards.
+
+Rows are numbered once, in the table they are written to. A shard holds its
+rows by id and number, and an index knows them by their places: the smaller
+place is the smaller id, and a query's own row is one place, so rows that
+repeat an id, or are equal in all, are candidates like others.
 
 Defined results, for both users: rows with a null id, and vectors that are
-null or hold null or non-finite components, take no part; of rows with the
-same id the least vector counts; shorter vectors are padded with zeros; with
+null or hold null or non-finite components, take no part; rows with equal ids
+are rows of their own, as queries too; shorter vectors are padded with zeros; with
 fewer than k other vectors all are returned; no vectors give no rows; other
 columns are not read.
 """
@@ -24,12 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from paneltide.llm import store
+
 
 def vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v): the vectors that take part, as doubles."""
+    """(id, v, row): the vectors that take part, as doubles, numbered."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    return rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite)).groupBy("id").agg(F.min("v").alias("v"))
+    rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite))
+    return store.materialise(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
 
 def _matrix(column, dims: int) -> np.ndarray:
@@ -43,35 +52,46 @@ def _matrix(column, dims: int) -> np.ndarray:
 def search(rows: DataFrame, is_query, k: int, build: Callable[[np.ndarray, np.ndarray], bytes],
            find: Callable[[bytes, np.ndarray, np.ndarray, int], tuple], score_type: str,
            shard_rows: int, query_rows: int) -> DataFrame:
-    """``build(ids, matrix)`` makes a shard's index, ``find(index, query ids,
-    query matrix, k)`` returns (query position, id, score) arrays of each
-    query's k best of the shard, itself left out."""
+    """``build(places, matrix)`` makes a shard's index, ``find(index, own
+    places, query matrix, k)`` returns (query position, place, score) arrays of
+    each query's k best of the shard, its own place (-1: elsewhere) left out."""
     n, dims, asked = rows.agg(F.count("*"), F.max(F.size("v")), F.sum(is_query.cast("long"))).first()
-    shards, blocks, dims = n // shard_rows + 1, (asked or 0) // query_rows + 1, dims or 1
+    shards, dims, asked = n // shard_rows + 1, dims or 1, asked or 0
+    busy = -(-2 * rows.sparkSession.sparkContext.defaultParallelism // shards)
+    blocks = max(asked // (64 * query_rows) + 1, min(asked // query_rows + 1, busy))
     kind = {"long": pa.int64(), "double": pa.float64()}[score_type]
 
     def index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        return pd.DataFrame({"shard": [key[0]], "index": [build(pdf["id"].to_numpy(), _matrix(pdf["v"], dims))]})
+        pdf = pdf.sort_values(["id", "row"])
+        ids, own = (pdf[c].to_numpy("<i8").tobytes() for c in ("id", "row"))
+        return pd.DataFrame({"shard": [key[0]], "index": [build(np.arange(len(pdf)), _matrix(pdf["v"], dims))], "ids": [ids], "own": [own]})
 
     def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        return pd.DataFrame({"block": [key[0]], "ids": [pdf["id"].to_numpy("<i8").tobytes()], "queries": [_matrix(pdf["v"], dims).tobytes()]})
+        pdf = pdf.sort_values(["id", "row"])
+        ids, own = (pdf[c].to_numpy("<i8").tobytes() for c in ("id", "row"))
+        return pd.DataFrame({"block": [key[0]], "query_ids": [ids], "query_rows": [own], "queries": [_matrix(pdf["v"], dims).tobytes()]})
 
     def pairs(batches):
+        longs = lambda batch, c, r: np.frombuffer(batch.column(c)[r].as_buffer(), "<i8")
         for batch in batches:
             for r in range(batch.num_rows):
-                ids = np.frombuffer(batch.column("ids")[r].as_py(), "<i8")
-                at, vec, score = find(batch.column("index")[r].as_py(), ids, np.frombuffer(batch.column("queries")[r].as_py()).reshape(-1, dims), k)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(vec), pa.array(score, kind)], ["query_id", "vec_id", "score"])
-
-    part = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
-    indexed = rows.withColumn("shard", part(shards)).groupBy("shard").applyInPandas(index, "shard int, index binary")
-    asking = rows.filter(is_query).withColumn("block", part(blocks)).groupBy("block").applyInPandas(block, "block int, ids binary, queries binary")
+                ids, own, query_ids, query = (longs(batch, c, r) for c in ("ids", "own", "query_ids", "query_rows"))
+                order = np.argsort(own)
+                place = order[np.searchsorted(own, query, sorter=order) % len(own)]
+                place = np.where(own[place] == query, place, -1)
+                queries = np.frombuffer(batch.column("queries")[r].as_buffer()).reshape(-1, dims)
+                at, vec, score = find(batch.column("index")[r].as_py(), place, queries, k)
+                yield pa.RecordBatch.from_arrays([pa.array(query[at]), pa.array(query_ids[at]), pa.array(ids[vec]), pa.array(score, kind)],
+                                                 ["query", "query_id", "vec_id", "score"])
+
+    part = lambda m: F.pmod(F.xxhash64("row"), F.lit(m)).cast("int")
+    indexed = rows.withColumn("shard", part(shards)).groupBy("shard").applyInPandas(index, "shard int, index binary, ids binary, own binary")
+    asking = rows.filter(is_query).withColumn("block", part(blocks)).groupBy("block").applyInPandas(
+        block, "block int, query_ids binary, query_rows binary, queries binary")
     left = indexed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = left.join(right, ["shard", "block"]).mapInArrow(pairs, f"query_id long, vec_id long, score {score_type}")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.join(right, ["shard", "block"]).mapInArrow(pairs, f"query long, query_id long, vec_id long, score {score_type}")
+    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
