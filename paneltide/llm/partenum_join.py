@@ -385,3 +385,24 @@ def one_of_each(docs: DataFrame, percent: int, width: int, id_col: str = "doc_id
 
 def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(store.read(spark, sf_dir, "documents"), percent=85)
+
+
+SQL_OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[s + 1 : s + 4], ' ') AS g
+  FROM (SELECT r, w, unnest(range(greatest(len(w) - 3, 1))) AS s FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+links AS (
+  SELECT a.r AS a, b.r AS b
+  FROM (SELECT x.r AS a, y.r AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.g = y.g AND x.r <> y.r GROUP BY x.r, y.r) t
+  JOIN sizes a ON a.r = t.a JOIN sizes b ON b.r = t.b
+  WHERE 100 * common >= 85 * (a.n + b.n - common)),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN sizes ON sizes.r = d.r
+JOIN (SELECT reach.a, min(e.doc_id) AS component_id FROM reach JOIN d e ON e.r = reach.b GROUP BY reach.a) c ON c.a = d.r
+"""

@@ -36,6 +36,8 @@ QUERIES = {
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {
+    "op5_impact_topk": impact_topk.SQL_OP5,
+    "op8_partenum_join": partenum_join.SQL_OP8,
     "op12_decontamination": decontamination.SQL_OP12,
     "op13_spelling_variants": spelling_variants.SQL_OP13,
 }
