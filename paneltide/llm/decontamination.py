@@ -89,7 +89,7 @@ def occurrences(documents: DataFrame, windows: DataFrame, shingle: int) -> DataF
         tokens = parts.select("token").distinct()
         counted = [_places(documents, width).select(_shingle(F.col("place"), width).alias("token")).join(F.broadcast(t), "token", "left_semi")
                    .groupBy("token").count() for t in _token_blocks(tokens)]
-        rarity = reduce(DataFrame.unionByName, counted)
+        rarity = store.materialise(reduce(DataFrame.unionByName, counted), "rarity")
         # shingles that no document holds come first in the order and end their windows
         ordered = parts.join(broadcast_if_small(rarity), "token", "left").withColumn("count", F.coalesce("count", F.lit(0)))
         prefixes = ordered.groupBy("window").agg(F.min(F.struct("count", "token", "offset")).alias("p")).select("window", "p.*").filter("count > 0")
