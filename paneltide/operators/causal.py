@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneltide.operators import lasso
@@ -412,6 +412,12 @@ def cohort_att_overall(df: DataFrame, unit: str, t: str, y: str, event: str) ->
 PENALTIES = (1e-4, 1e-3, 1e-2, 1e-1)
 
 
+def unit_hash(unit: str, seed: int) -> Column:
+    """A number that every engine derives from a unit and a seed: the first
+    eight hex digits of an MD5."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.col(unit).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("long")
+
+
 def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
               folds: int = 2, seed: int = 42, heterogeneous: bool = True) -> DataFrame:
     """Cross-fitted double ML (partially linear model).
@@ -432,10 +438,9 @@ def double_ml(df: DataFrame, y: str, d: str, controls: list[str], unit: str,
     spark = df.sparkSession
     cols = [*controls, y, d]
     x, iy, id_ = list(range(len(controls))), len(controls), len(controls) + 1
-    h = lambda s: F.xxhash64(F.col(unit), F.lit(s))
     base = (df.select(unit, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(cols)]).dropna()
-              .select(F.array(*cols).alias("_x"), F.pmod(h(seed), F.lit(folds)).cast("int").alias("_fold"),
-                      (F.pmod(h(seed + 1), F.lit(4)) == 0).cast("int").alias("_valid")))
+              .select(F.array(*cols).alias("_x"), (unit_hash(unit, seed) % folds).cast("int").alias("_fold"),
+                      (unit_hash(unit, seed + 1) % 4 == 0).cast("int").alias("_valid")))
     # three passes: read the input from a checkpoint instead of recomputing its lineage
     base = reliable_checkpoint(base)
     parts = comoments(base, F.col("_x"), F.col("_fold") * 2 + F.col("_valid"), len(cols))

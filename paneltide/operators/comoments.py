@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
+FEW = 64  # tasks whose states the driver merges itself
 State = tuple[int, np.ndarray, np.ndarray]  # rows, mean, sum of outer products of deviations
 
 
@@ -59,4 +60,5 @@ def comoments(df: DataFrame, x: Column, group: Column, dims: int) -> dict[int, S
         return a | {g: merged(a.get(g), s) for g, s in b.items()}
 
     tasks = parts.rdd.map(lambda r: pickle.loads(bytes(r["states"])))
-    return tasks.treeReduce(join) if tasks.getNumPartitions() else {}
+    count = tasks.getNumPartitions()
+    return tasks.treeReduce(join, 1 if count <= FEW else 3) if count else {}

@@ -103,7 +103,7 @@ def _raw_indicators(spark, sf):
     reg = table(spark, sf, "region")
     j = (per_supp.join(sup, per_supp["l_suppkey"] == sup["s_suppkey"])
          .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(F.broadcast(reg), F.col("n_regionkey") == F.col("r_regionkey")))
+         .join(broadcast_if_small(reg), F.col("n_regionkey") == F.col("r_regionkey")))
 
     def level(name_col):
         g = j.groupBy(F.col(name_col).alias("country"), "yr").agg(

@@ -517,7 +517,7 @@ def test_double_ml_matches_a_dense_computation(spark):
     rows = [(u, 2.0 * d + 0.5 * a - b + y, d, a, b) for u, y, d, a, b in rows] + [("gone", None, 1.0, 1.0, 1.0)]
     df = spark.createDataFrame(rows, "u string, y double, d double, x1 double, x2 double")
     got = cz.double_ml(df, "y", "d", ["x1", "x2"], "u").first()
-    marked = df.dropna().select("y", "d", "x1", "x2", F.pmod(F.xxhash64("u", F.lit(42)), F.lit(2)).alias("f"), F.pmod(F.xxhash64("u", F.lit(43)), F.lit(4)).alias("v")).toPandas().to_numpy(float)
+    marked = df.dropna().select("y", "d", "x1", "x2", (cz.unit_hash("u", 42) % 2).alias("f"), (cz.unit_hash("u", 43) % 4).alias("v")).toPandas().to_numpy(float)
     m, f, held = marked[:, [2, 3, 0, 1]], marked[:, 4], marked[:, 5] == 0
 
     def state(rows):
