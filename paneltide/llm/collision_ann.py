@@ -43,8 +43,8 @@ def build(ids: np.ndarray, matrix: np.ndarray) -> bytes:
     p = (matrix / norm[:, None]) @ lines
     order = np.argsort(p, axis=0, kind="stable")
     short = matrix.astype(np.float32)  # as it came, if it came as floats
-    return pickle.dumps((ids, short if (short == matrix).all() else matrix, norm, lines, order.T.astype(np.int32),
-                         np.take_along_axis(p, order, 0).T.astype(np.float32)), protocol=5)
+    return pickle.dumps((ids, short if (short == matrix).all() else matrix, norm, lines, np.ascontiguousarray(order.T, np.int32),
+                         np.ascontiguousarray(np.take_along_axis(p, order, 0).T, np.float32)), protocol=5)
 
 
 def candidates(order: np.ndarray, values: np.ndarray, centre: np.ndarray, most: int) -> np.ndarray:
