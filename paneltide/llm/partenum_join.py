@@ -18,8 +18,8 @@ star. A star's sets are kept as differences from the pivot, which are short for
 near copies and from which the distance of any two of them follows exactly. In
 a star nothing is paired in full: the set nearest to the pivot links with all
 that lie near enough whatever their differences are, and only for the others
-are shared elements of the differences counted, through an inverted index. A
-star beyond ``BLOCK`` sets is split into blocks by hash, and blocks are
+are shared elements of the differences counted, of candidates that share a rare
+one. A star beyond ``BLOCK`` sets is split into blocks by hash, and blocks are
 compared two by two; a task returns a forest of its links. Sets that share a
 signature share a star, so no link between components is lost. Shingles are
 hashed to 64 bits.
@@ -265,50 +265,66 @@ def _stars(groups: DataFrame, steps: int = 2) -> DataFrame:
     return groups.join(grp, "grp").select(F.col("best.s").alias("pivot"), "set_id").distinct()
 
 
+def _ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All whole numbers from a[k] to before b[k], for each k."""
+    size = b - a
+    return np.arange(size.sum()) + np.repeat(a - np.cumsum(size) + size, size)
+
+
 def star_links(ids: np.ndarray, sizes: np.ndarray, deltas: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of links of the sets whose differences from one pivot are
     ``deltas``. Sets x, y differ in |Ex| + |Ey| - 2 |Ex & Ey| elements and link
     when that is at most ``a`` (|x| + |y|), a = (100 - percent) / (100 +
-    percent). With w = |E| - a |x| this is |Ex & Ey| >= (wx + wy) / 2."""
-    n = len(ids)
-    keep, more = 100 - percent, 100 + percent
-    w = np.array([len(d) for d in deltas]) * more - keep * sizes  # whole numbers: w times ``more``
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-
-    def join(x: int, y: int) -> None:
-        a, b = find(x), find(y)
-        if a != b:
-            parent[b] = a
-            out.append((int(ids[x]), int(ids[y])))
-
-    # whatever wx + wy <= 0 links, links with the smallest w as well
+    percent). With w = |E| - a |x| this is |Ex & Ey| >= (wx + wy) / 2.
+
+    Whatever wx + wy <= 0 links, and then the set with the smallest w links
+    with both. Any other pair has a far set; with wx <= wy and wy at least the
+    smallest w of a far set, ``need`` elements at least are shared, so one of
+    Ex's rarest |Ex| - need + 1 is. Those look up the candidates, whose shared
+    elements are counted unless they are in one component already."""
+    n, keep, more = len(ids), 100 - percent, 100 + percent
+    lens = np.array([len(d) for d in deltas], np.int64)
+    w = lens * more - keep * sizes  # whole numbers: w times ``more``
+    label, out = np.arange(n), []
     centre = int(np.argmin(w))
-    for y in np.flatnonzero(w + w[centre] <= 0).tolist():
-        join(centre, y)
-    far = np.flatnonzero(w + w[centre] > 0)
-    if len(far) and n > 1:
-        flat = np.concatenate(deltas) if deltas else np.empty(0, np.uint64)
-        owner = np.repeat(np.arange(n), [len(d) for d in deltas])
-        order = np.argsort(flat, kind="stable")
-        value, first = np.unique(flat[order], return_index=True)
-        posting, ends = owner[order], np.append(first[1:], len(flat))
-        for u in far.tolist():
-            at = np.searchsorted(value, deltas[u])
-            at = at[ends[at] - first[at] > 1]
-            if not len(at):
-                continue
-            shared = np.bincount(np.concatenate([posting[first[k]: ends[k]] for k in at.tolist()]), minlength=n)
-            for y in np.flatnonzero((shared > 0) & (2 * more * shared >= w + w[u])).tolist():
-                if y != u:
-                    join(u, y)
+    near = w + w[centre] <= 0
+    for y in np.flatnonzero(near).tolist():
+        if y != centre:
+            out.append((int(ids[centre]), int(ids[y])))
+    label[near] = centre
+    if near.all() or n == 1:
+        return out
+    # partners of x have w from ``low`` to ``high``: more than |Ex| elements can't be shared
+    low, high = np.maximum(w, w[~near].min()), 2 * more * lens - w
+    need = -(-(w + low) // (2 * more))
+    by_w = np.argsort(w, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by_w] = np.arange(n)
+    lo, hi = np.searchsorted(w[by_w], low), np.searchsorted(w[by_w], high, side="right")
+    flat, owner = np.concatenate(deltas), np.repeat(np.arange(n), lens)
+    _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
+    mine = code[np.lexsort((count[code], owner))]  # each set's elements, rare ones first
+    begin = np.cumsum(lens) - lens
+    posting = np.sort(code * n + place[owner])  # (element, set in the order of w)
+    marked = np.zeros(len(count), bool)
+    for x in by_w[(low <= high)[by_w]].tolist():
+        if (label[by_w[lo[x]: hi[x]]] == label[x]).all():
+            continue
+        own = mine[begin[x]: begin[x] + lens[x]]
+        rare = own[: lens[x] - need[x] + 1]
+        rare = rare[count[rare] > 1] * n
+        met = posting[_ranges(np.searchsorted(posting, rare + lo[x]), np.searchsorted(posting, rare + hi[x]))]
+        met = by_w[np.unique(met % n)]
+        met = met[label[met] != label[x]]
+        marked[own] = True
+        for part in np.array_split(met, int(lens[met].sum()) // 1_000_000 + 1):
+            if len(part):
+                shared = np.add.reduceat(marked[mine[_ranges(begin[part], begin[part] + lens[part])]], np.cumsum(lens[part]) - lens[part], dtype=np.int64)
+                for y in part[2 * more * shared >= w[x] + w[part]].tolist():
+                    if label[y] != label[x]:
+                        label[label == label[y]] = label[x]
+                        out.append((int(ids[x]), int(ids[y])))
+        marked[own] = False
     return out
 
 

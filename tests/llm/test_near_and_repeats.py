@@ -51,6 +51,41 @@ def family(seed, words, copies, edits):
     return out
 
 
+def linked(sets, percent):
+    """Component labels by all pairs."""
+    label = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= percent * (len(x) + len(y) - both) and label[i] != label[j]:
+                label = [label[i] if v == label[j] else v for v in label]
+    return label
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_star_links_against_all_pairs(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(60):
+        bases = [rng.choice(400, rng.integers(1, 60), replace=False) for _ in range(rng.integers(1, 5))]
+        sets = []
+        for _ in range(rng.integers(1, 40)):
+            s = set(bases[rng.integers(len(bases))].tolist())
+            for _ in range(rng.integers(0, 9)):
+                if len(s) > 1 and rng.random() < 0.5:
+                    s.discard(int(rng.choice(list(s))))
+                else:
+                    s.add(int(rng.integers(400)))
+            sets.append(np.array(sorted(s), np.uint64))
+        pivot = sets[rng.integers(len(sets))]
+        links = partenum_join.star_links(np.arange(len(sets)), np.array([len(s) for s in sets]), [np.setxor1d(s, pivot) for s in sets], percent)
+        label = list(range(len(sets)))
+        for a, b in links:
+            assert label[a] != label[b]  # a forest
+            label = [label[a] if v == label[b] else v for v in label]
+        expected = linked(sets, percent)
+        assert len(set(zip(label, expected))) == len(set(label)) == len(set(expected))
+
+
 @pytest.mark.parametrize("percent,width,block", [(85, 4, 4096), (80, 5, 4096), (85, 4, 7)])
 def test_join_against_brute_force(spark, monkeypatch, percent, width, block):
     monkeypatch.setattr(partenum_join, "BLOCK", block)
