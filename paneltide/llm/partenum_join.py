@@ -19,8 +19,8 @@ near copies and from which the distance of any two of them follows exactly. In
 a star nothing is paired in full: the set nearest to the pivot links with all
 that lie near enough whatever their differences are, and only for the others
 are shared elements of the differences counted, of candidates that share a rare
-one. A star beyond ``BLOCK`` sets is split into blocks by hash, and blocks are
-compared two by two; a task returns a forest of its links. Sets that share a
+one. A star beyond ``BLOCK`` sets or ``BLOCK_BYTES`` of hashes is split into
+blocks by hash, and blocks are compared two by two; a task returns a forest of its links. Sets that share a
 signature share a star, so no link between components is lost. Shingles are
 hashed to 64 bits.
 
@@ -48,7 +48,8 @@ from paneltide.llm.components import components
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BLOCK = 4096  # sets of a star that are compared in one task, about
+BLOCK = 4096  # sets of a star's block, about; two blocks are compared in one task
+BLOCK_BYTES = 16 * 1024 * 1024  # hashed shingles of a block, about
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -200,6 +201,11 @@ def _smallest(doc_id: str, *more: str):
     return F.min(F.struct(F.col(doc_id).isNull().alias("void"), doc_id, *more))
 
 
+def _text_key(doc_id: str):
+    """Columns that name an id, null included, in a join by equality."""
+    return F.coalesce(F.col(doc_id), F.lit(0)).alias("of"), F.col(doc_id).isNull().alias("void")
+
+
 def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, tie (a hash of the text), n_shingles, set_id;
     components: node, label of set ids). Documents of one class have the same label, or set id without one."""
@@ -221,12 +227,6 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
                 nums, sigs = signatures([sets[i] for i in first.tolist()], percent)
                 yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids[nums])], ["sig", "set_id"])
 
-    def whole(batches):
-        for batch in batches:
-            for _, texts in _slices(batch):
-                sets = shingle_sets(texts, width)
-                yield pa.RecordBatch.from_arrays([pa.array(set_ids(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "items"])
-
     spark = docs.sparkSession
     documents = store.materialise(rows.mapInArrow(sized, "doc_id long, tie long, n_shingles long, set_id long"), "sets")
     by = W.partitionBy("sig")
@@ -239,16 +239,16 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
     del marked
     store.release(spark)
     stars = store.materialise(_stars(groups), "stars")
-    named = stars.select(F.col("set_id")).unionByName(stars.select(F.col("pivot").alias("set_id"))).distinct()
+    members = stars.withColumn("member", F.lit(1)).unionByName(
+        stars.select("pivot", F.col("pivot").alias("set_id"), F.lit(0).alias("member")).distinct())
     # a row that holds the set, also if only rows with null ids do
-    firsts = documents.join(named, "set_id").groupBy("set_id").agg(_smallest("doc_id", "tie").alias("first"))
-    firsts = firsts.select(F.col("first.doc_id").alias("of"), F.col("first.tie").alias("text")).distinct()
-    near = rows.join(firsts, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("text")), "left_semi").drop("tie").mapInArrow(
-        whole, "set_id long, items binary")
-    # grouped and joined with the stars by the same key: the sets move once for both
-    sets = near.join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("items").alias("items"))
-    links = store.materialise(_links(stars, sets, percent), "links")
-    del near, sets
+    firsts = documents.join(members.select("set_id").distinct(), "set_id").groupBy("set_id").agg(
+        _smallest("doc_id", "tie").alias("first"), F.max("n_shingles").alias("n"))
+    firsts = firsts.select("set_id", "n", *_text_key("first.doc_id"), F.col("first.tie").alias("tie"))
+    members = store.materialise(members.join(firsts, "set_id"), "members")
+    texts = rows.groupBy(*_text_key("id"), "tie").agg(F.first("t").alias("t"))
+    links = store.materialise(_links(members, texts, percent, width), "links")
+    del texts
     store.release(spark)
     return documents, components(links)
 
@@ -328,42 +328,42 @@ def star_links(ids: np.ndarray, sizes: np.ndarray, deltas: list[np.ndarray], per
     return out
 
 
-def _links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of all stars. A star's sets and its pivot travel once, to the task
-    that compares them; the pivot's row comes first there."""
-    sizes = stars.groupBy("pivot").agg((F.floor(F.count("*") / BLOCK) + 1).cast("int").alias("blocks"))
-    rows = stars.select("pivot", "set_id", F.lit(1).alias("member")).unionByName(
-        stars.select("pivot", F.col("pivot").alias("set_id"), F.lit(0).alias("member")).distinct()).join(sizes, "pivot")
+def _links(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links of all stars. A star's sets and its pivot travel once, as texts,
+    which take less room than their hashed shingles, to the task that compares
+    them; the pivot's row comes first there."""
+    blocks = F.floor(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)) + 1
+    rows = members.join(members.groupBy("pivot").agg(blocks.cast("int").alias("blocks")), "pivot")
     # a set of block b takes part in all pairs of blocks with b, the pivot's row in all pairs
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     b = F.pmod(F.xxhash64("set_id"), "blocks").cast("int")
     mine = F.transform(every, lambda o: F.struct(F.least(b, o).alias("i"), F.greatest(b, o).alias("j")))
     pairs = F.flatten(F.transform(every, lambda i: F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    rows = rows.join(sets, "set_id").withColumn("at", F.explode(F.when(F.col("member") == 1, mine).otherwise(pairs)))
-    rows = rows.select("pivot", "at.i", "at.j", "member", "set_id", "items")
+    rows = rows.withColumn("at", F.explode(F.when(F.col("member") == 1, mine).otherwise(pairs)))
+    rows = rows.join(texts, ["of", "void", "tie"]).select("pivot", "at.i", "at.j", "member", "set_id", "t")
 
     def compare(batches):
         key, centre, held = None, None, []
 
         def found():
-            ids, sizes_, deltas = zip(*held)
-            links = star_links(np.array(ids), np.array(sizes_), list(deltas), percent)
+            ids, sizes, deltas = zip(*held)
+            links = star_links(np.array(ids), np.array(sizes), list(deltas), percent)
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
 
         for batch in batches:
-            items = batch.column("items")
-            for r, (pivot, i, j, member, set_id) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pivot", "i", "j", "member", "set_id")))):
-                x = np.frombuffer(items[r].as_buffer().to_pybytes(), np.uint64)
-                if (pivot, i, j) != key:
-                    if len(held) > 1:
-                        yield found()
-                    key, centre, held = (pivot, i, j), None, []
-                if member:
-                    if centre is None:
-                        raise ValueError(f"the set of pivot {pivot} is missing")
-                    held.append((set_id, len(x), np.setxor1d(x, centre, assume_unique=True)))
-                else:
-                    centre = x
+            names = list(zip(*(batch.column(c).to_pylist() for c in ("pivot", "i", "j", "member", "set_id"))))
+            for first, some in _slices(batch):
+                for (pivot, i, j, member, set_id), x in zip(names[first: first + len(some)], shingle_sets(some, width)):
+                    if (pivot, i, j) != key:
+                        if len(held) > 1:
+                            yield found()
+                        key, centre, held = (pivot, i, j), None, []
+                    if member:
+                        if centre is None:
+                            raise ValueError(f"the set of pivot {pivot} is missing")
+                        held.append((set_id, len(x), np.setxor1d(x, centre, assume_unique=True)))
+                    else:
+                        centre = x
         if len(held) > 1:
             yield found()
 

@@ -86,9 +86,10 @@ def test_star_links_against_all_pairs(percent):
         assert len(set(zip(label, expected))) == len(set(label)) == len(set(expected))
 
 
-@pytest.mark.parametrize("percent,width,block", [(85, 4, 4096), (80, 5, 4096), (85, 4, 7)])
-def test_join_against_brute_force(spark, monkeypatch, percent, width, block):
+@pytest.mark.parametrize("percent,width,block,size", [(85, 4, 4096, 1 << 24), (80, 5, 4096, 1 << 24), (85, 4, 7, 1 << 24), (85, 4, 4096, 20_000)])
+def test_join_against_brute_force(spark, monkeypatch, percent, width, block, size):
     monkeypatch.setattr(partenum_join, "BLOCK", block)
+    monkeypatch.setattr(partenum_join, "BLOCK_BYTES", size)
     r = random.Random(percent)
     texts = []
     for seed, (words, copies, edits) in enumerate([(5, 4, 1), (12, 6, 1), (40, 10, 2), (150, 40, 6), (400, 25, 16), (1500, 6, 60), (9, 5, 1), (70, 30, 4)]):
