@@ -49,7 +49,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 4096  # sets of a star's block, about; two blocks are compared in one task
-BLOCK_BYTES = 16 * 1024 * 1024  # hashed shingles of a block, about
+BLOCK_BYTES = 4 * 1024 * 1024  # hashed shingles of a block, about
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -301,26 +301,31 @@ def star_links(ids: np.ndarray, sizes: np.ndarray, deltas: list[np.ndarray], per
     place = np.empty(n, np.int64)
     place[by_w] = np.arange(n)
     lo, hi = np.searchsorted(w[by_w], low), np.searchsorted(w[by_w], high, side="right")
-    flat, owner = np.concatenate(deltas), np.repeat(np.arange(n), lens)
-    _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
-    mine = code[np.lexsort((count[code], owner))]  # each set's elements, rare ones first
-    begin = np.cumsum(lens) - lens
+    owner = np.repeat(np.arange(n, dtype=np.int32), lens)
+    _, code, count = np.unique(np.concatenate(deltas), return_inverse=True, return_counts=True)
+    # elements of one set alone are its rarest, but nobody is met there
+    shared = count[code] > 1
+    alone = np.bincount(owner[~shared], minlength=n)
+    code, owner = code[shared], owner[shared]
+    held = lens - alone
+    mine = code[np.lexsort((count[code], owner))].astype(np.int32)  # each set's elements, rare ones first
+    begin = np.cumsum(held) - held
     posting = np.sort(code * n + place[owner])  # (element, set in the order of w)
+    del code, owner, shared
     marked = np.zeros(len(count), bool)
     for x in by_w[(low <= high)[by_w]].tolist():
         if (label[by_w[lo[x]: hi[x]]] == label[x]).all():
             continue
-        own = mine[begin[x]: begin[x] + lens[x]]
-        rare = own[: lens[x] - need[x] + 1]
-        rare = rare[count[rare] > 1] * n
+        own = mine[begin[x]: begin[x] + held[x]]
+        rare = own[: max(lens[x] - need[x] + 1 - alone[x], 0)].astype(np.int64) * n
         met = posting[_ranges(np.searchsorted(posting, rare + lo[x]), np.searchsorted(posting, rare + hi[x]))]
         met = by_w[np.unique(met % n)]
         met = met[label[met] != label[x]]
         marked[own] = True
-        for part in np.array_split(met, int(lens[met].sum()) // 1_000_000 + 1):
+        for part in np.array_split(met, int(held[met].sum()) // 1_000_000 + 1):
             if len(part):
-                shared = np.add.reduceat(marked[mine[_ranges(begin[part], begin[part] + lens[part])]], np.cumsum(lens[part]) - lens[part], dtype=np.int64)
-                for y in part[2 * more * shared >= w[x] + w[part]].tolist():
+                common = np.add.reduceat(marked[mine[_ranges(begin[part], begin[part] + held[part])]], np.cumsum(held[part]) - held[part], dtype=np.int64)
+                for y in part[2 * more * common >= w[x] + w[part]].tolist():
                     if label[y] != label[x]:
                         label[label == label[y]] = label[x]
                         out.append((int(ids[x]), int(ids[y])))
