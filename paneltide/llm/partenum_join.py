@@ -49,7 +49,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 4096  # sets of a star's block, about; two blocks are compared in one task
-BLOCK_BYTES = 4 * 1024 * 1024  # hashed shingles of a block, about
+BLOCK_BYTES = 8 * 1024 * 1024  # hashed shingles of a block, about
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
