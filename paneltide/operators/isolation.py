@@ -8,7 +8,9 @@ needed has odds of 10**-34); a ranked window keeps the smallest ``sample``, in
 every map task already. All trees of many keys grow together, one level at a
 time; splits are hashes of (key, tree, node), so a forest doesn't depend on
 partitions or on the order of rows. Rows are scored in hashed chunks joined
-with their key's forest: a key is never gathered.
+with their key's draws: a key is never gathered. Forests are grown where the
+rows are scored, a bounded number of nodes at a time; a forest is larger than
+the rows of most keys, so none is moved.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from paneltide.operators.joins import broadcast_if_small
 
 CHUNK = 4096           # rows of a key scored together, about
-GROWN = 4_000_000      # tree nodes grown together, at most
+GROWN = 1_000_000      # tree nodes grown together, at most
 _NODE = np.dtype([("feature", "<i4"), ("cut", "<f8"), ("depth", "<f8")])
 
 
@@ -86,13 +88,14 @@ def grow(x: np.ndarray, group: np.ndarray, keys: np.ndarray, trees: np.ndarray,
     return out
 
 
-def scores(x: np.ndarray, forest: np.ndarray, psi: int) -> np.ndarray:
-    """2 ** (-mean depth / unresolved_depth(psi)); all rows go down all trees together."""
+def scores(x: np.ndarray, forest: np.ndarray, key: np.ndarray, psi: np.ndarray, n_trees: int) -> np.ndarray:
+    """2 ** (-mean depth / unresolved_depth(psi)); all rows go down all trees of
+    their key (``key`` numbers them, ``psi`` is theirs) together."""
     flat, width = forest.reshape(-1), forest.shape[1]
-    base = np.arange(forest.shape[0]) * width
-    at = np.zeros((len(x), forest.shape[0]), np.int64)
+    base = (key[:, None] * n_trees + np.arange(n_trees)) * width
+    at = np.zeros((len(x), n_trees), np.int64)
     rows = np.arange(len(x))[:, None]
-    for _ in range(height(psi)):
+    while True:
         here = base + at
         feature = flat["feature"][here]
         inner = feature >= 0
@@ -108,52 +111,56 @@ def _matrix(values: pa.Array, width: int) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _grower(n_trees: int, width: int):
-    def batches(stream):
-        for batch in stream:
-            held = batch.column("held")
-            lengths = np.diff(held.offsets.to_numpy())
-            flat = held.flatten()
-            tree = flat.field("tree").to_numpy(zero_copy_only=False)
-            x = _matrix(flat.field("x"), width)
-            kh, psi = batch.column("kh").to_numpy(), batch.column("psi").to_numpy()
-            begins = np.cumsum(lengths) - lengths
-            limits = np.array([height(p) for p in psi])
-            nodes = []
-            at = 0
-            while at < len(psi):  # as many keys at once as their trees have room
-                to = at + 1
-                while to < len(psi) and (to + 1 - at) * n_trees * 2 ** (limits[at:to + 1].max() + 1) <= GROWN:
-                    to += 1
-                part = slice(begins[at], begins[to - 1] + lengths[to - 1])
-                px, pt, key = x[part], tree[part], np.repeat(np.arange(to - at), lengths[at:to])
-                if (pt < 0).any():  # a small key's rows serve all of its trees
-                    all_, one = np.flatnonzero(pt < 0), np.flatnonzero(pt >= 0)
-                    px = np.concatenate([px[one], np.repeat(px[all_], n_trees, axis=0)])
-                    key, pt = np.concatenate([key[one], np.repeat(key[all_], n_trees)]), np.concatenate([pt[one], np.tile(np.arange(n_trees), len(all_))])
-                groups = np.arange((to - at) * n_trees)
-                forest = grow(px, key * n_trees + pt, kh[at:to][groups // n_trees], groups % n_trees, limits[at:to][groups // n_trees])
-                for k in range(to - at):
-                    nodes.append(forest[k * n_trees:(k + 1) * n_trees, :2 ** (limits[at + k] + 1) - 1].tobytes())
-                at = to
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("psi"), pa.array(nodes, pa.binary())], ["k", "psi", "nodes"])
-
-    return batches
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0] .. starts[0] + lengths[0] - 1, starts[1] .., joined."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
 
 
-def _scorer(n_trees: int, width: int):
+def _scorer(n_trees: int, width: int, sample: int):
+    """Grows each key's forest next to its rows and scores them, so that no
+    forest is moved or kept: as many keys at once as their trees have room."""
     def batches(stream):
         for batch in stream:
-            for r in range(batch.num_rows):
-                rows = batch.column("rows").slice(r, 1).flatten()
-                psi = batch.column("psi")[r].as_py()
-                forest = np.frombuffer(batch.column("nodes")[r].as_buffer(), _NODE).reshape(n_trees, -1)
-                s = scores(_matrix(rows.field("x"), width), forest, psi)
-                copies = np.repeat(np.arange(len(s)), rows.field("m").to_numpy())
-                for cut in range(0, len(copies), CHUNK):  # repeated rows go out in parts
-                    some = copies[cut:cut + CHUNK]
-                    yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(np.full(len(some), r))), rows.field("t").take(pa.array(some)),
-                                                      pa.array(s[some])], ["k", "t", "s"])
+            rows, held, kh = batch.column("rows"), batch.column("held"), batch.column("kh").to_numpy()
+            psi = np.minimum(batch.column("n").to_numpy(), sample)
+            limits = np.array([height(p) for p in psi.tolist()])
+            ks = batch.column("k").to_pylist()
+            drawn = held.is_valid().to_numpy(zero_copy_only=False)
+            fresh = np.array([r == 0 or not drawn[r] or ks[r] != ks[r - 1] for r in range(len(ks))])  # chunks of a key share its forest
+            size, draws_ = (c.value_lengths().fill_null(0).to_numpy().astype(np.int64) for c in (rows, held))
+            begin, draw = np.cumsum(size) - size, np.cumsum(draws_) - draws_
+            rows, held = rows.flatten(), held.flatten()
+            x, hx = _matrix(rows.field("x"), width), _matrix(held.field("x"), width)
+            tree = held.field("tree").to_numpy(zero_copy_only=False)
+            at = 0
+            while at < len(ks):
+                to, high, grown = at + 1, limits[at], 1
+                while to < len(ks) and (grown + fresh[to]) * n_trees * 2 ** (max(high, limits[to]) + 1) <= GROWN:
+                    high, grown, to = max(high, limits[to]), grown + fresh[to], to + 1
+                lead = np.flatnonzero(np.concatenate([[True], fresh[at + 1:to]])) + at  # a forest's first row here
+                number = np.cumsum(np.concatenate([[0], fresh[at + 1:to]]))
+                small, large = np.flatnonzero(~drawn[lead]), np.flatnonzero(drawn[lead])
+                every, some = _spans(begin[lead[small]], size[lead[small]]), _spans(draw[lead[large]], draws_[lead[large]])
+                # a small key's rows serve all of its trees, as do draws for tree -1
+                px, pt = np.concatenate([x[every], hx[some]]), np.concatenate([np.full(len(every), -1), tree[some]])
+                key = np.concatenate([np.repeat(small, size[lead[small]]), np.repeat(large, draws_[lead[large]])])
+                all_, one = np.flatnonzero(pt < 0), np.flatnonzero(pt >= 0)
+                px = np.concatenate([px[one], np.repeat(px[all_], n_trees, axis=0)])
+                key, pt = np.concatenate([key[one], np.repeat(key[all_], n_trees)]), np.concatenate([pt[one], np.tile(np.arange(n_trees), len(all_))])
+                groups = np.arange(len(lead) * n_trees)
+                forest = grow(px, key * n_trees + pt, kh[lead][groups // n_trees], groups % n_trees, limits[lead][groups // n_trees])
+                row = np.repeat(np.arange(at, to), size[at:to])
+                first = begin[at]
+                for cut in range(0, len(row), CHUNK):
+                    r = row[cut:cut + CHUNK]
+                    part = slice(first + cut, first + cut + len(r))
+                    s = scores(x[part], forest, number[r - at], psi[r], n_trees)
+                    copies = np.repeat(np.arange(len(s)), rows.field("m").to_numpy()[part])
+                    for out in range(0, len(copies), CHUNK):  # repeated rows go out in parts
+                        some = copies[out:out + CHUNK]
+                        yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(r[some])), rows.field("t").take(pa.array(first + cut + some)),
+                                                          pa.array(s[some])], ["k", "t", "s"])
+                at = to
 
     return batches
 
@@ -190,12 +197,13 @@ def forest_scores(df: DataFrame, key: str, t: str, feats: list[str], n_trees: in
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = panel_rows(df, key, t, feats)
-    drawn = draws(rows, n_trees, sample, seed)
+    # keys of at most ``few`` rows have one chunk, which holds all that their trees are grown from
+    few = min(sample, CHUNK - 1)
+    drawn = draws(rows.filter(F.col("n") > few), n_trees, sample, seed)
     # at most n_trees * sample rows for a key
-    held = drawn.groupBy("k", "kh").agg(F.least(F.first("n"), F.lit(sample)).cast("int").alias("psi"), F.collect_list(F.struct("tree", "x")).alias("held"))
-    forest = held.mapInArrow(_grower(n_trees, len(feats)), f"k {kind[key]}, psi int, nodes binary").withColumnRenamed("k", "fk")
+    held = drawn.groupBy("k").agg(F.collect_list(F.struct("tree", "x")).alias("held")).withColumnRenamed("k", "fk")
     chunk = F.pmod(F.xxhash64("t", "x"), F.floor(F.col("n") / CHUNK) + 1)
-    parts = rows.groupBy("k", chunk.alias("chunk")).agg(F.collect_list(F.struct("t", "m", "x")).alias("rows"))
-    joined = parts.join(forest, F.col("k").eqNullSafe(F.col("fk"))).select("k", "rows", "psi", "nodes")
-    out = joined.mapInArrow(_scorer(n_trees, len(feats)), f"k {kind[key]}, t {kind[t]}, s double")
+    parts = rows.groupBy("k", chunk.alias("chunk")).agg(F.first("kh").alias("kh"), F.first("n").alias("n"), F.collect_list(F.struct("t", "m", "x")).alias("rows"))
+    joined = parts.join(held, F.col("k").eqNullSafe(F.col("fk")), "left").select("k", "kh", "n", "rows", "held")
+    out = joined.mapInArrow(_scorer(n_trees, len(feats), sample), f"k {kind[key]}, t {kind[t]}, s double")
     return out.select(F.col("k").alias(key), F.col("t").alias(t), F.col("s").alias("iforest_score"))

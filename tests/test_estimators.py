@@ -397,6 +397,49 @@ def test_isolation_forest_draws_all_of_a_large_key(spark):
     assert isolation.forest_scores(small.where("false"), "k", "t", ["x", "z"]).count() == 0
 
 
+def test_isolation_forest_moves_and_keeps_no_forests(spark):
+    """Forests are grown where rows are scored: those of 400 small keys would
+    take 50 MB at once, and none crosses a shuffle."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from paneltide.operators import isolation
+
+    df = spark.range(12_000).selectExpr("id div 30 AS k", "id AS t", "cast(hash(id) AS double) AS x")
+    out = isolation.forest_scores(df, "k", "t", ["x"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "nodes" not in plan
+    rows = [{"k": k, "kh": 7 * k, "n": 30, "rows": [{"t": t, "m": 1, "x": [float((k * 31 + t * t) % 101)]} for t in range(30)], "held": None} for k in range(400)]
+    held = pa.list_(pa.struct([("tree", pa.int32()), ("x", pa.list_(pa.float64()))]))
+    parts = pa.list_(pa.struct([("t", pa.int64()), ("m", pa.int64()), ("x", pa.list_(pa.float64()))]))
+    kinds = pa.schema([("k", pa.int64()), ("kh", pa.int64()), ("n", pa.int64()), ("rows", parts), ("held", held)])
+    batch = pa.RecordBatch.from_pylist(rows, kinds)
+    sizes, grow = [], isolation.grow
+    isolation.grow = lambda *a: sizes.append((g := grow(*a)).size) or g
+    try:
+        tracemalloc.start()
+        got = sum(b.num_rows for b in isolation._scorer(100, 1, 256)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        isolation.grow = grow
+    assert got == 12_000 and len(sizes) > 2 and max(sizes) <= isolation.GROWN and peak < 250e6
+
+
+def test_isolation_forest_around_the_sample_size(spark):
+    """Keys of as many rows as a tree draws, and one more, next to small ones;
+    a sample larger than a chunk."""
+    from paneltide.operators import isolation
+
+    df = spark.range(64 + 65 + 3).selectExpr("case when id < 64 then 1 when id < 129 then 2 else 3 end AS k", "id AS t", "cast(hash(id) AS double) AS x")
+    got = isolation.forest_scores(df, "k", "t", ["x"], n_trees=5, sample=64).collect()
+    alone = [r for k in (1, 2, 3) for r in isolation.forest_scores(df.where(f"k = {k}"), "k", "t", ["x"], n_trees=5, sample=64).collect()]
+    assert len(got) == 132 and sorted(got) == sorted(alone)
+    large = spark.range(5000).selectExpr("1 AS k", "id AS t", "cast(hash(id) AS double) AS x")
+    assert len({r.iforest_score for r in isolation.forest_scores(large, "k", "t", ["x"], n_trees=2, sample=6000).collect()}) > 100
+
+
 def test_kth_of_shifted_lists(spark):
     rng = np.random.default_rng(4)
     rows = []
