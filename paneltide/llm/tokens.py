@@ -41,7 +41,7 @@ class Encoder:
     Texts are split at single spaces; a piece that is not in the memo is cut
     into chunks, and only chunks that are new too are encoded."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)

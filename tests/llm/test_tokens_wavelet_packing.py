@@ -30,6 +30,18 @@ def test_memo_gives_the_tokenizers_ids(name):
             assert np.frombuffer(got, "<u4").tolist() == ids(text), repr(text)
 
 
+def test_memo_stays_small_among_ever_new_words():
+    """Words that never recur fill a fifth of a million places, not more; what
+    comes later is encoded right."""
+    enc, ids = tokens.Encoder(tokens.tokenizer_path(FILES[1])), plain(FILES[1])
+    name = lambda k: "".join(chr(97 + k // 26**p % 26) for p in range(5))
+    for first in range(0, 300_000, 20_000):
+        text = " ".join(name(7919 * k % 26**5) for k in range(first, first + 20_000))
+        got = enc.encode([text])[0]
+    assert len(enc.memo) <= 220_000 and len(enc.chunks) <= 220_000
+    assert np.frombuffer(got, "<u4").tolist() == ids(text)
+
+
 def test_wavelet_matrix_against_numpy():
     r = np.random.default_rng(0)
     for n in (0, 1, 8, 511, 512, 513, 4000):
