@@ -2,16 +2,19 @@
 
 A text is cut only where every pre-tokenizer used here cuts anyway, so the ids
 of the chunks, joined, are the ids of the text. Chunks recur, so most are
-looked up; a batch's new chunks are encoded in one call. The memos are bounded:
-beyond ``limit`` entries new chunks are encoded again whenever they occur.
+looked up, a batch's distinct pieces once each. The memos are bounded: beyond
+``limit`` entries new chunks are encoded again in every batch they occur in.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space as the tokenizers see it (Unicode White_Space).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -33,13 +36,17 @@ def _byte_letters() -> dict[int, int]:
 
 _LETTERS = _byte_letters()
 _LONG = 48
+_CLOSING = ".,;:!?"
 
 
 class Encoder:
     """ids of a text as little-endian unsigned 32-bit bytes.
 
-    Texts are split at single spaces; a piece that is not in the memo is cut
-    into chunks, and only chunks that are new too are encoded."""
+    Texts are split at single spaces by Arrow, and every distinct piece of a
+    call is looked up once. ``memo`` has words of letters after a space, and
+    ``chunks`` all other chunks and the words beyond; a piece that is not in the
+    memo is cut into chunks, and only those that are new too are encoded. The
+    texts' ids are then gathered from those of the distinct pieces."""
 
     def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
@@ -48,67 +55,105 @@ class Encoder:
         self.limit = limit
         self.memo: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.model = self.tok.model
         self.normalised = self.tok.normalizer is not None
+        self.newline = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
-        """A chunk of letters alone, after at most one space, is one word to
-        the pre-tokenizer and goes to the model directly."""
-        out, model = {}, self.tok.model
-        for w in words:
-            core = w if self.normalised or w[:1] != " " else w[1:]
-            if core.isalpha() and not (self.normalised and core != core.lower()):
-                letters = w if w.isascii() and core is w else w.encode().decode("latin-1").translate(_LETTERS)
-                out[w] = np.array([t.id for t in model.tokenize(letters)], "<u4").tobytes()
+    def _encode_new(self, chunk: str) -> bytes:
+        """A chunk of letters alone, after at most one space or line feed, is one
+        word to the pre-tokenizer and goes to the model directly."""
+        lead, core = (chunk[0], chunk[1:]) if chunk[0] in " \n" else ("", chunk)
+        if not core.isalpha() or (self.normalised and core != core.lower()):
+            return self._whole(chunk)
+        letters = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
+        if lead == " " and not self.normalised:
+            letters = chr(_LETTERS[32]) + letters
+        ids = [t.id for t in self.model.tokenize(letters)]
+        ids = struct.pack(f"<{len(ids)}I", *ids)
+        return self.newline + ids if lead == "\n" else ids
+
+    @staticmethod
+    def _splits(text: str) -> bool:
+        """Whether the text can be split at its spaces, for all that a look at
+        its white space as a whole tells."""
+        return not ("  " in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
+
+    def _gathered(self, rests: list[str | None], word, known) -> tuple[list[bytes], list[int]]:
+        """ids of the pieces of each text, which all follow a space; and the
+        texts that hold odd white space, whose ids are not right."""
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        offsets, pieces = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        distinct, which = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        found, odd = list(map(self.memo.get, distinct)), []
+        for k, p in enumerate(distinct):
+            if found[k] is not None:
+                continue
+            if p.isalpha():
+                found[k] = word(p)
+            elif p[-1] in _CLOSING and p[:-1].isalpha():
+                found[k] = word(p[:-1]) + known(p[-1])
+            elif _ODD.search(p):
+                odd.append(k)
+                found[k] = b""
             else:
-                out[w] = self._whole(w)
-        return out
-
-    def _cut(self, text: str) -> tuple[list[str], list[str]] | None:
-        """Chunks, and pieces that follow with a space before each; their ids,
-        joined, are the text's. None if the text can't be cut."""
-        if self.normalised and (not unicodedata.is_normalized("NFC", text) or "\u0130" in text):
-            return None  # characters merge across a cut, or lower case makes one more
-        if "  " in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _ODD.search(text):
-            return _CHUNK.findall(text), []
-        if self.normalised and "\u03a3" not in text:  # whose lower case depends on its place
-            text = text.lower()
-        first, *rest = text.split(" ")
-        return _CHUNK.findall(first), rest
+                first, *rest = _CHUNK.findall(p)
+                found[k] = b"".join([word(first), *map(known, rest)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        n = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], n)
+        at += np.arange(len(at))
+        ids = flat[at]
+        cuts = ends[offsets].tolist()
+        strange = np.flatnonzero(np.isin(which, odd)) if odd else []
+        rows = np.unique(np.searchsorted(offsets, strange, side="right") - 1).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], rows
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.memo.get
-        cut = [self._cut(t) for t in texts]
-        found, new, chunks = [], set(), set()
-        for c in cut:
-            got = None if c is None else list(map(get, c[1]))
-            found.append(got)
-            if got is not None:
-                chunks.update(c[0])
-                if None in got:
-                    new.update(p for p, b in zip(c[1], got) if b is None)
+        extra: dict[str, bytes] = {}  # chunks beyond the memo
         space = "" if self.normalised else " "
-        parts = {p: _CHUNK.findall(space + p) for p in new}
-        for c in parts.values():
-            chunks.update(c)
-        chunks.difference_update(self.chunks)
-        extra = self._encode_new(list(chunks))
-        known = lambda c: extra[c] if c in extra else self.chunks[c]
-        resolved = {p: b"".join(map(known, c)) for p, c in parts.items()}
-        out = []
-        for t, c, got in zip(texts, cut, found):
-            if c is None:
-                out.append(self._whole(t))
-                continue
-            if None in got:
-                got = [resolved[p] if b is None else b for p, b in zip(c[1], got)]
-            out.append(b"".join(map(known, c[0])) + b"".join(got))
-        if len(self.chunks) < self.limit:
-            self.chunks.update((c, b) for c, b in extra.items() if len(c) <= _LONG)
-        if len(self.memo) < self.limit:
-            self.memo.update((p, b) for p, b in resolved.items() if len(p) <= _LONG)
+
+        def known(c: str) -> bytes:
+            b = self.chunks.get(c)
+            if b is None and (b := extra.get(c)) is None:
+                b = self._encode_new(c)
+                (self.chunks if len(self.chunks) < self.limit and len(c) <= _LONG else extra)[c] = b
+            return b
+
+        def word(c: str) -> bytes:
+            """A chunk after a space; words of letters fill the memo first."""
+            b = self.memo.get(c)
+            if b is None:
+                if len(self.memo) >= self.limit or len(c) > _LONG or not c.isalpha():
+                    return known(space + c)
+                b = self.memo[c] = self._encode_new(space + c)
+            return b
+
+        def chunked(text: str) -> bytes:
+            return b"".join(map(known, _CHUNK.findall(text)))
+
+        heads, rests = [], []
+        for t in texts:
+            rest = None
+            if self.normalised and (not unicodedata.is_normalized("NFC", t) or "\u0130" in t):
+                heads.append(self._whole(t))  # characters merge across a cut, or lower case makes one more
+            elif not self._splits(t) or _ODD.search(t.partition(" ")[0]):
+                heads.append(chunked(t))
+            else:
+                if self.normalised and "\u03a3" not in t:  # whose lower case depends on its place
+                    t = t.lower()
+                first, space, rest = t.partition(" ")
+                heads.append(chunked(first))
+                rest = rest if space else None
+            rests.append(rest)
+        tails, odd = self._gathered(rests, word, known)
+        out = [h + b for h, b in zip(heads, tails)]
+        for k in odd:
+            out[k] = chunked(texts[k])
         return out
 
 

@@ -122,3 +122,24 @@ def test_packing(spark, edge):
 def test_similar_documents_are_neighbours():
     keys = curve_packing.curve_keys([b"one and the same text of words " * 20, b"one and the same text of words " * 20 + b"x", b"0123456789 " * 80])
     assert abs(int(keys[0]) - int(keys[1])) < abs(int(keys[0]) - int(keys[2]))
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_recurring_pieces_are_looked_up_once(name):
+    """80,000 pieces, 40 of them distinct, in two texts of one call."""
+    asked = []
+
+    class Memo(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    enc, ids = tokens.Encoder(tokens.tokenizer_path(name)), plain(name)
+    enc.memo = Memo()
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdeé") for _ in range(6)) + end for end in ("", ",", ".\nNew", "7") for _ in range(10)]
+    texts = [" ".join(r.choice(words) for _ in range(40_000)) for _ in range(2)] + ["", "one", "tab\tinside it", "it has a\ttab", "\n\nX y"]
+    got = enc.encode(texts)
+    assert len(asked) <= 100
+    for text, b in zip(texts, got):
+        assert np.frombuffer(b, "<u4").tolist() == ids(text)
