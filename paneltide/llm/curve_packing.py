@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from paneltide.llm import store, tokens
 
 BUCKETS, DIMS, BITS = 256, 4, 12
+_STEP = 0x9E3779B1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -67,11 +68,14 @@ def hashed_vector(text: bytes) -> np.ndarray:
     b = np.frombuffer(text, np.uint8)
     if len(b) < 4:
         b = np.concatenate([b, np.zeros(4 - len(b), np.uint8)])
-    gram = b[:-3].astype(np.uint32)
-    for k in (1, 2, 3):
-        gram = gram * np.uint32(0x9E3779B1) + b[k: len(b) - 3 + k]
-    gram *= np.uint32(0x85EBCA6B)
-    v = np.log1p(np.bincount(gram >> 24, minlength=BUCKETS))
+    b = b.astype(np.uint32)
+    b *= np.uint32(0x85EBCA6B)
+    pair = b[:-1] * np.uint32(_STEP)
+    pair += b[1:]
+    gram = pair[:-2] * np.uint32(_STEP * _STEP & 0xFFFFFFFF)  # a four-gram is two pairs
+    gram += pair[2:]
+    gram >>= np.uint32(24)
+    v = np.log1p(np.bincount(gram, minlength=BUCKETS))
     return v / np.sqrt(v @ v)
 
 

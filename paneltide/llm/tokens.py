@@ -37,6 +37,7 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 _LONG = 48
 _CLOSING = ".,;:!?"
+_STRETCH = 1 << 16  # pieces gathered at a time
 
 
 class Encoder:
@@ -99,16 +100,19 @@ class Encoder:
                 odd.append(k)
                 found[k] = b""
             else:
-                first, *rest = _CHUNK.findall(p)
-                found[k] = b"".join([word(first), *map(known, rest)])
+                head, *rest = _CHUNK.findall(p)
+                found[k] = b"".join([word(head), *map(known, rest)])
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
-        n = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], n)
-        at += np.arange(len(at))
-        ids = flat[at]
-        cuts = ends[offsets].tolist()
+        first, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
+        parts = [np.empty(0, "<u4")]
+        for k in range(0, len(which), _STRETCH):
+            w = which[k: k + _STRETCH]
+            n = sizes[w]
+            at = np.repeat(first[w] - (np.cumsum(n) - n), n)
+            at += np.arange(len(at))
+            parts.append(flat[at])
+        ids = np.concatenate(parts)
+        cuts = np.concatenate([[0], np.cumsum(sizes[which])])[offsets].tolist()
         strange = np.flatnonzero(np.isin(which, odd)) if odd else []
         rows = np.unique(np.searchsorted(offsets, strange, side="right") - 1).tolist()
         return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], rows

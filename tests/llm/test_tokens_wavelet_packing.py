@@ -143,3 +143,17 @@ def test_recurring_pieces_are_looked_up_once(name):
     assert len(asked) <= 100
     for text, b in zip(texts, got):
         assert np.frombuffer(b, "<u4").tolist() == ids(text)
+
+
+def test_hashed_vector_counts_four_grams():
+    r = random.Random(4)
+    for n in (0, 1, 3, 4, 5, 9, 2000):
+        b = bytes(r.choice(b"abcd \n\xc3\xa9\xff") for _ in range(n))
+        padded, counts = b + b"\0" * (4 - n), [0] * curve_packing.BUCKETS
+        for i in range(len(padded) - 3):
+            h = 0
+            for c in padded[i: i + 4]:
+                h = h * 0x9E3779B1 + c
+            counts[h * 0x85EBCA6B % (1 << 32) >> 24] += 1
+        want = np.log1p(counts)
+        assert np.allclose(curve_packing.hashed_vector(b) * np.sqrt(want @ want), want)
