@@ -30,9 +30,22 @@ from paneltide.llm import store, tokens
 
 _MAGIC = b"WVM1"
 _BLOCK = 512  # bits between two stored ranks
+_STRETCH = 1 << 15  # tokens parted at a time, so that they stay in the cache
 SHARD_SCHEMA = "part int, seq int, n_tokens long, doc_ids binary, id_nulls binary, lengths binary, matrix binary"
 
 
+def _stretches(bit: np.ndarray, n_zeros: int):
+    """Per stretch of the bits its first place, where in it zeros are and where
+    they go in the parted sequence, and the same of ones."""
+    at_0, at_1 = 0, n_zeros
+    for k in range(0, len(bit), _STRETCH):
+        part = bit[k: k + _STRETCH]
+        zeros, ones = np.flatnonzero(~part), np.flatnonzero(part)
+        yield k, zeros, at_0, ones, at_1
+        at_0 += len(zeros)
+        at_1 += len(ones)
+
+
 class WaveletMatrix:
     """Bit planes of a sequence, the highest bit first; after each plane the
     sequence is parted stably by the bit. ``ranks`` has the ones before every
@@ -47,7 +60,8 @@ class WaveletMatrix:
         ids = np.ascontiguousarray(ids)
         if levels is None:
             levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-        planes, ranks, cur = [], [], ids
+        planes, ranks = [], []
+        cur, parted = ids.copy(), np.empty_like(ids)
         for level in range(levels - 1, -1, -1):
             bit = (cur >> level & 1).astype(bool)
             plane = np.packbits(bit)
@@ -56,7 +70,11 @@ class WaveletMatrix:
             padded[: len(plane)] = plane
             ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, 8).sum(1, dtype=np.int64)
             ranks.append(np.concatenate([[0], np.cumsum(ones)]).astype(np.int64))
-            cur = np.concatenate([cur[~bit], cur[bit]])
+            for k, zeros, at_0, ones, at_1 in _stretches(bit, len(ids) - int(ranks[-1][-1])):
+                part = cur[k: k + _STRETCH]
+                parted[at_0: at_0 + len(zeros)] = part[zeros]
+                parted[at_1: at_1 + len(ones)] = part[ones]
+            cur, parted = parted, cur
         return cls(len(ids), planes, ranks)
 
     def to_bytes(self) -> bytes:
@@ -162,14 +180,15 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence, by undoing the partitions from the last plane up."""
-        out = np.zeros(self.n, np.uint32 if len(self.planes) > 16 else np.uint16)
+        out, up = np.zeros((2, self.n), np.uint32 if len(self.planes) > 16 else np.uint16)
         for level in range(len(self.planes) - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            up = np.empty_like(out)
-            up[~bit] = out[: self.zeros[level]]
-            up[bit] = out[self.zeros[level] :]
-            up |= bit.astype(out.dtype) << (len(self.planes) - 1 - level)
-            out = up
+            out[self.zeros[level]:] |= out.dtype.type(1 << (len(self.planes) - 1 - level))
+            for k, zeros, at_0, ones, at_1 in _stretches(bit, self.zeros[level]):
+                part = up[k: k + _STRETCH]
+                part[zeros] = out[at_0: at_0 + len(zeros)]
+                part[ones] = out[at_1: at_1 + len(ones)]
+            out, up = up, out
         return out
 
 

@@ -57,6 +57,15 @@ def test_wavelet_matrix_against_numpy():
             assert m.select(c, 0) == (where[0] if len(where) else -1)
 
 
+@pytest.mark.parametrize("stretch", (1, 64, 700))
+def test_wavelet_matrix_is_parted_stretch_by_stretch(monkeypatch, stretch):
+    monkeypatch.setattr(wavelet, "_STRETCH", stretch)
+    for n, top in ((1, 2), (640, 300), (1001, 1 << 17)):
+        a = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
+        m, kept = wavelet.WaveletMatrix.build(a), a.copy()
+        assert (m.decode() == a).all() and (m.access(np.arange(n)) == a).all() and (a == kept).all()
+
+
 def test_shards_round_trip(spark, edge):
     ids = plain(FILES[0])
     path = store.scratch(spark, "t")
