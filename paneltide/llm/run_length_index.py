@@ -40,7 +40,7 @@ from paneltide.llm import store
 
 GRAM = 40
 SLICE = 1_000_000  # bytes hashed at a time
-BLOCK = 2_000_000  # context bytes in one index
+BLOCK = 1_000_000  # context bytes in one index; up to 2**21, its suffixes are sorted as single numbers
 HOT = 20_000
 _rng = np.random.default_rng(23)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,6 +133,18 @@ def occurrences(texts: list[bytes], length: int):
     return [number[keep], place[keep], gram[keep], context[keep]]
 
 
+def _sorted(key: np.ndarray, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of keys, and the keys in it. Where a key and its place
+    (of ``place`` bits) fit into one number, those are sorted instead."""
+    if int(key.max()).bit_length() + place > 63:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = key << place
+    both |= np.arange(len(key))
+    both.sort()
+    return both & ((1 << place) - 1), both >> place
+
+
 class RunLengthIndex:
     """Run-length Burrows-Wheeler transform of a collection of strings, each
     closed by an end mark. ``sample`` has the text positions at the runs' ends;
@@ -148,13 +160,13 @@ class RunLengthIndex:
         n = len(text)
         left = np.repeat(ends, self.lengths + 1) - np.arange(n)  # bytes before the end mark
         order, halves = self._suffixes(text, left, length)
-        before = np.where(np.isin(order, self.starts), 0, text[order - 1])
+        before = text[order - 1]  # a string's first byte follows an end mark, the first of all the last one
         head = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
         self.n, self.run_start, self.run_byte = n, head, before[head]
         self.sample = order[np.append(head[1:], n) - 1]
         size = np.diff(np.append(head, n))
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=257))])  # of the suffixes by first byte
-        by_byte = np.argsort(self.run_byte, kind="stable")
+        by_byte = np.argsort(self.run_byte.astype(np.uint16), kind="stable")
         # where a run's first row goes: after the rows of smaller bytes and of that byte's earlier runs
         rank = np.cumsum(size[by_byte]) - size[by_byte]
         self.run_goes = np.empty(len(head), np.int64)
@@ -170,25 +182,27 @@ class RunLengthIndex:
     def _suffixes(text: np.ndarray, left: np.ndarray, length: int):
         """Suffixes in order (to the end mark, then by place), by doubling; and
         ranks by a prefix with a step so that two of them cover ``length``."""
-        n = len(text)
-        padded = np.concatenate([text, np.zeros(8, np.int64)])
+        n, most = len(text), int(left.max())
+        code = np.cumsum(np.bincount(text, minlength=257) > 0) - 1  # the bytes that occur, close together
+        width = max(1, int(code[-1]).bit_length())
+        place = n.bit_length()
+        have, halves = max(1, min((63 - place) // width, length)), None
+        padded = np.concatenate([code[text], np.zeros(have, np.int64)])
         key = np.zeros(n, np.int64)
-        have, halves = min(7, length), None
         for k in range(have):
-            key = key << 9 | np.where(left >= k, padded[k: k + n], 0)
+            key = key << width | padded[k: k + n]
+        past = np.maximum(have - 1 - left, 0) * width  # bits after the end mark
+        key = key >> past << past
         while True:
-            order = np.argsort(key, kind="stable")
-            s = key[order]
+            order, s = _sorted(key, place)
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
             if halves is None and have * 2 >= length:
                 halves = rank, length - have
-            if have > int(left.max()):
+            if have >= most:
                 return order, halves if halves is not None else (rank, 0)
-            nxt = np.zeros(n, np.int64)
-            live = np.flatnonzero(left >= have)
-            nxt[live] = rank[live + have] + 1
-            key = rank * (n + 2) + nxt
+            key = rank << int(rank.max() + 1).bit_length()
+            key[:-have] += np.where(left[:-have] >= have, rank[have:] + 1, 0)
             have *= 2
 
     def step(self, rows: np.ndarray) -> np.ndarray:
@@ -225,11 +239,14 @@ class RunLengthIndex:
         offset, group of the ``length`` bytes there)."""
         rows = np.arange(len(self.lengths))  # an end mark's suffix has its string's number
         live = np.arange(len(self.lengths))
+        # every row is asked for about once, so the runs' steps and the groups are laid out by row
+        steps = np.repeat(self.run_goes - self.run_start, np.diff(np.append(self.run_start, self.n))) + np.arange(self.n)
+        group = np.repeat(np.arange(len(self.groups)), np.diff(np.append(self.groups, self.n)))
         for t in range(1, int(self.lengths.max(initial=0)) + 1):
             on = self.lengths[live] >= t
-            live, rows = live[on], self.step(rows[on])
+            live, rows = live[on], steps[rows[on]]
             if t >= length:
-                yield live, self.lengths[live] - t, np.searchsorted(self.groups, rows, side="right") - 1
+                yield live, self.lengths[live] - t, group[rows]
 
 
 def earlier_matches(strings: list[bytes], origin: np.ndarray, length: int) -> list[np.ndarray]:

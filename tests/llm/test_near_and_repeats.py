@@ -207,6 +207,28 @@ def test_index_against_search():
             assert found.tolist() == want
 
 
+def test_index_sorts_numbers_and_streams_without_searches(monkeypatch):
+    """Keys that fit into a number with their place are sorted as one, and the
+    stream looks no row's run up by a search."""
+    r = np.random.default_rng(5)
+    for place in (10, 40):
+        key = r.integers(0, 1 << 30, 1000) // 7 % 50 << 20
+        order, s = run_length_index._sorted(key, place)
+        assert order.tolist() == np.argsort(key, kind="stable").tolist() and (s == key[order]).all()
+    strings = [bytes(r.integers(0, top, n, np.uint8)) for top, n in ((256, 300), (3, 90), (2, 160), (1, 160), (256, 0))] * 2
+    origin = np.cumsum([0, *(len(s) + 100 for s in strings)])[:-1]
+    monkeypatch.setattr(run_length_index.RunLengthIndex, "step", None)
+    found = run_length_index.earlier_matches(strings, origin, 20)
+    seen = set()
+    for s, at in zip(strings, found):
+        want = []
+        for k in range(len(s) - 19):
+            if s[k: k + 20] in seen:
+                want.append(k)
+            seen.add(s[k: k + 20])
+        assert at.tolist() == want
+
+
 def corpus():
     r = random.Random(8)
     passages = [prose(200 + k, 40) for k in range(4)]
