@@ -13,33 +13,40 @@ from pyspark.sql import functions as F
 from paneltide.llm import curve_packing, flow_mixing, partenum_join, quality_bayes, secret_scan, store, tokens
 
 
+def _begin(spark: SparkSession) -> None:
+    """Each stage may be the first one that a session runs. The executors' Python
+    workers serve all stages, so what one of them takes, the next ones hold."""
+    store.ship(spark)
+    store.bound_batches(spark)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    store.ship(spark)
+    _begin(spark)
     return quality_bayes.kept(docs, store.read(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays (five words, 0.8)."""
-    store.ship(spark)
+    _begin(spark)
     return partenum_join.one_of_each(docs, percent=80, width=5)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays."""
-    store.ship(spark)
+    _begin(spark)
     return secret_scan.redacted(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are dropped or repeated so that sources meet their targets."""
-    store.ship(spark)
+    _begin(spark)
     return flow_mixing.mixed(docs, flow_mixing.one_two_three)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids as pieces of packed sequences."""
-    store.ship(spark)
+    _begin(spark)
     return curve_packing.pack(docs, tokens.tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 

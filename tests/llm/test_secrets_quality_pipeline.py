@@ -9,6 +9,7 @@ import re
 import duckdb
 import pandas as pd
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,27 @@ def test_quality_edges(spark, edge, empty):
     assert kept.columns == edge.columns and kept.count() == len(edge_rows())
 
 
+def test_stages_bound_the_batches(spark):
+    """Python workers get a few megabytes at a time in every stage; a smaller
+    limit of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("t"))
+
+    def largest(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    try:
+        corpus_pipeline._begin(spark)
+        assert docs.mapInArrow(largest, "n long").agg(F.max("n")).first()[0] < 6 << 20
+        spark.conf.set(key, "1m")
+        corpus_pipeline._begin(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_stages(spark, tmp_path):
     """Each stage on what its predecessor kept, against what it must do."""
     sf = "/root/testdata/sf0.001"
