@@ -12,6 +12,12 @@ needed. Then more than ``m`` parts of a linked pair agree, so a set with at
 most ``m`` empty parts need not sign for them: equal emptiness, which says
 little, isn't a signature but for the few sets that have more empty parts.
 
+Signatures travel packed, by their first bits. As more than ``m`` parts agree,
+linked sets share more than ``m`` signatures less their empty parts: a set that
+shares fewer with all others together links with nothing and goes, and the
+others leave the largest of their groups, which common shingles make, as far as
+they can't miss a linked set by it.
+
 Sets that are equal count once. Each group of one signature takes a pivot, and
 groups that overlap mostly the same one, so that a set meets few pivots: its
 star. A star's sets are kept as differences from the pivot, which are short for
@@ -50,6 +56,8 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 4096  # sets of a star's block, about; two blocks are compared in one task
 BLOCK_BYTES = 8 * 1024 * 1024  # hashed shingles of a block, about
+ENTRIES = 500_000  # signatures packed, or grouped, at a time, about
+ENTRY = 14  # bytes of one: 40 bits of the signature, the set's id, its need
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -135,14 +143,21 @@ def parameters(percent: int, least: int, largest: int) -> tuple[int, int, int, i
 
 def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(set number, signature) of all signatures of non-empty sets."""
+    return signed(sets, percent)[:2]
+
+
+def signed(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set number, signature) of all signatures of non-empty sets, and how many
+    of its signatures each set shares at least with any set that it links with."""
     sizes = np.array([len(s) for s in sets])
+    need = np.ones(len(sizes), np.int64)
     if not len(sizes) or not sizes.max():
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), need
     table = bands(percent, int(sizes.max()))
     band = np.searchsorted([b[1] for b in table], sizes)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     mixed = _mix(flat ^ np.uint64(0xD1B54A32D192ED03))
-    nums, sigs = [], []
+    nums, sigs, needs = [], [], []
     for up in (0, 1):
         inst = band + up
         shape = np.array([parameters(percent, table[max(j - 1, 0)][0], table[j][1]) for j in range(len(table))])[np.minimum(inst, len(table) - 1)]
@@ -159,6 +174,8 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         own = np.repeat(np.arange(len(sets)), cells)
         empty = np.bincount(own, weights=~filled, minlength=len(sets))
         signs = plain[own] & (filled | (empty > shape[:, 3])[own])
+        # more than m parts agree, and no more of them are empty than the set has
+        needs.append(np.where(plain, np.maximum(shape[:, 3] + 1 - empty.astype(np.int64), 1), need))
         at = np.flatnonzero(signs)
         nums.append(own[at])
         sigs.append(_mix(sums[at] + _mix(seed[own[at]] + (at - base[own[at]]).astype(np.uint64))))
@@ -175,7 +192,7 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
                     total = _mix(total + sums[first + q])
                 nums.append(num)
                 sigs.append(_mix(total + _mix(seed[num] + part.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(c + (n2 << 8)))))
-    return np.concatenate(nums), np.concatenate(sigs)
+    return np.concatenate(nums), np.concatenate(sigs), np.minimum(*needs)
 
 
 def set_ids(sets: list[np.ndarray]) -> np.ndarray:
@@ -196,6 +213,79 @@ def _slices(batch, most: int = 1_000_000):
         yield first, held
 
 
+def _packed(sigs: np.ndarray, ids: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
+    """(bucket, entries): signatures by their first 12 bits. An entry is 40 more
+    bits, the set's id and its need, up to 255, so the room it takes on its way
+    doesn't depend on how many partitions there are."""
+    key = sigs >> np.uint64(12)
+    bucket = (key >> np.uint64(40)).astype(np.uint16)
+    entries = np.empty((len(key), ENTRY), np.uint8)
+    entries[:, :5] = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    entries[:, 5:13] = ids.astype("<i8").view(np.uint8).reshape(-1, 8)
+    entries[:, 13] = np.minimum(need, 255)
+    entries = entries[np.argsort(bucket, kind="stable")]
+    count = np.bincount(bucket, minlength=1 << 12)
+    used = np.flatnonzero(count)
+    ends = np.concatenate([[0], np.cumsum(count[used])]).astype(np.int32) * np.int32(ENTRY)
+    blobs = pa.BinaryArray.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(ends), pa.py_buffer(entries)])
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), blobs], ["bucket", "entries"])
+
+
+def _met(batches):
+    """(grp, set_id, weight, need) of entries sorted by bucket. Sets that share a
+    signature are one group; signatures with the same members are the same
+    group, which weighs as many."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch.column("bucket").to_numpy()
+        blobs = batch.column("entries")
+        ends = np.frombuffer(blobs.buffers()[1], np.int64 if pa.types.is_large_binary(blobs.type) else np.int32)[blobs.offset: blobs.offset + len(blobs) + 1]
+        data = np.frombuffer(blobs.buffers()[2], np.uint8)
+        cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+        for first, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if bucket[first] != last and size >= ENTRIES:
+                yield from _grouped(held)
+                held, size = [], 0
+            last = bucket[first]
+            rows = data[ends[first]: ends[end]].reshape(-1, ENTRY).copy()  # the batch goes
+            held.append((np.full(len(rows), last, np.uint64), rows))
+            size += len(rows)
+    if held:
+        yield from _grouped(held)
+
+
+def _grouped(held: list[tuple[np.ndarray, np.ndarray]]):
+    bucket, rows = (np.concatenate(x) for x in zip(*held))
+    low = np.zeros((len(rows), 8), np.uint8)
+    low[:, :5] = rows[:, :5]
+    key = (bucket << np.uint64(40)) | low.view("<u8").ravel()
+    order = np.argsort(key)
+    key = key[order]
+    same = key[1:] == key[:-1]
+    shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    key, rows = key[shared], rows[order[shared]]
+    ids = np.ascontiguousarray(rows[:, 5:13]).view("<i8").ravel()
+    order = np.lexsort((ids, key))
+    key, ids, need = key[order], ids[order], rows[order, 13]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])  # copies in other batches
+    key, ids, need = key[new], ids[new], need[new]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    sets = np.diff(np.append(begin, len(key)))
+    begin, sets = begin[sets > 1], sets[sets > 1]
+    if not len(begin):
+        return
+    at = _ranges(begin, begin + sets)
+    sums = np.add.reduceat(_mix(ids[at].view(np.uint64) ^ _STEP), np.cumsum(sets) - sets)
+    grp, first, weight = np.unique(_mix(sums + sets.astype(np.uint64)), return_index=True, return_counts=True)
+    begin, sets = begin[first], sets[first]
+    at = _ranges(begin, begin + sets)
+    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(grp, sets).view(np.int64)), pa.array(ids[at]), pa.array(np.repeat(weight, sets).astype(np.int64)),
+                                      pa.array(need[at].astype(np.int32))], ["grp", "set_id", "weight", "need"])
+
+
 def _smallest(doc_id: str, *more: str):
     """The least (id, more) of a group, null ids after all others."""
     return F.min(F.struct(F.col(doc_id).isNull().alias("void"), doc_id, *more))
@@ -219,25 +309,31 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(sets)), batch.column("tie").slice(first, len(sets)),
                                                   pa.array([len(s) for s in sets], pa.int64()), pa.array(set_ids(sets))], ["doc_id", "tie", "n_shingles", "set_id"])
 
-    def signed(batches):
+    def signing(batches):
+        held, size = [], 0
         for batch in batches:
             for _, texts in _slices(batch):
                 sets = shingle_sets(texts, width)
                 ids, first = np.unique(set_ids(sets), return_index=True)  # copies in a batch sign once
-                nums, sigs = signatures([sets[i] for i in first.tolist()], percent)
-                yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids[nums])], ["sig", "set_id"])
+                nums, sigs, need = signed([sets[i] for i in first.tolist()], percent)
+                held.append((sigs, ids[nums], need[nums]))
+                size += len(nums)
+                if size >= ENTRIES:
+                    yield _packed(*map(np.concatenate, zip(*held)))
+                    held, size = [], 0
+        if size:
+            yield _packed(*map(np.concatenate, zip(*held)))
 
     spark = docs.sparkSession
     documents = store.materialise(rows.mapInArrow(sized, "doc_id long, tie long, n_shingles long, set_id long"), "sets")
-    by = W.partitionBy("sig")
-    marked = rows.drop("tie").mapInArrow(signed, "sig long, set_id long").withColumns({
-        "low": F.min("set_id").over(by), "high": F.max("set_id").over(by),
-        "print": F.sum(F.xxhash64("set_id") % (1 << 32)).over(by)}).filter("low <> high")
-    # signatures with the same members are one group; it weighs as many
-    groups = store.materialise(marked.groupBy("print", "low", "high", "set_id").agg(F.count("*").alias("weight")).groupBy(
-        F.xxhash64("print", "low", "high").alias("grp"), "set_id").agg(F.max("weight").alias("weight")), "groups")
-    del marked
+    entries = rows.drop("tie").mapInArrow(signing, "bucket int, entries binary").repartition("bucket").sortWithinPartitions("bucket")
+    groups = store.materialise(entries.mapInArrow(_met, "grp long, set_id long, weight long, need int").groupBy("grp", "set_id").agg(
+        F.sum("weight").alias("weight"), F.max("need").alias("need")), "groups")
+    del entries
     store.release(spark)
+    for _ in range(2):  # without the sets that go, others share less
+        groups = store.materialise(_sharing(groups), "groups")
+    groups = store.materialise(_smaller(groups), "groups")
     stars = store.materialise(_stars(groups), "stars")
     members = stars.withColumn("member", F.lit(1)).unionByName(
         stars.select("pivot", F.col("pivot").alias("set_id"), F.lit(0).alias("member")).distinct())
@@ -253,6 +349,28 @@ def classes(docs: DataFrame, percent: int, width: int = 4, id_col: str = "doc_id
     return documents, components(links)
 
 
+def _weighed(groups: DataFrame) -> DataFrame:
+    """The groups of several sets, with their number of sets."""
+    return groups.join(groups.groupBy("grp").agg(F.count("*").alias("sets")).filter("sets > 1"), "grp")
+
+
+def _sharing(groups: DataFrame) -> DataFrame:
+    """The groups without the sets that link with nothing, as they share fewer
+    signatures with all others together than they would with a linked one."""
+    rows = _weighed(groups)
+    return rows.join(rows.groupBy("set_id").agg(F.sum("weight").alias("all"), F.max("need").alias("least")).filter("all >= least"), "set_id", "left_semi").select(*groups.columns)
+
+
+def _smaller(groups: DataFrame) -> DataFrame:
+    """The groups without the sets that need not meet there. Each set leaves the
+    largest groups, as long as they stand for fewer signatures than it shares
+    with a linked one. All sets take the groups in one order, so two linked
+    ones stay in the smallest group they share."""
+    w = W.partitionBy("set_id").orderBy(F.desc("sets"), "grp").rowsBetween(W.unboundedPreceding, 0)
+    rows = _weighed(groups).withColumn("left", F.sum("weight").over(w)).filter("left >= need").select(*groups.columns)
+    return rows.join(rows.groupBy("grp").count().filter("count > 1"), "grp", "left_semi")
+
+
 def _stars(groups: DataFrame, steps: int = 2) -> DataFrame:
     """(pivot, set_id): each group's members meet under the group's pivot. The
     pivot is the set with the most signatures shared (then the smallest), seen

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from paneltide.llm import components, partenum_join, run_length_index
@@ -155,6 +156,72 @@ def test_linked_sets_share_a_signature():
                     assert set(sig[num == 0].tolist()) & set(sig[num == 1].tolist()), (percent, n)
 
 
+def test_linked_sets_share_as_many_signatures_as_they_need():
+    r = np.random.default_rng(4)
+    for percent in (80, 85):
+        for n in (3, 8, 20, 45, 60, 90, 150, 333, 1000):
+            for _ in range(6):
+                a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+                e = int(2 * len(a) * (100 - percent) / (100 + percent)) // 2
+                for other in (np.sort(r.permutation(a)[len(a) * (100 - percent) // 100:]),
+                              np.unique(np.concatenate([r.permutation(a)[e:], r.integers(0, 1 << 63, e, dtype=np.uint64)]))):
+                    both = len(np.intersect1d(a, other))
+                    if not len(other) or 100 * both < percent * (len(a) + len(other) - both):
+                        continue
+                    num, sig, need = partenum_join.signed([a, other], percent)
+                    assert len(set(sig[num == 0].tolist()) & set(sig[num == 1].tolist())) >= need.max(), (percent, n)
+        _, _, need = partenum_join.signed([np.unique(r.integers(0, 1 << 63, 500, dtype=np.uint64)) for _ in range(50)], percent)
+        assert np.median(need) > 3  # what sets share by chance doesn't do
+
+
+def test_packed_signatures_make_groups(monkeypatch):
+    r = np.random.default_rng(5)
+    for chunk in (1, 50, 333, 500_000):
+        monkeypatch.setattr(partenum_join, "ENTRIES", chunk)
+        pool = r.integers(0, 1 << 63, 90, dtype=np.uint64) * np.uint64(2)
+        sigs, ids = pool[r.integers(0, 90, 400)], r.integers(-30, 30, 400)
+        members = {}
+        for s, i in zip(sigs.tolist(), ids.tolist()):
+            members.setdefault(s, set()).add(i)
+        expected = {}
+        for m in members.values():
+            if len(m) > 1:
+                expected[frozenset(m)] = expected.get(frozenset(m), 0) + 1
+        packed = [partenum_join._packed(sigs[k: k + 100], ids[k: k + 100], ids[k: k + 100] + 300 * (ids[k: k + 100] > 20) + 40) for k in range(0, 400, 100)]
+        rows = pa.Table.from_batches(packed).sort_by("bucket").combine_chunks()
+        assert sum(len(x.as_py()) for x in rows["entries"]) == 400 * partenum_join.ENTRY
+        got = {}
+        for batch in partenum_join._met(rows.to_batches(max_chunksize=7)):
+            for g, i, weight, need in zip(*(c.to_pylist() for c in batch.columns)):
+                assert need == (255 if i > 20 else i + 40)
+                got.setdefault(g, {}).setdefault(i, []).append(weight)
+        assert {frozenset(m): sum(next(iter(m.values()))) for m in got.values()} == expected
+
+
+def test_sets_that_share_common_words_only_meet_nobody(spark, monkeypatch):
+    """Of 120 texts with the same sentence, nearly all share signatures by
+    chance; only the copies among them travel to a star."""
+    r = random.Random(8)
+    line = prose(500, 12)
+    texts = []
+    for k in range(120):
+        w = [f"w{r.randrange(10 ** 9)}" for _ in range(200)]
+        texts.append(" ".join(w + [line]))
+    w = texts[0].split()
+    texts += [" ".join([*w[:30], f"y{k}", *w[31:]]) for k in range(3)]
+    rows = list(enumerate(texts))
+    seen = []
+
+    def links(members, *rest, plain=partenum_join._links):
+        seen.append(members.filter("member = 1").select("set_id").distinct().count())
+        return plain(members, *rest)
+
+    monkeypatch.setattr(partenum_join, "_links", links)
+    got = partenum_join.joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 80, 5).collect()
+    assert sorted((str(g["doc_id"]), g["n_shingles"], str(g["component_id"])) for g in got) == brute(rows, 80, 5)
+    assert 4 <= seen[0] <= 8
+
+
 def test_components(spark):
     r = random.Random(0)
     links = [(k, k + 1) for k in range(0, 60)] + [(r.randint(100, 160), r.randint(100, 160)) for _ in range(50)] + [(500, 500 + k) for k in range(1, 40)]
